@@ -17,4 +17,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash,)}
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import ROW, with_row_id
+    from .decontaminate import digest, search
+
+    docs = with_row_id(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return digest(search(docs, _table(spark, sf_dir, "benchmark")).join(docs.select(ROW, "doc_id"), ROW))
+
+
+QUERIES = {f.__name__: f for f in (op3_simhash, op9_decontaminate)}
