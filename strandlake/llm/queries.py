@@ -25,4 +25,17 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(search(docs, _table(spark, sf_dir, "benchmark")).join(docs.select(ROW, "doc_id"), ROW))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op9_decontaminate)}
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import fit, score
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score(docs, fit(docs)).withColumnRenamed("good", "keep")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"), with_ids=False).drop("bucket")
+
+
+QUERIES = {f.__name__: f for f in (op3_simhash, op6_quality, op7_packing, op9_decontaminate)}
