@@ -76,11 +76,10 @@ LABELLERS = (
     ("shouting", lambda s: BAD if s["capitals"] > 0.5 and s["words"] >= 5 else NONE),
     ("exclaiming", lambda s: BAD if s["exclaimed"] > 0.15 else NONE),
     ("no_prose", lambda s: BAD if s["stops"] < 0.03 and s["words"] >= 12 else NONE),
-    ("few_letters", lambda s: BAD if s["letters"] < 0.6 else NONE),
+    ("few_letters", lambda s: BAD if s["letters"] < 0.5 else NONE),
     ("long_words", lambda s: BAD if s["length"] > 14 else NONE),
-    ("prose", lambda s: GOOD if s["stops"] > 0.12 and s["repeats"] < 0.08 and s["capitals"] < 0.3 else NONE),
-    ("brief", lambda s: GOOD if s["words"] < 12 and s["letters"] > 0.55 and s["symbols"] < 0.2 and s["repeats"] < 0.08 and s["exclaimed"] < 0.05 else NONE),
-    ("sentences", lambda s: GOOD if 0.02 < s["stopped"] < 0.5 and s["symbols"] < 0.1 and s["exclaimed"] < 0.05 and s["runs"] < 0.03 else NONE),
+    ("prose", lambda s: GOOD if (s["stops"] > 0.12 or s["words"] < 12) and s["repeats"] < 0.08 and s["capitals"] < 0.3 and s["letters"] > 0.4 else NONE),
+    ("sentences", lambda s: GOOD if s["stopped"] > 0.02 and (s["stopped"] < 0.5 or s["words"] < 12) and s["symbols"] < 0.1 and s["exclaimed"] < 0.05 and s["runs"] < 0.03 else NONE),
 )
 
 
@@ -224,7 +223,7 @@ def fit(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) -> Qu
     return QualityModel(model, fit_scorer(table, target))
 
 
-def score(docs: DataFrame, model: QualityModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",), threshold: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: QualityModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",), threshold: float = 0.3) -> DataFrame:
     """The columns ``keep``, the scorer's ``score``, the label model's
     ``posterior`` and ``good``: score at least ``threshold``."""
     small_batches(docs.sparkSession)
@@ -248,7 +247,7 @@ def score(docs: DataFrame, model: QualityModel, text: str = "text", keep: tuple[
     return slim.mapInArrow(run, f"{schema}, score double, posterior double, good boolean")
 
 
-def keep_good(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS, threshold: float = 0.5) -> DataFrame:
+def keep_good(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS, threshold: float = 0.3) -> DataFrame:
     """``docs`` without the documents that the classifier rejects."""
     model = fit(docs, text, train_rows)
     bad = materialize(score(with_row_id(docs), model, text, (ROW,), threshold).where("not good").select(ROW), "rejected")

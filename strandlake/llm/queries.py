@@ -17,6 +17,13 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .binary import fresh_path, read_tokens, write_tokens
+
+    path = fresh_path(spark, "token-files")
+    return read_tokens(write_tokens(_table(spark, sf_dir, "documents"), path), path, with_ids=False)
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import ROW, with_row_id
     from .decontaminate import digest, search
@@ -38,4 +45,4 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), with_ids=False).drop("bucket")
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op6_quality, op7_packing, op9_decontaminate)}
+QUERIES = {f.__name__: f for f in (op3_simhash, op6_quality, op7_packing, op8_tokens, op9_decontaminate)}
