@@ -126,7 +126,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text: str =
     rank[table] = np.arange(65_536, dtype=np.uint32)
     fs, root = shared_fs(path)
     fs.create_dir(root, recursive=True)
-    with fs.open_output_stream(f"{root}/ranks.u32") as out:
+    with fs.open_output_stream(f"{root}/ranks.u32", compression=None) as out:
         out.write(table.astype("<u4").tobytes())
 
     def run(batches):
@@ -136,7 +136,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text: str =
         for batch in batches:
             for doc, body, number in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 if out is None:
-                    out, first, ordinal = fs.open_output_stream(name), doc, number
+                    out, first, ordinal = fs.open_output_stream(name, compression=None), doc, number
                     out.write(MAGIC)
                 if bodies and held + len(body) // 2 > BLOCK_IDS:
                     offsets.append(at)

@@ -32,6 +32,25 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(search(docs, _table(spark, sf_dir, "benchmark")).join(docs.select(ROW, "doc_id"), ROW))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import materialize
+    from .sharding import shard
+
+    docs = _table(spark, sf_dir, "documents")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8
+    digest = docs.select("doc_id", size.alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.xxhash64("text").alias("text_hash"))
+    placed = shard(materialize(digest, "sizes"), 24, group="text_hash", size=F.col("size"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import fresh_path
+    from .warc import read_warc, write_warc
+
+    path = fresh_path(spark, "warc")
+    return read_warc(write_warc(_table(spark, sf_dir, "pages"), path)).drop("url")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import fit, score
 
@@ -45,4 +64,4 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), with_ids=False).drop("bucket")
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op6_quality, op7_packing, op8_tokens, op9_decontaminate)}
+QUERIES = {f.__name__: f for f in (op3_simhash, op4_sharding, op5_warc, op6_quality, op7_packing, op8_tokens, op9_decontaminate)}
