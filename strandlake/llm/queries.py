@@ -10,6 +10,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import fit, judge, labelled_urls
+
+    return judge(_table(spark, sf_dir, "pages"), fit(labelled_urls(spark)))
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import fit, labelled_findings, scan
+
+    return scan(_table(spark, sf_dir, "documents"), fit(labelled_findings(spark)))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
@@ -64,4 +76,4 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), with_ids=False).drop("bucket")
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op4_sharding, op5_warc, op6_quality, op7_packing, op8_tokens, op9_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_secrets, op3_simhash, op4_sharding, op5_warc, op6_quality, op7_packing, op8_tokens, op9_decontaminate)}
