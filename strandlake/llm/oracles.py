@@ -66,4 +66,4 @@ SELECT e.vec_id, CAST(coalesce(deg.n, 0) AS BIGINT) AS n_links, comp.c AS compon
 FROM embeddings e LEFT JOIN comp ON comp.a = e.vec_id LEFT JOIN deg ON deg.a = e.vec_id
 """
 
-ORACLES = {"op5_warc": OP5, "op9_decontaminate": OP9}
+ORACLES = {"op5_warc": OP5, "op9_decontaminate": OP9, "op10_embeddings": OP10}

@@ -76,4 +76,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), with_ids=False).drop("bucket")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_secrets, op3_simhash, op4_sharding, op5_warc, op6_quality, op7_packing, op8_tokens, op9_decontaminate)}
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embeddings import link_embeddings
+
+    return link_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_secrets, op3_simhash, op4_sharding, op5_warc, op6_quality, op7_packing, op8_tokens, op9_decontaminate, op10_embeddings)}
