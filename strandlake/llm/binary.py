@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, fresh_path, materialize, shared_fs, small_batches
-from .tokens import WordEncoder, crc_of_ids, default_vocabulary
+from .tokens import default_vocabulary, encoder_for
 
 MAGIC = b"SLTOKEN1"
 BLOCK_IDS = 1 << 20
@@ -70,7 +70,7 @@ def _tokenize(docs: DataFrame, id_col: str, text: str, vocabulary: str, end_id:
     slim = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).cast("binary").alias("body"))
 
     def run(batches):
-        encoder, end = WordEncoder(vocabulary), end_id.to_bytes(2, "little")
+        encoder, end = encoder_for(vocabulary), end_id.to_bytes(2, "little")
         for batch in batches:
             ids = [x + end for x in encoder.encode(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc", "ids"])
@@ -86,10 +86,7 @@ def _count(tokens: DataFrame, size: int) -> np.ndarray:
     def run(batches):
         total = np.zeros(-(-size // wide) * wide, np.int64)
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(raw, "<u2"), minlength=len(total)) if len(raw) > 20_000 else 0
-                if len(raw) <= 20_000:
-                    np.add.at(total, np.frombuffer(raw, "<u2"), 1)
+            total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u2"), minlength=len(total))
         parts = total.reshape(-1, wide)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "counts"])
 
@@ -221,4 +218,4 @@ def read_tokens(manifest: DataFrame, path: str, with_ids: bool = True) -> DataFr
     return files.repartition(max(1, len(base))).mapInArrow(run, schema)
 
 
-__all__ = ["crc_of_ids", "decode_ranks", "encode_ranks", "fresh_path", "rank_table", "read_tokens", "write_tokens"]
+__all__ = ["decode_ranks", "encode_ranks", "fresh_path", "rank_table", "read_tokens", "write_tokens"]

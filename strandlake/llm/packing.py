@@ -13,12 +13,13 @@ partition with a count inside it, and is the same whenever a task runs again.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches
-from .tokens import WordEncoder, crc_of_ids, default_vocabulary
+from .tokens import default_vocabulary, encoder_for
 
 MAX_LENGTH = 2048
 END_ID = 1
@@ -43,9 +44,11 @@ def pack(docs: DataFrame, text: str = "text", id_col: str = "doc_id", vocabulary
     id_type = slim.schema[0].dataType.simpleString()
 
     def run(batches):
+        from zlib import crc32
+
         from pyspark import TaskContext
 
-        encoder = WordEncoder(vocabulary)
+        encoder = encoder_for(vocabulary)
         end = end_id.to_bytes(2, "little")
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -54,15 +57,15 @@ def pack(docs: DataFrame, text: str = "text", id_col: str = "doc_id", vocabulary
             for i, body in enumerate(encoder.encode(batch.column(1).to_pylist())):
                 body += end
                 n, at = len(body) // 2, 0
+                wide = np.frombuffer(body, "<u2").astype("<u4").tobytes()
                 for size in piece_lengths(n, longest):
-                    piece = body[2 * at : 2 * (at + size)]
                     owner.append(i)
                     start.append(at)
                     length.append(size)
-                    crc.append(crc_of_ids(piece))
+                    crc.append(crc32(wide[4 * at : 4 * (at + size)]))
                     total.append(n)
                     if with_ids:
-                        raw.append(piece)
+                        raw.append(body[2 * at : 2 * (at + size)])
                     at += size
             rows = len(owner)
             columns = [ids.take(pa.array(owner, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(total, pa.int64()), pa.array(range(number, number + rows), pa.int64()), pa.array([0] * rows, pa.int64()), pa.array(length, pa.int32())]

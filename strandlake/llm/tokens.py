@@ -9,10 +9,11 @@ of a worker is bounded; it is emptied when full.
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 
 import numpy as np
 
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 
 
 def default_vocabulary() -> str:
@@ -23,41 +24,76 @@ def default_vocabulary() -> str:
 
 
 class WordEncoder:
-    """Ids of whole texts, as little-endian unsigned 16-bit bytes."""
+    """Ids of whole texts, as little-endian unsigned 16-bit bytes.
+
+    A word not seen before is taken apart where the vocabulary's own splitting
+    rule would do it anyway: ASCII capitals are lowered and one full stop or
+    comma after a letter is cut off. If what remains is lower-case Latin
+    letters alone, the rule neither normalises nor splits it, so the library
+    encodes it without those steps. All other words take the full path.
+    """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(vocabulary)
-        if self.tokenizer.get_vocab_size() > 65_536:
+        self.full = Tokenizer.from_file(vocabulary)
+        if self.full.get_vocab_size() > 65_536:
             raise ValueError("this encoder keeps ids in 16 bits")
+        self.plain = Tokenizer.from_file(vocabulary)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.marks = {m: np.array(self.full.encode(m.decode(), add_special_tokens=False).ids, "<u2").tobytes() for m in (b".", b",")}
         self.known: dict[bytes, bytes] = {}
+        self.stems: dict[bytes, bytes] = {}
 
-    def _learn(self, words: list[bytes]) -> None:
-        encoded = self.tokenizer.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
+    @staticmethod
+    def _learn(tokenizer, words: list[bytes], into: dict[bytes, bytes]) -> None:
+        encoded = tokenizer.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
         raw = np.array(encoded.ids, "<u2").tobytes()
         owner = np.array(encoded.word_ids, np.int64)
         cuts = (np.searchsorted(owner, np.arange(len(words) + 1)) * 2).tolist()
-        self.known.update(zip(words, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+        into.update(zip(words, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+
+    def _learn_all(self, unknown: set[bytes]) -> None:
+        odd, split = [], []
+        for word in unknown:
+            stem, mark = word.lower(), b""
+            if stem[-1:] in self.marks:
+                stem, mark = stem[:-1], stem[-1:]
+            letters = stem.decode()
+            if letters.isalpha() and max(letters) < "\u0250" and letters.islower() and letters == letters.lower():
+                split.append((word, stem, mark))
+            else:
+                odd.append(word)
+        if len(self.stems) > REMEMBERED:
+            self.stems.clear()
+        new = list({stem for _, stem, _ in split}.difference(self.stems))
+        if new:
+            self._learn(self.plain, new, self.stems)
+        for word, stem, mark in split:
+            self.known[word] = self.stems[stem] + self.marks[mark] if mark else self.stems[stem]
+        if odd:
+            self._learn(self.full, odd, self.known)
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Ids of each UTF-8 text; none for null."""
         out = []
-        for at in range(0, len(texts), 64):
-            split = [(t or b"").split() for t in texts[at : at + 64]]
+        for at in range(0, len(texts), 128):
             if len(self.known) > REMEMBERED:
                 self.known.clear()
-            unknown = {w for words in split for w in words}.difference(self.known)
+            split = [(t or b"").split() for t in texts[at : at + 128]]
+            found = [list(map(self.known.get, words)) for words in split]
+            unknown = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
             if unknown:
-                self._learn(list(unknown))
-            find = self.known.__getitem__
-            out.extend(b"".join(map(find, words)) for words in split)
+                self._learn_all(unknown)
+                know = self.known.__getitem__
+                found = [map(know, words) if None in ids else ids for words, ids in zip(split, found)]
+            out.extend(map(b"".join, found))
         return out
 
 
-def crc_of_ids(raw: bytes) -> int:
-    """Unsigned CRC-32 of 16-bit ids taken as little-endian unsigned 32-bit."""
-    from zlib import crc32
-
-    return crc32(np.frombuffer(raw, "<u2").astype("<u4").tobytes())
+@lru_cache(maxsize=2)
+def encoder_for(vocabulary: str) -> WordEncoder:
+    """The encoder of this process; its memory outlives a task."""
+    return WordEncoder(vocabulary)
