@@ -20,6 +20,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 #: Kinds of candidates: (kind, pattern). Formats are the public ones.
 KINDS = (
     ("aws_key", r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])"),
@@ -159,7 +161,7 @@ def redact(docs: DataFrame, model: RandomForestClassificationModel, text: str =
     hashed = docs.withColumn(own, F.sha2(F.col(text), 256))
     found = scan(hashed, model, (own,), text, path).where("is_secret")
     value = F.regexp_replace("candidate", _ASSIGNED, "")
-    lists = found.select(own, value.alias("value")).distinct().groupBy(own).agg(F.sort_array(F.collect_set("value"), asc=False).alias("__sl_values"))
+    lists = materialize(found.select(own, value.alias("value")).distinct().groupBy(own).agg(F.sort_array(F.collect_set("value"), asc=False).alias("__sl_values")), "secrets")
     cleaned = F.aggregate(F.coalesce("__sl_values", F.array().cast("array<string>")), F.col(text), lambda acc, v: F.replace(acc, v, F.lit(mark)))
     joined = hashed.join(lists, own, "left")
     out = {text: cleaned}
