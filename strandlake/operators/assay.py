@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from ..functions.columns import beta_value, checked_u32
 
 
-def build_assay(aligned: DataFrame, min_coverage: int = 1) -> DataFrame:
+def build_assay(aligned: DataFrame, min_coverage: int = 1, sample: str = "sample_idx") -> DataFrame:
     """Sums of both strands, then the coverage mask, then beta. ``aligned``
-    has ``sample_idx, cpg_idx, methylated, unmethylated``; records without a
+    has the column ``sample`` and ``cpg_idx, methylated, unmethylated``; records without a
     site are left out. A minimum of 0 means 1: uncovered cells don't exist."""
-    summed = aligned.where("cpg_idx IS NOT NULL").groupBy("cpg_idx", "sample_idx").agg(F.sum("methylated").alias("m"), F.sum("unmethylated").alias("u"))
+    summed = aligned.where("cpg_idx IS NOT NULL").groupBy("cpg_idx", sample).agg(F.sum("methylated").alias("m"), F.sum("unmethylated").alias("u"))
     total = summed.withColumn("cov", checked_u32(F.col("m") + F.col("u"), "coverage"))
-    return total.where((F.col("cov") >= min_coverage) & (F.col("cov") > 0)).select("cpg_idx", F.col("sample_idx").cast("int").alias("sample_idx"), "cov", beta_value(F.col("m"), F.col("cov")).alias("beta"))
+    return total.where((F.col("cov") >= min_coverage) & (F.col("cov") > 0)).select("cpg_idx", sample, "cov", beta_value(F.col("m"), F.col("cov")).alias("beta"))
 
 
 def dense(assay: DataFrame, row_data: DataFrame, col_data: DataFrame) -> DataFrame:

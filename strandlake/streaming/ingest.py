@@ -35,10 +35,7 @@ def ingest(spark: SparkSession, directory: str, sites: DataFrame, output: str, c
             raise CoverageError(f"sample {twice['sample_id']}: duplicate record at {twice['contig_key']}:{twice['start'] + 1}")
         aligned = align(found, sites)
         check_matches(aligned)
-        # one number per sample of the batch stands in for the sample's index
-        names = aligned.select("sample_id").distinct().withColumn("sample_idx", F.xxhash64("sample_id").cast("int"))
-        assay = build_assay(aligned.join(names, "sample_id"), min_coverage)
-        assay.join(names, "sample_idx").select("sample_id", "cpg_idx", "cov", "beta").write.mode("overwrite").parquet(f"{output}/batch={number}")
+        build_assay(aligned, min_coverage, "sample_id").write.mode("overwrite").parquet(f"{output}/batch={number}")
 
     writer = lines.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
