@@ -80,9 +80,9 @@ def check_metadata(meta: dict) -> None:
 
 
 def _raise_first(table: DataFrame, rules: dict[str, Column], name: str) -> None:
-    bad = violations(table, rules).where("n > 0").orderBy("rule").first()
+    bad = violations(table, rules).where("n > 0").orderBy("rule").collect()  # one row per rule
     if bad:
-        raise ValidationError(f"{name}: {bad['rule']} in {bad['n']} rows, first at {bad['first']}")
+        raise ValidationError(f"{name}: " + "; ".join(f"{b['rule']} in {b['n']} rows, first at {b['first']}" for b in bad))
 
 
 def validate_store(spark: SparkSession, path: str) -> dict:

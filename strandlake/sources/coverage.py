@@ -8,13 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import COVERAGE_SUFFIXES, PERCENT_TOLERANCE, U32_MAX, CoverageError
-from ..functions.columns import canonical_contig, trimmed
+from ..functions.columns import canonical_contig
 from ..functions.names import sample_names
 
-_U32 = r"^\+?[0-9]{1,18}$"
-_F64 = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
-
-
 def find_files(directory: str) -> list[str]:
     """Coverage files of a directory, not below it, by path. None is an error.
     Links to files count."""
@@ -24,14 +20,18 @@ def find_files(directory: str) -> list[str]:
     return found
 
 
+def _bare(c: Column) -> Column:
+    return F.btrim(c, F.lit(" \x0b\x0c\r"))
+
+
 def _u32(c: Column) -> Column:
-    value = F.when(trimmed(c).rlike(_U32), F.regexp_replace(trimmed(c), r"^\+", "").cast("long"))
-    return F.when(value <= U32_MAX, value)
+    value = _bare(c).try_cast("long")
+    return F.when(value.between(0, U32_MAX), value)
 
 
 def _f64(c: Column) -> Column:
-    low = F.lower(trimmed(c))
-    return F.when(trimmed(c).rlike(_F64), trimmed(c).cast("double")).when(low.rlike(r"^[+-]?(inf|infinity|nan)$"), F.lit(float("nan")))
+    """Casts read "1.0d" and "1f" as numbers; here they are not."""
+    return F.when(~c.rlike("[0-9.][dDfF][ \r]*$"), _bare(c).try_cast("double"))
 
 
 def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -41,7 +41,9 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     text = F.regexp_replace(F.col(value), "\r$", "")
     cut = lines.withColumn("__f", F.split(text, "\t", -1)).where(F.length(text) > 0)
     f = lambda i: F.get("__f", F.lit(i))
-    fields = cut.withColumns({"chr": trimmed(f(0)), "start1": _u32(f(1)), "end1": _u32(f(2)), "percent": _f64(f(3)), "methylated": _u32(f(4)), "unmethylated": _u32(f(5))})
+    parts = {"chr": _bare(f(0)), "start1": _u32(f(1)), "end1": _u32(f(2)), "percent": _f64(f(3)), "methylated": _u32(f(4)), "unmethylated": _u32(f(5))}
+    # a one-row generator, so that the rules below use the fields and don't repeat how they are parsed
+    fields = cut.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in parts.items()]))))
     total = F.col("methylated") + F.col("unmethylated")
     expected = F.when(total == 0, F.lit(0.0)).otherwise(100.0 * F.col("methylated").cast("double") / total.cast("double"))
     problem = (
