@@ -47,17 +47,27 @@ def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     size = 1 + (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
     codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
     codes[: len(values)] = size - 1
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    raw = values.view(np.uint8).reshape(-1, 4)
-    return control.tobytes(), raw[np.arange(4) < size[:, None]].tobytes()
+    control = codes[0::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
+    ends = np.cumsum(size, dtype=np.int64)
+    begin = ends - size
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    data[begin] = values.view(np.uint8)[0::4]
+    for k in range(1, int(size.max(initial=0))):
+        long = np.flatnonzero(size > k)
+        data[begin[long] + k] = values[long] >> 8 * k & 0xFF
+    return control.tobytes(), data.tobytes()
 
 
 def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` numbers that ``encode_ranks`` was given."""
     size = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    out = np.zeros((n, 4), np.uint8)
-    out[np.arange(4) < size[:, None]] = np.frombuffer(data, np.uint8)
-    return out.view("<u4").reshape(-1)
+    raw = np.frombuffer(data, np.uint8)
+    begin = np.cumsum(size, dtype=np.int64) - size
+    out = raw[begin].astype("<u4")
+    for k in range(1, int(size.max(initial=0))):
+        long = np.flatnonzero(size > k)
+        out[long] |= raw[begin[long] + k].astype("<u4") << 8 * k
+    return out
 
 
 def rank_table(counts: np.ndarray) -> np.ndarray:
@@ -67,12 +77,12 @@ def rank_table(counts: np.ndarray) -> np.ndarray:
 
 def _tokenize(docs: DataFrame, id_col: str, text: str, vocabulary: str, end_id: int) -> DataFrame:
     small_batches(docs.sparkSession)
-    slim = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).cast("binary").alias("body"))
+    slim = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).cast("string").alias("body"))
 
     def run(batches):
         encoder, end = encoder_for(vocabulary), end_id.to_bytes(2, "little")
         for batch in batches:
-            ids = [x + end for x in encoder.encode(batch.column(1).to_pylist())]
+            ids = [x + end for x in encoder.encode(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc", "ids"])
 
     return slim.mapInArrow(run, "doc long, ids binary")

@@ -40,7 +40,7 @@ def pack(docs: DataFrame, text: str = "text", id_col: str = "doc_id", vocabulary
         raise ValueError("the longest sequence must be a power of two")
     small_batches(docs.sparkSession)
     vocabulary = vocabulary or default_vocabulary()
-    slim = docs.select(F.col(id_col).alias("__sl_id"), F.col(text).cast("binary").alias("__sl_text"))
+    slim = docs.select(F.col(id_col).alias("__sl_id"), F.col(text).cast("string").alias("__sl_text"))
     id_type = slim.schema[0].dataType.simpleString()
 
     def run(batches):
@@ -54,7 +54,7 @@ def pack(docs: DataFrame, text: str = "text", id_col: str = "doc_id", vocabulary
         for batch in batches:
             ids = batch.column(0)
             owner, start, length, crc, total, raw = [], [], [], [], [], []
-            for i, body in enumerate(encoder.encode(batch.column(1).to_pylist())):
+            for i, body in enumerate(encoder.encode(batch.column(1))):
                 body += end
                 n, at = len(body) // 2, 0
                 wide = np.frombuffer(body, "<u2").astype("<u4").tobytes()
