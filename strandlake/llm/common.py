@@ -64,6 +64,17 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+_SCANS = {"Relation", "LogicalRDD", "LocalRelation", "Project", "Filter"}
+
+
+def stable(df: DataFrame) -> DataFrame:
+    """``df`` itself where it is a plain scan, whose rows keep their numbers
+    from one evaluation to the next; else a written copy of it."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    steps = {line.lstrip(" :+-").split(" ")[0].split("[")[0] for line in plan.splitlines() if line.strip()}
+    return df if steps <= _SCANS else materialize(df, "stable")
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of whole texts must stay small whatever their length."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, materialize, small_batches, with_row_id, without_rows
+from .common import ROW, materialize, small_batches, stable, with_row_id, without_rows
 
 WINDOW = 10
 BLOCK_BYTES = 1 << 20
@@ -286,6 +286,7 @@ def _search_block(index: DataFrame, phrases: Phrases, counts: np.ndarray, window
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a benchmark window."""
+    docs = stable(docs)
     found = search(with_row_id(docs), benchmark, text)
     return without_rows(docs, found.where(F.size("spans") > 0).select(ROW))
 

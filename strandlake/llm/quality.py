@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, materialize, small_batches, with_row_id, without_rows
+from .common import ROW, materialize, small_batches, stable, with_row_id, without_rows
 
 TRAIN_ROWS = 4000
 DIMS = 2048
@@ -249,6 +249,7 @@ def score(docs: DataFrame, model: QualityModel, text: str = "text", keep: tuple[
 
 def keep_good(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS, threshold: float = 0.3) -> DataFrame:
     """``docs`` without the documents that the classifier rejects."""
+    docs = stable(docs)
     model = fit(docs, text, train_rows)
     bad = materialize(score(with_row_id(docs), model, text, (ROW,), threshold).where("not good").select(ROW), "rejected")
     return without_rows(docs, bad)

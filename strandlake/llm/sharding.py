@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stable
+
 RANGES_PER_SHARD = 64
 SAMPLES_PER_RANGE = 32
 ROUNDS = 6
@@ -119,6 +121,7 @@ def shard(docs: DataFrame, shards: int = 24, group: str = "text", size: Column |
     """
     own = ("__sl_key", "__sl_line", "__sl_size", "__sl_range", "__sl_piece")
     weight = size if size is not None else F.coalesce(F.octet_length(F.col(group)), F.lit(0)).cast("long") + 8
+    docs = stable(docs)
     rows = docs.select("*", F.xxhash64(F.col(group)).alias(own[0]), F.monotonically_increasing_id().alias(own[1]), weight.alias(own[2]))
     plan = plan_shards(rows.select(F.col(own[0]).alias("key"), F.col(own[1]).alias("row"), F.col(own[2]).alias("size")), shards)
     spark = docs.sparkSession

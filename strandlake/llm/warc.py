@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, shared_fs, small_batches
+from .common import materialize, shared_fs, small_batches, stable
 
 FRAME_BYTES = 256 << 10
 FILE_BYTES = 64 << 20
@@ -150,6 +150,7 @@ def read_one(file: str, frame_start: int, frame_size: int, record_start: int, re
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url: str = "url", payload: str = "html", min_bytes: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write ``pages`` to bundles under ``path``; returns the record index."""
     small_batches(pages.sparkSession, 500)
+    pages = stable(pages)
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(id_col).cast("long").alias("page"), F.monotonically_increasing_id().alias("row"), F.col(url).cast("string").alias("url"), body.alias("body"))
     keyed = rows.withColumn("sha", F.sha1("body"))
