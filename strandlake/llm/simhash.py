@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, materialize, small_batches, with_row_id, without_rows
+from .common import ROW, materialize, small_batches, stable, with_row_id, without_rows
 from .components import connected_components
 
 TILE = 256
@@ -104,18 +104,16 @@ def _hook(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         np.minimum.at(label, np.maximum(ra, rb), np.minimum(ra, rb))
 
 
-def link_cell(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning forest, as (node, root) positions in left + right, of the pairs
-    within ``radius`` between the sides (of one side where ``right`` is None)."""
-    whole = left if right is None else np.concatenate([left, right])
-    label = np.arange(len(whole))
+def near_pairs(left: np.ndarray, right: np.ndarray | None, radius: int):
+    """``(i, j, distance)`` arrays of all pairs within ``radius`` between the
+    sides (of one side where ``right`` is None), as positions in left + right,
+    tile by tile. Pairs of one side may come in both orders."""
     if len(left) == 0 or (right is not None and len(right) == 0):
-        return label[:0], label[:0]
+        return
     lo, lcut, lmin, lmax, ltmin, ltmax = _tiles(left)
     ro, rcut, rmin, rmax, rtmin, rtmax = (lo, lcut, lmin, lmax, ltmin, ltmax) if right is None else _tiles(right)
     lv = left[lo]
     rv = lv if right is None else right[ro]
-    lpos = lo
     rpos = lo if right is None else ro + len(left)
     for t in range(len(lcut)):
         gap = np.maximum(0, np.maximum(lmin[t] - rmax, rmin - lmax[t])).sum(axis=1)
@@ -127,26 +125,76 @@ def link_cell(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[
         for group in range(0, len(near), 8):
             cols = np.concatenate([np.arange(rcut[x], min(rcut[x] + TILE, len(rv))) for x in near[group : group + 8]])
             distance = np.bitwise_count(mine[:, None, 0] ^ rv[None, cols, 0])
-            for w in range(1, whole.shape[1]):
+            for w in range(1, left.shape[1]):
                 distance = distance + np.bitwise_count(mine[:, None, w] ^ rv[None, cols, w])
             i, j = np.nonzero(distance <= radius)
             if len(i):
-                _hook(label, lpos[lcut[t] + i], rpos[cols[j]])
+                yield lo[lcut[t] + i], rpos[cols[j]], distance[i, j]
+
+
+def _settled(label: np.ndarray) -> np.ndarray:
     while True:
         deeper = label[label]
         if (deeper == label).all():
-            break
+            return label
         label = deeper
+
+
+def link_cell(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest, as (node, root) positions in left + right, of the pairs
+    within ``radius``."""
+    label = np.arange(len(left) + (0 if right is None else len(right)))
+    for i, j, _ in near_pairs(left, right, radius):
+        _hook(label, i, j)
+    label = _settled(label)
     linked = np.flatnonzero(label != np.arange(len(label)))
     return linked, label[linked]
 
 
-def link_fingerprints(distinct: DataFrame, radius: int, bits: int) -> DataFrame:
-    """``node, root`` for the linked ones of ``distinct`` (columns node long, fp
-    binary, one row per fingerprint), by the grid of cells."""
+def closest_in_cell(left: np.ndarray, right: np.ndarray | None, radius: int, sure: int, k: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(a, b, sure)``: a spanning forest of the pairs within ``sure``, and for
+    every node its ``k`` closest ones beyond that and within ``radius``."""
+    label = np.arange(len(left) + (0 if right is None else len(right)))
+    best = [np.zeros(0, np.int64)] * 3
+    held: list[tuple] = []
+    waiting = 0
+
+    def fold():
+        node, other, far = (np.concatenate([b, *(h[c] for h in held)]) for c, b in enumerate(best))
+        order = np.lexsort((other, far, node))
+        node, other, far = node[order], other[order], far[order]
+        fresh = np.ones(len(node), bool)
+        fresh[1:] = (node[1:] != node[:-1]) | (other[1:] != other[:-1]) | (far[1:] != far[:-1])
+        node, other, far = node[fresh], other[fresh], far[fresh]
+        starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else np.zeros(0, np.int64)
+        place = np.arange(len(node)) - np.repeat(starts, np.diff(np.r_[starts, len(node)]))
+        top = place < k
+        return [node[top], other[top], far[top]]
+
+    for i, j, d in near_pairs(left, right, radius):
+        close = d <= sure
+        _hook(label, i[close], j[close])
+        i, j, d = i[~close], j[~close], d[~close].astype(np.int64)
+        held.append((np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([d, d])))
+        waiting += len(i)
+        if waiting > 500_000:
+            best, held, waiting = fold(), [], 0
+    best = fold()
+    label = _settled(label)
+    apart = label[best[0]] != label[best[1]]
+    a, b = np.minimum(best[0], best[1])[apart], np.maximum(best[0], best[1])[apart]
+    a, b = np.unique(np.stack([a, b]), axis=1) if len(a) else (a, b)
+    linked = np.flatnonzero(label != np.arange(len(label)))
+    return np.concatenate([linked, a]), np.concatenate([label[linked], b]), np.arange(len(linked) + len(a)) < len(linked)
+
+
+def cell_links(distinct: DataFrame, bits: int, link) -> DataFrame:
+    """``a, b, sure`` over all pairs of cells of a grid: ``distinct`` has node
+    long and fp binary, one row per fingerprint; ``link`` gets the two sides of
+    a cell (the second None on the diagonal)."""
     n = distinct.count()
     side = max(4, math.ceil(n / BLOCK))
-    width = bits // 8
+    width = bits // 64
     cells = (
         distinct.withColumn("mine", F.pmod(F.xxhash64("node"), F.lit(side)).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(side - 1))))
@@ -155,47 +203,102 @@ def link_fingerprints(distinct: DataFrame, radius: int, bits: int) -> DataFrame:
 
     def compare(key, table):
         i, j = (k.as_py() for k in key)
-        mine = table.column("mine").to_numpy()
         nodes = table.column("node").to_numpy()
-        fps = np.frombuffer(b"".join(table.column("fp").to_pylist()), ">u8").astype(np.uint64).reshape(-1, width // 8)
-        first = mine == i
-        if i == j:
-            order, node, root = nodes, *link_cell(fps, None, radius)
-        else:
-            order = np.concatenate([nodes[first], nodes[~first]])
-            node, root = link_cell(fps[first], fps[~first], radius)
-        return pa.table({"a": order[node], "b": order[root]})
+        fps = np.frombuffer(b"".join(table.column("fp").to_pylist()), ">u8").astype(np.uint64).reshape(-1, width)
+        first = table.column("mine").to_numpy() == i
+        order = nodes if i == j else np.concatenate([nodes[first], nodes[~first]])
+        a, b, sure = link(fps, None) if i == j else link(fps[first], fps[~first])
+        return pa.table({"a": order[a], "b": order[b], "sure": sure})
 
-    edges = cells.repartition(side * (side + 1) // 2, "i", "j").groupBy("i", "j").applyInArrow(compare, "a long, b long")
-    return connected_components(edges)
+    return cells.repartition(side * (side + 1) // 2, "i", "j").groupBy("i", "j").applyInArrow(compare, "a long, b long, sure boolean")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 4, bits: int = 64, radius: int = 4, keep_row: bool = False) -> DataFrame:
+def link_fingerprints(distinct: DataFrame, radius: int, bits: int) -> DataFrame:
+    """``node, root`` of the fingerprints linked within ``radius``."""
+
+    def link(left, right):
+        node, root = link_cell(left, right, radius)
+        return node, root, np.ones(len(node), bool)
+
+    return connected_components(cell_links(distinct, bits, link).select("a", "b"))
+
+
+def link_similar(distinct: DataFrame, radius: int, bits: int, texts: DataFrame, words: int, similarity: float, sure: int = 6) -> DataFrame:
+    """``node, root`` where shingle sets have at least ``similarity`` (Jaccard).
+    Fingerprints within ``sure`` bits count as similar; beyond, each one's
+    closest candidates within ``radius`` in every cell are compared exactly.
+    ``distinct`` also has ``at``, the row of one document per fingerprint;
+    ``texts``: ROW, body."""
+    found = materialize(cell_links(distinct.select("node", "fp"), bits, lambda left, right: closest_in_cell(left, right, radius, sure)), "candidates")
+    pairs = found.where("NOT sure").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+    def shingle_sets(batches):
+        import xxhash
+
+        for batch in batches:
+            out = []
+            for text in batch.column(1).to_pylist():
+                tokens = (text or b"").lower().split()
+                k = min(words, len(tokens))
+                made = {xxhash.xxh64_intdigest(b" ".join(tokens[i : i + k])) for i in range(len(tokens) - k + 1)} if tokens else ()
+                out.append(np.sort(np.fromiter(made, np.uint64, len(made))).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["node", "shingles"])
+
+    wanted = materialize(distinct.join(needed, "node", "left_semi").select("node", F.col("at").alias(ROW)), "wanted")
+    sets = materialize(texts.join(wanted, ROW).select("node", "body").mapInArrow(shingle_sets, "node long, shingles binary"), "shingles")
+    joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+
+    def verify(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                keep.append(both >= similarity * (len(p) + len(q) - both))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+
+    similar = joined.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long")
+    return connected_components(found.where("sure").select("a", "b").unionByName(similar))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 4, bits: int = 64, radius: int = 4, keep_row: bool = False, similarity: float | None = None) -> DataFrame:
     """One row per document: ``id_col``, ``fp`` and ``component_id``, the
-    smallest id reachable over links of at most ``radius`` differing bits.
+    smallest id reachable over links. Fingerprints link within ``radius``
+    differing bits; with ``similarity``, the radius makes candidates, whose
+    shingle sets are then compared (see ``link_similar``).
 
     With ``bits=128`` nodes are named by a 64-bit hash of the fingerprint.
     """
-    keep = (id_col, ROW) if keep_row else (id_col,)
-    rows = materialize(fingerprint(with_row_id(docs) if keep_row else docs, text, keep, words, bits).select(F.col(id_col).alias("__sl_id"), *([ROW] if keep_row else []), "fp"), "fingerprints")
+    rowed = keep_row or similarity is not None
+    keep = (id_col, ROW) if rowed else (id_col,)
+    rows = materialize(fingerprint(with_row_id(docs) if rowed else docs, text, keep, words, bits).select(F.col(id_col).alias("__sl_id"), *([ROW] if rowed else []), "fp"), "fingerprints")
     number = F.conv(F.hex("fp"), 16, -10).cast("long") if bits == 64 else F.xxhash64("fp")
     rows = rows.withColumn("node", number)
-    distinct = materialize(rows.groupBy("node").agg(F.first("fp").alias("fp"), F.min("__sl_id").alias("least")), "distinct")
-    roots = materialize(link_fingerprints(distinct.select("node", "fp"), radius, bits), "roots")
+    first_row = [F.min(ROW).alias("at")] if rowed else []
+    distinct = materialize(rows.groupBy("node").agg(F.first("fp").alias("fp"), F.min("__sl_id").alias("least"), *first_row), "distinct")
+    if similarity is None:
+        linked = link_fingerprints(distinct.select("node", "fp"), radius, bits)
+    else:
+        texts = with_row_id(docs).select(ROW, F.col(text).cast("binary").alias("body"))
+        linked = link_similar(distinct, radius, bits, texts, words, similarity)
+    roots = materialize(linked, "roots")
     grouped = roots.join(distinct, "node")
     best = materialize(grouped.groupBy("root").agg(F.min("least").alias("component")), "best")
-    linked = roots.join(best, "root").select("node", "component")
-    named = materialize(distinct.join(linked, "node", "left").select("node", F.coalesce("component", "least").alias("component_id")), "named")
+    reached = roots.join(best, "root").select("node", "component")
+    named = materialize(distinct.join(reached, "node", "left").select("node", F.coalesce("component", "least").alias("component_id")), "named")
     return rows.join(named, "node").select(F.col("__sl_id").alias(id_col), *([ROW] if keep_row else []), "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, bits: int = 128, radius: int = 22) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, bits: int = 128, radius: int = 28, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id
-    (ties: the first in the input). Radius 22 of 128 bits admits pairs whose
-    five-word shingles have a Jaccard similarity of 0.8: expected distance
-    128 * acos(2 * 0.8 / 1.8) / pi = 19.4 bits.
+    (ties: the first in the input). At a Jaccard similarity of 0.8 two
+    fingerprints of 128 bits differ in 128 * acos(2 * 0.8 / 1.8) / pi = 19.4
+    bits on average, with a deviation of 4; radius 28 leaves out next to none.
     """
-    rows = near_duplicates(docs, id_col, text, words, bits, radius, keep_row=True)
+    docs = stable(docs)
+    rows = near_duplicates(docs, id_col, text, words, bits, radius, keep_row=True, similarity=similarity)
     rows = materialize(rows.select(ROW, F.col(id_col).alias("id"), F.col("component_id").alias("c")), "members")
     first = materialize(rows.where(F.col("id").eqNullSafe(F.col("c"))).groupBy("c").agg(F.min(ROW).alias("first")), "first")
     lost = rows.join(first, rows["c"].eqNullSafe(first["c"])).where(F.col(ROW) != F.col("first")).select(ROW)
