@@ -60,19 +60,27 @@ def path_of(url: Column) -> Column:
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The small labelled table: ``url, label`` (1: unwanted), each pair of
-    words in several hosts and paths."""
+    """The small labelled table: ``url, label`` (1: unwanted), each name and
+    each of its longer words in several hosts, with the same affixes for
+    both classes, and hosts of meaningless syllables."""
     rows = []
     for label, names in ((1.0, UNWANTED), (0.0, WANTED)):
         for i, name in enumerate(names):
-            for j, (front, joint, end) in enumerate((("", "-", ".com"), ("www.", "", ".net"), ("blog.", "-", ".org"), ("m.", "-", ".example.net"), ("", "", ".example.com"), ("www.", "-", ".example.org"))):
+            for j in range(16):
+                front, joint = ("", "www.", "blog.", "m.")[j % 4], ("-", "")[j // 4 % 2]
+                end = (".com", ".example.com", ".net", ".example.net", ".org", ".example.org", ".info")[(i + 3 * j) % 7]
                 host = f"{front}{name.replace(' ', joint)}{end}"
                 path = ("/", "/en/", "/de/", "/fr/", "/es/", "/index.html")[(i + j) % 6]
                 rows.append((f"https://{host}{path}{(37 * i + 11 * j) % 1000}", label))
-                if label:
-                    rows.append((f"https://site{i}.example.net/{name.replace(' ', '-')}/{j}", label))
-                else:
-                    rows.append((f"https://{name.replace(' ', '')}{i}th{j}.example.{('com', 'net', 'org')[j % 3]}/{('en', 'de', 'fr', 'es')[j % 4]}/{i}{j}", label))
+                if j < 4:
+                    rows.append((f"https://site{i}.example.{('com', 'net', 'org')[j % 3]}/{name.replace(' ', '-')}/{j}", label))
+            for j, word in enumerate(w for w in name.split() if len(w) > 3):
+                for k, host in enumerate((f"best-{word}", f"my{word}", f"{word}24", f"{word}-online", f"the{word}", f"new-{word}s")):
+                    rows.append((f"http://{('', 'www.', 'blog.', 'm.')[(i + k) % 4]}{host}.{('com', 'net', 'org', 'info', 'biz')[(i + j + k) % 5]}/{('en', 'de', 'fr', 'es')[(j + k) % 4]}/{17 * i + k}", label))
+    parts = ("ba", "ne", "ri", "to", "lu", "sha", "ter", "on", "mi", "sen", "gra", "vel")
+    for i in range(400):  # names without a meaning are not unwanted
+        name = parts[i % 12] + parts[i // 12 % 12] + parts[(i * 7 + i // 5) % 12]
+        rows.append((f"http://{('', 'www.', 'blog.', 'm.')[i % 4]}{name}.{('example.com', 'example.net', 'example.org', 'com', 'net', 'info', 'biz')[i % 7]}/{('en', 'de', 'fr', 'es')[i % 4]}/{13 * i}{('', '.html', '/')[i % 3]}", 0.0))
     return spark.createDataFrame(rows, "url string, label double")
 
 
