@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import I32_MAX, THRESHOLDS
-from ..functions.columns import canonical_contig, is_standard_contig, percent, site_name
+from ..functions.columns import canonical_contig, is_standard_contig, percent, priority_of, site_name
 from ..operators import align as al
 from ..operators import annotate as an
 from ..operators import downstream as ds
@@ -20,6 +20,7 @@ from ..sinks.report import annotation_table, coverage_report
 from ..sinks.store import row_data_table
 from ..sources import coverage as co
 from ..sources import fasta as fa
+from ..sources import gtf as gt
 from .projection import LINES, SEQUENCES, Projection, oracle_views
 
 MIN_COVERAGE = 5
@@ -64,6 +65,20 @@ def cpg_extract(spark, sf_dir):
     return found.select("contig_idx", "contig", F.col("start").alias("start0"))
 
 
+def cpg_scan(spark, sf_dir):
+    found = fa.scan_cpgs(Projection(spark, sf_dir).sequences())
+    return found.select("contig_idx", "contig", F.col("start").alias("start0"), "nth")
+
+
+def gtf_parse(spark, sf_dir):
+    rows = gt.parse_gtf(Projection(spark, sf_dir).gtf_lines())
+    return rows.withColumnsRenamed({"start": "start0", "end": "end0"})
+
+
+def annotation_regions(spark, sf_dir):
+    return Run(spark, sf_dir).annotation().groupBy("annotation").agg(F.count("*").alias("n"), F.min(priority_of(F.col("annotation"))).alias("priority"))
+
+
 def contig_canonical(spark, sf_dir):
     seen = Projection(spark, sf_dir).observations().select("shown").distinct()
     return seen.select("shown", canonical_contig(F.col("shown")).alias("contig_key"))
@@ -301,7 +316,7 @@ def report_percent(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        cpg_extract, contig_canonical, contig_lengths, standard_contigs, record_validation, coverage_parse, duplicate_records, align_exact_shift,
+        cpg_extract, cpg_scan, gtf_parse, annotation_regions, contig_canonical, contig_lengths, standard_contigs, record_validation, coverage_parse, duplicate_records, align_exact_shift,
         match_totals, unmatched_contigs, duplicate_sites, assay_long, assay_min_cov, dense_cells, beta_matrix_wide, cov_matrix_wide, remove_uncovered,
         coverage_filter, coverage_stats, coverage_report_table, coverage_distribution, gtf_transcripts, exon_ranks, introns, promoters_downstream,
         feature_intervals, feature_bins, annotate_overlap, nearest_tss, annotate_full, annotation_tsv, annotation_summary, annotation_report, stored_rows,
@@ -395,6 +410,13 @@ _SPLIT = "string_split(value, chr(9))"
 
 ORACLES = {
     "cpg_extract": f"WITH s AS ({SEQUENCES}) SELECT contig_idx, contig, CAST(i - 1 AS BIGINT) AS start0 FROM (SELECT *, unnest(range(1, length(seq))) AS i FROM s) x WHERE substr(seq, i, 2) = 'CG'",
+    "cpg_scan": f"WITH s AS ({SEQUENCES}) SELECT contig_idx, contig, CAST(i - 1 AS BIGINT) AS start0, row_number() OVER (PARTITION BY contig_idx, seq ORDER BY i) - 1 AS nth FROM (SELECT *, unnest(range(1, length(seq))) AS i FROM s) x WHERE substr(seq, i, 2) = 'CG'",
+    "gtf_parse": """
+        SELECT concat('chr', CAST(s_suppkey % 22 + 1 AS VARCHAR)) AS seqname, 'exon' AS feature, s_suppkey * 10 AS start0, s_suppkey * 10 + 100 AS end0,
+               CASE WHEN s_nationkey % 2 = 0 THEN '-' ELSE '+' END AS strand, concat(CASE WHEN s_suppkey % 7 = 4 THEN 'g' ELSE 'tx' END, CAST(s_suppkey AS VARCHAR)) AS transcript_id,
+               concat('g', CAST(s_suppkey AS VARCHAR)) AS gene_id, concat(CASE WHEN s_suppkey % 7 = 4 THEN 'g' ELSE 'N ' END, CAST(s_suppkey AS VARCHAR)) AS gene_symbol, s_suppkey AS line_no
+        FROM supplier WHERE s_suppkey % 7 NOT IN (1, 2, 3, 5)""",
+    "annotation_regions": _with("SELECT annotation, count(*) AS n, CASE annotation WHEN 'Promoter' THEN 1 WHEN '5'' UTR' THEN 2 WHEN '3'' UTR' THEN 3 WHEN 'Exon' THEN 4 WHEN 'Intron' THEN 5 WHEN 'Downstream' THEN 6 ELSE 7 END AS priority FROM annotation GROUP BY annotation", *_ANN),
     "contig_canonical": _with("SELECT DISTINCT shown, contig_key FROM observations"),
     "contig_lengths": f"WITH s AS ({SEQUENCES}) SELECT contig, CAST(sum(length(seq)) AS BIGINT) AS bases, count(*) AS n FROM s GROUP BY contig",
     "standard_contigs": f"WITH s AS ({SEQUENCES}) SELECT DISTINCT contig, CAST(substr(contig, 4) AS INT) BETWEEN 1 AND 22 AS standard FROM s",

@@ -86,6 +86,23 @@ FROM (SELECT l_orderkey, l_linenumber, l_suppkey, concat('chr', CAST(l_partkey %
              CASE WHEN l_linenumber % 2 = 0 THEN '0' ELSE CAST(CAST(l_quantity AS BIGINT) AS STRING) END AS u FROM lineitem) x
 """
 
+#: Lines of a gene model; some break a rule and are to be skipped.
+GTF_LINES = """
+SELECT s_suppkey AS line_no, CASE
+         WHEN s_suppkey % 7 = 1 THEN concat('# ', lead, tail)
+         WHEN s_suppkey % 7 = 2 THEN concat(lead, chr(9), 'gene_id "short"')
+         WHEN s_suppkey % 7 = 3 THEN concat(head, '500', chr(9), '400', tail, full_attrs)
+         WHEN s_suppkey % 7 = 4 THEN concat(lead, tail, 'gene_id "', gene_id, '"; note "x";')
+         WHEN s_suppkey % 7 = 5 THEN concat(lead, tail, 'gene_id "', gene_id, '"; transcript_id "";')
+         ELSE concat(lead, tail, full_attrs) END AS value
+FROM (SELECT s_suppkey, concat('g', CAST(s_suppkey AS STRING)) AS gene_id,
+             concat('chr', CAST(s_suppkey % 22 + 1 AS STRING), chr(9), 'src', chr(9), 'Exon', chr(9)) AS head,
+             concat('chr', CAST(s_suppkey % 22 + 1 AS STRING), chr(9), 'src', chr(9), 'Exon', chr(9), CAST(s_suppkey * 10 + 1 AS STRING), chr(9), CAST(s_suppkey * 10 + 100 AS STRING)) AS lead,
+             concat(chr(9), '.', chr(9), CASE WHEN s_nationkey % 2 = 0 THEN '-' ELSE '+' END, chr(9), '.', chr(9)) AS tail,
+             concat('gene_id "old"; transcript_id "tx', CAST(s_suppkey AS STRING), '" ; gene_name "N ', CAST(s_suppkey AS STRING), '"; gene_id "g', CAST(s_suppkey AS STRING), '";') AS full_attrs
+      FROM supplier) x
+"""
+
 TABLES = ("part", "lineitem", "supplier", "documents")
 
 
@@ -129,6 +146,9 @@ class Projection:
     def sequences(self) -> DataFrame:
         return self.sql(SEQUENCES)
 
+    def gtf_lines(self) -> DataFrame:
+        return self.sql(GTF_LINES)
+
     def lines(self) -> DataFrame:
         return self.sql(LINES)
 
