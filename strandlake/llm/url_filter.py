@@ -77,9 +77,9 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
             for j, word in enumerate(w for w in name.split() if len(w) > 3):
                 for k, host in enumerate((f"best-{word}", f"my{word}", f"{word}24", f"{word}-online", f"the{word}", f"new-{word}s")):
                     rows.append((f"http://{('', 'www.', 'blog.', 'm.')[(i + k) % 4]}{host}.{('com', 'net', 'org', 'info', 'biz')[(i + j + k) % 5]}/{('en', 'de', 'fr', 'es')[(j + k) % 4]}/{17 * i + k}", label))
-    parts = ("ba", "ne", "ri", "to", "lu", "sha", "ter", "on", "mi", "sen", "gra", "vel")
-    for i in range(400):  # names without a meaning are not unwanted
-        name = parts[i % 12] + parts[i // 12 % 12] + parts[(i * 7 + i // 5) % 12]
+    parts = ("ba", "ne", "ri", "to", "lu", "sha", "ther", "on", "mi", "sen", "gra", "vel", "st", "ed", "wh", "an", "ing", "ou")
+    for i in range(900):  # names without a meaning are not unwanted
+        name = parts[i % 18] + parts[i // 18 % 18] + parts[(i * 7 + i // 5) % 18] * (i % 3 > 0)
         rows.append((f"http://{('', 'www.', 'blog.', 'm.')[i % 4]}{name}.{('example.com', 'example.net', 'example.org', 'com', 'net', 'info', 'biz')[i % 7]}/{('en', 'de', 'fr', 'es')[i % 4]}/{13 * i}{('', '.html', '/')[i % 3]}", 0.0))
     return spark.createDataFrame(rows, "url string, label double")
 
