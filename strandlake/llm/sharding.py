@@ -117,7 +117,8 @@ def shard(docs: DataFrame, shards: int = 24, group: str = "text", size: Column |
     """``docs`` with ``shard`` and ``slot`` (gapless from 0 in each shard).
 
     ``size`` is what is to be near equal (default: UTF-8 bytes of ``group``
-    plus 8); rows with an equal ``group`` column stay together.
+    plus 8); rows with an equal ``group`` column stay together. Columns of
+    these names that ``docs`` has are replaced.
     """
     own = ("__sl_key", "__sl_line", "__sl_size", "__sl_range", "__sl_piece")
     weight = size if size is not None else F.coalesce(F.octet_length(F.col(group)), F.lit(0)).cast("long") + 8
@@ -125,12 +126,13 @@ def shard(docs: DataFrame, shards: int = 24, group: str = "text", size: Column |
     rows = docs.select("*", F.xxhash64(F.col(group)).alias(own[0]), F.monotonically_increasing_id().alias(own[1]), weight.alias(own[2]))
     plan = plan_shards(rows.select(F.col(own[0]).alias("key"), F.col(own[1]).alias("row"), F.col(own[2]).alias("size")), shards)
     spark = docs.sparkSession
-    places = spark.createDataFrame(plan.placed, "__sl_range int, __sl_piece int, shard int, __sl_base long")
+    places = spark.createDataFrame(plan.placed, "__sl_range int, __sl_piece int, __sl_shard int, __sl_base long")
     dealt = rows.withColumn(own[3], _range_of(plan.cuts)(own[0])).withColumn(own[4], _piece(plan.pieces, F.col(own[3]), F.col(own[1])))
     # a piece is bounded by the plan, so numbering it in one task is, too
     numbered = dealt.selectExpr("*", f"row_number() OVER (PARTITION BY {own[3]}, {own[4]} ORDER BY {own[0]}, `{id_col}`, {own[1]}) - 1 AS __sl_n")
     joined = numbered.join(F.broadcast(places), ["__sl_range", "__sl_piece"])  # one row per piece: bounded by the plan
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], "shard", (F.col("__sl_base") + F.col("__sl_n")).alias("slot"))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")]
+    return joined.select(*kept, F.col("__sl_shard").alias("shard"), (F.col("__sl_base") + F.col("__sl_n")).alias("slot"))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 24, group: str = "text") -> None:

@@ -25,7 +25,7 @@ def sizes(rows, n):
 def test_near_equal_and_groups_together(spark, docs_of):
     rng = random.Random(1)
     rows = [(i, "x" * rng.randrange(1, 2000)) for i in range(3000)] + [(5000 + i, "copied text") for i in range(300)]
-    got = shard(docs_of(rows).drop("shard"), 8).collect()
+    got = shard(docs_of(rows), 8).collect()
     check(got, 8)
     assert len(got) == len(rows)
     parts = sizes(got, 8)
@@ -38,7 +38,7 @@ def test_near_equal_and_groups_together(spark, docs_of):
 
 def test_hot_group_is_cut(spark, docs_of):
     rows = [(i, "hot " * 50) for i in range(2000)] + [(9000 + i, f"cold {i} " * 20) for i in range(2000)]
-    got = shard(docs_of(rows).drop("shard"), 8).collect()
+    got = shard(docs_of(rows), 8).collect()
     check(got, 8)
     parts = sizes(got, 8)
     assert max(parts) < 1.1 * sum(parts) / 8
@@ -46,9 +46,9 @@ def test_hot_group_is_cut(spark, docs_of):
 
 @pytest.mark.parametrize("n", [1, 3])
 def test_edges(spark, edge_docs, no_docs, tmp_path, n):
-    got = shard(edge_docs.drop("shard"), n).collect()
+    got = shard(edge_docs, n).collect()
     check(got, n)
     assert len(got) == len(EDGES)
-    assert shard(no_docs.drop("shard"), n).count() == 0
-    write_shards(edge_docs.drop("shard"), str(tmp_path / "s"), n)
+    assert shard(no_docs, n).count() == 0
+    write_shards(edge_docs, str(tmp_path / "s"), n)
     assert spark.read.parquet(str(tmp_path / "s")).count() == len(EDGES)
