@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, materialize, small_batches, stable, with_row_id, without_rows
+from .common import ROW, discard, materialize, small_batches, stable, with_row_id, without_rows
 from .components import connected_components
 
 TILE = 256
@@ -260,7 +260,10 @@ def link_similar(distinct: DataFrame, radius: int, bits: int, texts: DataFrame,
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
     similar = joined.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long")
-    return connected_components(found.where("sure").select("a", "b").unionByName(similar))
+    roots = materialize(connected_components(found.where("sure").select("a", "b").unionByName(similar)), "similar")
+    for table in (found, wanted, sets):
+        discard(table)
+    return roots
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 4, bits: int = 64, radius: int = 4, keep_row: bool = False, similarity: float | None = None) -> DataFrame:
@@ -279,15 +282,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     first_row = [F.min(ROW).alias("at")] if rowed else []
     distinct = materialize(rows.groupBy("node").agg(F.first("fp").alias("fp"), F.min("__sl_id").alias("least"), *first_row), "distinct")
     if similarity is None:
-        linked = link_fingerprints(distinct.select("node", "fp"), radius, bits)
+        roots = materialize(link_fingerprints(distinct.select("node", "fp"), radius, bits), "roots")
     else:
         texts = with_row_id(docs).select(ROW, F.col(text).cast("binary").alias("body"))
-        linked = link_similar(distinct, radius, bits, texts, words, similarity)
-    roots = materialize(linked, "roots")
+        roots = link_similar(distinct, radius, bits, texts, words, similarity)
     grouped = roots.join(distinct, "node")
     best = materialize(grouped.groupBy("root").agg(F.min("least").alias("component")), "best")
     reached = roots.join(best, "root").select("node", "component")
     named = materialize(distinct.join(reached, "node", "left").select("node", F.coalesce("component", "least").alias("component_id")), "named")
+    for table in (distinct, roots, best):
+        discard(table)
     return rows.join(named, "node").select(F.col("__sl_id").alias(id_col), *([ROW] if keep_row else []), "fp", "component_id")
 
 
