@@ -27,6 +27,7 @@ from .components import connected_components
 
 TILE = 256
 BLOCK = 131_072
+GROUP_BLOCK = 512
 
 
 def _bits(hashes: np.ndarray) -> np.ndarray:
@@ -151,47 +152,39 @@ def link_cell(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[
     return linked, label[linked]
 
 
-def closest_in_cell(left: np.ndarray, right: np.ndarray | None, radius: int, sure: int, k: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(a, b, sure)``: a spanning forest of the pairs within ``sure``, and for
-    every node its ``k`` closest ones beyond that and within ``radius``."""
-    label = np.arange(len(left) + (0 if right is None else len(right)))
-    best = [np.zeros(0, np.int64)] * 3
-    held: list[tuple] = []
-    waiting = 0
-
-    def fold():
-        node, other, far = (np.concatenate([b, *(h[c] for h in held)]) for c, b in enumerate(best))
-        order = np.lexsort((other, far, node))
-        node, other, far = node[order], other[order], far[order]
-        fresh = np.ones(len(node), bool)
-        fresh[1:] = (node[1:] != node[:-1]) | (other[1:] != other[:-1]) | (far[1:] != far[:-1])
-        node, other, far = node[fresh], other[fresh], far[fresh]
-        starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else np.zeros(0, np.int64)
-        place = np.arange(len(node)) - np.repeat(starts, np.diff(np.r_[starts, len(node)]))
-        top = place < k
-        return [node[top], other[top], far[top]]
+def similar_in_cell(left: np.ndarray, right: np.ndarray | None, sets: list[np.ndarray], radius: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest, as (node, root), of the pairs within ``radius`` whose
+    ``sets`` (sorted, of left + right) have at least ``similarity``. Closest
+    pairs are compared first; pairs already joined need no comparison."""
+    sizes = np.array([len(x) for x in sets])
+    parent = list(range(len(sets)))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
 
     for i, j, d in near_pairs(left, right, radius):
-        close = d <= sure
-        _hook(label, i[close], j[close])
-        i, j, d = i[~close], j[~close], d[~close].astype(np.int64)
-        held.append((np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([d, d])))
-        waiting += len(i)
-        if waiting > 500_000:
-            best, held, waiting = fold(), [], 0
-    best = fold()
-    label = _settled(label)
-    apart = label[best[0]] != label[best[1]]
-    a, b = np.minimum(best[0], best[1])[apart], np.maximum(best[0], best[1])[apart]
-    a, b = np.unique(np.stack([a, b]), axis=1) if len(a) else (a, b)
-    linked = np.flatnonzero(label != np.arange(len(label)))
-    return np.concatenate([linked, a]), np.concatenate([label[linked], b]), np.arange(len(linked) + len(a)) < len(linked)
+        small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
+        able = (i != j) & (small >= similarity * large)
+        i, j, d = i[able], j[able], d[able]
+        for x in np.argsort(d, kind="stable").tolist():
+            a, b = int(i[x]), int(j[x])
+            ra, rb = find(a), find(b)
+            if ra != rb:
+                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                if both >= similarity * (sizes[a] + sizes[b] - both):
+                    parent[max(ra, rb)] = min(ra, rb)
+    root = np.array([find(x) for x in range(len(sets))], np.int64)
+    linked = np.flatnonzero(root != np.arange(len(root)))
+    return linked, root[linked]
 
 
-def cell_links(distinct: DataFrame, bits: int, link) -> DataFrame:
-    """``a, b, sure`` over all pairs of cells of a grid: ``distinct`` has node
-    long and fp binary, one row per fingerprint; ``link`` gets the two sides of
-    a cell (the second None on the diagonal)."""
+def link_fingerprints(distinct: DataFrame, radius: int, bits: int) -> DataFrame:
+    """``node, root`` of the fingerprints linked within ``radius``, over all
+    pairs of cells of a grid: ``distinct`` has node long and fp binary, one row
+    per fingerprint."""
     n = distinct.count()
     side = max(4, math.ceil(n / BLOCK))
     width = bits // 64
@@ -207,61 +200,68 @@ def cell_links(distinct: DataFrame, bits: int, link) -> DataFrame:
         fps = np.frombuffer(b"".join(table.column("fp").to_pylist()), ">u8").astype(np.uint64).reshape(-1, width)
         first = table.column("mine").to_numpy() == i
         order = nodes if i == j else np.concatenate([nodes[first], nodes[~first]])
-        a, b, sure = link(fps, None) if i == j else link(fps[first], fps[~first])
-        return pa.table({"a": order[a], "b": order[b], "sure": sure})
+        node, root = link_cell(fps, None, radius) if i == j else link_cell(fps[first], fps[~first], radius)
+        return pa.table({"a": order[node], "b": order[root]})
 
-    return cells.repartition(side * (side + 1) // 2, "i", "j").groupBy("i", "j").applyInArrow(compare, "a long, b long, sure boolean")
+    edges = cells.repartition(side * (side + 1) // 2, "i", "j").groupBy("i", "j").applyInArrow(compare, "a long, b long")
+    return connected_components(edges)
 
 
-def link_fingerprints(distinct: DataFrame, radius: int, bits: int) -> DataFrame:
-    """``node, root`` of the fingerprints linked within ``radius``."""
-
-    def link(left, right):
-        node, root = link_cell(left, right, radius)
-        return node, root, np.ones(len(node), bool)
+def shingle_set(text: bytes | None, words: int) -> np.ndarray:
+    """Sorted hashes of the distinct shingles of a whole text."""
+    import xxhash
 
-    return connected_components(cell_links(distinct, bits, link).select("a", "b"))
+    tokens = (text or b"").lower().split()
+    k = min(words, len(tokens))
+    made = {xxhash.xxh64_intdigest(b" ".join(tokens[i : i + k])) for i in range(len(tokens) - k + 1)} if tokens else ()
+    return np.sort(np.fromiter(made, np.uint64, len(made)))
 
 
-def link_similar(distinct: DataFrame, radius: int, bits: int, texts: DataFrame, words: int, similarity: float, sure: int = 6) -> DataFrame:
-    """``node, root`` where shingle sets have at least ``similarity`` (Jaccard).
-    Fingerprints within ``sure`` bits count as similar; beyond, each one's
-    closest candidates within ``radius`` in every cell are compared exactly.
-    ``distinct`` also has ``at``, the row of one document per fingerprint;
-    ``texts``: ROW, body."""
-    found = materialize(cell_links(distinct.select("node", "fp"), bits, lambda left, right: closest_in_cell(left, right, radius, sure)), "candidates")
-    pairs = found.where("NOT sure").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def link_similar(distinct: DataFrame, radius: int, bits: int, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """``node, root`` where shingle sets have at least ``similarity`` (Jaccard),
+    among the fingerprints within ``radius`` bits. ``distinct`` also has ``at``,
+    the row of one document per fingerprint; ``texts``: ROW, body.
 
-    def shingle_sets(batches):
-        import xxhash
+    Groups of candidates are cut into blocks, and every pair of blocks is a
+    cell that compares its candidates exactly and emits a spanning forest.
+    """
+    width = bits // 64
+    groups = materialize(link_fingerprints(distinct.select("node", "fp"), radius, bits), "candidates")
+    wanted = materialize(distinct.join(groups, "node").select("root", "node", "fp", F.col("at").alias(ROW)), "wanted")
 
+    def sets_of(batches):
         for batch in batches:
-            out = []
-            for text in batch.column(1).to_pylist():
-                tokens = (text or b"").lower().split()
-                k = min(words, len(tokens))
-                made = {xxhash.xxh64_intdigest(b" ".join(tokens[i : i + k])) for i in range(len(tokens) - k + 1)} if tokens else ()
-                out.append(np.sort(np.fromiter(made, np.uint64, len(made))).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["node", "shingles"])
-
-    wanted = materialize(distinct.join(needed, "node", "left_semi").select("node", F.col("at").alias(ROW)), "wanted")
-    sets = materialize(texts.join(wanted, ROW).select("node", "body").mapInArrow(shingle_sets, "node long, shingles binary"), "shingles")
-    joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-
-    def verify(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(both >= similarity * (len(p) + len(q) - both))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
-
-    similar = joined.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long")
-    roots = materialize(connected_components(found.where("sure").select("a", "b").unionByName(similar)), "similar")
-    for table in (found, wanted, sets):
+            sets = [shingle_set(t, words).tobytes() for t in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(sets, pa.binary())], names=["root", "node", "fp", "shingles"])
+
+    members = materialize(texts.join(wanted, ROW).select("root", "node", "fp", "body").mapInArrow(sets_of, "root long, node long, fp binary, shingles binary"), "shingles")
+    sizes = materialize(members.groupBy("root").agg(F.ceil(F.count("*") / F.lit(GROUP_BLOCK)).cast("int").alias("blocks")), "blocks")
+    cells = (
+        members.join(sizes, "root")
+        .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("root", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "fp", "shingles")
+    )
+
+    def compare(batches):
+        from .embeddings import groups as sorted_groups
+
+        for (_, i, j), table in sorted_groups(batches, 3):
+            if table.num_rows < 2:
+                continue
+            nodes = table.column("node").to_numpy()
+            fps = np.frombuffer(b"".join(table.column("fp").to_pylist()), ">u8").astype(np.uint64).reshape(-1, width)
+            sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+            mine = table.column("mine").to_numpy()
+            order = np.arange(len(nodes)) if i == j else np.concatenate([np.flatnonzero(mine == i), np.flatnonzero(mine != i)])
+            cut = len(nodes) if i == j else int((mine == i).sum())
+            fps, sets, nodes = fps[order], [sets[x] for x in order.tolist()], nodes[order]
+            node, root = similar_in_cell(fps[:cut], None if i == j else fps[cut:], sets, radius, similarity)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[node]), pa.array(nodes[root])], names=["a", "b"])
+
+    edges = cells.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(compare, "a long, b long")
+    roots = materialize(connected_components(edges), "similar")
+    for table in (groups, wanted, members, sizes):
         discard(table)
     return roots
 
