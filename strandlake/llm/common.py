@@ -10,9 +10,11 @@ task yields the same ids.
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +22,18 @@ from pyspark.sql import functions as F
 ROW = "__sl_row"
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver found it, too."""
+    home = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in known:
+        env["PYTHONPATH"] = os.pathsep.join([home, *known])
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder of this session, as a URI."""
+    reach_workers(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not root:
@@ -77,6 +89,7 @@ def stable(df: DataFrame) -> DataFrame:
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of whole texts must stay small whatever their length."""
+    reach_workers(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
