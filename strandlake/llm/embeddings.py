@@ -4,14 +4,15 @@ Equal vectors of a label form one class, so copies cost nothing more. A first
 neighbour graph joins classes that lie close together when sorted by random
 hyperplane codes. Rounds of NN-descent refine it: whoever shares a neighbour
 is compared, and every class keeps its best ``k``. A class whose list is
-saturated (all of it links) may hold ``wide`` neighbours, and in the end the
-list of every class is enlarged to its whole group of links, compared exactly
-in double precision in blocks, so link counts do not depend on list sizes.
-Recall is audited on a bounded sample of classes against all others; while it
-finds missing links they are added, and new codes are tried.
+saturated (all of it links) may hold ``wide`` neighbours. The lists only say
+which classes belong together: in the end the classes of a label are dealt over
+a square grid of cells, tiles of neighbours are compared exactly in double
+precision, and a pair of tiles is left out only where the triangle inequality
+rules out any link between them. So neither links nor components depend on
+what the lists hold; the cost is quadratic where tiles aren't far apart.
 
 Neighbour lists of hubs are split into blocks, so no task holds an unbounded
-list. Only the audit sample (at most ``audit`` vectors) is broadcast.
+list. Nothing is broadcast or sent to the driver but counts.
 
 Null labels, and vectors that are null, zero, or hold null or non-finite
 components, link with nothing and stand alone; vectors of different lengths
@@ -20,7 +21,6 @@ never link. Repeated rows are vectors of their own.
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +31,10 @@ from pyspark.sql import functions as F
 from .common import materialize
 from .components import connected_components
 
-log = logging.getLogger(__name__)
-
 K, WIDE, TABLES, WINDOW, ROUNDS = 8, 32, 10, 12, 3
 HUB = 512
-BLOCK = 1024
+TILE, SMALL, BLOCK = 256, 1024, 65_536
 SLACK = 1e-4
-AUDIT = 256
 
 
 def _vectors(column) -> np.ndarray:
@@ -208,20 +205,70 @@ def descend(graph: DataFrame, classes: DataFrame, k: int, threshold: float) -> D
     return ordered.mapInArrow(local, "src long, dst long, sim float")
 
 
-def exact_links(grouped: DataFrame, threshold: float) -> DataFrame:
-    """``grouped``: root, cls, n, unit. Every pair of a group is compared in
-    double precision, block against block. Per class and block pair: ``cls,
-    links`` (rows linked) and ``other``, a class it is joined to (a spanning
-    forest of the links)."""
-    sizes = materialize(grouped.groupBy("root").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks")), "sizes")
+def tiles_of(x: np.ndarray):
+    """Cuts of ``x`` (unit vectors) into tiles, each tile's centre, and the
+    largest angle between it and a member."""
+    cuts = np.arange(0, len(x), TILE)
+    centre = np.add.reduceat(x, cuts, axis=0)
+    size = np.linalg.norm(centre, axis=1)
+    centre = np.where(size[:, None] > 1e-9, centre / np.maximum(size, 1e-9)[:, None], x[cuts])
+    own = np.clip(np.einsum("ij,ij->i", x, np.repeat(centre, np.diff([*cuts, len(x)]), axis=0)), -1, 1)
+    return cuts, centre, np.arccos(np.minimum.reduceat(own, cuts))
+
+
+def links_in_cell(x: np.ndarray, n: np.ndarray, order: np.ndarray, left: np.ndarray, right: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows linked to each of ``x``, and the root of each in a spanning forest,
+    over all pairs of ``left`` and ``right`` (of ``left`` where that is None).
+    Sides are sorted by ``order``; tile pairs that lie too far apart to hold a
+    link, by the triangle inequality of angles, are left out."""
+    from .simhash import _hook, _settled
+
+    left = left[np.argsort(order[left], kind="stable")]
+    lx = x[left]
+    lcut, lcentre, lwide = tiles_of(lx)
+    if right is None:
+        other, rx, rcut, rcentre, rwide = left, lx, lcut, lcentre, lwide
+    else:
+        other = right[np.argsort(order[right], kind="stable")]
+        rx = x[other]
+        rcut, rcentre, rwide = tiles_of(rx)
+    links, label = np.zeros(len(x), np.int64), np.arange(len(x))
+    reach = np.arccos(min(1.0, threshold)) + 1e-6
+    for t, at in enumerate(lcut.tolist()):
+        mine = left[at : at + TILE]
+        apart = np.arccos(np.clip(rcentre @ lcentre[t], -1, 1))
+        near = np.flatnonzero(apart <= lwide[t] + rwide + reach)
+        if right is None:
+            near = near[near >= t]
+        for group in range(0, len(near), 16):
+            cols = np.concatenate([np.arange(rcut[k], min(rcut[k] + TILE, len(other))) for k in near[group : group + 16]])
+            theirs = other[cols]
+            hit = lx[at : at + TILE] @ rx[cols].T >= threshold
+            hit &= mine[:, None] != theirs[None, :]
+            a, b = np.nonzero(hit)
+            if not len(a):
+                continue
+            links[mine] += hit @ n[theirs]
+            # within one side a tile meets itself with both orders of its pairs, later tiles with one
+            back = cols >= at + TILE if right is None else slice(None)
+            links[theirs[back]] += n[mine] @ hit[:, back]
+            _hook(label, mine[a], theirs[b])
+    return links, _settled(label)
+
+
+def exact_links(classes: DataFrame, threshold: float) -> DataFrame:
+    """``classes``: label, dim, root, cls, n, unit. Every pair of a label and
+    length is compared in double precision, block against block. Per class and
+    block pair: ``cls, links`` (rows linked) and ``joined``, a class it is
+    joined to (a spanning forest of the links)."""
+    blocks = F.when(F.col("classes") <= SMALL, 1).otherwise(F.greatest(F.lit(4), F.ceil(F.col("classes") / F.lit(BLOCK)))).cast("int")
+    sizes = materialize(classes.groupBy("label", "dim").agg(F.count("*").alias("classes"), F.min("cls").alias("part")).where("classes > 1").select("label", "dim", "part", blocks.alias("blocks")), "sizes")
     mine = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    spread = grouped.join(sizes, "root").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = spread.select("root", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cls", "n", "unit")
-    ordered = cells.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
+    spread = classes.join(sizes, ["label", "dim"]).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = spread.select("part", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "root", "cls", "n", "unit")
+    ordered = cells.repartition("part", "i", "j").sortWithinPartitions("part", "i", "j")
 
     def run(batches):
-        from .simhash import _hook
-
         out: list[list[np.ndarray]] = [[], [], []]
         held = 0
 
@@ -229,29 +276,20 @@ def exact_links(grouped: DataFrame, threshold: float) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(v).astype(np.int64)) for v in out], names=["cls", "links", "joined"])
 
         for (_, i, j), table in groups(batches, 3):
-            cls, n = table.column("cls").to_numpy(), table.column("n").to_numpy()
+            cls, n, order = (table.column(c).to_numpy() for c in ("cls", "n", "root"))
             x = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float64).reshape(len(cls), -1)
-            left = np.flatnonzero(table.column("mine").to_numpy() == i)
-            right = left if i == j else np.flatnonzero(table.column("mine").to_numpy() == j)
-            links, label = np.zeros(len(cls), np.int64), np.arange(len(cls))
-            for at in range(0, len(left), 512):
-                rows = left[at : at + 512]
-                hit = x[rows] @ x[right].T >= threshold
-                hit &= rows[:, None] != right[None, :]
-                links[rows] += hit @ n[right]
-                if i != j:
-                    np.add.at(links, right, n[rows] @ hit)
-                a, b = np.nonzero(hit)
-                _hook(label, rows[a], right[b])
-            while True:
-                deeper = label[label]
-                if (deeper == label).all():
-                    break
-                label = deeper
-            out[0].append(cls)
-            out[1].append(links)
-            out[2].append(cls[label])
-            held += len(cls)
+            first = table.column("mine").to_numpy() == i
+            left, right = np.flatnonzero(first), None if i == j else np.flatnonzero(~first)
+            if not len(left) or (right is not None and not len(right)):
+                continue
+            links, label = links_in_cell(x, n, order, left, right, threshold)
+            some = np.flatnonzero(links)
+            if not len(some):
+                continue
+            out[0].append(cls[some])
+            out[1].append(links[some])
+            out[2].append(cls[label[some]])
+            held += len(some)
             if held > 50_000:
                 yield batch()
                 out, held = [[], [], []], 0
@@ -261,70 +299,20 @@ def exact_links(grouped: DataFrame, threshold: float) -> DataFrame:
     return ordered.mapInArrow(run, "cls long, links long, joined long")
 
 
-def audit_links(classes: DataFrame, roots: DataFrame, size: int, threshold: float) -> tuple[int, int, list[tuple[int, int]]]:
-    """Links of a sample of classes by brute force over all classes, how many
-    of them lie inside one group, and up to 10,000 that do not."""
-    total = classes.count()
-    level = int(min(1.0, size / max(total, 1)) * (1 << 30))
-    named = materialize(classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "label", "dim", "unit", F.coalesce("root", "cls").alias("root")), "named")
-    picked = named.where(F.pmod(F.xxhash64("cls", F.lit("audit")), F.lit(1 << 30)) < level).orderBy(F.xxhash64("cls")).limit(2 * size).collect()
-    queries: dict = {}
-    for q in picked:
-        queries.setdefault((q["label"], q["dim"]), []).append((q["cls"], q["root"], bytes(q["unit"])))
-
-    def run(batches):
-        for batch in batches:
-            cls, dims = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            labels, root = np.array(batch.column(1).to_pylist(), object), batch.column(4).to_numpy()
-            raw = batch.column(3).to_pylist()
-            for (label, dim), own in queries.items():
-                rows = np.flatnonzero((labels == label) & (dims == dim))
-                if not len(rows):
-                    continue
-                x = np.frombuffer(b"".join(raw[r] for r in rows), np.float64).reshape(len(rows), dim)
-                y = np.frombuffer(b"".join(q[2] for q in own), np.float64).reshape(len(own), dim)
-                name, group = np.array([q[0] for q in own]), np.array([q[1] for q in own])
-                hit = (y @ x.T >= threshold) & (name[:, None] != cls[rows][None, :])
-                missed = hit & (group[:, None] != root[rows][None, :])
-                a, b = np.nonzero(missed)
-                yield pa.RecordBatch.from_arrays([pa.array([int(hit.sum())]), pa.array([int(missed.sum())]), pa.array([[{"a": int(p), "b": int(q)} for p, q in zip(name[a][:200], cls[rows][b][:200])]], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))], names=["hit", "missed", "pairs"])
-
-    found = named.mapInArrow(run, "hit long, missed long, pairs array<struct<a: long, b: long>>")
-    row = found.agg(F.coalesce(F.sum("hit"), F.lit(0)).alias("hit"), F.coalesce(F.sum("missed"), F.lit(0)).alias("missed")).first()
-    pairs = [(r["p"]["a"], r["p"]["b"]) for r in found.where("missed > 0").select(F.explode("pairs").alias("p")).limit(10_000).collect()] if row["missed"] else []
-    return row["hit"], row["missed"], pairs
-
-
-def link_embeddings(table: DataFrame, id_col: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = 0.93, k: int = K, wide: int = WIDE, tables: int = TABLES, rounds: int = ROUNDS, audits: int = 3, audit: int = AUDIT) -> DataFrame:
+def link_embeddings(table: DataFrame, id_col: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = 0.93, k: int = K, wide: int = WIDE, tables: int = TABLES, rounds: int = ROUNDS) -> DataFrame:
     """One row per vector: ``id_col, n_links, component_id, kept``."""
-    spark = table.sparkSession
     rows = table.select(F.col(id_col).alias("vec"), F.col(vector).cast("array<double>").alias("embedding"), F.col(label).alias("label"))
     classes = classes_of(rows, label, vector)
-    graph = None
-    extra: list[tuple[int, int]] = []
-    for turn in range(audits):
-        seeds = seed_edges(classes, tables, turn, WINDOW, threshold).withColumn("fresh", F.lit(True))
-        if graph is not None:
-            seeds = seeds.unionByName(graph.withColumn("fresh", F.lit(False)))
-        graph = materialize(best_lists(seeds, k, wide, threshold), "graph")
-        for _ in range(rounds):
-            found = descend(graph, classes, k, threshold).withColumn("fresh", F.lit(True))
-            graph = materialize(best_lists(graph.withColumn("fresh", F.lit(False)).unionByName(found), k, wide, threshold), "graph")
-            fresh, strong = graph.agg(F.count_if("fresh"), F.count_if(F.col("fresh") & (F.col("sim") >= threshold - SLACK))).first()
-            if not strong or fresh < 0.001 * graph.count():
-                break
-        links = graph.where(F.col("sim") >= threshold - SLACK).select("src", "dst")
-        if extra:
-            links = links.unionByName(spark.createDataFrame(extra, "src long, dst long"))
-        roots = materialize(connected_components(links), "groups")
-        hit, missed, pairs = audit_links(classes, roots, audit, threshold)
-        log.info("audit %d: %d links of the sample, %d missed", turn, hit, missed)
-        if not missed:
+    seeds = seed_edges(classes, tables, 0, WINDOW, threshold).withColumn("fresh", F.lit(True))
+    graph = materialize(best_lists(seeds, k, wide, threshold), "graph")
+    for _ in range(rounds):
+        found = descend(graph, classes, k, threshold).withColumn("fresh", F.lit(True))
+        graph = materialize(best_lists(graph.withColumn("fresh", F.lit(False)).unionByName(found), k, wide, threshold), "graph")
+        fresh, strong = graph.agg(F.count_if("fresh"), F.count_if(F.col("fresh") & (F.col("sim") >= threshold - SLACK))).first()
+        if not strong or fresh < 0.001 * graph.count():
             break
-        extra += pairs
-    if extra:
-        roots = materialize(connected_components(graph.where(F.col("sim") >= threshold - SLACK).select("src", "dst").unionByName(spark.createDataFrame(extra, "src long, dst long"))), "groups")
-    grouped = roots.withColumnRenamed("node", "cls").join(classes.select("cls", "n", "unit"), "cls")
+    roots = connected_components(graph.where(F.col("sim") >= threshold - SLACK).select("src", "dst")).withColumnRenamed("node", "cls")
+    grouped = classes.join(roots, "cls", "left").select("label", "dim", F.coalesce("root", "cls").alias("root"), "cls", "n", "unit")
     exact = materialize(exact_links(grouped, threshold), "exact")
     counted = exact.groupBy("cls").agg(F.sum("links").alias("links"))
     final = connected_components(exact.select("cls", "joined")).withColumnRenamed("node", "cls")

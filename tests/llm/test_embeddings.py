@@ -65,3 +65,42 @@ def test_groups_across_batches():
 
     batches = [pa.record_batch({"k": [1, 1, 2], "v": [1, 2, 3]}), pa.record_batch({"k": [2, 2], "v": [4, 5]}), pa.record_batch({"k": [3], "v": [6]})]
     assert [(k, t.column("v").to_pylist()) for k, t in em.groups(batches, 1)] == [((1,), [1, 2]), ((2,), [3, 4, 5]), ((3,), [6])]
+
+
+def test_dense_clusters_keep_their_cross_links(spark):
+    rng = np.random.default_rng(4)
+    near = rng.standard_normal(16)
+    near /= np.linalg.norm(near)
+    side = rng.standard_normal(16)
+    side -= (side @ near) * near
+    side /= np.linalg.norm(side)
+    rows = []
+    for angle in (0.0, 0.34):  # the centres lie at 0.943, within a cluster all at over 0.98
+        centre = np.cos(angle) * near + np.sin(angle) * side
+        rows += [centre + rng.standard_normal(16) * 0.015 for _ in range(40)]
+    rows = [(i, [float(np.float32(v)) for v in r], 0) for i, r in enumerate(rows)]
+    want = brute_force(rows)
+    assert min(w[1] for w in want) > 40
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    others = spark.range(1000, 61000).selectExpr("id AS vec_id", "array(cast(1 AS float), cast(id AS float)) AS embedding", "cast(id AS int) AS label")
+    got = em.link_embeddings(table.unionByName(others)).where("vec_id < 1000")
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
+@pytest.mark.parametrize("dim, spread", [(4, 0.3), (16, 0.15)])
+def test_cells_of_vectors_lose_no_link(monkeypatch, dim, spread):
+    monkeypatch.setattr(em, "TILE", 8)
+    rng = np.random.default_rng(dim)
+    x = np.repeat(rng.standard_normal((30, dim)), 10, axis=0) + rng.standard_normal((300, dim)) * spread
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    n, order = rng.integers(1, 4, 300), rng.integers(0, 40, 300)
+    order[:200] = np.repeat(np.arange(20), 10)
+    hit = x @ x.T >= 0.93
+    np.fill_diagonal(hit, False)
+    assert hit.sum() > 300
+    links, label = em.links_in_cell(x, n, order, np.arange(300), None, 0.93)
+    assert (links == hit @ n).all() and (label[np.nonzero(hit)[0]] == label[np.nonzero(hit)[1]]).all()
+    left, right = np.arange(140), np.arange(140, 300)
+    links, label = em.links_in_cell(x, n, order, left, right, 0.93)
+    assert (links[left] == hit[:140, 140:] @ n[140:]).all() and (links[right] == n[:140] @ hit[:140, 140:]).all()
+    assert (label[left[np.nonzero(hit[:140, 140:])[0]]] == label[right[np.nonzero(hit[:140, 140:])[1]]]).all()
