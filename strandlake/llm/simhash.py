@@ -217,10 +217,31 @@ def shingle_set(text: bytes | None, words: int) -> np.ndarray:
     return np.sort(np.fromiter(made, np.uint64, len(made)))
 
 
+def set_fingerprints(docs: DataFrame, text: str, keep: tuple[str, ...], words: int, bits: int) -> DataFrame:
+    """The columns ``keep``, ``node`` (a hash of the whole shingle set) and
+    ``fp``. Documents of equal sets share a node, others don't, whatever their
+    fingerprints."""
+    import xxhash
+
+    small_batches(docs.sparkSession)
+    slim = docs.select(*keep, F.col(text).cast("binary").alias("__sl_text"))
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(len(keep)).to_pylist()
+            nodes = np.array([xxhash.xxh3_64_intdigest(shingle_set(t, words).tobytes()) for t in texts], np.uint64).view(np.int64)
+            fps = [text_fingerprint(t, words, bits) for t in texts]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(nodes), pa.array(fps, pa.binary())], names=[*keep, "node", "fp"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema[: len(keep)])
+    return slim.mapInArrow(run, f"{schema}, node long, fp binary")
+
+
 def link_similar(distinct: DataFrame, radius: int, bits: int, texts: DataFrame, words: int, similarity: float) -> DataFrame:
     """``node, root`` where shingle sets have at least ``similarity`` (Jaccard),
-    among the fingerprints within ``radius`` bits. ``distinct`` also has ``at``,
-    the row of one document per fingerprint; ``texts``: ROW, body.
+    among the fingerprints within ``radius`` bits. ``distinct`` has one row per
+    shingle set, and ``at``, the row of one of its documents; ``texts``: ROW,
+    body.
 
     Groups of candidates are cut into blocks, and every pair of blocks is a
     cell that compares its candidates exactly and emits a spanning forest.
@@ -272,13 +293,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     differing bits; with ``similarity``, the radius makes candidates, whose
     shingle sets are then compared (see ``link_similar``).
 
-    With ``bits=128`` nodes are named by a 64-bit hash of the fingerprint.
+    With ``similarity`` nodes are shingle sets, named by a 64-bit hash; else
+    they are fingerprints, with ``bits=128`` named by one, too.
     """
     rowed = keep_row or similarity is not None
     keep = (id_col, ROW) if rowed else (id_col,)
-    rows = materialize(fingerprint(with_row_id(docs) if rowed else docs, text, keep, words, bits).select(F.col(id_col).alias("__sl_id"), *([ROW] if rowed else []), "fp"), "fingerprints")
-    number = F.conv(F.hex("fp"), 16, -10).cast("long") if bits == 64 else F.xxhash64("fp")
-    rows = rows.withColumn("node", number)
+    made = fingerprint(with_row_id(docs) if rowed else docs, text, keep, words, bits) if similarity is None else set_fingerprints(with_row_id(docs), text, keep, words, bits)
+    rows = materialize(made.withColumnRenamed(id_col, "__sl_id"), "fingerprints")
+    if similarity is None:
+        rows = rows.withColumn("node", F.conv(F.hex("fp"), 16, -10).cast("long") if bits == 64 else F.xxhash64("fp"))
     first_row = [F.min(ROW).alias("at")] if rowed else []
     distinct = materialize(rows.groupBy("node").agg(F.first("fp").alias("fp"), F.min("__sl_id").alias("least"), *first_row), "distinct")
     if similarity is None:

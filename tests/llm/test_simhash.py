@@ -134,3 +134,11 @@ def test_components(spark):
     linked = {v for a, b in edges if a != b for v in (a, b)}
     assert got == {v: label[v] for v in linked}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_stage_keeps_different_texts_of_one_fingerprint(spark, docs_of):
+    rng = random.Random(9)
+    line = [f"line{i}" for i in range(9)]
+    rows = [(i, " ".join(line * 170 + [f"w{rng.randrange(10**6)}" for _ in range(1500)])) for i in range(6)]
+    assert len({sh.text_fingerprint(t.encode(), 5, 128) for _, t in rows}) == 1
+    assert {r["doc_id"] for r in sh.drop_near_duplicates(docs_of(rows)).collect()} == set(range(6))
