@@ -142,3 +142,35 @@ def test_stage_keeps_different_texts_of_one_fingerprint(spark, docs_of):
     rows = [(i, " ".join(line * 170 + [f"w{rng.randrange(10**6)}" for _ in range(1500)])) for i in range(6)]
     assert len({sh.text_fingerprint(t.encode(), 5, 128) for _, t in rows}) == 1
     assert {r["doc_id"] for r in sh.drop_near_duplicates(docs_of(rows)).collect()} == set(range(6))
+
+
+def test_sketches_allow_every_similar_pair():
+    rng = np.random.default_rng(3)
+    for size in [*range(4, 30), 100, 248, 249, 300, 1000]:
+        for _ in range(10):
+            a = rng.integers(0, 2**63, size, dtype=np.uint64)
+            drop, add = rng.multinomial(int(rng.integers(0, size // 4 + 1)), [0.5, 0.5])
+            sets = [a, np.concatenate([a[drop:], rng.integers(0, 2**63, add, dtype=np.uint64)])]
+            if size - drop < 0.8 * (size + add):
+                continue
+            least, border, upper = sh.reach_of(62, 0.8)
+            assert (least, border, upper) == (4, 248, 310)
+            odd = min(map(len, sets)) <= border
+            values = np.array([np.frombuffer((sh.odd_sketch if odd else sh.majority_sketch)(x, 256), ">u8") for x in sets], np.uint64)
+            node, _ = sh.link_cell(values, None, 62, np.array([len(x) for x in sets]), 0.8, odd)
+            assert len(node) == 1
+
+
+def test_stage_finds_short_and_repetitive_near_copies(spark, docs_of):
+    rng = random.Random(12)
+    rows, word = [], lambda: f"w{rng.randrange(10**6)}"
+    for i in range(40):  # 4 of 5 shingles, and 12 of 15 shingles
+        base = [word() for _ in range(9)]
+        rows += [(1000 * i, " ".join(base[:8])), (1000 * i + 1, " ".join(base))]
+        base = [word() for _ in range(19)]
+        rows += [(1000 * i + 10, " ".join(base[:16])), (1000 * i + 11, " ".join(base))]
+    for i in range(100, 110):  # a line repeated in one copy
+        base, line = [word() for _ in range(300)], [word() for _ in range(10)]
+        rows += [(1000 * i, " ".join(base + line * 2)), (1000 * i + 1, " ".join(base + line * 40))]
+    kept = {r["doc_id"] for r in sh.drop_near_duplicates(docs_of(rows)).collect()}
+    assert kept == {i for i, _ in rows if i % 10 == 0}
