@@ -366,7 +366,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     shingle sets are then compared (see ``link_similar``).
 
     With ``similarity`` nodes are shingle sets, named by a 64-bit hash; else
-    they are fingerprints, with ``bits=128`` named by one, too.
+    they are fingerprints, with ``bits=128`` named by one, too. ``keep_row``
+    adds ROW and ``group``, which is the same within a component alone.
     """
     rowed = keep_row or similarity is not None
     keep = (id_col, ROW) if rowed else (id_col,)
@@ -385,11 +386,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         roots = link_similar(distinct, radius, bits, texts, words, similarity)
     grouped = roots.join(distinct, "node")
     best = materialize(grouped.groupBy("root").agg(F.min("least").alias("component")), "best")
-    reached = roots.join(best, "root").select("node", "component")
-    named = materialize(distinct.join(reached, "node", "left").select("node", F.coalesce("component", "least").alias("component_id")), "named")
+    reached = roots.join(best, "root").select("node", "root", "component")
+    named = materialize(distinct.join(reached, "node", "left").select("node", F.coalesce("root", "node").alias("group"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component")).alias("component_id")), "named")
     for table in (distinct, roots, best):
         discard(table)
-    return rows.join(named, "node").select(F.col("__sl_id").alias(id_col), *([ROW] if keep_row else []), "fp", "component_id")
+    return rows.join(named, "node").select(F.col("__sl_id").alias(id_col), *([ROW, "group"] if keep_row else []), "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, bits: int = 256, radius: int = 62, similarity: float = 0.8) -> DataFrame:
@@ -402,7 +403,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
     """
     docs = stable(docs)
     rows = near_duplicates(docs, id_col, text, words, bits, radius, keep_row=True, similarity=similarity)
-    rows = materialize(rows.select(ROW, F.col(id_col).alias("id"), F.col("component_id").alias("c")), "members")
-    first = materialize(rows.where(F.col("id").eqNullSafe(F.col("c"))).groupBy("c").agg(F.min(ROW).alias("first")), "first")
-    lost = rows.join(first, rows["c"].eqNullSafe(first["c"])).where(F.col(ROW) != F.col("first")).select(ROW)
+    rows = materialize(rows.select(ROW, F.col(id_col).alias("id"), "group"), "members")
+    first = materialize(rows.groupBy("group").agg(F.min_by(ROW, F.struct(F.col("id").isNull(), "id", ROW)).alias("first")), "first")
+    lost = rows.join(first, "group").where(F.col(ROW) != F.col("first")).select(ROW)
     return without_rows(docs, lost)

@@ -174,3 +174,9 @@ def test_stage_finds_short_and_repetitive_near_copies(spark, docs_of):
         rows += [(1000 * i, " ".join(base + line * 2)), (1000 * i + 1, " ".join(base + line * 40))]
     kept = {r["doc_id"] for r in sh.drop_near_duplicates(docs_of(rows)).collect()}
     assert kept == {i for i, _ in rows if i % 10 == 0}
+
+
+def test_stage_keeps_different_texts_of_null_or_equal_ids(spark, docs_of):
+    rows = [(None, "one text without an id"), (None, "another text without an id"), (None, "another text without an id"), (7, "a text with the id seven"), (7, "quite another text of that id"), (8, "a text with the id seven")]
+    kept = sorted((r["doc_id"] or 0, r["text"]) for r in sh.drop_near_duplicates(docs_of(rows)).collect())
+    assert kept == sorted([(0, rows[0][1]), (0, rows[1][1]), (7, rows[3][1]), (7, rows[4][1])])
