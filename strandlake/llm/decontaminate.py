@@ -20,6 +20,7 @@ are separate documents. An empty benchmark leaves every document clean.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -144,25 +145,30 @@ class Segment:
         return starts
 
     def near(self, terms: list[int], slop: int, counts: np.ndarray) -> np.ndarray:
-        """(first, last) positions of stretches of at most ``slop`` words, one
-        for each place of the rarest term, that hold every one of ``terms``."""
-        terms = sorted(set(terms), key=lambda t: (counts[t], t))
-        if any(t not in self.lists for t in terms):
+        """(first, last) positions of all stretches of at most ``slop`` words
+        that hold every one of ``terms`` (a repeated one as often), from each
+        term that can begin one to the nearest end."""
+        need = Counter(terms)
+        order = sorted(need, key=lambda t: (counts[t], t))
+        if not order or any(t not in self.lists for t in order):
             return np.zeros((0, 2), np.int64)
-        anchor = self.lists[terms[0]].astype(np.int64)
-        first = last = anchor
-        good = np.ones(len(anchor), bool)
-        doc = np.searchsorted(self.bases, anchor, side="right")
-        for t in terms[1:]:
-            have = self.lists[t].astype(np.int64)
-            right = np.searchsorted(have, anchor)
-            options = [have[np.clip(right + k, 0, len(have) - 1)] for k in (-1, 0)]
-            gap = np.stack([np.where(np.searchsorted(self.bases, x, side="right") == doc, np.abs(x - anchor), np.iinfo(np.int64).max) for x in options])
-            choice = np.argmin(gap, axis=0)
-            chosen = np.where(choice == 0, options[0], options[1])
-            good &= gap[choice, np.arange(len(anchor))] < slop
-            first, last = np.minimum(first, chosen), np.maximum(last, chosen)
-        good &= last - first < slop
+        lists = [self.lists[t].astype(np.int64) for t in order]
+        anchor = lists[0]
+        for t, have in zip(order, lists):
+            anchor = anchor[np.searchsorted(have, anchor + slop) - np.searchsorted(have, anchor - slop, side="right") >= need[t]]
+        starts = []
+        for have in lists:
+            low, high = np.searchsorted(have, anchor - slop, side="right"), np.searchsorted(have, anchor, side="right")
+            n = high - low
+            starts.append(have[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())])
+        first = np.unique(np.concatenate(starts))
+        last, good = first, np.ones(len(first), bool)
+        for t, have in zip(order, lists):
+            at = np.searchsorted(have, first) + need[t] - 1
+            good &= at < len(have)
+            last = np.maximum(last, have[np.minimum(at, len(have) - 1)])
+        doc = np.searchsorted(self.bases, first, side="right") - 1
+        good &= (last - first < slop) & (last < self.bases[doc] + self.sizes[doc])
         return np.stack([first[good], last[good]], axis=1)
 
 

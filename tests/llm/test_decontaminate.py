@@ -75,3 +75,26 @@ def test_edges(spark, docs_of, edge_docs, no_docs):
     assert kept.count() == len(EDGES) - 2
     assert dc.decontaminate(edge_docs, items.where("item_id > 5")).count() == len(EDGES)
     assert dc.decontaminate(no_docs, items).count() == 0
+
+
+def test_proximity_against_brute_force(spark, docs_of):
+    rng = random.Random(6)
+    text = lambda n: " ".join(rng.choice("abcdefgh") for _ in range(n))
+    bodies = [(i, text(rng.randrange(1, 4))) for i in range(12)] + [(20, "alpha beta gamma"), (21, "a a b")]
+    docs = [(i, text(rng.randrange(0, 25))) for i in range(60)] + [(100, "beta x x alpha x gamma x beta"), (101, "x a b x x x a"), (102, None)]
+    want = {}
+    for key, body in docs:
+        have, hit, found = words(body), set(), set()
+        for item, wanted in bodies:
+            for a in range(len(have)):
+                for b in range(a + 1, min(a + 5, len(have)) + 1):
+                    stretch, bag = have[a:b], words(wanted)
+                    if all(stretch.count(w) >= bag.count(w) for w in bag) and stretch[0] in bag and stretch[-1] in bag:
+                        hit.update(range(a, b))
+                        found.add(item)
+                        break
+        want[key] = (len(hit), found)
+    table = with_row_id(docs_of(docs))
+    found = dc.search(table, spark.createDataFrame(bodies, "item_id long, text string"), slop=5).join(table.select(ROW, "doc_id"), ROW)
+    assert {r["doc_id"]: (sum(s["length"] for s in r["spans"]), set(r["items"])) for r in found.collect()} == want
+    assert 20 in want[100][1] and 21 not in want[101][1]
