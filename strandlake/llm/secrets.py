@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Kinds of candidates: (kind, pattern). Formats are the public ones.
+#: Kinds of candidates: (kind, pattern). Formats are the public ones. A private
+#: key reaches to its END, if that is there; its lines hold few single hyphens.
 KINDS = (
     ("aws_key", r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])"),
     ("github_token", r"gh[pousr]_[0-9A-Za-z]{36}"),
@@ -30,19 +31,19 @@ KINDS = (
     ("live_key", r"[sr]k_live_[0-9A-Za-z]{16,}"),
     ("google_key", r"AIza[0-9A-Za-z_-]{35}"),
     ("jwt", r"eyJ[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}"),
-    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    ("assignment", r"""(?:[Pp]ass(?:word|wd)|PASSWORD|[Pp]wd|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi_?[Kk]ey|API_KEY)["']?\s{0,3}[=:]\s{0,3}["']?[^\s"'<>]{6,}"""),
+    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*+(?:-(?!----)[^-]*+){0,200}+-----END [A-Z ]*PRIVATE KEY-----)?"),
+    ("assignment", r"""(?i:password|passwd|pwd|secret|token|api_?key|credentials?|auth|private|login|key)["']?\s{0,3}[=:]\s{0,3}["']?[^\s"'<>]{6,}"""),
     ("long_string", r"(?<![0-9A-Za-z+/_=-])(?=[A-Za-z+/_=-]{0,40}[0-9])[0-9A-Za-z+/_=-]{32,}"),
 )
 PATTERN = "|".join(f"(?:{p})" for _, p in KINDS)
-_ASSIGNED = r"""^(?:[A-Za-z_]{3,9})["']?\s{0,3}[=:]\s{0,3}["']?"""
+_ASSIGNED = r"""^(?:[A-Za-z_]{3,11})["']?\s{0,3}[=:]\s{0,3}["']?"""
 
 #: Frequent words and placeholders a real secret would hardly contain.
 DICTIONARY = ("example", "changeme", "password", "secret", "token", "test", "dummy", "sample", "placeholder", "your", "xxxx", "admin", "user", "none", "null", "true", "false", "value", "string", "demo", "fake", "redacted", "insert", "here", "abcdef", "123456", "hello", "world", "commit", "sha256", "image", "data")
 _SECRET_WORDS = r"(?i)(password|passwd|pwd|secret|token|api_?key|credential|auth|private|login|key)"
 _BENIGN_WORDS = r"(?i)(commit|checksum|sha-?1|sha-?256|md5|digest|uuid|guid|hash|etag|integrity|example|revision|base64|fixture|placeholder)"
 FEATURES = ("f_length", "f_digits", "f_upper", "f_lower", "f_changes", "f_repeats", "f_hex", "f_words", "f_path", "f_near_secret", "f_near_benign", "f_quoted", *(f"f_{k}" for k, _ in KINDS))
-CONTEXT = 48
+CONTEXT, NEAR = 48, 5
 THRESHOLD = 0.5
 
 
@@ -134,11 +135,16 @@ def candidates(docs: DataFrame, keys: tuple[str, ...], text: str = "text", path:
     source = F.col(path).cast("string") if path and path in docs.columns else F.lit(None).cast("string")
     some = docs.withColumn("__sl_line", F.monotonically_increasing_id()).where(body.rlike(PATTERN)).select(*keys, "__sl_line", source.alias("path"), F.regexp_extract_all(body, F.lit(PATTERN), F.lit(0)).alias("__sl_found"), F.split(body, PATTERN, -1).alias("__sl_rest"))
     zipped = F.arrays_zip("__sl_found", F.slice("__sl_rest", F.lit(1), n).alias("before"), F.slice("__sl_rest", F.lit(2), n).alias("after"))
-    short = F.transform(zipped, lambda x: F.struct(x["__sl_found"].alias("candidate"), F.right(x["before"], F.lit(CONTEXT)).alias("left"), F.left(x["after"], F.lit(CONTEXT)).alias("right"), F.length(x["before"]).cast("long").alias("gap")))
+    short = F.transform(zipped, lambda x: F.struct(x["__sl_found"].alias("candidate"), F.right(x["before"], F.lit(CONTEXT)).alias("before"), F.left(x["after"], F.lit(CONTEXT)).alias("after"), F.length(x["before"]).cast("long").alias("gap")))
     spread = some.select(*keys, "__sl_line", "path", F.posexplode(short).alias("__sl_i", "__sl_x")).select(*keys, "__sl_line", "path", "__sl_i", "__sl_x.*")
     # characters up to the end of this candidate, less its own; a window holds one document's candidates
-    reach = F.sum(F.col("gap") + F.length("candidate")).over(Window.partitionBy("__sl_line").orderBy("__sl_i"))
-    return spread.select(*keys, (reach - F.length("candidate")).alias("position"), "candidate", "left", "right", "path")
+    line = Window.partitionBy("__sl_line").orderBy("__sl_i")
+    reach = F.sum(F.col("gap") + F.length("candidate")).over(line)
+    # a candidate has 10 characters at least, so NEAR of them with their gaps fill the context
+    earlier = F.array_join(F.collect_list(F.concat("before", F.right("candidate", F.lit(CONTEXT)))).over(line.rowsBetween(-NEAR, -1)), "")
+    later = F.array_join(F.collect_list(F.concat(F.left("candidate", F.lit(CONTEXT)), "after")).over(line.rowsBetween(1, NEAR)), "")
+    left, right = F.right(F.concat(earlier, "before"), F.lit(CONTEXT)), F.left(F.concat("after", later), F.lit(CONTEXT))
+    return spread.select(*keys, (reach - F.length("candidate")).alias("position"), "candidate", left.alias("left"), right.alias("right"), "path")
 
 
 def scan(docs: DataFrame, model: RandomForestClassificationModel, keys: tuple[str, ...] = ("doc_id",), text: str = "text", path: str | None = "source", threshold: float = THRESHOLD) -> DataFrame:
@@ -154,6 +160,7 @@ def redact(docs: DataFrame, model: RandomForestClassificationModel, text: str =
     """``docs`` with every secret's value replaced by ``mark`` (an
     assignment keeps its name); ``chars``, where it is there, counts anew.
 
+    Longer values are replaced first, as they may hold shorter ones.
     Decisions are joined back by a hash of the whole text, so copies of a text
     are cleaned alike from one row per distinct text.
     """
@@ -161,7 +168,7 @@ def redact(docs: DataFrame, model: RandomForestClassificationModel, text: str =
     hashed = docs.withColumn(own, F.sha2(F.col(text), 256))
     found = scan(hashed, model, (own,), text, path).where("is_secret")
     value = F.regexp_replace("candidate", _ASSIGNED, "")
-    lists = materialize(found.select(own, value.alias("value")).distinct().groupBy(own).agg(F.sort_array(F.collect_set("value"), asc=False).alias("__sl_values")), "secrets")
+    lists = materialize(found.select(own, value.alias("value")).distinct().groupBy(own).agg(F.transform(F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), asc=False), lambda x: x["value"]).alias("__sl_values")), "secrets")
     cleaned = F.aggregate(F.coalesce("__sl_values", F.array().cast("array<string>")), F.col(text), lambda acc, v: F.replace(acc, v, F.lit(mark)))
     joined = hashed.join(lists, own, "left")
     out = {text: cleaned}
