@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from itertools import count as count_up
 
 import numpy as np
 import pandas as pd
@@ -75,19 +76,21 @@ def plan_shards(rows: DataFrame, shards: int, ranges_per_shard: int = RANGES_PER
     total, count = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     ranges = shards * ranges_per_shard
     cuts = np.unique(np.concatenate([[low], _quantile_cuts(_sample(rows, total, ranges * SAMPLES_PER_RANGE, 0), ranges)])).astype(np.int64)
-    limit = 4 * total / ranges
-    for turn in range(ROUNDS):
+    limit, share = 4 * total / ranges, total / shards
+    for turn in count_up():
         sized = rows.withColumn("range", _range_of(cuts)("key"))
         table = sized.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high")).toPandas().sort_values("range")
         over = table[(table["bytes"] > limit) & (table["low"] < table["high"])]
-        if over.empty or turn == ROUNDS - 1:
+        # a range of several keys that overfills a shard is cut whatever the rounds
+        if turn >= ROUNDS - 1:
+            over = over[over["bytes"] > share]
+        if over.empty:
             break
         inside = sized.where(F.col("range").isin(over["range"].tolist()))
         sample = _sample(inside, int(over["bytes"].sum()), int(len(over) * 8 * SAMPLES_PER_RANGE), turn + 1)
         cuts = np.unique(np.concatenate([cuts, _quantile_cuts(sample, len(over) * 8), over["low"], over["low"] + 1])).astype(np.int64)
-    share = total / shards
     pieces = np.ones(len(cuts), np.int64)
-    heavy = table[(table["bytes"] > 0.9 * share) & (table["n"] > 1)]
+    heavy = table[(table["bytes"] > share) & (table["n"] > 1)]
     pieces[heavy["range"]] = np.ceil(heavy["bytes"] / (share / 8)).astype(np.int64)
     parts = {(int(r), 0): (int(b), int(n)) for r, b, n in zip(table["range"], table["bytes"], table["n"]) if pieces[r] == 1}
     if len(heavy):

@@ -52,3 +52,10 @@ def test_edges(spark, edge_docs, no_docs, tmp_path, n):
     assert shard(no_docs, n).count() == 0
     write_shards(edge_docs, str(tmp_path / "s"), n)
     assert spark.read.parquet(str(tmp_path / "s")).count() == len(EDGES)
+
+
+def test_copies_that_fit_a_shard_stay_together(spark, docs_of):
+    rows = [(i, "same text here now") for i in range(95)] + [(1000 + i, f"some text no {i:05d}") for i in range(305)]
+    table = docs_of([(i, t.ljust(40)) for i, t in rows])
+    placed = shard(table, 4).where("doc_id < 1000")
+    assert placed.select("shard").distinct().count() == 1
