@@ -2,7 +2,8 @@
 
 Intermediate tables go to the folder that the cluster names in
 ``spark.checkpoint.dir``; a folder of our own is set only where that is unset
-(local runs). Row identities come from ``monotonically_increasing_id`` over a
+and driver and executors are one process; on a cluster its absence is an
+error. Row identities come from ``monotonically_increasing_id`` over a
 file scan, which is the same on every evaluation of that scan, so a recomputed
 task yields the same ids.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -39,6 +41,8 @@ def work_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         local = tempfile.mkdtemp(prefix="strandlake-")
         atexit.register(shutil.rmtree, local, ignore_errors=True)
         sc.setCheckpointDir(f"file://{local}")

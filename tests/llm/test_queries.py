@@ -37,3 +37,15 @@ def test_pipeline(spark):
     packed = corpus_pipeline.run(spark, SF)
     kept = packed.groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).collect()
     assert 0 < len(kept) < len(ids) and {r["doc_id"] for r in kept} <= ids
+
+
+def test_a_cluster_without_shared_folder_is_refused(monkeypatch):
+    from types import SimpleNamespace
+
+    from strandlake.llm import common
+
+    monkeypatch.setattr(common, "reach_workers", lambda spark: None)
+    for master in ("local-cluster[2,1,1024]", "yarn", "spark://host:7077"):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            common.work_root(SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context))
