@@ -9,8 +9,12 @@ that fits overrides the model.
 Everything runs in the JVM: SQL functions, the DataFrame-based hashing and
 logistic regression, and one broadcast weight vector of fixed size.
 
-Null urls and urls without "://" have empty host and path; with nothing to
-judge they are allowed. Repeated rows are judged alike.
+Null urls and urls without "://" have empty host and path; like urls with an
+empty host they are judged by what is left of them (no grams: the model's
+intercept alone). Urls may be of any length; repeated rows are judged alike and
+keep one result row each, whatever their ids. Of rules that are equally long,
+the later one wins. An empty table gives an empty result. Only the url and id
+columns are read, so extra columns and their names don't matter.
 """
 
 from __future__ import annotations
@@ -74,6 +78,7 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
                 rows.append((f"https://{host}{path}{(37 * i + 11 * j) % 1000}", label))
                 if j < 4:
                     rows.append((f"https://site{i}.example.{('com', 'net', 'org')[j % 3]}/{name.replace(' ', '-')}/{j}", label))
+                    rows.append((f"file:///{name.replace(' ', '-/_'[j % 3])}/{j}", label))
             for j, word in enumerate(w for w in name.split() if len(w) > 3):
                 for k, host in enumerate((f"best-{word}", f"my{word}", f"{word}24", f"{word}-online", f"the{word}", f"new-{word}s")):
                     rows.append((f"http://{('', 'www.', 'blog.', 'm.')[(i + k) % 4]}{host}.{('com', 'net', 'org', 'info', 'biz')[(i + j + k) % 5]}/{('en', 'de', 'fr', 'es')[(j + k) % 4]}/{17 * i + k}", label))
@@ -115,5 +120,5 @@ def judge(pages: DataFrame, model: LogisticRegressionModel, rules: tuple[Rule, .
     table = pages.select(F.col(id_col).alias("__sl_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     scored = model.transform(_with_features(table, F.col("host"), F.col("path")))
     name, verdict = rule_for(F.col("host"), F.col("path"), rules)
-    score = F.when(F.col("host") == "", 0.0).otherwise(vector_to_array("__sl_probability")[1])
+    score = vector_to_array("__sl_probability")[1]
     return scored.select(F.col("__sl_id").alias(id_col), "host", "path", name.alias("rule"), F.coalesce(verdict, F.when(score >= threshold, "block").otherwise("allow")).alias("verdict"), score.alias("score"))

@@ -37,8 +37,14 @@ def test_parts_and_rules(spark, model):
         name, verdict = plain_rule(r["host"], r["path"])
         assert r["rule"] == name and r["verdict"] in ("allow", "block")
         assert verdict is None or r["verdict"] == verdict
-        if not r["host"]:
-            assert r["verdict"] == "allow"
+        assert verdict is not None or r["verdict"] == ("block" if r["score"] >= 0.5 else "allow")
+
+
+def test_a_path_without_host_is_judged(spark, model):
+    rows = [(0, "file:///casino-win/free-bets"), (1, None), (2, "no scheme")]
+    got = {r["page_id"]: r for r in uf.judge(spark.createDataFrame(rows, "page_id long, url string"), model).collect()}
+    assert (got[0]["host"], got[0]["path"], got[0]["verdict"]) == ("", "/casino-win/free-bets", "block")
+    assert {got[i]["verdict"] for i in (1, 2)} == {"allow"}
 
 
 def test_held_out_words(spark, model):
