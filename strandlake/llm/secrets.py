@@ -8,8 +8,12 @@ whether it is a secret. All of it runs in the JVM on DataFrame functions; the
 forest is of fixed size.
 
 Texts without a candidate are left after one match test. Null and empty texts
-have no candidates. Repeated rows are scanned one by one. Candidates of one
-document never need each other, so no group gathers in one task.
+have no candidates; an empty table gives an empty result. Repeated rows, and
+rows of one id, are scanned one by one. Texts of any length are scanned whole;
+the candidates of one text, not more than a tenth of its characters, are put
+in order in one task for their context. ``source`` counts as the path where it
+is there; extra columns, whatever their names, aren't read by ``scan`` and pass
+through ``redact`` untouched.
 """
 
 from __future__ import annotations
@@ -38,10 +42,27 @@ KINDS = (
 PATTERN = "|".join(f"(?:{p})" for _, p in KINDS)
 _ASSIGNED = r"""^(?:[A-Za-z_]{3,11})["']?\s{0,3}[=:]\s{0,3}["']?"""
 
-#: Frequent words and placeholders a real secret would hardly contain.
-DICTIONARY = ("example", "changeme", "password", "secret", "token", "test", "dummy", "sample", "placeholder", "your", "xxxx", "admin", "user", "none", "null", "true", "false", "value", "string", "demo", "fake", "redacted", "insert", "here", "abcdef", "123456", "hello", "world", "commit", "sha256", "image", "data")
+#: Placeholders that a real secret would hardly contain.
+PLACEHOLDERS = ("example", "changeme", "password", "secret", "token", "test", "dummy", "sample", "placeholder", "your", "xxxx", "admin", "user", "none", "null", "true", "false", "value", "string", "demo", "fake", "redacted", "insert", "here", "abcdef", "123456", "hello", "world", "commit", "sha256", "image", "data")
+#: Frequent words of four letters or more, of code and of the
+#: languages at hand.
+FREQUENT = tuple(
+    """request header config file path name default environ process system class element index type return count
+    service client server session cookie object array number field model input output
+
+    that this with from have they which there their would about could other people because before between through
+    should think after first water where little year every great small found still good under school line house page
+
+    dans pour avec cette comme tout mais plus leur bien fait nous vous sont elle deux aussi autre sans entre encore temps
+
+    nicht eine sich auch werden aber noch wird sind oder haben nach kann durch wenn zeit jahr mehr unter welt immer
+
+    para pero este esta cuando sobre hasta donde quien desde todos durante otro parte mundo siempre tiempo""".split()
+)
+DICTIONARY = (*PLACEHOLDERS, *FREQUENT)
+_WORD = "(?i)(" + "|".join(sorted(DICTIONARY, key=len, reverse=True)) + ")"
 _SECRET_WORDS = r"(?i)(password|passwd|pwd|secret|token|api_?key|credential|auth|private|login|key)"
-_BENIGN_WORDS = r"(?i)(commit|checksum|sha-?1|sha-?256|md5|digest|uuid|guid|hash|etag|integrity|example|revision|base64|fixture|placeholder)"
+_BENIGN_WORDS = r"(?i)(commit|checksum|sha-?1|sha-?256|md5|digest|uuid|guid|hash|etag|integrity|example|revision|base64|fixture|placeholder|blob|isbn|invoice|order)"
 FEATURES = ("f_length", "f_digits", "f_upper", "f_lower", "f_changes", "f_repeats", "f_hex", "f_words", "f_path", "f_near_secret", "f_near_benign", "f_quoted", *(f"f_{k}" for k, _ in KINDS))
 CONTEXT, NEAR = 48, 5
 THRESHOLD = 0.5
@@ -73,7 +94,7 @@ def with_features(found: DataFrame) -> DataFrame:
         "f_changes": changes / F.greatest(F.length(value), F.lit(1)),
         "f_repeats": _share(value, r"(.)(?=\1)"),
         "f_hex": value.rlike("^[0-9a-fA-F-]+$"),
-        "f_words": _share(value, "(?i)(" + "|".join(DICTIONARY) + ")"),
+        "f_words": _share(value, _WORD),
         "f_path": F.coalesce(F.col("path"), F.lit("")).rlike(r"(?i)(test|example|sample|fixture|mock|docs?/)"),
         "f_near_secret": near.rlike(_SECRET_WORDS),
         "f_near_benign": near.rlike(_BENIGN_WORDS),
@@ -82,24 +103,27 @@ def with_features(found: DataFrame) -> DataFrame:
     return found.withColumn("kind", kind).withColumns({k: c.cast("double") for k, c in columns.items()})
 
 
-def labelled_findings(spark: SparkSession, rows: int = 1200) -> DataFrame:
-    """The labelled table, made by rule: ``candidate, left, right, path,
-    label`` (1: a secret), half of them look-alikes."""
-    base = spark.range(rows, numPartitions=1)
+def labelled_findings(spark: SparkSession, rows: int = 1800, first: int = 0) -> DataFrame:
+    """The labelled table, made by rule from the numbers from ``first`` on:
+    ``candidate, left, right, path, label`` (1: a secret), more than half of
+    them look-alikes."""
+    base = spark.range(first, first + rows, numPartitions=1)
     sha = F.sha2(F.col("id").cast("string"), 512)
     hexed = lambda n, at=1: F.substring(sha, at, n)
     upper = F.upper(F.translate(F.base64(F.unhex(sha)), "+/=abcdefghijklmnopqrstuvwxyz", "Q7ZABCDEFGHIJKLMNOPQRSTUVWXYZ"))
     mixed = F.translate(F.base64(F.unhex(sha)), "+/=", "xY9")
-    word = F.element_at(F.array(*[F.lit(w) for w in DICTIONARY]), (F.pmod(F.xxhash64("id"), F.lit(len(DICTIONARY))) + 1).cast("int"))
+    some = lambda k: F.element_at(F.array(*[F.lit(w) for w in DICTIONARY]), (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(len(DICTIONARY))) + 1).cast("int"))
+    word, second, third = some(2), some(3), some(4)
     plain = F.element_at(F.array(*[F.lit(w) for w in ("the value of ", "und der ", "les mots ", "set to ", "", "we saw ", "de la ")]), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(7)) + 1).cast("int"))
+    later = F.when(F.pmod("id", F.lit(3)) == 1, " in commit ").when(F.pmod("id", F.lit(3)) == 2, " for example ").otherwise(" then")
     kinds = (
         (1, F.concat(F.lit("AKIA"), F.substring(upper, 1, 16)), plain, F.lit(" and")),
-        (1, F.concat(F.lit("password="), hexed(18)), plain, F.lit(" then")),
+        (1, F.concat(F.lit("password="), hexed(18)), plain, later),
         (1, F.concat(F.lit('token = "'), hexed(40)), plain, F.lit('" next')),
         (1, F.concat(F.lit("ghp_"), F.substring(mixed, 1, 36)), plain, F.lit(" .")),
         (1, F.concat(F.lit("sk_live_"), F.substring(mixed, 1, 24)), plain, F.lit("")),
         (1, F.concat(F.lit("api_key: "), F.substring(mixed, 1, 32)), F.lit("config "), F.lit(" .")),
-        (1, F.concat(F.lit("secret="), F.substring(mixed, 3, 20)), plain, F.lit(" ")),
+        (1, F.concat(F.lit("secret="), F.substring(mixed, 3, 20)), plain, later),
         (1, F.concat(F.lit("eyJ"), F.substring(mixed, 1, 20), F.lit("."), F.substring(mixed, 21, 30), F.lit("."), F.substring(mixed, 11, 40)), F.lit("auth bearer "), F.lit("")),
         (1, F.lit("-----BEGIN RSA PRIVATE KEY-----"), plain, F.lit(" MIIE")),
         (1, F.substring(mixed, 1, 44), F.lit("private login key "), F.lit(" ok")),
@@ -115,6 +139,18 @@ def labelled_findings(spark: SparkSession, rows: int = 1200) -> DataFrame:
         (0, F.concat(F.repeat(F.lit("-=_"), 13), F.lit("0")), plain, F.lit(" ")),
         (0, F.concat(word, F.lit("_"), word, F.lit("_long_identifier_name_"), hexed(2)), plain, F.lit(" ")),
         (0, F.concat(F.lit("token = "), word, F.lit("_count")), plain, F.lit(" ")),
+        (0, F.concat(F.lit("token = "), word, F.lit("."), second, F.lit("["), third, F.lit("]")), plain, F.lit(" ")),
+        (0, F.concat(F.lit("password=${"), F.upper(word), F.lit("_"), F.upper(second), F.lit("}")), plain, F.lit(" ")),
+        (0, F.concat(F.lit("login: "), word, F.lit("."), second, F.lit("@"), third, F.lit(".com")), plain, F.lit(" ")),
+        (0, F.concat(F.lit("key="), word, F.lit("-"), second, F.lit("-"), third), plain, F.lit(" ")),
+        (0, F.concat(F.lit("iVBORw0KGgo"), F.substring(mixed, 1, 60)), F.lit("data:image/png;base64,"), F.lit("")),
+        (0, F.concat(F.lit("sha512-"), F.substring(mixed, 1, 86), F.lit("==")), F.lit("integrity: "), F.lit("")),
+        (0, F.concat(F.lit("2024/05/"), word, F.lit("/"), second, F.lit("-"), third, F.lit("-"), word, F.lit("-and-"), second), plain, F.lit("")),
+        (0, F.concat(F.initcap(word), F.initcap(second), F.initcap(third), F.lit("2"), F.initcap(word), F.initcap(second), F.lit("Of"), F.initcap(third)), plain, F.lit("(")),
+        (0, F.translate(F.substring(sha, 1, 34), "abcdef", "123456"), F.lit("order no "), F.lit(" ")),
+        (1, F.concat(F.lit("pwd: "), F.substring(mixed, 5, 12)), plain, F.lit(" ")),
+        (1, F.concat(F.lit("login="), hexed(10), F.lit("!"), F.substring(mixed, 2, 6)), plain, F.lit(" ")),
+        (1, F.concat(F.lit("credential="), F.substring(mixed, 9, 28)), plain, later),
     )
     pick = F.pmod(F.col("id"), F.lit(len(kinds)))
     choose = lambda k: F.coalesce(*[F.when(pick == i, x[k] if isinstance(x[k], Column) else F.lit(x[k])) for i, x in enumerate(kinds)])
