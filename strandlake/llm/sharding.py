@@ -6,13 +6,16 @@ the sample cut the key space into many more ranges than shards. A key that
 fills several quantiles becomes a range of its own. Ranges that are still
 overfull are cut again at keys sampled inside them; a single key too large for
 a shard is cut by row, the one case in which equal texts part. Whole ranges
-then go to shards, largest first, each to the emptiest shard.
+then go to shards, largest first, each to the emptiest shard. A range of very
+many rows, as of one text with very many copies, is numbered in pieces by
+several tasks, which all go to the same shard.
 
-Only splitters and range sizes reach the driver: ``ranges`` of them, plus one
-for each hot key's pieces, whatever the number of rows.
+Only splitters and range sizes reach the driver: 64 for a shard, or one for
+half a million rows where that is more, plus one for each piece.
 
 Null texts weigh the fixed row cost alone and share one key. Repeated rows are
-placed one by one. An empty table gives an empty result.
+placed one by one, ties of key and id by their place in the input. Texts of any
+length count whole. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ from .common import stable
 RANGES_PER_SHARD = 64
 SAMPLES_PER_RANGE = 32
 ROUNDS = 6
+#: Rows that one task numbers: a range holds about so many, a piece of it as well.
+ROWS_PER_RANGE = 500_000
 
 
 @dataclass
@@ -70,11 +75,11 @@ def _quantile_cuts(sample: np.ndarray, ranges: int) -> np.ndarray:
     return np.concatenate([keys, hot[hot < np.iinfo(np.int64).max] + 1])
 
 
-def plan_shards(rows: DataFrame, shards: int, ranges_per_shard: int = RANGES_PER_SHARD) -> Plan:
+def plan_shards(rows: DataFrame, shards: int, ranges_per_shard: int = RANGES_PER_SHARD, rows_per_range: int = ROWS_PER_RANGE) -> Plan:
     """``rows``: key long, row long (to part equal keys), size long."""
     low = np.iinfo(np.int64).min
     total, count = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
-    ranges = shards * ranges_per_shard
+    ranges = max(shards * ranges_per_shard, -(-count // rows_per_range))
     cuts = np.unique(np.concatenate([[low], _quantile_cuts(_sample(rows, total, ranges * SAMPLES_PER_RANGE, 0), ranges)])).astype(np.int64)
     limit, share = 4 * total / ranges, total / shards
     for turn in count_up():
@@ -90,33 +95,43 @@ def plan_shards(rows: DataFrame, shards: int, ranges_per_shard: int = RANGES_PER
         sample = _sample(inside, int(over["bytes"].sum()), int(len(over) * 8 * SAMPLES_PER_RANGE), turn + 1)
         cuts = np.unique(np.concatenate([cuts, _quantile_cuts(sample, len(over) * 8), over["low"], over["low"] + 1])).astype(np.int64)
     pieces = np.ones(len(cuts), np.int64)
+    long = table[table["n"] > 2 * rows_per_range]
+    pieces[long["range"]] = np.ceil(long["n"] / rows_per_range).astype(np.int64)
     heavy = table[(table["bytes"] > share) & (table["n"] > 1)]
-    pieces[heavy["range"]] = np.ceil(heavy["bytes"] / (share / 8)).astype(np.int64)
+    pieces[heavy["range"]] = np.maximum(pieces[heavy["range"]], np.ceil(heavy["bytes"] / (share / 8)).astype(np.int64))
+    apart = set(heavy["range"].tolist())
     parts = {(int(r), 0): (int(b), int(n)) for r, b, n in zip(table["range"], table["bytes"], table["n"]) if pieces[r] == 1}
-    if len(heavy):
-        cut = sized.where(F.col("range").isin(heavy["range"].tolist())).withColumn("piece", _piece(pieces, F.col("range"), F.col("row")))
+    if len(some := np.flatnonzero(pieces > 1).tolist()):
+        cut = sized.where(F.col("range").isin(some)).withColumn("piece", _piece(pieces, F.col("range"), F.col("row")))
         for r in cut.groupBy("range", "piece").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect():
             parts[r["range"], r["piece"]] = (r["bytes"], r["n"])
+    units: dict[tuple[int, int], list[int]] = {}  # what goes to one shard: a range, or a piece of an overfull key
+    for r, p in sorted(parts):
+        units.setdefault((r, p if r in apart else 0), []).append(p)
+    weight = {u: sum(parts[u[0], p][0] for p in ps) for u, ps in units.items()}
     heap = [(0, s) for s in range(shards)]
     filled = [0] * shards
     placed = []
-    for (r, p), (size, n) in sorted(parts.items(), key=lambda x: (-x[1][0], x[0])):
+    for unit in sorted(units, key=lambda u: (-weight[u], u)):
         held, s = heapq.heappop(heap)
-        placed.append((r, p, s, filled[s]))
-        filled[s] += n
-        heapq.heappush(heap, (held + size, s))
+        for p in units[unit]:
+            placed.append((unit[0], p, s, filled[s]))
+            filled[s] += parts[unit[0], p][1]
+        heapq.heappush(heap, (held + weight[unit], s))
     return Plan(cuts, pieces, placed)
 
 
 def _piece(pieces: np.ndarray, ranges: Column, row: Column) -> Column:
     """Which piece of its range a row belongs to."""
-    out = F.lit(0)
-    for r in np.flatnonzero(pieces > 1).tolist():
-        out = F.when(ranges == r, F.pmod(F.xxhash64(row), F.lit(int(pieces[r]))).cast("int")).otherwise(out)
-    return out
+
+    @F.pandas_udf("int")
+    def count(r: pd.Series) -> pd.Series:
+        return pd.Series(pieces[r.to_numpy()].astype(np.int32))
+
+    return F.pmod(F.xxhash64(row), count(ranges)).cast("int") if (pieces > 1).any() else F.lit(0)
 
 
-def shard(docs: DataFrame, shards: int = 24, group: str = "text", size: Column | None = None, id_col: str = "doc_id") -> DataFrame:
+def shard(docs: DataFrame, shards: int = 24, group: str = "text", size: Column | None = None, id_col: str = "doc_id", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """``docs`` with ``shard`` and ``slot`` (gapless from 0 in each shard).
 
     ``size`` is what is to be near equal (default: UTF-8 bytes of ``group``
@@ -127,7 +142,7 @@ def shard(docs: DataFrame, shards: int = 24, group: str = "text", size: Column |
     weight = size if size is not None else F.coalesce(F.octet_length(F.col(group)), F.lit(0)).cast("long") + 8
     docs = stable(docs)
     rows = docs.select("*", F.xxhash64(F.col(group)).alias(own[0]), F.monotonically_increasing_id().alias(own[1]), weight.alias(own[2]))
-    plan = plan_shards(rows.select(F.col(own[0]).alias("key"), F.col(own[1]).alias("row"), F.col(own[2]).alias("size")), shards)
+    plan = plan_shards(rows.select(F.col(own[0]).alias("key"), F.col(own[1]).alias("row"), F.col(own[2]).alias("size")), shards, rows_per_range=rows_per_range)
     spark = docs.sparkSession
     places = spark.createDataFrame(plan.placed, "__sl_range int, __sl_piece int, __sl_shard int, __sl_base long")
     dealt = rows.withColumn(own[3], _range_of(plan.cuts)(own[0])).withColumn(own[4], _piece(plan.pieces, F.col(own[3]), F.col(own[1])))

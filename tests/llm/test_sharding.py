@@ -59,3 +59,13 @@ def test_copies_that_fit_a_shard_stay_together(spark, docs_of):
     table = docs_of([(i, t.ljust(40)) for i, t in rows])
     placed = shard(table, 4).where("doc_id < 1000")
     assert placed.select("shard").distinct().count() == 1
+
+
+def test_many_copies_are_numbered_in_pieces_of_one_shard(spark, docs_of):
+    rows = [(i, "tiny") for i in range(900)] + [(2000 + i, f"{i} " * 60) for i in range(600)]
+    got = shard(docs_of(rows), 4, rows_per_range=100).collect()
+    check(got, 4)
+    assert len(got) == len(rows)
+    assert len({r["shard"] for r in got if r["text"] == "tiny"}) == 1
+    parts = sizes(got, 4)
+    assert max(parts) < 1.05 * sum(parts) / 4
