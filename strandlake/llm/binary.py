@@ -13,11 +13,15 @@ A file holds consecutive documents in ascending id order (nulls first):
     footer u64 offset of each block, u64 number of blocks, magic
 
 The rank table is a file of its own (u32 ids by rank). A block holds whole
-documents, about ``BLOCK_IDS`` ids (a longer document makes a block alone).
+documents, about ``BLOCK_IDS`` ids (a longer document makes a block alone); a
+file holds whole blocks and ends once it has ``FILE_BYTES``.
 
 Null texts hold the end id alone. Repeated rows are written once each; null
-document ids are flagged. Writers name files by attempt and only a finished
-task's files reach the manifest, so a task may run again anywhere.
+document ids are flagged. Texts of one id stand in the order of a hash of their
+ids. Texts of any length are encoded whole. An empty table makes no file but
+the rank table and reads back as an empty table. Columns other than id and text
+aren't read, whatever their names. Writers name files by attempt and only a
+finished task's files reach the manifest, so a task may run again anywhere.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ from .tokens import default_vocabulary, encoder_for
 
 MAGIC = b"SLTOKEN1"
 BLOCK_IDS = 1 << 20
+FILE_BYTES = 64 << 20
 END_ID = 2
 
 #: For each control byte, the lengths of its four ids.
@@ -121,10 +126,10 @@ def _write_block(out, docs: list, bodies: list[bytes], rank: np.ndarray) -> int:
     return len(body)
 
 
-def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
+def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", vocabulary: str | None = None, end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Tokenise ``docs`` and write them to files under ``path``. Returns the
     manifest: ``file, first_doc, documents, n_ids`` (files in order of
-    ``number``)."""
+    ``number`` and ``part``)."""
     spark = docs.sparkSession
     vocabulary = vocabulary or default_vocabulary()
     tokens = materialize(_tokenize(docs, id_col, text, vocabulary, end_id), "tokens")
@@ -138,30 +143,46 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text: str =
 
     def run(batches):
         fs, root = shared_fs(path)
-        name, docs, bodies, held, offsets, at = f"{root}/part-{uuid.uuid4().hex}.tok", [], [], 0, [], len(MAGIC)
-        out, first, count, total, ordinal = None, None, 0, 0, None
+        names = ["file", "number", "part", "first_doc", "documents", "n_ids"]
+        out = name = first = None
+        docs, bodies, offsets = [], [], []
+        held = count = total = at = part = 0
+
+        def end_block():
+            nonlocal docs, bodies, held, at
+            offsets.append(at)
+            at += _write_block(out, docs, bodies, rank)
+            docs, bodies, held = [], [], 0
+
+        def end_file(number):
+            nonlocal out, offsets, count, total, part
+            out.write(np.array([*offsets, len(offsets)], "<u8").tobytes() + MAGIC)
+            out.close()
+            done = pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((name, pa.string()), (number, pa.int32()), (part, pa.int32()), (first, pa.int64()), (count, pa.int64()), (total, pa.int64()))], names=names)
+            out, offsets, count, total, part = None, [], 0, 0, part + 1
+            return done
+
+        number = None
         for batch in batches:
-            for doc, body, number in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for doc, body, number in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if bodies and held + len(body) // 2 > BLOCK_IDS:
+                    end_block()
+                    if at >= file_bytes:
+                        yield end_file(number)
                 if out is None:
-                    out, first, ordinal = fs.open_output_stream(name, compression=None), doc, number
+                    name, first, at = f"{root}/part-{uuid.uuid4().hex}.tok", doc, len(MAGIC)
+                    out = fs.open_output_stream(name, compression=None)
                     out.write(MAGIC)
-                if bodies and held + len(body) // 2 > BLOCK_IDS:
-                    offsets.append(at)
-                    at += _write_block(out, docs, bodies, rank)
-                    docs, bodies, held = [], [], 0
                 docs.append(doc)
                 bodies.append(body)
                 held += len(body) // 2
                 count, total = count + 1, total + len(body) // 2
         if out is not None:
-            offsets.append(at)
-            _write_block(out, docs, bodies, rank)
-            out.write(np.array([*offsets, len(offsets)], "<u8").tobytes() + MAGIC)
-            out.close()
-            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((name, pa.string()), (ordinal, pa.int32()), (first, pa.int64()), (count, pa.int64()), (total, pa.int64()))], names=["file", "number", "first_doc", "documents", "n_ids"])
+            end_block()
+            yield end_file(number)
 
     ordered = tokens.withColumn("tie", F.xxhash64("ids")).repartitionByRange("doc", "tie").sortWithinPartitions("doc", "tie").select("doc", "ids", F.spark_partition_id().alias("number"))
-    manifest = materialize(ordered.mapInArrow(run, "file string, number int, first_doc long, documents long, n_ids long"), "manifest")
+    manifest = materialize(ordered.mapInArrow(run, "file string, number int, part int, first_doc long, documents long, n_ids long"), "manifest")
     discard(tokens)
     return manifest
 
@@ -185,9 +206,9 @@ def read_tokens(manifest: DataFrame, path: str, with_ids: bool = True) -> DataFr
     """Decode the files of a manifest: ``doc_id, start, n_tokens, ids_crc32``
     per document and, with ``with_ids``, ``ids`` (array of int)."""
     spark = manifest.sparkSession
-    listed = manifest.select("number", "file", "n_ids")
+    listed = manifest.select("number", "part", "file", "n_ids")
     base, at = {}, 0
-    for row in sorted(listed.collect(), key=lambda r: r["number"]):  # one row per file written
+    for row in sorted(listed.collect(), key=lambda r: (r["number"], r["part"])):  # one row per file written
         base[row["file"]] = at
         at += row["n_ids"]
 
@@ -223,9 +244,9 @@ def read_tokens(manifest: DataFrame, path: str, with_ids: bool = True) -> DataFr
                             columns.append(pa.array(lists, pa.list_(pa.int32())))
                         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(columns)])
 
-    files = spark.createDataFrame([(k, v) for k, v in base.items()], "file string, start long")
+    files = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(base.items())], "file string, start long, task int")
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return files.repartition(max(1, len(base))).mapInArrow(run, schema)
+    return files.repartitionById(max(1, len(base)), "task").mapInArrow(run, schema)  # one file a task
 
 
 __all__ = ["decode_ranks", "encode_ranks", "fresh_path", "rank_table", "read_tokens", "write_tokens"]

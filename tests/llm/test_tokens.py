@@ -105,3 +105,14 @@ def test_files_round_trip(spark, docs_of, encoder, no_docs, tmp_path, monkeypatc
         at += r["n_tokens"]
     empty = f"file://{tmp_path}/none"
     assert bi.read_tokens(bi.write_tokens(no_docs, empty), empty).count() == 0
+
+
+def test_files_are_rolled_by_size(spark, docs_of, tmp_path):
+    rows = [(i, "the of " * 550_000) for i in range(3)] + [(10 + i, f"word {i}") for i in range(5)]
+    path = f"file://{tmp_path}/rolled"
+    manifest = bi.write_tokens(docs_of(rows).coalesce(1), path, file_bytes=1000)
+    assert manifest.count() >= 3
+    back = bi.read_tokens(manifest, path, with_ids=False).orderBy("start").collect()
+    assert [r["doc_id"] for r in back] == [i for i, _ in rows]
+    assert [r["start"] for r in back] == np.cumsum([0, *(r["n_tokens"] for r in back)])[:-1].tolist()
+    assert back[0]["n_tokens"] == 1_100_001
