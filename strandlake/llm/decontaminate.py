@@ -1,20 +1,26 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
 The index is partitioned by document: one row is a segment of whole documents
-with the postings (term, positions) of every benchmark term in it, laid out as
-three integer arrays. Positions run through the segment with a gap after each
-document, so no phrase can cross documents. A search visits every segment once,
-takes a phrase's terms from the rarest (by their count in the whole corpus) to
-the most frequent, and intersects their lists after subtracting each term's
-offset in the phrase, stopping as soon as nothing is left.
+with the postings (term, positions) of every term in it: the distinct terms,
+the length of each one's list, and all lists in a row. Positions run through
+the segment with a gap after each document, so no phrase can cross documents.
+A search visits every segment once, takes a phrase's terms from the rarest (by
+their count in the whole corpus) to the most frequent, and intersects their
+lists after subtracting each term's offset in the phrase, stopping as soon as
+nothing is left. The index doesn't depend on the benchmark.
 
 The benchmark is read in blocks of at most ``BLOCK_BYTES`` of text, checked
 before anything is sent to executors; a larger benchmark makes more blocks,
-each searched over its own index, whose spans are merged per document. A single
-item is never split, so one block may exceed the bound by one item.
+each searched over the same index, whose spans are merged per document. A
+single item is never split, so one block may exceed the bound by one item.
 
 Nulls and texts without words have no words and are never hit. Repeated rows
-are separate documents. An empty benchmark leaves every document clean.
+are separate documents, whatever their ids; items of one id count as one item.
+A text of any length is one document of a segment. An empty benchmark leaves
+every document clean, an empty table gives an empty result. Item ids may have
+any plain type; a null id is an item, though it has no place in the digest's
+list. Extra columns, whatever their names, pass through ``decontaminate``
+untouched.
 """
 
 from __future__ import annotations
@@ -24,10 +30,13 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
-from .common import ROW, materialize, small_batches, stable, with_row_id, without_rows
+from .common import ROW, discard, materialize, small_batches, stable, with_row_id, without_rows
 
 WINDOW = 10
 BLOCK_BYTES = 1 << 20
@@ -37,7 +46,7 @@ SEGMENT_WORDS = 1_000_000
 #: make words, A-Z in lower case.
 _WORDS = bytes(ord(chr(i).lower()) if chr(i).isascii() and chr(i).isalnum() else i if i > 127 else 32 for i in range(256))
 
-SEGMENT_SCHEMA = "segment long, n_words binary, doc_key binary, terms binary, lengths binary, positions binary"
+SEGMENT_SCHEMA = "segment long, n_words binary, doc_key binary, terms array<binary>, lengths binary, gaps binary"
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -53,8 +62,8 @@ def windows_of(tokens: list[bytes], size: int) -> list[tuple[bytes, ...]]:
 class Phrases:
     """The distinct windows of one block of benchmark items."""
 
-    def __init__(self, items: list[tuple[int, bytes]], size: int):
-        found: dict[tuple[bytes, ...], set[int]] = {}
+    def __init__(self, items: list[tuple], size: int):
+        found: dict[tuple[bytes, ...], set] = {}
         self.item_words = {}
         for item, text in items:
             tokens = words_of(text)
@@ -62,9 +71,10 @@ class Phrases:
                 self.item_words.setdefault(item, []).append(tokens)
             for window in windows_of(tokens, size):
                 found.setdefault(window, set()).add(item)
+        #: Numbers of the terms, in ascending order of insertion.
         self.term = {t: i for i, t in enumerate(dict.fromkeys(t for w in found for t in w))}
         self.windows = [tuple(self.term[t] for t in w) for w in found]
-        self.items = [sorted(x, key=lambda v: (v is None, v)) for x in found.values()]
+        self.items = [list(x) for x in found.values()]
 
     def ordered(self, counts: np.ndarray) -> np.ndarray:
         """Each window's (term, offset) pairs from the rarest term on, filled
@@ -76,40 +86,40 @@ class Phrases:
         return out
 
 
-def build_index(docs: DataFrame, text: str, term: dict[bytes, int], segment_words: int = SEGMENT_WORDS) -> DataFrame:
-    """Segments of positional postings over whole texts; ``docs`` carries ROW."""
+def build_index(docs: DataFrame, text: str = "text", segment_words: int = SEGMENT_WORDS) -> DataFrame:
+    """Segments of positional postings of all terms, over whole texts; ``docs``
+    carries ROW. One index serves any number of benchmarks."""
     small_batches(docs.sparkSession)
     slim = docs.select(ROW, F.col(text).cast("binary").alias("__sl_text"))
 
     def run(batches):
-        from itertools import repeat
-
         keys: list[int] = []
         sizes: list[int] = []
-        codes: list[np.ndarray] = []
-        held = 0
+        tokens: list[bytes] = []
 
         def flush():
-            flat = np.concatenate(codes) if codes else np.zeros(0, np.int32)
-            at = np.flatnonzero(flat >= 0).astype(np.int32)
-            terms = flat[at]
-            order = np.argsort(terms, kind="stable")
-            present, lengths = np.unique(terms, return_counts=True)
-            arrays = (np.array(sizes, "<i8"), np.array(keys, "<i8"), present.astype("<i4"), lengths.astype("<i4"), at[order].astype("<i4"))
-            return pa.RecordBatch.from_arrays([pa.array([keys[0]], pa.int64()), *(pa.array([a.tobytes()], pa.binary()) for a in arrays)], names=["segment", "n_words", "doc_key", "terms", "lengths", "positions"])
-
-        gap = np.full(1, -1, np.int32)
+            coded = pa.array(tokens, pa.binary()).dictionary_encode()
+            codes = coded.indices.to_numpy()
+            places = np.arange(len(codes), dtype=np.int32) + np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+            order = np.argsort(codes, kind="stable")
+            lengths = np.bincount(codes, minlength=len(coded.dictionary))
+            lists = places[order]
+            gaps = np.diff(lists, prepend=np.int32(0))
+            begins = np.cumsum(lengths) - lengths
+            gaps[begins] = lists[begins]  # each list starts with its first place, then come gaps
+            terms = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+            arrays = [pa.array([x.tobytes()], pa.binary()) for x in (np.array(sizes, "<i8"), np.array(keys, "<i8"), lengths.astype("<i4"), gaps.astype("<i4"))]
+            return pa.RecordBatch.from_arrays([pa.array([keys[0]], pa.int64()), arrays[0], arrays[1], terms, arrays[2], arrays[3]], names=["segment", "n_words", "doc_key", "terms", "lengths", "gaps"])
+
         for batch in batches:
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tokens = words_of(value)
+                found = words_of(value)
                 keys.append(key)
-                sizes.append(len(tokens))
-                codes.append(np.fromiter(map(term.get, tokens, repeat(-1)), np.int32, len(tokens)))
-                codes.append(gap)
-                held += len(tokens) + 1
-                if held >= segment_words:
+                sizes.append(len(found))
+                tokens += found
+                if len(tokens) + len(keys) >= segment_words:
                     yield flush()
-                    keys, sizes, codes, held = [], [], [], 0
+                    keys, sizes, tokens = [], [], []
         if keys:
             yield flush()
 
@@ -117,15 +127,16 @@ def build_index(docs: DataFrame, text: str, term: dict[bytes, int], segment_word
 
 
 class Segment:
-    """One row of the index, opened for searching."""
+    """One row of the index, opened for searching the terms ``wanted``, which
+    go by their numbers in that array."""
 
-    def __init__(self, n_words: bytes, doc_key: bytes, terms: bytes, lengths: bytes, positions: bytes):
+    def __init__(self, n_words: bytes, doc_key: bytes, terms: pa.Array, lengths: bytes, gaps: bytes, wanted: pa.Array):
         self.sizes = np.frombuffer(n_words, "<i8")
         self.keys = np.frombuffer(doc_key, "<i8")
         self.bases = np.concatenate([[0], np.cumsum(self.sizes + 1)[:-1]]).astype(np.int64)
-        present, cuts = np.frombuffer(terms, "<i4"), np.cumsum(np.frombuffer(lengths, "<i4"))
-        flat = np.frombuffer(positions, "<i4")
-        self.lists = dict(zip(present.tolist(), np.split(flat, cuts[:-1]) if len(cuts) else []))
+        flat, stops = np.frombuffer(gaps, "<i4"), np.cumsum(np.frombuffer(lengths, "<i4"), dtype=np.int64)
+        number, at = found_in(wanted, terms)
+        self.lists = {n: np.cumsum(flat[stops[k - 1] if k else 0 : stops[k]], dtype=np.int32) for n, k in zip(number.tolist(), at.tolist())}
 
     def phrase(self, ordered: list[list[int]]) -> np.ndarray:
         """Start positions of an exact phrase."""
@@ -172,19 +183,27 @@ class Segment:
         return np.stack([first[good], last[good]], axis=1)
 
 
-def corpus_counts(index: DataFrame, n_terms: int) -> np.ndarray:
-    """How often each benchmark term occurs in the corpus; as many numbers as
-    the block has terms reach the driver, whatever the corpus."""
+def found_in(wanted: pa.Array, terms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``wanted`` are among ``terms``, and where."""
+    at = pc.index_in(wanted, value_set=terms)
+    number = np.flatnonzero(pc.is_valid(at).to_numpy(zero_copy_only=False))
+    return number, at.take(pa.array(number)).to_numpy()
+
+
+def corpus_counts(index: DataFrame, wanted: list[bytes]) -> np.ndarray:
+    """How often each of ``wanted`` occurs in the corpus; as many numbers reach
+    the driver, whatever the corpus."""
 
     def run(batches):
-        total = np.zeros(n_terms, np.int64)
+        names, total = pa.array(wanted, pa.binary()), np.zeros(len(wanted), np.int64)
         for batch in batches:
-            for t, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total[np.frombuffer(t, "<i4")] += np.frombuffer(n, "<i4")
+            for i, n in enumerate(batch.column(1).to_pylist()):
+                number, at = found_in(names, batch.column(0)[i].values)
+                total[number] += np.frombuffer(n, "<i4")[at]
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int64)), pa.array(total[seen])], names=["term", "n"])
 
-    counts = np.zeros(n_terms, np.int64)
+    counts = np.zeros(len(wanted), np.int64)
     for row in index.select("terms", "lengths").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toLocalIterator():
         counts[row["term"]] = row["n"]
     return counts
@@ -207,17 +226,19 @@ def _blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> list[list
     return blocks
 
 
-def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, slop: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, slop: int | None = None, block_bytes: int = BLOCK_BYTES, index: DataFrame | None = None) -> DataFrame:
     """Per document row (ROW): ``n_words``, ``spans`` (array of first word and
     length, merged and ascending) and ``items`` (ids found in it). ``docs``
-    carries ROW. With ``slop``, an item is found where all its terms lie within
-    that many words instead of by exact windows."""
+    carries ROW; ``index`` is what ``build_index`` made of it, if that is at
+    hand. With ``slop``, an item is found where all its terms lie within that
+    many words instead of by exact windows."""
+    index = index if index is not None else materialize(build_index(docs, text), "postings")
+    kind = benchmark.schema[item_id].dataType
     parts = []
     for block in _blocks(benchmark, item_id, item_text, block_bytes):
         phrases = Phrases(block, window)
-        index = materialize(build_index(docs, text, phrases.term), "postings")
-        counts = corpus_counts(index, len(phrases.term))
-        parts.append(_search_block(index, phrases, counts, window, slop))
+        counts = corpus_counts(index, list(phrases.term)) if phrases.term else np.zeros(0, np.int64)
+        parts.append(_search_block(index, phrases, counts, slop, kind))
     if len(parts) == 1:
         return parts[0]
     merged = parts[0]
@@ -234,18 +255,20 @@ def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: s
     return grouped.select(ROW, "n_words", joined.alias("spans"), "items")
 
 
-def _search_block(index: DataFrame, phrases: Phrases, counts: np.ndarray, window: int, slop: int | None) -> DataFrame:
+def _search_block(index: DataFrame, phrases: Phrases, counts: np.ndarray, slop: int | None, kind: DataType) -> DataFrame:
     ordered = phrases.ordered(counts)
     items = phrases.items
     lengths = [len(w) for w in phrases.windows]
     bags = [(item, [phrases.term[t] for t in tokens]) for item, lists in phrases.item_words.items() for tokens in lists]
     span = pa.struct([("first", pa.int64()), ("length", pa.int64())])
+    names, item_type = list(phrases.term), to_arrow_type(kind)
 
     def run(batches):
+        wanted = pa.array(names, pa.binary())
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(1, 6)]
-            for parts in zip(*columns):
-                segment = Segment(*parts)
+            sizes, keys, lengths_of, gaps = (batch.column(c).to_pylist() for c in ("n_words", "doc_key", "lengths", "gaps"))
+            for i in range(batch.num_rows):
+                segment = Segment(sizes[i], keys[i], batch.column("terms")[i].values, lengths_of[i], gaps[i], wanted)
                 found_start, found_stop, found_item = [], [], []
                 if slop is None:
                     rarest = np.isin(ordered[:, 0, 0], list(segment.lists)) if len(ordered) else []
@@ -282,19 +305,22 @@ def _search_block(index: DataFrame, phrases: Phrases, counts: np.ndarray, window
                         pa.array(segment.keys),
                         pa.array(segment.sizes),
                         pa.array([[{"first": a - int(base[d]), "length": b - a} for a, b in spans.get(d, ())] for d in range(len(base))], pa.list_(span)),
-                        pa.array([list(owners_of.get(d, ())) for d in range(len(base))], pa.list_(pa.int64())),
+                        pa.array([list(owners_of.get(d, ())) for d in range(len(base))], pa.list_(item_type)),
                     ],
                     names=[ROW, "n_words", "spans", "items"],
                 )
 
-    return index.mapInArrow(run, f"`{ROW}` long, n_words long, spans array<struct<first: long, length: long>>, items array<long>")
+    return index.mapInArrow(run, f"`{ROW}` long, n_words long, spans array<struct<first: long, length: long>>, items array<{kind.simpleString()}>")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a benchmark window."""
     docs = stable(docs)
-    found = search(with_row_id(docs), benchmark, text)
-    return without_rows(docs, found.where(F.size("spans") > 0).select(ROW))
+    index = materialize(build_index(with_row_id(docs), text), "postings")
+    found = search(with_row_id(docs), benchmark, text, index=index)
+    hit = materialize(found.where(F.size("spans") > 0).select(ROW), "contaminated")
+    discard(index)
+    return without_rows(docs, hit)
 
 
 def digest(found: DataFrame) -> DataFrame:

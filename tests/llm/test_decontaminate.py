@@ -98,3 +98,24 @@ def test_proximity_against_brute_force(spark, docs_of):
     found = dc.search(table, spark.createDataFrame(bodies, "item_id long, text string"), slop=5).join(table.select(ROW, "doc_id"), ROW)
     assert {r["doc_id"]: (sum(s["length"] for s in r["spans"]), set(r["items"])) for r in found.collect()} == want
     assert 20 in want[100][1] and 21 not in want[101][1]
+
+
+def test_item_ids_of_any_type(spark, docs_of):
+    docs, items = corpus(9)
+    named = [(f"item-{i}", t) for i, t in items]
+    table = with_row_id(docs_of(docs))
+    found = dc.search(table, spark.createDataFrame(named, "item_id string, text string"))
+    got = sorted(tuple(r) for r in dc.digest(found.join(table.select(ROW, "doc_id"), ROW)).collect())
+    assert got == sorted(brute_force(docs, named))
+
+
+def test_one_index_serves_several_benchmarks(spark, docs_of):
+    docs, items = corpus(11)
+    table = with_row_id(docs_of(docs)).cache()
+    index = dc.build_index(table, segment_words=500).cache()
+    assert index.count() > 5
+    for part in (items[:10], items[10:]):
+        bench = spark.createDataFrame(part, "item_id long, text string")
+        found = dc.search(docs=table, benchmark=bench, index=index)
+        got = sorted(tuple(r) for r in dc.digest(found.join(table.select(ROW, "doc_id"), ROW)).collect())
+        assert got == sorted(brute_force(docs, part))
