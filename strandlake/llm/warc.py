@@ -11,7 +11,10 @@ record is read by one ranged read and one decompression.
 Of records with equal payloads (by SHA-1, size at least ``min_bytes``) the one
 with the smallest page id, nulls last, ties by place in the input, is written
 as a response; the others become revisits that name it. Null payloads are
-empty. Repeated rows are records of their own.
+empty. Repeated rows are records of their own. A payload of any length is one
+record; a frame holds whole records and so may exceed its usual size. An empty
+table makes no file and reads back as an empty table. Columns other than id,
+url and payload aren't read, whatever their names.
 
 Writers name files by attempt, and only files that a finished task reports are
 in the index, so tasks may run again anywhere.
@@ -191,6 +194,8 @@ def read_warc(index: DataFrame) -> DataFrame:
     """Read every record of the bundles in ``index`` through their seek tables:
     ``page_id, payload_bytes, payload_digest, record_type, refers_to, url``."""
     files = index.select("file").distinct()
+    # by range of their names, which are fewer than are sampled: one file a task
+    files = files.repartitionByRange(max(1, files.count()), "file")
 
     def number(name: str) -> int | None:
         page = name.strip("<>").split(":")[2]

@@ -4,6 +4,7 @@ import hashlib
 import pyarrow.fs as pafs
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from strandlake.llm import warc
 
@@ -54,6 +55,14 @@ def test_small_payloads_stay_responses(spark, tmp_path):
     assert sum(r["record_type"] == "revisit" for r in got) == 3
 
 
+def test_one_file_a_task(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"page {i} " * 40_000) for i in range(12)], "page_id long, url string, html string").repartition(2)
+    index = warc.write_warc(pages, f"file://{tmp_path}/n", file_bytes=100)
+    n = index.select("file").distinct().count()
+    filled = warc.read_warc(index).groupBy(F.spark_partition_id()).count().count()
+    assert n > 8 and filled == n
+
+
 def test_empty(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_warc(warc.write_warc(pages, f"file://{tmp_path}/e")).count() == 0
