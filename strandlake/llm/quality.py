@@ -12,12 +12,16 @@ The scorer is fitted on a sample of documents whose expected size is
 covers all documents and whole texts.
 
 Null and empty texts get no words, score 0 and are rejected. Repeated rows get
-the same score. Extra columns pass through ``keep_good`` untouched.
+the same score, and so do equal texts of different ids. Texts of any length are
+read whole. An empty table fits a model that knows nothing and gives an empty
+result. Extra columns, whatever their names, pass through ``keep_good``
+untouched; ``score`` returns the named columns alone.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from operator import eq
 
@@ -26,9 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, materialize, small_batches, stable, with_row_id, without_rows
+from .common import discard, materialize, small_batches
 
 TRAIN_ROWS = 4000
+LEVEL_BITS = 62
 DIMS = 2048
 GOOD, BAD, NONE = 1, 0, 2
 
@@ -83,9 +88,8 @@ LABELLERS = (
 )
 
 
-def votes_of(text: bytes | None) -> int:
+def votes_of(text: bytes | None, tokens: list[bytes]) -> int:
     """All votes as one number in base 3; -1 where there are no words."""
-    tokens = (text or b"").split()
     if not tokens:
         return -1
     stats, code = statistics(tokens, text), 0
@@ -188,33 +192,44 @@ class QualityModel:
         return float(1 / (1 + np.exp(-np.clip(self.weights[at] @ share + self.weights[-1], -500, 500))))
 
 
-def fit(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) -> QualityModel:
-    """Count votes over all of ``docs``, fit the label model, then the scorer."""
-    small_batches(docs.sparkSession)
-    slim = docs.select(F.col(text).cast("binary").alias("t"))
-
-    def vote(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([votes_of(t) for t in batch.column(0).to_pylist()], pa.int64())], names=["votes"])
+def sample_level(total: int, wanted: int) -> int:
+    """Of the numbers below 2 ** LEVEL_BITS, how many let a row into the sample."""
+    return min(1 << LEVEL_BITS, -(-(wanted << LEVEL_BITS) // max(total, 1)))
 
-    patterns = slim.mapInArrow(vote, "votes long").groupBy("votes").count().toPandas()
-    total = int(patterns["count"].sum())
-    known = patterns[patterns["votes"] >= 0].sort_values("votes")
-    model = fit_label_model(known["votes"].to_numpy(np.int64), known["count"].to_numpy(np.int64)) if len(known) else fit_label_model(np.zeros(1, np.int64), np.zeros(1))
-    level = int(min(1.0, train_rows / max(total, 1)) * 1_000_000)
 
-    def sample(batches):
-        places = WordHash()
+def fit(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) -> QualityModel:
+    """Count votes over all of ``docs``, fit the label model, then the scorer.
+    One pass over the texts makes both the counts and the scorer's sample."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    level = sample_level(docs.count(), train_rows)
+    chance = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit("quality")), F.lit(1 << LEVEL_BITS))
+    slim = docs.select(F.col(text).cast("binary").alias("t"), (chance < level).alias("chosen"))
+
+    def look(batches):
+        places, counts = WordHash(), Counter()
+        names = ["votes", "n", "at", "share"]
         for batch in batches:
-            rows = [(t.split(), votes_of(t)) for t in batch.column(0).to_pylist() if t]
-            rows = [(features(tokens, places), code) for tokens, code in rows if tokens]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0][0].astype("<i2").tobytes() for r in rows], pa.binary()), pa.array([r[0][1].astype("<f4").tobytes() for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64())],
-                names=["at", "share", "votes"],
-            )
-
-    chosen = slim.where(F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit("quality")), F.lit(1_000_000)) < level)
-    rows = chosen.mapInArrow(sample, "at binary, share binary, votes long").collect()
+            at, share, codes = [], [], []
+            for t, chosen in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                tokens = (t or b"").split()
+                code = votes_of(t, tokens)
+                counts[code] += 1
+                if chosen and tokens:
+                    place, weight = features(tokens, places)
+                    at.append(place.astype("<i2").tobytes())
+                    share.append(weight.astype("<f4").tobytes())
+                    codes.append(code)
+            yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), pa.nulls(len(codes), pa.int64()), pa.array(at, pa.binary()), pa.array(share, pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64()), pa.nulls(len(counts), pa.binary()), pa.nulls(len(counts), pa.binary())], names=names)
+
+    seen = materialize(slim.mapInArrow(look, "votes long, n long, at binary, share binary"), "votes")
+    known = seen.where("n IS NOT NULL AND votes >= 0").groupBy("votes").agg(F.sum("n").alias("n")).toPandas().sort_values("votes")
+    rows = seen.where("n IS NULL").select("at", "share", "votes").collect()  # about train_rows of them
+    discard(seen)
+    if len(known) and not rows:
+        raise ValueError(f"no document with words is among about {train_rows} sampled ones; raise train_rows")
+    model = fit_label_model(known["votes"].to_numpy(np.int64), known["n"].to_numpy(np.int64)) if len(known) else fit_label_model(np.zeros(1, np.int64), np.zeros(1))
     rows.sort(key=lambda r: (r["votes"], bytes(r["at"]), bytes(r["share"])))
     table = np.zeros((len(rows), DIMS), np.float32)
     for i, r in enumerate(rows):
@@ -237,7 +252,7 @@ def score(docs: DataFrame, model: QualityModel, text: str = "text", keep: tuple[
             for t in batch.column(k).to_pylist():
                 tokens = (t or b"").split()
                 scores.append(model.score(tokens, places) if tokens else 0.0)
-                codes.append(votes_of(t))
+                codes.append(votes_of(t, tokens))
             code = np.array(codes, np.int64)
             posterior = np.where(code < 0, 0.0, model.labels.posterior(np.maximum(code, 0))) if len(code) else np.zeros(0)
             result = np.array(scores)
@@ -248,8 +263,15 @@ def score(docs: DataFrame, model: QualityModel, text: str = "text", keep: tuple[
 
 
 def keep_good(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS, threshold: float = 0.3) -> DataFrame:
-    """``docs`` without the documents that the classifier rejects."""
-    docs = stable(docs)
+    """``docs`` without the documents that the classifier rejects, in the pass
+    that scores them: nothing is shuffled or joined."""
     model = fit(docs, text, train_rows)
-    bad = materialize(score(with_row_id(docs), model, text, (ROW,), threshold).where("not good").select(ROW), "rejected")
-    return without_rows(docs, bad)
+    at = docs.columns.index(text)
+
+    def run(batches):
+        places = WordHash()
+        for batch in batches:
+            words = ((t or b"").split() for t in batch.column(at).cast(pa.binary()).to_pylist())
+            yield batch.filter(pa.array([bool(w) and model.score(w, places) >= threshold for w in words], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -37,6 +37,27 @@ def test_held_out_labels(spark):
     assert sum(not r["good"] for r in bad) / len(bad) > 0.95
 
 
+@pytest.mark.parametrize("total", [10**k for k in range(3, 13)])
+def test_sample_at_any_size(total):
+    expected = qu.sample_level(total, 4000) / 2**qu.LEVEL_BITS * total
+    assert expected == pytest.approx(min(total, 4000), rel=1e-6)
+
+
+def test_a_sample_without_words_is_an_error(spark, docs_of):
+    rows = docs_of([(i, None) for i in range(3000)] + [(3000, "the one text")])
+    with pytest.raises(ValueError, match="train_rows"):
+        qu.fit(rows, train_rows=1)
+
+
+def test_stage_is_one_pass(spark, docs_of):
+    docs = docs_of([(i, f"the text of no {i} and that is it.") for i in range(20)] + [(30, "$$ ## @@ $$ ## @@ || <<" * 9)] * 3)
+    kept = qu.keep_good(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    scored = {r["doc_id"]: r["good"] for r in qu.score(docs, qu.fit(docs)).collect()}
+    assert {r["doc_id"] for r in kept.collect()} == {k for k, v in scored.items() if v}
+
+
 def test_edges(spark, docs_of, edge_docs, no_docs):
     model = qu.fit(edge_docs)
     rows = qu.score(edge_docs, model).collect()
