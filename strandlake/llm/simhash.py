@@ -10,7 +10,10 @@ spanning forest of what it links, never all pairs of a group.
 
 Null or wordless texts have fingerprint zero and link like any other. Null ids
 never become a component's id unless all its ids are null. Repeated rows keep
-one result row each. Extra columns are ignored by ``fingerprint``.
+one result row each, as do different texts of one id. Texts of any length are
+read whole. An empty table gives an empty result. Columns other than id and
+text are ignored by ``fingerprint`` and pass through ``drop_near_duplicates``
+untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,8 +29,8 @@ from .common import ROW, discard, materialize, small_batches, stable, with_row_i
 from .components import connected_components
 
 TILE = 256
-BLOCK = 131_072
-GROUP_BLOCK = 512
+SMALL_BLOCK, BLOCK = 16_384, 131_072
+GROUP_BLOCK, GROUP_BYTES = 512, 16 << 20
 
 
 def _bits(hashes: np.ndarray) -> np.ndarray:
@@ -201,32 +204,42 @@ def similar_in_cell(sets: list[np.ndarray], cut: int, sketches: list[tuple[np.nd
     return linked, root[linked]
 
 
+def grid_side(n: int) -> int:
+    """Cells along a side of the grid: of ``SMALL_BLOCK`` rows each, so that a
+    mid-sized table keeps some dozens of tasks busy; larger ones, up to
+    ``BLOCK`` rows, where the table grows, as each row is sent to that many."""
+    return max(4, min(8, math.ceil(n / SMALL_BLOCK)), math.ceil(n / BLOCK))
+
+
 def fingerprint_edges(distinct: DataFrame, radius: int, bits: int, similarity: float = 0.0, odd: bool = False) -> DataFrame:
     """Spanning forests of the links of ``near_pairs``, over all pairs of cells
     of a grid: ``distinct`` has node long, fp binary and size int, one row per
     node."""
-    n = distinct.count()
-    side = max(4, math.ceil(n / BLOCK))
+    side = grid_side(distinct.count())
     width = bits // 64
+    low, high = F.least("mine", "other"), F.greatest("mine", "other")
     cells = (
         distinct.withColumn("mine", F.pmod(F.xxhash64("node"), F.lit(side)).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(side - 1))))
-        .select(F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "fp", "size")
+        .select(((high * (high + 1) / 2).cast("int") + low).alias("cell"), (F.col("mine") <= F.col("other")).alias("first"), (F.col("mine") == F.col("other")).alias("alone"), "node", "fp", "size")
     )
 
-    def compare(key, table):
-        i, j = (k.as_py() for k in key)
-        nodes = table.column("node").to_numpy()
+    def compare(batches):
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        # cells are numbered, and each number is a partition of its own
+        table = pa.Table.from_batches(held)
+        nodes, sizes = table.column("node").to_numpy(), table.column("size").to_numpy()
         fps = np.frombuffer(b"".join(table.column("fp").to_pylist()), ">u8").astype(np.uint64).reshape(-1, width)
-        first = table.column("mine").to_numpy() == i
-        sizes = table.column("size").to_numpy()
-        order = nodes if i == j else np.concatenate([nodes[first], nodes[~first]])
-        sizes = sizes if i == j else np.concatenate([sizes[first], sizes[~first]])
-        sides = (fps, None) if i == j else (fps[first], fps[~first])
-        node, root = link_cell(*sides, radius, sizes, similarity, odd)
-        return pa.table({"a": order[node], "b": order[root]})
+        first = table.column("first").to_numpy()
+        one = bool(table.column("alone")[0].as_py())
+        order = np.arange(len(nodes)) if one else np.concatenate([np.flatnonzero(first), np.flatnonzero(~first)])
+        sides = (fps, None) if one else (fps[first], fps[~first])
+        node, root = link_cell(*sides, radius, sizes[order], similarity, odd)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[order[node]]), pa.array(nodes[order[root]])], names=["a", "b"])
 
-    return cells.repartition(side * (side + 1) // 2, "i", "j").groupBy("i", "j").applyInArrow(compare, "a long, b long")
+    return cells.repartitionById(side * (side + 1) // 2, "cell").drop("cell").mapInArrow(compare, "a long, b long")
 
 
 def link_fingerprints(distinct: DataFrame, radius: int, bits: int) -> DataFrame:
@@ -305,9 +318,9 @@ def link_similar(distinct: DataFrame, radius: int, bits: int, texts: DataFrame,
 
     Candidates among small sets are those whose odd sketches allow it, which
     loses no pair; among larger ones those whose majority sketches are within
-    ``radius``. Groups of candidates are cut into blocks, and every pair of
-    blocks is a cell that compares its candidates exactly and emits a spanning
-    forest.
+    ``radius``. Groups of candidates are cut into blocks, bounded by number and
+    by bytes, and every pair of blocks is a cell that compares its candidates
+    exactly and emits a spanning forest.
     """
     width = bits // 64
     least, border, upper = reach_of(radius, similarity)
@@ -323,7 +336,7 @@ def link_similar(distinct: DataFrame, radius: int, bits: int, texts: DataFrame,
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(sets, pa.binary())], names=["root", "node", "fp", "odd", "shingles"])
 
     members = materialize(texts.join(wanted, ROW).select("root", "node", "fp", "odd", "body").mapInArrow(sets_of, "root long, node long, fp binary, odd binary, shingles binary"), "shingles")
-    sizes = materialize(members.groupBy("root").agg(F.ceil(F.count("*") / F.lit(GROUP_BLOCK)).cast("int").alias("blocks")), "blocks")
+    sizes = materialize(members.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / F.lit(GROUP_BLOCK), F.sum(F.octet_length("shingles")) / F.lit(GROUP_BYTES))).cast("int").alias("blocks")), "blocks")
     cells = (
         members.join(sizes, "root")
         .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
