@@ -18,10 +18,14 @@ import tempfile
 import uuid
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROW = "__sl_row"
+#: A row's number is that of its partition, then of its place in it.
+ROW_BITS, PART_BITS = 33, 4
 
 
 def reach_workers(spark: SparkSession) -> None:
@@ -102,9 +106,51 @@ def with_row_id(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW, F.monotonically_increasing_id())
 
 
+def by_part(table: DataFrame, tag: str) -> str:
+    """Write ``table``, which has ROW, so that each task over the numbered scan
+    finds its own rows (``own_part``): whole texts then stay where they are,
+    however many rows the table has. A file holds the rows of ``1 << PART_BITS``
+    partitions of the scan."""
+    path = fresh_path(table.sparkSession, tag)
+    part = F.shiftright(F.col(ROW), ROW_BITS)
+    keyed = table.withColumn("part", part).withColumn("group", F.shiftright(part, PART_BITS))
+    keyed.repartition("group").sortWithinPartitions("part").write.partitionBy("group").option("compression", "zstd").parquet(path)
+    return path
+
+
+def own_part(path: str, part: int, columns: list[str]) -> pa.Table:
+    """The rows of partition ``part`` of the scan, from what ``by_part`` wrote."""
+    from pyarrow import parquet
+    from pyarrow.fs import FileType
+
+    fs, root = shared_fs(f"{path}/group={part >> PART_BITS}")
+    if fs.get_file_info(root).type == FileType.NotFound:
+        return pa.table({c: [] for c in columns})
+    return parquet.read_table(root, columns=columns, filters=[("part", "=", part)], filesystem=fs, partitioning=None)
+
+
+def with_own_part(batches, path: str, columns: list[str]):
+    """Pairs of each batch (whose last column is ROW) and its part's table."""
+    part, table = -1, None
+    for batch in batches:
+        if batch.num_rows:
+            mine = batch.column(batch.num_columns - 1)[0].as_py() >> ROW_BITS
+            if mine != part:
+                part, table = mine, own_part(path, mine, columns)
+            yield batch, table
+
+
 def without_rows(df: DataFrame, rows: DataFrame) -> DataFrame:
-    """``df`` (as given to ``with_row_id``) without the rows listed in ``rows``."""
-    return with_row_id(df).join(rows.select(ROW), ROW, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    """``df`` (as given to ``with_row_id``) without the rows listed in ``rows``;
+    every task drops its own, so only the list is shuffled."""
+    path = by_part(rows.select(ROW), "left-out")
+
+    def run(batches):
+        for batch, table in with_own_part(batches, path, [ROW]):
+            lost = np.isin(batch.column(batch.num_columns - 1).to_numpy(), np.asarray(table.column(ROW), np.int64))
+            yield batch.select(range(batch.num_columns - 1)).filter(pa.array(~lost))
+
+    return with_row_id(df).mapInArrow(run, df.schema)
 
 
 def shared_fs(uri: str):

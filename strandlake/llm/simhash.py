@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, discard, materialize, small_batches, stable, with_row_id, without_rows
+from .common import ROW, by_part, discard, drop_path, materialize, small_batches, stable, with_own_part, with_row_id, without_rows
 from .components import connected_components
 
 TILE = 256
-SMALL_BLOCK, BLOCK = 16_384, 131_072
+SMALL, BLOCK = 16_384, 131_072
 GROUP_BLOCK, GROUP_BYTES = 512, 16 << 20
 
 
@@ -205,10 +205,10 @@ def similar_in_cell(sets: list[np.ndarray], cut: int, sketches: list[tuple[np.nd
 
 
 def grid_side(n: int) -> int:
-    """Cells along a side of the grid: of ``SMALL_BLOCK`` rows each, so that a
-    mid-sized table keeps some dozens of tasks busy; larger ones, up to
-    ``BLOCK`` rows, where the table grows, as each row is sent to that many."""
-    return max(4, min(8, math.ceil(n / SMALL_BLOCK)), math.ceil(n / BLOCK))
+    """Blocks along a side of the grid: enough to keep some dozens of tasks
+    busy, more where a block would exceed ``BLOCK`` rows. Each row is sent to
+    that many cells."""
+    return max(4 if n <= SMALL else 8, math.ceil(n / BLOCK))
 
 
 def fingerprint_edges(distinct: DataFrame, radius: int, bits: int, similarity: float = 0.0, odd: bool = False) -> DataFrame:
@@ -314,7 +314,7 @@ def set_fingerprints(docs: DataFrame, text: str, keep: tuple[str, ...], words: i
 def link_similar(distinct: DataFrame, radius: int, bits: int, texts: DataFrame, words: int, similarity: float) -> DataFrame:
     """``node, root`` where shingle sets have at least ``similarity`` (Jaccard).
     ``distinct`` has one row per shingle set (see ``set_fingerprints``), and
-    ``at``, the row of one of its documents; ``texts``: ROW, body.
+    ``at``, the row of one of its documents; ``texts``: body, ROW.
 
     Candidates among small sets are those whose odd sketches allow it, which
     loses no pair; among larger ones those whose majority sketches are within
@@ -328,14 +328,22 @@ def link_similar(distinct: DataFrame, radius: int, bits: int, texts: DataFrame,
     large = distinct.where(F.col("size") > border).select("node", "size", "fp")
     edges = fingerprint_edges(small, radius, bits, similarity, True).unionByName(fingerprint_edges(large, radius, bits, similarity))
     groups = materialize(connected_components(edges), "candidates")
-    wanted = materialize(distinct.join(groups, "node").select("root", "node", "fp", "odd", F.col("at").alias(ROW)), "wanted")
+    wanted = by_part(distinct.join(groups, "node").select("root", "node", "fp", "odd", F.col("at").alias(ROW)), "wanted")
+    carried = ["root", "node", "fp", "odd"]
 
     def sets_of(batches):
-        for batch in batches:
-            sets = [shingle_set(t, words).tobytes() for t in batch.column(4).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(sets, pa.binary())], names=["root", "node", "fp", "odd", "shingles"])
-
-    members = materialize(texts.join(wanted, ROW).select("root", "node", "fp", "odd", "body").mapInArrow(sets_of, "root long, node long, fp binary, odd binary, shingles binary"), "shingles")
+        for batch, table in with_own_part(batches, wanted, [ROW, *carried]):
+            rows = np.asarray(table.column(ROW), np.int64)
+            order = np.argsort(rows)
+            mine = batch.column(1).to_numpy()
+            at = np.searchsorted(rows[order], mine)
+            found = np.flatnonzero(at < len(rows))
+            found = found[rows[order[at[found]]] == mine[found]]
+            sets = [shingle_set(t, words).tobytes() for t in batch.column(0).take(pa.array(found)).to_pylist()]
+            there = table.take(pa.array(order[at[found]])).combine_chunks()
+            yield from pa.table([*(there.column(c) for c in carried), pa.array(sets, pa.binary())], names=[*carried, "shingles"]).to_batches()
+
+    members = materialize(texts.mapInArrow(sets_of, "root long, node long, fp binary, odd binary, shingles binary"), "shingles")
     sizes = materialize(members.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / F.lit(GROUP_BLOCK), F.sum(F.octet_length("shingles")) / F.lit(GROUP_BYTES))).cast("int").alias("blocks")), "blocks")
     cells = (
         members.join(sizes, "root")
@@ -367,8 +375,9 @@ def link_similar(distinct: DataFrame, radius: int, bits: int, texts: DataFrame,
 
     edges = cells.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(compare, "a long, b long")
     roots = materialize(connected_components(edges), "similar")
-    for table in (groups, wanted, members, sizes):
+    for table in (groups, members, sizes):
         discard(table)
+    drop_path(texts.sparkSession, wanted)
     return roots
 
 
@@ -395,7 +404,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     if similarity is None:
         roots = materialize(link_fingerprints(distinct.select("node", "fp"), radius, bits), "roots")
     else:
-        texts = with_row_id(docs).select(ROW, F.col(text).cast("binary").alias("body"))
+        texts = with_row_id(docs.select(F.col(text).cast("binary").alias("body")))
         roots = link_similar(distinct, radius, bits, texts, words, similarity)
     grouped = roots.join(distinct, "node")
     best = materialize(grouped.groupBy("root").agg(F.min("least").alias("component")), "best")
