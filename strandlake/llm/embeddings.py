@@ -16,7 +16,10 @@ list. Nothing is broadcast or sent to the driver but counts.
 
 Null labels, and vectors that are null, zero, or hold null or non-finite
 components, link with nothing and stand alone; vectors of different lengths
-never link. Repeated rows are vectors of their own.
+never link. Repeated rows are vectors of their own, and so are rows of one id.
+Lists of neighbours break ties by number; no result depends on them. An empty
+table gives an empty result. Columns other than id, vector and label aren't
+read, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 from .components import connected_components
 
 K, WIDE, TABLES, WINDOW, ROUNDS = 8, 32, 10, 12, 3
@@ -162,9 +165,10 @@ def best_lists(edges: DataFrame, k: int, wide: int, threshold: float) -> DataFra
     return ranked.where((F.col("place") <= k) | ((F.col("place") <= wide) & (F.col("sim") >= threshold - SLACK))).select("src", "dst", "sim", (F.col("fresh") == 1).alias("fresh"))
 
 
-def descend(graph: DataFrame, classes: DataFrame, k: int, threshold: float) -> DataFrame:
+def descend(graph: DataFrame, classes: DataFrame, k: int, wide: int, threshold: float) -> DataFrame:
     """One round: all pairs that share a neighbour, at least one of them new
-    to it, where the pair beats the worst of a list. ``src, dst, sim``."""
+    to it, where the pair beats the worst of a list, and the lists that the
+    old ones and these pairs make. ``graph`` is discarded."""
     both = graph.select(F.col("src").alias("mid"), F.col("dst").alias("who"), "fresh").unionByName(graph.select(F.col("dst").alias("mid"), F.col("src").alias("who"), "fresh"))
     both = both.groupBy("mid", "who").agg(F.max(F.col("fresh").cast("int")).alias("fresh"))
     degree = materialize(both.groupBy("mid").agg(F.count("*").alias("deg"), F.max("fresh").alias("any")), "degree")
@@ -202,7 +206,11 @@ def descend(graph: DataFrame, classes: DataFrame, k: int, threshold: float) -> D
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (src, dst, sim)], names=["src", "dst", "sim"])
 
-    return ordered.mapInArrow(local, "src long, dst long, sim float")
+    found = ordered.mapInArrow(local, "src long, dst long, sim float").withColumn("fresh", F.lit(True))
+    after = materialize(best_lists(graph.withColumn("fresh", F.lit(False)).unionByName(found), k, wide, threshold), "graph")
+    for table in (degree, floor, graph):
+        discard(table)
+    return after
 
 
 def tiles_of(x: np.ndarray):
@@ -306,19 +314,21 @@ def link_embeddings(table: DataFrame, id_col: str = "vec_id", vector: str = "emb
     seeds = seed_edges(classes, tables, 0, WINDOW, threshold).withColumn("fresh", F.lit(True))
     graph = materialize(best_lists(seeds, k, wide, threshold), "graph")
     for _ in range(rounds):
-        found = descend(graph, classes, k, threshold).withColumn("fresh", F.lit(True))
-        graph = materialize(best_lists(graph.withColumn("fresh", F.lit(False)).unionByName(found), k, wide, threshold), "graph")
+        graph = descend(graph, classes, k, wide, threshold)
         fresh, strong = graph.agg(F.count_if("fresh"), F.count_if(F.col("fresh") & (F.col("sim") >= threshold - SLACK))).first()
         if not strong or fresh < 0.001 * graph.count():
             break
     roots = connected_components(graph.where(F.col("sim") >= threshold - SLACK).select("src", "dst")).withColumnRenamed("node", "cls")
     grouped = classes.join(roots, "cls", "left").select("label", "dim", F.coalesce("root", "cls").alias("root"), "cls", "n", "unit")
     exact = materialize(exact_links(grouped, threshold), "exact")
+    discard(graph)
     counted = exact.groupBy("cls").agg(F.sum("links").alias("links"))
     final = connected_components(exact.select("cls", "joined")).withColumnRenamed("node", "cls")
     named = materialize(classes.join(final, "cls", "left").join(counted, "cls", "left").select("cls", "label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "cls").alias("root"), "least"), "linked")
     least = materialize(named.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     lookup = materialize(named.join(least, "root").select("label", "embedding", "n_links", "component_id"), "lookup")
+    for table in (classes, exact, named, least):
+        discard(table)
     joined = rows.join(lookup, ["label", "embedding"], "left")
     component = F.coalesce("component_id", "vec")
     return joined.select(F.col("vec").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec").eqNullSafe(component).alias("kept"))
