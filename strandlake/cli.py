@@ -29,27 +29,38 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--output", required=True)
     p = sub.add_parser("download-genome", help="a pinned genome")
     p.add_argument("--name", required=True)
-    p.add_argument("--manifest", required=True, help="JSON list of name, url, md5")
+    p.add_argument("--manifest", help="JSON list of name, url, md5; the releases known here by default")
     p.add_argument("--output-dir", required=True)
     return parser
 
 
+def session(threads: int):
+    """A session under the master that the launcher gives; local without one."""
+    from pyspark import SparkConf, SparkContext
+    from pyspark.sql import SparkSession
+
+    SparkContext._ensure_initialized()
+    builder = SparkSession.builder.appName("strandlake")
+    if not SparkConf().contains("spark.master"):
+        builder = builder.master(f"local[{max(1, threads)}]")
+    return builder.getOrCreate()
+
+
 def main(argv: list[str] | None = None) -> int:
     args = build_parser().parse_args(argv)
     logging.basicConfig(level=logging.DEBUG if args.verbose else logging.INFO)
     if args.command == "download-genome":
-        from .sources.download import Release, download_genome, find_release
+        from .sources.download import RELEASES, Release, download_genome, find_release
 
-        with open(args.manifest, encoding="utf-8") as f:
-            manifest = [Release(**x) for x in json.load(f)]
+        manifest = list(RELEASES)
+        if args.manifest:
+            with open(args.manifest, encoding="utf-8") as f:
+                manifest = [Release(**x) for x in json.load(f)]
         print(download_genome(args.output_dir, find_release(manifest, args.name)))
         return 0
-    from pyspark.sql import SparkSession
-
     from .plans import pipeline
 
-    threads = getattr(args, "threads", 8)
-    spark = SparkSession.builder.appName("strandlake").master(f"local[{max(1, threads)}]").getOrCreate()
+    spark = session(getattr(args, "threads", 8))
     if args.command == "process":
         pipeline.process(spark, pipeline.Config(args.input_dir, args.output_dir, args.genome, args.threads, args.min_coverage, args.remove_uncovered, args.annotation_dir, args.skip_annotation))
     elif args.command == "extract-cpgs":

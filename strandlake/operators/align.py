@@ -47,9 +47,11 @@ def unmatched_contigs(aligned: DataFrame) -> DataFrame:
     return per.where("hits = 0").groupBy("sample_id").agg(F.array_sort(F.collect_set("chr")).alias("contigs"))
 
 
-def check_matches(aligned: DataFrame) -> None:
-    """A sample without any match is an error that names its contigs."""
-    lost = match_totals(aligned).where("n_matched = 0 AND n_records > 0").orderBy("sample_id").first()
+def check_matches(aligned: DataFrame, totals: list | None = None) -> None:
+    """A sample without any match is an error that names its contigs.
+    ``totals``: the rows of ``match_totals``, if they are at hand."""
+    totals = totals if totals is not None else match_totals(aligned).collect()  # one row per sample
+    lost = min((t for t in totals if t["n_records"] and not t["n_matched"]), key=lambda t: t["sample_id"], default=None)
     if lost:
         names = unmatched_contigs(aligned.where(F.col("sample_id") == lost["sample_id"])).first()["contigs"]
         raise CoverageError(f"sample {lost['sample_id']}: no record matches the reference; its contigs: {', '.join(names)}")

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..contracts import AnnotationError, EngineError, MethylationSet, Reference
-from ..operators.align import align, check_matches, check_sites
+from ..operators.align import align, check_matches, check_sites, match_totals
 from ..operators.annotate import annotate
 from ..operators.assay import build_assay
 from ..operators.filters import remove_uncovered
@@ -17,6 +17,7 @@ from ..operators.genes import features, transcripts
 from ..operators.stats import coverage_stats
 from ..operators.summary import annotation_counts, annotation_report, check_dimensions, report_regions
 from ..operators.validate import validate_store
+from ..sinks.files import local_path
 from ..sinks.publish import AtomicOutputs
 from ..sinks.report import write_annotation_parts, write_annotation_tsv, write_annotation_xlsx, write_coverage_xlsx
 from ..sinks.store import read_store, write_store
@@ -54,15 +55,20 @@ def process_files(spark: SparkSession, reference: Reference, paths: list[str], m
     check_sites(reference.sites)
     found, samples = read_coverage(spark, paths)
     aligned = align(found, reference.sites)
-    check_matches(aligned)
+    totals = match_totals(aligned).orderBy("sample_id").collect()  # one row per file
+    check_matches(aligned, totals)
+    for t in totals:
+        log.info("sample %s: %d records, %d on a site", t["sample_id"], t["n_records"], t["n_matched"])
     assay = build_assay(aligned, min_coverage).cache()
     rows = reference.sites
     universe = rows.count()
+    log.info("%d sites in the reference", universe)
     if drop_uncovered:
         rows = remove_uncovered(rows, assay)
-        if rows.isEmpty():
+        kept = rows.count()
+        if not kept:
             raise EngineError("no site is covered in any sample")
-    log.info("%d sites in the reference", universe)
+        log.info("%d sites are covered in some sample", kept)
     return MethylationSet(rows, samples, assay, reference.release_name, universe)
 
 
@@ -82,17 +88,17 @@ def process(spark: SparkSession, config: Config) -> MethylationSet:
     if config.threads < 1:
         raise EngineError("threads must be at least 1")
     reference = resolve_reference(spark, config.genome)
-    paths = find_files(config.input_dir)
+    paths = find_files(spark, config.input_dir)
     gtf = None
     if not config.skip_annotation:
         if not config.annotation_dir:
             raise AnnotationError("annotation needs a folder with a gene model; or skip it")
-        gtf = find_gtf(config.annotation_dir, config.genome)
+        gtf = find_gtf(spark, config.annotation_dir, config.genome)
     data = process_files(spark, reference, paths, config.min_coverage, config.remove_uncovered)
     stats = coverage_stats(data.assay, data.col_data, data.row_data.count())
-    with AtomicOutputs(config.output_dir) as out:
+    with AtomicOutputs(config.output_dir, spark) as out:
         write_store(data, out.stage(STORE))
-        validate_store(spark, os.path.join(out.staging, STORE))
+        validate_store(spark, f"{out.staging}/{STORE}")
         write_coverage_xlsx(stats, out.stage(COVERAGE))
         if gtf:
             annotation, report = annotate_set(spark, data, gtf, data.row_data)
@@ -108,11 +114,16 @@ def process(spark: SparkSession, config: Config) -> MethylationSet:
     return data
 
 
+def _folder(path: str) -> str:
+    own = local_path(path)
+    return path.rsplit("/", 1)[0] if own is None else os.path.dirname(os.path.abspath(own))
+
+
 def extract_cpgs(spark: SparkSession, fasta: str, output: str, contigs: list[str] | None = None) -> Reference:
     """Sites of a FASTA file, saved as RON (by suffix) or as a site folder."""
     reference = extract_sites(spark, fasta, contigs)
     if output.lower().endswith(".ron"):
-        with AtomicOutputs(os.path.dirname(os.path.abspath(output))) as out:
+        with AtomicOutputs(_folder(output), spark) as out:
             write_sites(reference, out.stage(os.path.basename(output)))
             out.publish()
     else:
@@ -124,7 +135,7 @@ def qc_report(spark: SparkSession, store: str, output: str) -> DataFrame:
     """The coverage workbook of a finished store."""
     data = read_store(spark, store)
     stats = coverage_stats(data.assay, data.col_data, data.row_data.count())
-    with AtomicOutputs(os.path.dirname(os.path.abspath(output))) as out:
+    with AtomicOutputs(_folder(output), spark) as out:
         write_coverage_xlsx(stats, out.stage(os.path.basename(output)))
         out.publish()
     return stats

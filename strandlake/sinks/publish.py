@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
-import shutil
-import tempfile
 import uuid
 
+from pyspark.sql import SparkSession
+
+from .files import disk_of, local_path
+
 
 class AtomicOutputs:
     """Stage files or folders beside their targets, then swap all of them in.
@@ -17,11 +19,12 @@ class AtomicOutputs:
     drops what was staged.
     """
 
-    def __init__(self, directory: str):
-        self.directory = directory
-        os.makedirs(directory, exist_ok=True)
-        self.staging = os.path.join(directory, f".staging-{uuid.uuid4().hex}")
-        os.mkdir(self.staging)
+    def __init__(self, directory: str, spark: SparkSession | None = None):
+        self.disk = disk_of(directory, spark)
+        self.directory = (local_path(directory) or directory).rstrip("/") or "/"
+        self.disk.make(self.directory)
+        self.staging = f"{self.directory}/.staging-{uuid.uuid4().hex}"
+        self.disk.make(self.staging)
         self.staged: list[str] = []
         self.stale: list[str] = []
 
@@ -29,7 +32,7 @@ class AtomicOutputs:
         return self
 
     def __exit__(self, *_) -> None:
-        shutil.rmtree(self.staging, ignore_errors=True)
+        self.disk.remove(self.staging)
 
     @staticmethod
     def _plain(name: str) -> str:
@@ -41,40 +44,36 @@ class AtomicOutputs:
         if name in self.staged:
             raise ValueError(f"{name} is staged twice")
         self.staged.append(self._plain(name))
-        return os.path.join(self.staging, name)
+        return f"{self.staging}/{name}"
 
     def remove(self, name: str) -> None:
         self.stale.append(self._plain(name))
 
     def publish(self) -> None:
         for name in self.staged:
-            if not os.path.exists(os.path.join(self.staging, name)):
+            if not self.disk.exists(f"{self.staging}/{name}"):
                 raise FileNotFoundError(f"{name} was staged but not written")
-        backup = tempfile.mkdtemp(prefix=".backup-", dir=self.directory)
+        backup = f"{self.directory}/.backup-{uuid.uuid4().hex}"
+        self.disk.make(backup)
         done: list[tuple[str, str]] = []
 
         def move(source: str, target: str) -> None:
-            os.replace(source, target)
+            self.disk.move(source, target)
             done.append((source, target))
 
         try:
             for name in [*self.staged, *self.stale]:
-                target = os.path.join(self.directory, name)
-                if os.path.lexists(target):
-                    move(target, os.path.join(backup, name))
+                if self.disk.exists(f"{self.directory}/{name}"):
+                    move(f"{self.directory}/{name}", f"{backup}/{name}")
             for name in self.staged:
-                move(os.path.join(self.staging, name), os.path.join(self.directory, name))
+                move(f"{self.staging}/{name}", f"{self.directory}/{name}")
         except BaseException:
             for source, target in reversed(done):
-                os.replace(target, source)
+                self.disk.move(target, source)
             raise
         finally:
-            shutil.rmtree(backup, ignore_errors=True)
-        handle = os.open(self.directory, os.O_RDONLY)
-        try:
-            os.fsync(handle)
-        finally:
-            os.close(handle)
+            self.disk.remove(backup)
+        self.disk.settle(self.directory)
 
 
 def write_atomically(path: str, text: str) -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import ANNOTATION_COLUMNS, THRESHOLDS
 from ..functions.columns import tsv_field
+from .files import output_file
 
 COVERAGE_HEADERS = ("Sample", "Total CpGs", "Covered CpGs", *(f"{t}X" for t in THRESHOLDS))
 
@@ -54,7 +55,7 @@ def write_xlsx(path: str, sheet: str, header: Iterable[str], rows: Iterable[Iter
         "xl/_rels/workbook.xml.rels": f'{head}<Relationships xmlns="{package}/relationships"><Relationship Id="rId1" Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
         "xl/worksheets/sheet1.xml": f'{head}<worksheet xmlns="{main}"><sheetData>{"".join(lines)}</sheetData></worksheet>',
     }
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+    with output_file(path) as f, zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as z:
         for name, body in files.items():
             z.writestr(name, body)
 
@@ -65,7 +66,8 @@ def write_coverage_xlsx(stats: DataFrame, path: str) -> None:
 
 
 def write_annotation_xlsx(report: DataFrame, path: str) -> None:
-    write_xlsx(path, "Annotation_By_Sample", report.columns, (tuple(r) for r in report.orderBy("sample").toLocalIterator()))
+    """The sheet's name is fixed: tools open it by that."""
+    write_xlsx(path, "ChIPseeker_By_Sample", report.columns, (tuple(r) for r in report.orderBy("sample").toLocalIterator()))
 
 
 def annotation_table(annotation: DataFrame) -> DataFrame:
@@ -76,7 +78,7 @@ def annotation_table(annotation: DataFrame) -> DataFrame:
 
 def write_annotation_tsv(annotation: DataFrame, path: str) -> None:
     """One gzip file in site order, streamed partition by partition."""
-    with gzip.open(path, "wt", encoding="utf-8", newline="") as f:
+    with output_file(path, annotation.sparkSession) as out, gzip.open(out, "wt", encoding="utf-8", newline="") as f:
         f.write("\t".join(ANNOTATION_COLUMNS) + "\n")
         for r in annotation_table(annotation).orderBy("cpg_idx").drop("cpg_idx").toLocalIterator():
             f.write("\t".join(map(str, r)) + "\n")

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from ..contracts import COVERAGE_SUFFIXES, PERCENT_TOLERANCE, U32_MAX, CoverageError
 from ..functions.columns import canonical_contig
 from ..functions.names import sample_names
+from ..sinks.files import list_files, scratch_path
 
-def find_files(directory: str) -> list[str]:
+
+def find_files(spark: SparkSession, directory: str) -> list[str]:
     """Coverage files of a directory, not below it, by path. None is an error.
     Links to files count."""
-    found = sorted(e.path for e in os.scandir(directory) if e.is_file() and e.name.endswith(COVERAGE_SUFFIXES))
+    found = [p for p in list_files(spark, directory) if p.endswith(COVERAGE_SUFFIXES)]
     if not found:
         raise CoverageError(f"{directory}: no coverage files ({', '.join('*' + s for s in COVERAGE_SUFFIXES)})")
     return found
@@ -35,9 +37,9 @@ def _f64(c: Column) -> Column:
 
 
 def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """``lines`` with the parsed fields and ``problem``: the first rule that a
-    line breaks, null for sound ones. Empty lines are left out; a carriage
-    return at the end of a line is cut."""
+    """``lines`` with the parsed fields, the ``rule`` that a line breaks first,
+    and the ``problem`` in words; both are null for sound lines. Empty lines are
+    left out; a carriage return at the end of a line is cut."""
     text = F.regexp_replace(F.col(value), "\r$", "")
     cut = lines.withColumn("__f", F.split(text, "\t", -1)).where(F.length(text) > 0)
     f = lambda i: F.get("__f", F.lit(i))
@@ -46,32 +48,26 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     fields = cut.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in parts.items()]))))
     total = F.col("methylated") + F.col("unmethylated")
     expected = F.when(total == 0, F.lit(0.0)).otherwise(100.0 * F.col("methylated").cast("double") / total.cast("double"))
-    problem = (
-        F.when(F.size("__f") != 6, F.concat(F.lit("expected exactly 6 tab-separated columns, found "), F.size("__f").cast("string")))
-        .when(F.length("chr") == 0, "chromosome is empty")
-        .when(F.col("start1").isNull(), "start is not an unsigned 32-bit number")
-        .when(F.col("end1").isNull(), "end is not an unsigned 32-bit number")
-        .when(F.col("percent").isNull(), "methylation percentage is not a number")
-        .when(F.col("methylated").isNull(), "methylated count is not an unsigned 32-bit number")
-        .when(F.col("unmethylated").isNull(), "unmethylated count is not an unsigned 32-bit number")
-        .when(F.col("start1") < 1, "start must be at least 1")
-        .when(F.col("end1") != F.col("start1"), F.concat(F.lit("end "), F.col("end1").cast("string"), F.lit(" must equal start "), F.col("start1").cast("string")))
-        .when(F.isnan("percent") | ~F.col("percent").between(0, 100), "methylation percentage must be between 0 and 100")
-        .when(total > U32_MAX, "Coverage overflow: counts exceed the unsigned 32-bit range")
-        .when(F.abs(expected - F.col("percent")) > PERCENT_TOLERANCE, F.concat(F.lit("methylation percentage "), F.col("percent").cast("string"), F.lit(" does not match counts")))
+    shown = lambda words, column: F.concat(F.lit(words), column.cast("string"))
+    rules = (
+        ("encoding", ~F.is_valid_utf8(F.col(value)), F.lit("line is not valid UTF-8")),
+        ("columns", F.size("__f") != 6, shown("a line needs 6 fields parted by tabs; fields here: ", F.size("__f"))),
+        ("chromosome", F.length("chr") == 0, F.lit("chromosome is empty")),
+        ("fields", F.col("start1").isNull(), F.lit("start is not an unsigned 32-bit number")),
+        ("fields", F.col("end1").isNull(), F.lit("end is not an unsigned 32-bit number")),
+        ("fields", F.col("percent").isNull(), F.lit("methylation percentage is not a number")),
+        ("fields", F.col("methylated").isNull(), F.lit("methylated count is not an unsigned 32-bit number")),
+        ("fields", F.col("unmethylated").isNull(), F.lit("unmethylated count is not an unsigned 32-bit number")),
+        ("start", F.col("start1") < 1, F.lit("start must be at least 1")),
+        ("single_base", F.col("end1") != F.col("start1"), F.concat(shown("end ", F.col("end1")), shown(" must equal start ", F.col("start1")))),
+        ("percent_range", F.isnan("percent") | ~F.col("percent").between(0, 100), F.lit("methylation percentage must be between 0 and 100")),
+        ("overflow", total > U32_MAX, F.lit("Coverage overflow: counts exceed the unsigned 32-bit range")),
+        ("percent_match", F.abs(expected - F.col("percent")) > PERCENT_TOLERANCE, F.concat(shown("methylation percentage ", F.col("percent")), F.lit(" does not match counts"))),
     )
-    return fields.withColumn("problem", problem).drop("__f")
-
-
-RULES = (("columns", "expected exactly"), ("chromosome", "chromosome is empty"), ("fields", "is not a"), ("start", "start must be"), ("single_base", "must equal start"), ("percent_range", "must be between"), ("overflow", "Coverage overflow"), ("percent_match", "does not match"))
-
-
-def rule_of(problem: Column) -> Column:
-    """Short name of the rule that a problem breaks."""
-    out = F.lit(None).cast("string")
-    for name, words in RULES:
-        out = F.when(problem.contains(words), name).otherwise(out)
-    return F.when(problem.isNotNull(), out)
+    broken = F.lit(None).cast("struct<rule:string,problem:string>")
+    for name, wrong, words in reversed(rules):
+        broken = F.when(wrong, F.struct(F.lit(name).alias("rule"), words.alias("problem"))).otherwise(broken)
+    return fields.withColumn("__broken", broken).select(*lines.columns, *parts, F.col("__broken.rule").alias("rule"), F.col("__broken.problem").alias("problem"))
 
 
 def records(parsed: DataFrame, *keep: str) -> DataFrame:
@@ -80,26 +76,32 @@ def records(parsed: DataFrame, *keep: str) -> DataFrame:
 
 
 def _locate(spark: SparkSession, path: str) -> str:
-    """Line and reason of the first problem of one file, read once more."""
-    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n", -1)).alias("line", "value"))
-    first = parse_lines(whole).where("problem IS NOT NULL").orderBy("line").first()
-    return f"{path}, line {first['line'] + 1}: {first['problem']}"
+    """Line and reason of the first problem of one file, read once more, line
+    by line: rows are numbered in the order of the file."""
+    lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
+    first = parse_lines(lines).where("problem IS NOT NULL").agg(F.min(F.struct("at", "problem")).alias("x")).first()["x"]
+    number = lines.where(F.col("at") < first["at"]).count() + 1
+    return f"{path}, line {number}: {first['problem']}"
 
 
 def read_coverage(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame]:
     """Records of all files, validated, and the samples (``sample_idx,
-    sample_id, sample_name``) in order of path. Every check is one aggregate
-    over all files; only a file known to be bad is read again for its line."""
+    sample_id, sample_name``) in order of path. Texts are read and parsed once,
+    to a table of records; every check is one aggregate over that table. Only a
+    file known to be bad is read again for its line."""
     names = sample_names(paths)
     samples = spark.createDataFrame([(i, n, n) for i, n in enumerate(names)], "sample_idx int, sample_id string, sample_name string")
     by_file = spark.createDataFrame([(os.path.basename(p), i, n, p) for i, (n, p) in enumerate(zip(names, paths))], "file string, sample_idx int, sample_id string, path string")
     lines = spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("file"))
     # as many rows as the driver listed files
-    parsed = parse_lines(lines.join(F.broadcast(by_file), "file"))
-    bad = parsed.where("problem IS NOT NULL").agg(F.min("path")).first()[0]
+    parsed = records(parse_lines(lines.join(F.broadcast(by_file), "file")), "sample_idx", "sample_id", "path", "problem")
+    path = scratch_path(spark, "records")
+    parsed.write.option("compression", "zstd").parquet(path)
+    written = spark.read.schema(parsed.schema).parquet(path)
+    bad = written.where("problem IS NOT NULL").agg(F.min("path")).first()[0]
     if bad:
         raise CoverageError(_locate(spark, bad))
-    found = records(parsed, "sample_idx", "sample_id", "path")
+    found = written.drop("problem")
     twice = duplicates(found).orderBy("sample_id", "contig_key", "start").first()
     if twice:
         raise CoverageError(f"sample {twice['sample_id']}: duplicate record at {twice['contig_key']}:{twice['start'] + 1}")

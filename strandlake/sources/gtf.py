@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 from ..contracts import U32_MAX, AnnotationError
 from ..functions.columns import trimmed
 from ..functions.names import genome_key
+from ..sinks.files import is_directory, list_files
 
 
-def find_gtf(directory: str, genome: str) -> str:
+def find_gtf(spark: SparkSession, directory: str, genome: str) -> str:
     """The genome's file by name, else the only gene model there is."""
     key = genome_key(genome)
+    found = [p for p in list_files(spark, directory) if p.endswith((".gtf", ".gtf.gz"))] if is_directory(spark, directory) else []
     for name in (f"{key}.gtf", f"{key}.gtf.gz"):
-        path = os.path.join(directory, name)
-        if os.path.isfile(path):
-            return path
-    found = sorted(e.path for e in os.scandir(directory) if e.is_file() and e.name.endswith((".gtf", ".gtf.gz"))) if os.path.isdir(directory) else []
+        for path in found:
+            if os.path.basename(path) == name:
+                return path
     if len(found) != 1:
         raise AnnotationError(f"{directory}: {'no gene model' if not found else 'several gene models'} for {key}")
     return found[0]

@@ -3,6 +3,7 @@ are read and written on the driver; Parquet is the native form."""
 
 from __future__ import annotations
 
+import io
 import json
 import re
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import Reference, ReferenceError_
 from ..functions.columns import canonical_contig
+from ..sinks.files import output_file
 
 _TOKEN = re.compile(r"""\s*(?:("(?:[^"\\]|\\.)*")|('(?:[^'\\]|\\.)')|(-?[0-9][0-9_.eE+-]*)|([A-Za-z_][A-Za-z0-9_]*)|([()\[\]{}:,]))""")
 
@@ -102,7 +104,7 @@ def read_sites(spark: SparkSession, path: str) -> Reference:
 
 def write_sites(reference: Reference, path: str) -> None:
     quote = lambda s: json.dumps(s, ensure_ascii=False)
-    with open(path, "w", encoding="utf-8") as f:
+    with output_file(path, reference.sites.sparkSession) as out, io.TextIOWrapper(out, "utf-8", newline="") as f:
         f.write("(\n    cpgs: [\n")
         for r in reference.sites.orderBy("cpg_idx").toLocalIterator():
             f.write(f"        (\n            chr: {quote(r['chr'])},\n            start: {r['start']},\n            end: {r['end']},\n            strand: '{r['strand']}',\n        ),\n")

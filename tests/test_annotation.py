@@ -117,13 +117,13 @@ def test_summary_and_report(spark):
         su.check_dimensions(1, 2)
 
 
-def test_gene_model_is_found_or_named(tmp_path):
+def test_gene_model_is_found_or_named(spark, tmp_path):
     with pytest.raises(AnnotationError, match="no gene model"):
-        gtf.find_gtf(str(tmp_path), "hg19")
+        gtf.find_gtf(spark, str(tmp_path), "hg19")
     (tmp_path / "only.gtf").write_text("")
-    assert gtf.find_gtf(str(tmp_path), "hg19").endswith("only.gtf")
+    assert gtf.find_gtf(spark, str(tmp_path), "hg19").endswith("only.gtf")
     (tmp_path / "b.gtf.gz").write_text("")
     with pytest.raises(AnnotationError, match="several"):
-        gtf.find_gtf(str(tmp_path), "hg19")
+        gtf.find_gtf(spark, str(tmp_path), "hg19")
     (tmp_path / "hg19.gtf").write_text("")
-    assert gtf.find_gtf(str(tmp_path), "my_HG19").endswith("hg19.gtf")
+    assert gtf.find_gtf(spark, str(tmp_path), "my_HG19").endswith("hg19.gtf")

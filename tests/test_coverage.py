@@ -15,7 +15,7 @@ def parsed(spark, *lines):
 @pytest.mark.parametrize(
     "line, words",
     [
-        ("chr1\t10\t10\t2\t8", "expected exactly 6"),
+        ("chr1\t10\t10\t2\t8", "needs 6 fields"),
         ("\t10\t10\t20\t2\t8", "chromosome is empty"),
         ("chr1\tx\t10\t20\t2\t8", "start is not"),
         ("chr1\t10\t4294967296\t20\t2\t8", "end is not"),
@@ -61,9 +61,9 @@ def test_files_are_found_in_order(spark, tmp_path):
     for name in ("b.cov", "a.bismark.cov.gz", "c.txt"):
         write(tmp_path / name, GOOD)
     (tmp_path / "d.cov").mkdir()
-    assert [p.rsplit("/", 1)[1] for p in co.find_files(str(tmp_path))] == ["a.bismark.cov.gz", "b.cov"]
+    assert [p.rsplit("/", 1)[1] for p in co.find_files(spark, str(tmp_path))] == ["a.bismark.cov.gz", "b.cov"]
     with pytest.raises(CoverageError):
-        co.find_files(str(tmp_path / "d.cov"))
+        co.find_files(spark, str(tmp_path / "d.cov"))
 
 
 def test_read_both_codecs(spark, tmp_path):
@@ -84,3 +84,34 @@ def test_duplicates_through_aliases(spark, tmp_path):
     path = write(tmp_path / "d.cov", "chr1\t10\t10\t20\t2\t8", "1\t10\t10\t20\t2\t8")
     with pytest.raises(CoverageError, match="duplicate record at 1:10"):
         co.read_coverage(spark, [path])
+
+
+def test_invalid_bytes_are_named(spark, tmp_path):
+    path = tmp_path / "bytes.cov"
+    path.write_bytes(GOOD.encode() + b"\nchr\xff1\t5\t5\t100\t1\t0\n")
+    with pytest.raises(CoverageError, match=r"bytes.cov, line 2: line is not valid UTF-8"):
+        co.read_coverage(spark, [str(path)])
+
+
+def test_texts_are_scanned_once(spark, tmp_path):
+    found, _ = co.read_coverage(spark, [write(tmp_path / "a.cov", GOOD)])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "parquet" in plan and "Scan text" not in plan
+
+
+def test_files_through_hadoop(spark, tmp_path, monkeypatch):
+    from strandlake.sinks import files
+    from strandlake.sinks.publish import AtomicOutputs
+
+    for name in ("b.cov", "a.cov.gz", "c.txt"):
+        write(tmp_path / name, GOOD)
+    monkeypatch.setattr(files, "local_path", lambda path: None)
+    monkeypatch.setattr("strandlake.sinks.publish.local_path", lambda path: None)
+    where = f"file://{tmp_path}"
+    assert [p.rsplit("/", 1)[1] for p in co.find_files(spark, where)] == ["a.cov.gz", "b.cov"]
+    assert files.is_directory(spark, where) and not files.is_directory(spark, f"{where}/none")
+    with AtomicOutputs(f"{where}/out", spark) as out:
+        with files.output_file(out.stage("x.txt")) as f:
+            f.write(b"new")
+        out.publish()
+    assert (tmp_path / "out/x.txt").read_text() == "new" and [p.name for p in (tmp_path / "out").iterdir() if not p.name.endswith(".crc")] == ["x.txt"]

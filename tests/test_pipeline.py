@@ -200,3 +200,9 @@ def test_streaming_ingest(spark, inputs):
     ingest(spark, str(inputs / "in"), sites, out, checkpoint).awaitTermination(120)
     got = spark.read.parquet(out)
     assert got.count() == 5 and got.where("sample_id = 'sample_c'").first()["cpg_idx"] == 0
+    # a sample that comes again, under another name, stops the stream
+    with gzip.open(inputs / "in/sample_c.cov.gz", "wt") as f:
+        f.write("chr1\t21\t21\t100\t2\t0\n")
+    with pytest.raises(Exception, match="sample_c came before"):
+        ingest(spark, str(inputs / "in"), sites, out, checkpoint).awaitTermination(120)
+    assert spark.read.parquet(out).count() == 5
