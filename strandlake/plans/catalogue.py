@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import I32_MAX, THRESHOLDS
-from ..functions.columns import canonical_contig, is_standard_contig, percent, priority_of, site_name
+from ..functions.columns import canonical_contig, is_standard_contig, percent, priority_of, site_name, thousands, tsv_field
 from ..operators import align as al
 from ..operators import annotate as an
 from ..operators import downstream as ds
@@ -21,7 +21,8 @@ from ..sinks.store import row_data_table
 from ..sources import coverage as co
 from ..sources import fasta as fa
 from ..sources import gtf as gt
-from .projection import LINES, SEQUENCES, Projection, oracle_views
+from . import file_queries
+from .projection import BOUNDARIES, LINES, SEQUENCES, Projection, oracle_views
 
 MIN_COVERAGE = 5
 SAMPLES = [(0, "A_F"), (1, "A_O"), (2, "N_F"), (3, "N_O"), (4, "R_F"), (5, "R_O")]
@@ -312,6 +313,68 @@ def report_percent(spark, sf_dir):
     return totals.select("sample_id", percent(F.col("n_matched"), F.col("n_records")).alias("matched_percent"))
 
 
+def adjacent_sites(spark, sf_dir):
+    """Every site has a neighbour at the next base: an exact match goes before
+    a shifted one."""
+    p = Projection(spark, sf_dir)
+    sites = p.sites()
+    both = sites.unionByName(sites.withColumns({"cpg_idx": F.col("cpg_idx") + 10_000_000, "start": F.col("start") + 1, "end": F.col("end") + 1}))
+    return al.align(p.records(), both).select("sample_id", "contig_key", F.col("start").alias("pos0"), "cpg_idx")
+
+
+def orphan_contigs(spark, sf_dir):
+    """Half of the contigs have no transcript."""
+    run = Run(spark, sf_dir)
+    models = _cached(run.models().where(F.col("contig_key").cast("int") <= 11))
+    return an.annotate(run.p.sites(), models, ge.features(models))
+
+
+def gene_fallbacks(spark, sf_dir):
+    """Other spellings of features, bounds given by exons alone on the minus
+    strand, and transcripts of which nothing but an UTR is there."""
+    rows = Run(spark, sf_dir).p.gtf_rows()
+    spelled = F.create_map(*map(F.lit, ("transcript", "mRNA", "five_prime_utr", "5'UTR", "three_prime_utr", "3utr", "exon", "EXON")))
+    left = rows.where("NOT (feature = 'transcript' AND strand = '-')").where("feature = 'three_prime_utr' OR NOT endswith(transcript_id, '7')")
+    models = ge.transcripts(left.withColumn("feature", spelled[F.col("feature")]))
+    return models.select("transcript_id", "tx_start", "tx_end", "tss", F.size("exons").alias("n_exons"), F.size("utr5").alias("n_utr5"), F.size("utr3").alias("n_utr3"))
+
+
+def empty_intervals(spark, sf_dir):
+    found = ge.features(Run(spark, sf_dir).models())
+    return ge.binned(found.withColumn("end", F.when(F.col("priority") == 6, F.col("start")).when(F.col("priority") == 1, F.col("start") - 5).otherwise(F.col("end")))).groupBy("contig_key", "annotation").agg(F.count("*").alias("n"))
+
+
+def line_boundaries(spark, sf_dir):
+    """Lines just inside and just outside of each bound."""
+    parsed = co.parse_lines(Projection(spark, sf_dir).sql(BOUNDARIES))
+    return parsed.groupBy("l_linenumber", F.coalesce("rule", F.lit("sound")).alias("rule")).agg(F.count("*").alias("n"))
+
+
+def thousands_shown(spark, sf_dir):
+    part = Projection(spark, sf_dir).raw["part"]
+    return part.select("p_partkey", thousands(F.col("p_partkey") * 12345 - 5_000_000).alias("shown"))
+
+
+def tsv_escapes(spark, sf_dir):
+    genes = Projection(spark, sf_dir).genes()
+    return genes.select(tsv_field(F.concat("transcript_id", F.lit("\t"), "gene_id", F.lit("\n\r"), "strand")).alias("field"))
+
+
+def coverage_filter_edges(spark, sf_dir):
+    run = Run(spark, sf_dir)
+    assay = _cached(run.assay(1))
+    cases = [fi.coverage_filter(run.p.sites(), assay, t, need, len(SAMPLES)).select("cpg_idx", "kept", F.lit(t).alias("threshold"), F.lit(need).alias("need")) for t, need in ((0, 3), (0, 7), (1, 6), (4, 1))]
+    return cases[0].unionByName(cases[1]).unionByName(cases[2]).unionByName(cases[3])
+
+
+def validate_dense(spark, sf_dir):
+    run = Run(spark, sf_dir)
+    k = F.col("cpg_idx")
+    cells = dense(run.assay(), run.p.sites(), run.p.samples())
+    spoilt = cells.withColumn("beta", F.when(k % 31 == 0, F.lit(0.5)).when(k % 37 == 0, F.lit(None)).when(k % 41 == 0, F.lit(-0.25)).otherwise(F.col("beta")).cast("float"))
+    return va.violations(spoilt, va.dense_rules()).withColumnRenamed("first", "first_idx")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -321,6 +384,7 @@ QUERIES = {
         feature_intervals, feature_bins, annotate_overlap, nearest_tss, annotate_full, annotation_tsv, annotation_summary, annotation_report, stored_rows,
         validate_rowdata, validate_assay, assay_diff, sample_mean_beta, sample_mean_cov, region_subset, high_coverage_sites, delta_beta_topk,
         bedgraph_export, gene_mean_beta, dataset_inspect, report_percent,
+        adjacent_sites, orphan_contigs, gene_fallbacks, empty_intervals, line_boundaries, thousands_shown, tsv_escapes, coverage_filter_edges, validate_dense,
     )
 }
 
@@ -491,5 +555,28 @@ ORACLES = {
     "dataset_inspect": _with("""
         SELECT (SELECT count(*) FROM sites) AS n_sites, (SELECT count(DISTINCT chr) FROM sites) AS n_contigs, count(*) AS n_cells, count(DISTINCT sample_idx) AS n_samples,
                min(beta) AS min_beta, max(beta) AS max_beta, max(cov) AS max_cov FROM assay""", *_A5),
+    "adjacent_sites": _with("""
+        SELECT r.sample_id, r.contig_key, r.pos0, coalesce(e.cpg_idx, s.cpg_idx) AS cpg_idx FROM records r
+        LEFT JOIN twins e ON e.contig_key = r.contig_key AND e.start0 = r.pos0 LEFT JOIN twins s ON s.contig_key = r.contig_key AND s.start0 = r.pos0 - 1""",
+        "twins AS (SELECT cpg_idx, contig_key, start0 FROM sites UNION ALL SELECT cpg_idx + 10000000, contig_key, start0 + 1 FROM sites)"),
+    "orphan_contigs": _with("SELECT * FROM annotation", _MODEL.replace("b FROM genes)", "b FROM genes WHERE CAST(contig_key AS INT) <= 11)"), _OVERLAP, _NEAREST, _FULL),
+    "gene_fallbacks": _with("SELECT transcript_id, tx_start, tx_end, tss, CAST(n AS INT) AS n_exons, CASE WHEN n >= 4 THEN 1 ELSE 0 END AS n_utr5, 1 AS n_utr3 FROM models WHERE transcript_id NOT LIKE '%7'", _MODEL),
+    "empty_intervals": _with("""
+        SELECT contig_key, annotation, count(*) AS n FROM (SELECT contig_key, annotation, unnest(range(start0 >> 16, ((end0 - 1) >> 16) + 1)) AS bin
+          FROM parts JOIN models USING (transcript_id) WHERE end0 > start0 AND priority NOT IN (1, 6)) x GROUP BY 1, 2""", _MODEL),
+    "line_boundaries": "SELECT l_linenumber, CASE l_linenumber WHEN 2 THEN 'percent_match' WHEN 4 THEN 'fields' WHEN 5 THEN 'percent_range' WHEN 7 THEN 'overflow' ELSE 'sound' END AS rule, count(*) AS n FROM lineitem GROUP BY 1, 2",
+    "thousands_shown": "SELECT p_partkey, format('{:,}', p_partkey * 12345 - 5000000) AS shown FROM part",
+    "tsv_escapes": _with("SELECT concat(transcript_id, ' ', gene_id, '  ', strand) AS field FROM genes"),
+    "coverage_filter_edges": _with(
+        "SELECT cpg_idx, true AS kept, 0 AS threshold, 3 AS need FROM sites UNION ALL SELECT cpg_idx, false, 0, 7 FROM sites UNION ALL SELECT s.cpg_idx, count(cov) >= 6, 1, 6 FROM sites s LEFT JOIN assay a ON a.cpg_idx = s.cpg_idx GROUP BY s.cpg_idx"
+        " UNION ALL SELECT s.cpg_idx, count(*) FILTER (cov >= 4) >= 1, 4, 1 FROM sites s LEFT JOIN assay a ON a.cpg_idx = s.cpg_idx GROUP BY s.cpg_idx", _ALIGNED, _assay("assay", 1)),
+    "validate_dense": _with(
+        " UNION ALL ".join(f"SELECT '{rule}' AS rule, count(*) FILTER ({c}) AS n, min(cpg_idx) FILTER ({c}) AS first_idx FROM spoilt" for rule, c in (
+            ("beta_without_coverage", "cov = 0 AND beta IS NOT NULL"), ("coverage_without_beta", "cov > 0 AND beta IS NULL"), ("beta_out_of_range", "beta < 0"))),
+        *_A5, """spoilt AS (SELECT s.cpg_idx, coalesce(cov, 0) AS cov, CASE WHEN s.cpg_idx % 31 = 0 THEN 0.5 WHEN s.cpg_idx % 37 = 0 THEN NULL WHEN s.cpg_idx % 41 = 0 THEN -0.25 ELSE beta END AS beta
+             FROM sites s CROSS JOIN samples p LEFT JOIN assay a ON a.cpg_idx = s.cpg_idx AND a.sample_idx = p.sample_idx)"""),
     "report_percent": _with("SELECT sample_id, CAST(count(cpg_idx) AS DOUBLE) * 100.0 / count(*) AS matched_percent FROM aligned GROUP BY sample_id", _ALIGNED),
 }
+
+QUERIES |= file_queries.QUERIES
+ORACLES |= file_queries.oracles(_with, _A5, _ANN, _STATS)

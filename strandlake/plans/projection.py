@@ -86,6 +86,19 @@ FROM (SELECT l_orderkey, l_linenumber, l_suppkey, concat('chr', CAST(l_partkey %
              CASE WHEN l_linenumber % 2 = 0 THEN '0' ELSE CAST(CAST(l_quantity AS BIGINT) AS STRING) END AS u FROM lineitem) x
 """
 
+#: Lines at the bounds of the rules: tolerance, largest position and sums.
+BOUNDARIES = """
+SELECT l_orderkey, l_linenumber, CASE l_linenumber
+         WHEN 1 THEN concat('chr1', chr(9), '5', chr(9), '5', chr(9), '50.0099', chr(9), '1', chr(9), '1')
+         WHEN 2 THEN concat('chr1', chr(9), '5', chr(9), '5', chr(9), '50.0101', chr(9), '1', chr(9), '1')
+         WHEN 3 THEN concat('chr1', chr(9), '4294967295', chr(9), '4294967295', chr(9), '100', chr(9), '4294967295', chr(9), '0')
+         WHEN 4 THEN concat('chr1', chr(9), '4294967296', chr(9), '4294967296', chr(9), '100', chr(9), '1', chr(9), '0')
+         WHEN 5 THEN concat('chr1', chr(9), '5', chr(9), '5', chr(9), '100.0001', chr(9), '1', chr(9), '0')
+         WHEN 6 THEN concat('chr1', chr(9), '1', chr(9), '1', chr(9), '0.0', chr(9), '0', chr(9), '0')
+         ELSE concat('chr1', chr(9), '5', chr(9), '5', chr(9), '99', chr(9), '4294967294', chr(9), '2') END AS value
+FROM lineitem
+"""
+
 #: Lines of a gene model; some break a rule and are to be skipped.
 GTF_LINES = """
 SELECT s_suppkey AS line_no, CASE
@@ -139,8 +152,11 @@ class Projection:
     def genes(self) -> DataFrame:
         return self.sql(GENES)
 
+    def sql_gtf_rows(self) -> DataFrame:
+        return self.sql(GTF_ROWS, genes=self.genes())
+
     def gtf_rows(self) -> DataFrame:
-        rows = self.sql(GTF_ROWS, genes=self.genes())
+        rows = self.sql_gtf_rows()
         return rows.select(F.concat(F.lit("chr"), "contig_key").alias("seqname"), "feature", F.col("start0").alias("start"), F.col("end0").alias("end"), "strand", "transcript_id", "gene_id", F.upper("gene_id").alias("gene_symbol"), "line_no")
 
     def sequences(self) -> DataFrame:

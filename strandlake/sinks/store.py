@@ -47,13 +47,38 @@ def read_store(spark: SparkSession, path: str) -> MethylationSet:
 
 
 def read_matrix(spark: SparkSession, values: list[list[int]], n_samples: int, sample_ids: list[str]) -> DataFrame:
-    """Long cells of a small dense coverage matrix in either orientation: the
-    first dimension that equals the number of samples holds them."""
-    if n_samples == len(values):
-        cells = [(j, i, int(v)) for i, row in enumerate(values) for j, v in enumerate(row)]
-    elif values and n_samples == len(values[0]):
-        cells = [(i, j, int(v)) for i, row in enumerate(values) for j, v in enumerate(row)]
-    else:
+    """Long cells of a small dense coverage matrix in either orientation."""
+    lines = spark.createDataFrame([("\t".join(map(str, row)),) for row in values], "value string").coalesce(1)
+    return matrix_cells(lines, n_samples, sample_ids)
+
+
+def read_matrix_file(spark: SparkSession, path: str, sample_ids: list[str]) -> DataFrame:
+    """Long cells of a file of tab-separated counts in either orientation."""
+    return matrix_cells(spark.read.text(path), len(sample_ids), sample_ids)
+
+
+def matrix_cells(lines: DataFrame, n_samples: int, sample_ids: list[str]) -> DataFrame:
+    """``sample_idx, cpg_idx, cov, sample_id`` of the lines of a dense matrix:
+    the first dimension that equals the number of samples holds them. Lines are
+    numbered by their partition's base, which takes one number per partition on
+    the driver, and their place in it."""
+    numbered = lines.where("value <> ''").select("value", F.monotonically_increasing_id().alias("at"))
+    part = F.shiftright("at", 33)
+    counts = numbered.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min(F.size(F.split("value", "\t"))).alias("low"), F.max(F.size(F.split("value", "\t"))).alias("high")).orderBy("part").collect()
+    rows, widths = sum(c["n"] for c in counts), {w for c in counts for w in (c["low"], c["high"])}
+    if len(widths) > 1:
+        raise ValueError(f"lines of the matrix have {min(widths)} to {max(widths)} values")
+    if n_samples not in (rows, *widths):
         raise ValueError(f"no dimension of the matrix equals {n_samples} samples")
+    bases, total = [], 0
+    for c in counts:
+        bases.append((c["part"], total))
+        total += c["n"]
+    spark = lines.sparkSession
+    base = spark.createDataFrame(bases, "part long, base long")  # one row per partition
+    row = (F.col("base") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("row")
+    cells = numbered.join(F.broadcast(base), part == F.col("part")).select(row, F.posexplode(F.split("value", "\t")).alias("column", "cov"))
+    sample, site = ("row", "column") if rows == n_samples else ("column", "row")
+    long = cells.select(F.col(site).cast("long").alias("cpg_idx"), F.col(sample).cast("int").alias("sample_idx"), F.col("cov").cast("long").alias("cov"))
     names = spark.createDataFrame(list(enumerate(sample_ids)), "sample_idx int, sample_id string")
-    return spark.createDataFrame(cells, "cpg_idx long, sample_idx int, cov long").join(F.broadcast(names), "sample_idx")
+    return long.join(F.broadcast(names), "sample_idx")  # as many names as samples

@@ -91,8 +91,7 @@ def parse_ron(text: str):
 
 
 def read_sites(spark: SparkSession, path: str) -> Reference:
-    with open(path, encoding="utf-8") as f:
-        data = parse_ron(f.read())
+    data = parse_ron(spark.read.text(path, wholetext=True).first()["value"])
     if not isinstance(data, dict) or "cpgs" not in data:
         raise ReferenceError_(f"{path}: not a site file")
     pick = lambda row, names: tuple(row[n] for n in names) if isinstance(row, dict) else tuple(row)
