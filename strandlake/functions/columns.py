@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..contracts import BIN_BITS, PRIORITY, STANDARD_CONTIGS, U32_MAX
+from ..contracts import BIN_BITS, I32_MAX, PRIORITY, STANDARD_CONTIGS, U32_MAX
 
 
 def trimmed(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """White space off; text that begins and ends with something else, as most
+    does, is left at a glance."""
+    tidy = (F.left(c, F.lit(1)) > " ") & (F.right(c, F.lit(1)) > " ")
+    return F.when(tidy, c).otherwise(F.btrim(c, F.lit(" \t\n\x0b\x0c\r")))
 
 
 def canonical_contig(c: Column) -> Column:
     """One leading "chr" or "CHR" off, upper case, M as MT. Only these two
     spellings are cut: "Chr1" becomes "CHR1"."""
-    bare = F.upper(F.regexp_replace(trimmed(c), "^(chr|CHR)", ""))
+    name = trimmed(c)
+    bare = F.upper(F.when(F.left(name, F.lit(3)).isin("chr", "CHR"), F.substring(name, 4, I32_MAX)).otherwise(name))
     return F.when(bare == "M", "MT").otherwise(bare)
 
 

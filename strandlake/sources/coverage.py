@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import COVERAGE_SUFFIXES, PERCENT_TOLERANCE, U32_MAX, CoverageError
-from ..functions.columns import canonical_contig
+from ..functions.columns import canonical_contig, trimmed
 from ..functions.names import sample_names
 from ..sinks.files import list_files, scratch_path
 
@@ -22,28 +22,26 @@ def find_files(spark: SparkSession, directory: str) -> list[str]:
     return found
 
 
-def _bare(c: Column) -> Column:
-    return F.btrim(c, F.lit(" \x0b\x0c\r"))
-
-
 def _u32(c: Column) -> Column:
-    value = _bare(c).try_cast("long")
+    """The cast itself leaves out white space on both sides."""
+    value = c.try_cast("long")
     return F.when(value.between(0, U32_MAX), value)
 
 
 def _f64(c: Column) -> Column:
     """Casts read "1.0d" and "1f" as numbers; here they are not."""
-    return F.when(~c.rlike("[0-9.][dDfF][ \r]*$"), _bare(c).try_cast("double"))
+    last = F.right(c, F.lit(1))
+    return F.when(~((last.isin("d", "D", "f", "F") | (last <= " ")) & c.rlike(r"[0-9.][dDfF]\s*$")), c.try_cast("double"))
 
 
 def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """``lines`` with the parsed fields, the ``rule`` that a line breaks first,
     and the ``problem`` in words; both are null for sound lines. Empty lines are
     left out; a carriage return at the end of a line is cut."""
-    text = F.regexp_replace(F.col(value), "\r$", "")
+    text = F.when(F.col(value).endswith("\r"), F.expr(f"left(`{value}`, length(`{value}`) - 1)")).otherwise(F.col(value))
     cut = lines.withColumn("__f", F.split(text, "\t", -1)).where(F.length(text) > 0)
     f = lambda i: F.get("__f", F.lit(i))
-    parts = {"chr": _bare(f(0)), "start1": _u32(f(1)), "end1": _u32(f(2)), "percent": _f64(f(3)), "methylated": _u32(f(4)), "unmethylated": _u32(f(5))}
+    parts = {"chr": trimmed(f(0)), "start1": _u32(f(1)), "end1": _u32(f(2)), "percent": _f64(f(3)), "methylated": _u32(f(4)), "unmethylated": _u32(f(5))}
     # a one-row generator, so that the rules below use the fields and don't repeat how they are parsed
     fields = cut.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in parts.items()]))))
     total = F.col("methylated") + F.col("unmethylated")
