@@ -25,6 +25,7 @@ from ..contracts import ANNOTATION_COLUMNS, THRESHOLDS, EngineError, Reference
 from ..functions.names import genome_key, release_name, sample_name, sample_names
 from ..operators import validate as va
 from ..operators.summary import check_dimensions
+from ..sinks.arrays import read_arrays, write_arrays
 from ..sinks.files import Remote, list_files, scratch_path
 from ..sinks.store import read_matrix_file, read_metadata, read_store
 from ..sources import coverage as co
@@ -292,6 +293,21 @@ def matrix_file(spark, sf_dir):
     return both.select("layout", "sample_id", "cpg_idx", "cov")
 
 
+def array_cells(spark, sf_dir):
+    """A finished store as arrays, and the covered cells read from them."""
+    m = made(spark, sf_dir)
+    out, _ = m.run()
+    data = read_store(spark, f"{out}/{pipeline.STORE}")
+
+    def make():
+        Remote(spark, m.root).make(f"{m.root}/arrays")
+        return write_arrays(data, f"{m.root}/arrays")
+
+    samples, sites = m.once("arrays", make)
+    cells = read_arrays(spark, f"{m.root}/arrays", samples)
+    return cells.select("sample_idx", "place", "cov", F.col("beta").cast("double").alias("beta"), F.lit(sites).cast("long").alias("n_sites"))
+
+
 def stream_ingest(spark, sf_dir):
     m = made(spark, sf_dir)
 
@@ -404,7 +420,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         files_discovered, files_read, fasta_sites, fasta_listed_contigs, ron_sites, genome_download, run_cells, run_rows, run_samples, run_coverage_sheet,
-        run_annotation_sheet, run_annotation_table, run_log, matrix_file, stream_ingest, names_found, run_refusals, store_refusals,
+        run_annotation_sheet, run_annotation_table, run_log, matrix_file, array_cells, stream_ingest, names_found, run_refusals, store_refusals,
     )
 }
 
@@ -498,6 +514,9 @@ def oracles(with_views, assay: tuple[str, ...], annotation: tuple[str, ...], sta
         "matrix_file": """
             SELECT layout, sample_id, cpg_idx, CAST(CASE sample_id WHEN 'flag' THEN p_size ELSE p_size % 7 END AS BIGINT) AS cov
             FROM (SELECT p_size, row_number() OVER (ORDER BY p_partkey) - 1 AS cpg_idx FROM part) p, (VALUES ('columns'), ('rows')) l(layout), (VALUES ('flag'), ('status')) s(sample_id)""",
+        "array_cells": with_views(
+            "SELECT sample_idx, place, cov, beta, (SELECT count(*) FROM places) AS n_sites FROM assay JOIN places USING (cpg_idx)", *assay,
+            f"places AS (SELECT cpg_idx, row_number() OVER (ORDER BY cpg_idx) - 1 AS place FROM {kept} x)"),
         "stream_ingest": with_views("SELECT sample_id, cpg_idx, cov, beta FROM assay JOIN samples USING (sample_idx)", *assay),
         "names_found": _values(
             "kind, given, found", ("sample", "/d/a.bismark.cov.gz", "a"), ("sample", "b.cov", "b"), ("sample", "c.bismark.cov", "c"), ("sample", "d.x.cov.gz", "d.x"), ("release", "/g/hg19.fa.gz", "hg19"), ("release", "mm10.fasta", "mm10"),

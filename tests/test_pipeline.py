@@ -206,3 +206,23 @@ def test_streaming_ingest(spark, inputs):
     with pytest.raises(Exception, match="sample_c came before"):
         ingest(spark, str(inputs / "in"), sites, out, checkpoint).awaitTermination(120)
     assert spark.read.parquet(out).count() == 5
+
+
+def test_arrays_in_either_orientation(spark, inputs):
+    import numpy as np
+
+    from strandlake.sinks.arrays import read_arrays, write_arrays
+
+    data = pl.process(spark, config(inputs, skip_annotation=True))
+    folder = str(inputs / "arrays")
+    os.makedirs(folder)
+    assert write_arrays(data, folder, bits=1) == (2, 3)
+    cov, beta = np.load(f"{folder}/cov.npy"), np.load(f"{folder}/beta.npy")
+    assert cov.tolist() == [[70000, 5, 0], [0, 5, 4]] and cov.dtype == np.uint32 and beta.dtype == np.float32
+    assert np.isnan(beta).tolist() == (cov == 0).tolist()
+    want = sorted((r["sample_idx"], r["cpg_idx"], r["cov"], r["beta"]) for r in data.assay.collect())
+    assert sorted(map(tuple, read_arrays(spark, folder, 2, bits=1).collect())) == want
+    np.save(f"{folder}/cov.npy", cov.T.copy()), np.save(f"{folder}/beta.npy", beta.T.copy())
+    assert sorted(map(tuple, read_arrays(spark, folder, 2, bits=1).collect())) == want
+    with pytest.raises(ValueError, match="5 samples"):
+        read_arrays(spark, folder, 5)
