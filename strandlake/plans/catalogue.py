@@ -28,9 +28,14 @@ MIN_COVERAGE = 5
 SAMPLES = [(0, "A_F"), (1, "A_O"), (2, "N_F"), (3, "N_O"), (4, "R_F"), (5, "R_O")]
 
 
+_HELD: list[DataFrame] = []
+
+
 def _cached(df: DataFrame) -> DataFrame:
-    """One evaluation for the several uses a query makes of a table."""
-    return df.cache()
+    """One evaluation for the several uses a query makes of a table. It is
+    released when the next query begins; results read later are made anew."""
+    _HELD.append(df.cache())
+    return df
 
 
 class Run:
@@ -38,6 +43,10 @@ class Run:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.p = Projection(spark, sf_dir)
+        while _HELD:
+            old = _HELD.pop()
+            if old.sparkSession.sparkContext is spark.sparkContext:
+                old.unpersist()
 
     def aligned(self) -> DataFrame:
         return al.align(self.p.records(), self.p.sites())

@@ -123,6 +123,24 @@ def output_file(path: str, spark: SparkSession | None = None):
             os.remove(held)
 
 
+@contextmanager
+def input_text(path: str, spark: SparkSession | None = None):
+    """A UTF-8 text file to read; one from elsewhere is fetched first."""
+    own = local_path(path)
+    if own is not None:
+        with open(own, encoding="utf-8") as f:
+            yield f
+        return
+    folder = tempfile.mkdtemp()
+    try:
+        remote = Remote(_spark(spark, path), path)
+        remote.fs.copyToLocalFile(remote.path(path), remote.path(f"file://{folder}/held"))
+        with open(f"{folder}/held", encoding="utf-8") as f:
+            yield f
+    finally:
+        shutil.rmtree(folder, ignore_errors=True)
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh folder for intermediate tables, which the driver and all
     executors share: below ``spark.checkpoint.dir``, or, where that is unset

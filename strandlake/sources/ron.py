@@ -1,50 +1,70 @@
-"""Site files in RON, for exchange with other tools. Small files only: they
-are read and written on the driver; Parquet is the native form."""
+"""Site files in RON, for exchange with other tools. The driver reads and
+writes them as streams; Parquet is the native form."""
 
 from __future__ import annotations
 
 import io
 import json
 import re
+from collections import deque
 
+import pyarrow as pa
+from pyarrow import parquet
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import Reference, ReferenceError_
 from ..functions.columns import canonical_contig
-from ..sinks.files import output_file
-
-_TOKEN = re.compile(r"""\s*(?:("(?:[^"\\]|\\.)*")|('(?:[^'\\]|\\.)')|(-?[0-9][0-9_.eE+-]*)|([A-Za-z_][A-Za-z0-9_]*)|([()\[\]{}:,]))""")
-
-
-def _tokens(text: str):
-    text, at = re.sub(r"//[^\n]*", "", text).rstrip(), 0
-    while at < len(text):
-        m = _TOKEN.match(text, at)
-        if not m:
-            raise ReferenceError_(f"RON: cannot read {text[at : at + 20]!r}")
+from ..sinks.files import disk_of, input_text, local_path, output_file, scratch_path
+
+_TOKEN = re.compile(r"""(?:\s|//[^\n]*(?:\n|$))*(?:("(?:[^"\\]|\\.)*")|('(?:[^'\\]|\\.)')|(-?[0-9][0-9_.eE+-]*)|([A-Za-z_][A-Za-z0-9_]*)|([()\[\]{}:,]))""")
+_BLANK = re.compile(r"(?:\s|//[^\n]*(?:\n|$))*$")
+CHUNK, SLICE = 1 << 20, 200_000
+
+
+def _tokens(read):
+    """(kind, text) of what ``read`` gives piece by piece; (0, "") at the end.
+    A token at the end of what is at hand may go on, so more is read first."""
+    held, at, more = read(CHUNK), 0, True
+    while True:
+        m = _TOKEN.match(held, at)
+        if more and (m is None or m.end() >= len(held)):
+            piece = read(CHUNK)
+            held, at, more = held[at:] + piece, 0, bool(piece)
+            continue
+        if m is None:
+            if not _BLANK.match(held, at):
+                raise ReferenceError_(f"RON: cannot read {held[at : at + 20]!r}")
+            break
         at = m.end()
         yield m.lastindex, m.group(m.lastindex)
-    yield 0, ""
+    while True:
+        yield 0, ""
 
 
 class _Parser:
-    def __init__(self, text: str):
-        self.tokens = list(_tokens(text))
-        self.at = 0
+    """Values from a stream of tokens, of which a few are looked at ahead."""
+
+    def __init__(self, read):
+        self.tokens = _tokens(read)
+        self.ahead: deque = deque()
 
     def peek(self, ahead: int = 0):
-        return self.tokens[min(self.at + ahead, len(self.tokens) - 1)]
+        while len(self.ahead) <= ahead:
+            self.ahead.append(next(self.tokens))
+        return self.ahead[ahead]
 
     def take(self, symbol: str | None = None):
         kind, value = self.peek()
         if symbol is not None and value != symbol:
-            raise ReferenceError_(f"RON: expected {symbol!r}, found {value!r}")
-        self.at += 1
+            raise ReferenceError_(f"RON: expected {symbol!r}, found {value or 'the end'!r}")
+        self.ahead.popleft()
         return kind, value
 
     def value(self):
         kind, value = self.peek()
+        if kind == 0:
+            raise ReferenceError_("RON: the text ends too early")
         if kind == 4 and self.peek(1)[1] == "(":
             self.take()
             kind, value = self.peek()
@@ -61,44 +81,81 @@ class _Parser:
             return float(value) if "." in value else int(value.replace("_", ""))
         return {"true": True, "false": False}.get(value, value)
 
-    def items(self, opening: str, closing: str) -> list:
+    def each(self, opening: str, closing: str):
+        """The values of a list, one at a time."""
         self.take(opening)
-        out = []
         while self.peek()[1] != closing:
-            out.append(self.value())
+            yield self.value()
             if self.peek()[1] == ",":
                 self.take()
         self.take(closing)
-        return out
 
-    def struct(self):
-        if self.peek(1)[0] != 4 or self.peek(2)[1] != ":":
-            return self.items("(", ")")
+    def items(self, opening: str, closing: str) -> list:
+        return list(self.each(opening, closing))
+
+    def fields(self):
+        """The names of a struct; the caller takes the value after each."""
+        if self.peek()[0] == 4:
+            self.take()
         self.take("(")
-        out = {}
         while self.peek()[1] != ")":
             name = self.take()[1]
             self.take(":")
-            out[name] = self.value()
+            yield name
             if self.peek()[1] == ",":
                 self.take()
         self.take(")")
-        return out
+
+    def struct(self):
+        if self.peek(1)[0] != 4 or self.peek(2)[1] != ":":
+            return self.items("(", ")")
+        return {name: self.value() for name in self.fields()}
 
 
 def parse_ron(text: str):
-    return _Parser(text).value()
+    return _Parser(io.StringIO(text).read).value()
+
+
+def _row(value, names: tuple[str, ...]) -> tuple:
+    return tuple(value[n] for n in names) if isinstance(value, dict) else tuple(value)
 
 
 def read_sites(spark: SparkSession, path: str) -> Reference:
-    data = parse_ron(spark.read.text(path, wholetext=True).first()["value"])
-    if not isinstance(data, dict) or "cpgs" not in data:
+    """Sites go to a Parquet table in slices as they are read, so the driver
+    holds one slice."""
+    folder = scratch_path(spark, "sites")
+    disk_of(folder, spark).make(local_path(folder) or folder)
+    schema = pa.schema([("cpg_idx", pa.int64()), ("chr", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("strand", pa.string())])
+    contigs, release, seen = [], "unknown", None
+
+    def write(rows: list[tuple], first: int) -> None:
+        columns = [range(first, first + len(rows)), *zip(*rows)] if rows else [[]] * 5
+        with output_file(f"{folder}/part-{first:012d}.parquet", spark) as out:
+            parquet.write_table(pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema), out)
+
+    with input_text(path, spark) as f:
+        parser = _Parser(f.read)
+        if parser.peek()[0] not in (0, 4) and parser.peek()[1] != "(":
+            raise ReferenceError_(f"{path}: not a site file")
+        for name in parser.fields():
+            if name == "cpgs":
+                seen, rows = 0, []
+                for value in parser.each("[", "]"):
+                    rows.append(_row(value, ("chr", "start", "end", "strand")))
+                    if len(rows) == SLICE:
+                        write(rows, seen)
+                        seen, rows = seen + len(rows), []
+                write(rows, seen)
+            elif name == "contig_lens":
+                contigs = [(i, *_row(v, ("contig", "length"))) for i, v in enumerate(parser.each("[", "]"))]
+            elif name == "release_name":
+                release = parser.value()
+            else:
+                parser.value()
+    if seen is None:
         raise ReferenceError_(f"{path}: not a site file")
-    pick = lambda row, names: tuple(row[n] for n in names) if isinstance(row, dict) else tuple(row)
-    sites = [(i, *pick(r, ("chr", "start", "end", "strand"))) for i, r in enumerate(data["cpgs"])]
-    contigs = [(i, *pick(r, ("contig", "length"))) for i, r in enumerate(data.get("contig_lens", []))]
-    table = spark.createDataFrame(sites, "cpg_idx long, chr string, start long, end long, strand string").withColumn("contig_key", canonical_contig(F.col("chr")))
-    return Reference(table.select("cpg_idx", "chr", "contig_key", "start", "end", "strand"), spark.createDataFrame(contigs, "contig_idx long, contig string, length long"), data.get("release_name", "unknown"))
+    table = spark.read.schema("cpg_idx long, chr string, start long, end long, strand string").parquet(folder).withColumn("contig_key", canonical_contig(F.col("chr")))
+    return Reference(table.select("cpg_idx", "chr", "contig_key", "start", "end", "strand"), spark.createDataFrame(contigs, "contig_idx long, contig string, length long"), release)
 
 
 def write_sites(reference: Reference, path: str) -> None:

@@ -86,3 +86,18 @@ def test_download_checks(tmp_path):
     assert download.find_release([release], "MINI") is release
     with pytest.raises(ReferenceError_):
         download.find_release([release], "other")
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 7, 50])
+def test_ron_in_pieces(spark, tmp_path, monkeypatch, chunk):
+    text = '( // sites follow\n cpgs: [(chr: "a // b", start: 10, end: 12, strand: \'+\'), ("c\\"d", 1_000, 1_002, \'-\'), ( chr:"e",start:3,end:5,strand:\'+\',),], // then\n other: Some([1, 2.5]), contig_lens: [(contig: "a", length: 99)], release_name: "r" ) // end'
+    monkeypatch.setattr(ron, "CHUNK", chunk)
+    monkeypatch.setattr(ron, "SLICE", 2)
+    (tmp_path / "x.ron").write_text(text)
+    back = ron.read_sites(spark, str(tmp_path / "x.ron"))
+    assert [(r["chr"], r["start"], r["end"], r["strand"]) for r in back.sites.orderBy("cpg_idx").collect()] == [("a // b", 10, 12, "+"), ('c"d', 1000, 1002, "-"), ("e", 3, 5, "+")]
+    assert back.release_name == "r" and back.contigs.first()["length"] == 99
+    for bad in (text[:60], "(cpgs: [", "[1, 2]", "(other: 1)", "(cpgs: [%])"):
+        (tmp_path / "bad.ron").write_text(bad)
+        with pytest.raises(ReferenceError_):
+            ron.read_sites(spark, str(tmp_path / "bad.ron"))
