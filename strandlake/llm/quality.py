@@ -53,7 +53,6 @@ def statistics(tokens: list[bytes], text: bytes) -> dict[str, float]:
     """What the labellers look at, for a text of at least one word."""
     n = len(tokens)
     bare = [t.strip(b".,;:!?\"'()").lower() for t in tokens]
-    lines = [x for x in text.split(b"\n") if x.strip()]
     return {
         "words": n,
         "stops": sum(map(STOP_WORDS.__contains__, bare)) / n,
@@ -64,10 +63,8 @@ def statistics(tokens: list[bytes], text: bytes) -> dict[str, float]:
         "capitals": (len(text) - len(text.translate(None, _CAPITALS))) / max(1, len(text) - len(text.translate(None, _LETTERS))),
         "exclaimed": text.count(b"!!") / n,
         "bare": sum(1 for t in tokens if len(t) == 1 and t in _SYMBOLS) / n,
-        "distinct": len(set(bare)) / n,
         "length": (len(text) - n) / n,
         "stopped": sum(t.endswith((b".", b"!", b"?")) for t in tokens) / n,
-        "lines": 1 - len(set(lines)) / len(lines),
     }
 
 
@@ -140,22 +137,23 @@ _SHAPE = bytes(65 if i in _CAPITALS else 97 if i in _LETTERS else 48 if 48 <= i
 
 
 class WordHash(dict):
-    """Word to the hashed places of itself and its shape; bounded in memory."""
+    """Word to the hashed places of itself and its shape, as one number;
+    bounded in memory."""
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
+    def __missing__(self, word: bytes) -> int:
         from zlib import crc32
 
         if len(self) > 200_000:
             self.clear()
         shape = _RUNS.sub(rb"\1", word.translate(_SHAPE))
-        self[word] = found = (crc32(word.lower()) % (DIMS // 2), DIMS // 2 + crc32(b"shape " + shape) % (DIMS // 2 - 1))
+        self[word] = found = crc32(word.lower()) % (DIMS // 2) * DIMS + DIMS // 2 + crc32(b"shape " + shape) % (DIMS // 2 - 1)
         return found
 
 
 def features(tokens: list[bytes], places: WordHash) -> tuple[np.ndarray, np.ndarray]:
     """Hashed places and weights: shares of words, shapes and repeats."""
-    flat = np.array([places[t] for t in tokens], np.int64).ravel()
-    counts = np.bincount(flat, minlength=DIMS)
+    both = np.fromiter(map(places.__getitem__, tokens), np.int64, len(tokens))
+    counts = np.bincount(both // DIMS, minlength=DIMS) + np.bincount(both % DIMS, minlength=DIMS)
     counts[DIMS - 1] = sum(map(eq, tokens, tokens[1:]))
     at = np.flatnonzero(counts)
     return at, counts[at] / len(tokens)
