@@ -41,6 +41,13 @@ def _bits(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * total > n)
 
 
+def shingle_places(tokens: list[bytes], words: int) -> tuple[bytes, list[int], list[int]]:
+    """The words joined by spaces, and where each shingle starts and stops."""
+    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
+    k = min(words, len(tokens))
+    return b" ".join(tokens), np.concatenate([[0], ends[: len(tokens) - k]]).tolist(), (ends[k - 1 :] - 1).tolist()
+
+
 def text_fingerprint(text: bytes | None, words: int, bits: int) -> bytes:
     """Fingerprint of one UTF-8 text, as big-endian bytes."""
     import xxhash
@@ -48,11 +55,7 @@ def text_fingerprint(text: bytes | None, words: int, bits: int) -> bytes:
     tokens = (text or b"").lower().split()
     if not tokens:
         return bytes(bits // 8)
-    joined = b" ".join(tokens)
-    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
-    k = min(words, len(tokens))
-    starts = np.concatenate([[0], ends[: len(tokens) - k]]).tolist()
-    stops = (ends[k - 1 :] - 1).tolist()
+    joined, starts, stops = shingle_places(tokens, words)
     if bits == 64:
         digest = xxhash.xxh64_intdigest
         out = np.array([digest(joined[a:b], 42) for a, b in zip(starts, stops)], np.uint64)
@@ -253,9 +256,11 @@ def shingle_set(text: bytes | None, words: int) -> np.ndarray:
     import xxhash
 
     tokens = (text or b"").lower().split()
-    k = min(words, len(tokens))
-    made = {xxhash.xxh64_intdigest(b" ".join(tokens[i : i + k])) for i in range(len(tokens) - k + 1)} if tokens else ()
-    return np.sort(np.fromiter(made, np.uint64, len(made)))
+    if not tokens:
+        return np.zeros(0, np.uint64)
+    joined, starts, stops = shingle_places(tokens, words)
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(joined[a:b]) for a, b in zip(starts, stops)], np.uint64))
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
