@@ -40,11 +40,6 @@ TILE, SMALL, BLOCK = 256, 1024, 65_536
 SLACK = 1e-4
 
 
-def _vectors(column) -> np.ndarray:
-    raw = column.to_pylist()
-    return np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1) if raw else np.zeros((0, 1))
-
-
 def groups(batches, keys: int) -> Iterator[tuple[tuple, pa.Table]]:
     """The groups of sorted rows, whole across batches, by the first columns."""
     held: list[pa.RecordBatch] = []
@@ -74,23 +69,25 @@ def groups(batches, keys: int) -> Iterator[tuple[tuple, pa.Table]]:
 
 def classes_of(table: DataFrame, label: str, vector: str) -> DataFrame:
     """``label, embedding`` classes with ``cls`` (a number), ``unit`` (unit
-    vector, doubles), ``dim``, ``n`` (rows) and ``least`` (smallest id)."""
+    vector, doubles), ``brief`` (the same in single precision, for the
+    neighbour lists, on which no result depends), ``dim``, ``n`` (rows) and ``least`` (smallest id)."""
     sound = table.where(F.col("label").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0)).where(~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))))
     grouped = sound.groupBy("label", "embedding").agg(F.count("*").alias("n"), F.min("vec").alias("least"))
     kind = grouped.schema["label"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            units, dims = [], []
+            units, brief, dims = [], [], []
             for values in batch.column(1).to_pylist():
                 x = np.array(values, np.float64)
                 x = x / (np.abs(x).max() or 1)
                 size = np.sqrt(x @ x)
                 units.append((x / size).tobytes() if size else None)
+                brief.append((x / size).astype(np.float32).tobytes() if size else None)
                 dims.append(len(x))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(units, pa.binary()), pa.array(dims, pa.int32())], names=[*batch.schema.names, "unit", "dim"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(units, pa.binary()), pa.array(brief, pa.binary()), pa.array(dims, pa.int32())], names=[*batch.schema.names, "unit", "brief", "dim"])
 
-    out = grouped.mapInArrow(run, f"label {kind}, embedding array<double>, n long, least long, unit binary, dim int").where("unit IS NOT NULL")
+    out = grouped.mapInArrow(run, f"label {kind}, embedding array<double>, n long, least long, unit binary, brief binary, dim int").where("unit IS NOT NULL")
     return materialize(out.withColumn("cls", F.monotonically_increasing_id()), "classes")
 
 
@@ -104,16 +101,17 @@ def seed_edges(classes: DataFrame, tables: int, seed: int, window: int, threshol
             for dim in np.unique(dims).tolist():
                 rows = np.flatnonzero(dims == dim)
                 part = batch.take(pa.array(rows))
-                x = _vectors(part.column(3))
+                raw = part.column(3).to_pylist()
+                x = np.frombuffer(b"".join(raw), np.float32).reshape(len(raw), -1)
                 for t in range(tables):
                     planes = np.random.default_rng([seed, dim, t]).standard_normal((dim, 40))
                     code = ((x @ planes) > 0) @ (1 << np.arange(40, dtype=np.int64))
                     n = len(rows)
-                    out.append(pa.RecordBatch.from_arrays([pa.array([t] * n, pa.int32()), part.column(1), part.column(2), pa.array(code), part.column(0), pa.array([v.tobytes() for v in x.astype(np.float32)], pa.binary())], names=["t", "label", "dim", "code", "cls", "unit"]))
+                    out.append(pa.RecordBatch.from_arrays([pa.array([t] * n, pa.int32()), part.column(1), part.column(2), pa.array(code), part.column(0), part.column(3)], names=["t", "label", "dim", "code", "cls", "unit"]))
             yield from out
 
     kind = classes.schema["label"].dataType.simpleString()
-    coded = classes.select("cls", "label", "dim", "unit").mapInArrow(codes, f"t int, label {kind}, dim int, code long, cls long, unit binary")
+    coded = classes.select("cls", "label", "dim", "brief").mapInArrow(codes, f"t int, label {kind}, dim int, code long, cls long, unit binary")
     ordered = coded.repartitionByRange("t", "label", "dim", "code", "cls").sortWithinPartitions("t", "label", "dim", "code", "cls")
 
     def sweep(batches):
@@ -175,8 +173,8 @@ def descend(graph: DataFrame, classes: DataFrame, k: int, wide: int, threshold:
     floor = materialize(graph.groupBy("src").agg(F.count("*").alias("have"), F.min("sim").alias("worst")).selectExpr("src AS who", f"CASE WHEN have >= {k} THEN worst ELSE cast(-2 AS float) END AS worst"), "floor")
     blocks = F.ceil(F.col("deg") / F.lit(HUB)).cast("int")
     members = both.join(degree.where("any = 1"), "mid").withColumn("block", F.pmod(F.xxhash64("who"), blocks).cast("int"))
-    members = members.join(floor, "who", "left").join(classes.select(F.col("cls").alias("who"), "unit"), "who")
-    ordered = members.select("mid", "block", "who", "fresh", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst"), "unit").repartition("mid", "block").sortWithinPartitions("mid", "block")
+    members = members.join(floor, "who", "left").join(classes.select(F.col("cls").alias("who"), "brief"), "who")
+    ordered = members.select("mid", "block", "who", "fresh", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst"), "brief").repartition("mid", "block").sortWithinPartitions("mid", "block")
 
     def local(batches):
         src, dst, sim, held = [], [], [], 0
@@ -186,15 +184,15 @@ def descend(graph: DataFrame, classes: DataFrame, k: int, wide: int, threshold:
             who = table.column("who").to_numpy()
             fresh = table.column("fresh").to_numpy() > 0
             worst = table.column("worst").to_numpy()
-            x = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float64).reshape(len(who), -1)
+            x = np.frombuffer(b"".join(table.column("brief").to_pylist()), np.float32).reshape(len(who), -1)
             s = x @ x.T
             s[~(fresh[:, None] | fresh[None, :])] = -3
             np.fill_diagonal(s, -3)
-            if len(who) > k:
-                cut = np.partition(s, -k, axis=1)[:, -k]
-                good = (s > worst[:, None]) & (s >= cut[:, None])
-            else:
-                good = s > worst[:, None]
+            good = s > worst[:, None]
+            if len(who) > k:  # k of each row exactly, however many are alike
+                best = np.zeros(s.shape, bool)
+                np.put_along_axis(best, np.argpartition(-s, k - 1, axis=1)[:, :k], True, axis=1)
+                good &= best
             i, j = np.nonzero(good)
             src.append(who[i])
             dst.append(who[j])
