@@ -82,4 +82,16 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_embeddings(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_secrets, op3_simhash, op4_sharding, op5_warc, op6_quality, op7_packing, op8_tokens, op9_decontaminate, op10_embeddings)}
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .codes import code_digest
+
+    return code_digest(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_digest
+
+    return mix_digest(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_secrets, op3_simhash, op4_sharding, op5_warc, op6_quality, op7_packing, op8_tokens, op9_decontaminate, op10_embeddings, op11_codes, op12_mixing)}
