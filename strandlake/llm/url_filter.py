@@ -27,7 +27,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DIMS = 1 << 14
+DIMS = 1 << 16
+ROWS_PER_CLASS, REG = 2000, 3e-3
 
 
 @dataclass(frozen=True)
@@ -46,9 +47,22 @@ class Rule:
 #: Fixed by the contract.
 RULES = (Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"))
 
-#: Words that mark unwanted and wanted hosts; the labelled table combines them.
-UNWANTED = ("casino win", "free bets", "spam farm", "adult x", "cheap pills", "ads track", "poker bonus", "xxx cams", "viagra shop", "click ads", "slots jackpot", "escort girls", "loan fast", "track pixel", "torrent crack", "fake watches")
-WANTED = ("library", "history", "garden", "physics", "city news", "open data", "music school", "museum", "recipes", "travel notes", "weather", "science daily", "parish", "linguist", "theory", "cinema review")
+#: Words that mark unwanted and wanted hosts; the labelled table pairs them.
+UNWANTED = tuple(
+    """casino poker roulette jackpot slots gambling betting bookmaker bets wager viagra cialis pharma pills steroid
+    porn xxx escort adult hookup camgirls nude spam bulkmail clickbait doorway ads adserver banner popunder tracking
+    track pixel malware keygen warez torrent cracked replica fakewatches payday loans getrich lottery winbig""".split()
+)
+WANTED = tuple(
+    """library history garden physics news data music museum recipes travel weather science parish linguist theory
+    cinema school college church hospital council river forest mountain cycling football chess knitting bakery
+    painting poetry grammar atlas archive journal review kitchen farming harbour railway theatre orchestra astronomy
+    biology chemistry geology medicine nursing law justice parliament village island bridge castle market winter
+    summer family children teacher student letters stories novel dictionary calendar photo camera software compiler
+    kernel python database network forum blogger diary hiking fishing sailing horses birds insects flowers herbs
+    adder adopt address reader trader wineries winter window tracker trackside racetrack pixelart analysis essex
+    scunthorpe assembly classic cockpit bassist specialist socialist""".split()
+)
 
 
 def host_of(url: Column) -> Column:
@@ -64,34 +78,33 @@ def path_of(url: Column) -> Column:
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The small labelled table: ``url, label`` (1: unwanted), each name and
-    each of its longer words in several hosts, with the same affixes for
-    both classes, and hosts of meaningless syllables."""
+    """The small labelled table: ``url, label`` (1: unwanted). Each word stands
+    alone and beside others of its class in hosts and paths; both classes get
+    the same affixes, so that these say nothing."""
+    fronts, ends = ("", "www.", "blog.", "m.", "shop.", "en.", "my."), (".com", ".example.com", ".net", ".example.net", ".org", ".example.org", ".info", ".biz", ".co.uk", ".de", ".fr")
+    places = ("/", "/index.html", "/en/7.html", "/de/12", "/fr/3/", "/es/9", "/a/b/c", "", "/p/2024/05/1", "/list", "/x.js", "/go", "/search", "/home/")
+    shapes = ("{0}", "{0}24", "my{0}", "the-{0}", "best-{0}", "{0}-online", "new{0}s", "e{0}", "{0}{1}", "{0}-{1}", "{1}{0}", "{0}{1}hub", "top{0}", "{0}4u")
     rows = []
-    for label, names in ((1.0, UNWANTED), (0.0, WANTED)):
-        for i, name in enumerate(names):
-            for j in range(16):
-                front, joint = ("", "www.", "blog.", "m.")[j % 4], ("-", "")[j // 4 % 2]
-                end = (".com", ".example.com", ".net", ".example.net", ".org", ".example.org", ".info")[(i + 3 * j) % 7]
-                host = f"{front}{name.replace(' ', joint)}{end}"
-                path = ("/", "/en/", "/de/", "/fr/", "/es/", "/index.html")[(i + j) % 6]
-                rows.append((f"https://{host}{path}{(37 * i + 11 * j) % 1000}", label))
-                if j < 4:
-                    rows.append((f"https://site{i}.example.{('com', 'net', 'org')[j % 3]}/{name.replace(' ', '-')}/{j}", label))
-                    rows.append((f"file:///{name.replace(' ', '-/_'[j % 3])}/{j}", label))
-            for j, word in enumerate(w for w in name.split() if len(w) > 3):
-                for k, host in enumerate((f"best-{word}", f"my{word}", f"{word}24", f"{word}-online", f"the{word}", f"new-{word}s")):
-                    rows.append((f"http://{('', 'www.', 'blog.', 'm.')[(i + k) % 4]}{host}.{('com', 'net', 'org', 'info', 'biz')[(i + j + k) % 5]}/{('en', 'de', 'fr', 'es')[(j + k) % 4]}/{17 * i + k}", label))
-    parts = ("ba", "ne", "ri", "to", "lu", "sha", "ther", "on", "mi", "sen", "gra", "vel", "st", "ed", "wh", "an", "ing", "ou")
-    for i in range(900):  # names without a meaning are not unwanted
-        name = parts[i % 18] + parts[i // 18 % 18] + parts[(i * 7 + i // 5) % 18] * (i % 3 > 0)
-        rows.append((f"http://{('', 'www.', 'blog.', 'm.')[i % 4]}{name}.{('example.com', 'example.net', 'example.org', 'com', 'net', 'info', 'biz')[i % 7]}/{('en', 'de', 'fr', 'es')[i % 4]}/{13 * i}{('', '.html', '/')[i % 3]}", 0.0))
+    for label, words in ((1.0, UNWANTED), (0.0, WANTED)):
+        n = len(words)
+        for j in range(ROWS_PER_CLASS):  # the j-th row of both classes has the same shape and affixes
+            word, other = words[j % n], words[(j + 1 + j // n * 5) % n]
+            at = j * 40_503 + j // 7
+            name = shapes[at % len(shapes)].format(word, other)
+            host, place = f"{fronts[at // 14 % 7]}{name}{ends[at // 98 % 11]}", places[at // 1078 % 14]
+            rows.append((f"{('http', 'https')[j % 2]}://{host}{place}" if j % 8 else f"file:///{word}{('/', '-', '_')[j // 8 % 3]}{other}{place}", label))
+            if j % 12 == 5:
+                rows.append((f"https://site{at % 9}{ends[at // 98 % 11]}/{word}-{other}{place}", label))
     return spark.createDataFrame(rows, "url string, label double")
 
 
 def _grams(text: Column, mark: str, sizes: tuple[int, ...] = (3, 4, 5)) -> Column:
-    parts = [F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))), lambda i, n=n: F.concat(F.lit(mark), F.substr(text, i, F.lit(n))))).otherwise(F.array().cast("array<string>")) for n in sizes]
-    return F.concat(*parts)
+    def of(n: int) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1)))
+        # a function of one argument: with a second one transform() would pass the index
+        return F.when(F.length(text) >= n, F.transform(places, lambda i: F.concat(F.lit(mark), F.substr(text, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*[of(n) for n in sizes])
 
 
 def _with_features(table: DataFrame, host: Column, path: Column) -> DataFrame:
@@ -100,9 +113,12 @@ def _with_features(table: DataFrame, host: Column, path: Column) -> DataFrame:
     return HashingTF(numFeatures=DIMS, binary=True, inputCol="__sl_grams", outputCol="__sl_features").transform(table.withColumn("__sl_grams", grams))
 
 
-def fit(labelled: DataFrame, url: str = "url", label: str = "label") -> LogisticRegressionModel:
-    table = _with_features(labelled.select(F.col(url).alias("u"), F.col(label).cast("double").alias("label")), host_of(F.col("u")), path_of(F.col("u")))
-    learner = LogisticRegression(featuresCol="__sl_features", labelCol="label", predictionCol="__sl_prediction", probabilityCol="__sl_probability", rawPredictionCol="__sl_raw", regParam=1e-3, maxIter=60, aggregationDepth=2)
+def fit(labelled: DataFrame, url: str = "url", label: str = "label", wanted_weight: float = 4.0) -> LogisticRegressionModel:
+    """A wanted url weighs ``wanted_weight`` times an unwanted one, so names
+    that say nothing are allowed."""
+    weight = F.when(F.col(label) == 0, wanted_weight).otherwise(1.0)
+    table = _with_features(labelled.select(F.col(url).alias("u"), F.col(label).cast("double").alias("label"), weight.alias("weight")), host_of(F.col("u")), path_of(F.col("u")))
+    learner = LogisticRegression(featuresCol="__sl_features", labelCol="label", weightCol="weight", predictionCol="__sl_prediction", probabilityCol="__sl_probability", rawPredictionCol="__sl_raw", regParam=REG, maxIter=60, aggregationDepth=2)
     return learner.fit(table.coalesce(1))
 
 
