@@ -26,8 +26,16 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Kinds of candidates: (kind, pattern). Formats are the public ones. A private
-#: key reaches to its END, if that is there; its lines hold few single hyphens.
+#: A private key reaches to its END, whatever lies between; another BEGIN or END
+#: ends the search. Without END it reaches over all lines of key characters that
+#: follow (16 or more of them without a space; quotes and escaped ends of lines
+#: may part them) and a shorter last one. Loops are possessive: no depth, no
+#: second try, so no bound on their number.
+_PARTED = r"(?:[\s>#\"',|]|\\[nr])++"
+_TO_END = r"[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END [A-Z ]*PRIVATE KEY-----"
+_TO_LAST_LINE = rf"(?:{_PARTED}(?:Proc-Type: ?[0-9]+,[A-Z]++|DEK-Info: ?[0-9A-Z-]+,[0-9A-Fa-f]++))*+(?:(?:{_PARTED}[0-9A-Za-z+/=_-]{{16,}}+)++(?:{_PARTED}(?=[A-Za-z_-]*+[0-9=+/])[0-9A-Za-z+/=_-]++|[\r\n]++[ \t]*+[0-9A-Za-z+/=_-]++(?=[ \t]*+(?:[\r\n]|\z)))?+)?+"
+
+#: Kinds of candidates: (kind, pattern). Formats are the public ones.
 KINDS = (
     ("aws_key", r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])"),
     ("github_token", r"gh[pousr]_[0-9A-Za-z]{36}"),
@@ -35,9 +43,9 @@ KINDS = (
     ("live_key", r"[sr]k_live_[0-9A-Za-z]{16,}"),
     ("google_key", r"AIza[0-9A-Za-z_-]{35}"),
     ("jwt", r"eyJ[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}"),
-    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*+(?:-(?!----)[^-]*+){0,200}+-----END [A-Z ]*PRIVATE KEY-----)?"),
+    ("private_key", rf"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:{_TO_END}|{_TO_LAST_LINE})"),
     ("assignment", r"""(?i:password|passwd|pwd|secret|token|api_?key|credentials?|auth|private|login|key)["']?\s{0,3}[=:]\s{0,3}["']?[^\s"'<>]{6,}"""),
-    ("long_string", r"(?<![0-9A-Za-z+/_=-])(?=[A-Za-z+/_=-]{0,40}[0-9])[0-9A-Za-z+/_=-]{32,}"),
+    ("long_string", r"(?<![0-9A-Za-z+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[0-9A-Za-z+/_=-]{32,}"),
 )
 PATTERN = "|".join(f"(?:{p})" for _, p in KINDS)
 _ASSIGNED = r"""^(?:[A-Za-z_]{3,11})["']?\s{0,3}[=:]\s{0,3}["']?"""
@@ -127,6 +135,7 @@ def labelled_findings(spark: SparkSession, rows: int = 1800, first: int = 0) ->
         (1, F.concat(F.lit("eyJ"), F.substring(mixed, 1, 20), F.lit("."), F.substring(mixed, 21, 30), F.lit("."), F.substring(mixed, 11, 40)), F.lit("auth bearer "), F.lit("")),
         (1, F.lit("-----BEGIN RSA PRIVATE KEY-----"), plain, F.lit(" MIIE")),
         (1, F.substring(mixed, 1, 44), F.lit("private login key "), F.lit(" ok")),
+        (1, F.concat(F.lit("-----BEGIN PRIVATE KEY-----\n"), mixed, F.lit("\n"), F.reverse(mixed), F.lit("\n"), F.substring(mixed, 9, 30), F.lit("==\n-----END PRIVATE KEY-----")), plain, F.lit(" ")),
         (0, F.concat(F.lit("password="), word, F.lit("changeme")), plain, F.lit(" then")),
         (0, hexed(40), F.lit("in commit "), F.lit(" we fix")),
         (0, hexed(64), F.lit("checksum sha256 "), F.lit(" file")),
@@ -154,7 +163,7 @@ def labelled_findings(spark: SparkSession, rows: int = 1800, first: int = 0) ->
     )
     pick = F.pmod(F.col("id"), F.lit(len(kinds)))
     choose = lambda k: F.coalesce(*[F.when(pick == i, x[k] if isinstance(x[k], Column) else F.lit(x[k])) for i, x in enumerate(kinds)])
-    path = F.when(pick == 15, "docs/readme.md").when((pick >= 10) & (F.pmod(F.col("id"), F.lit(3)) == 0), "tests/fixture.txt").otherwise(F.concat(F.lit("src"), F.pmod(F.col("id"), F.lit(20))))
+    path = F.when(pick == 16, "docs/readme.md").when((pick >= 11) & (F.pmod(F.col("id"), F.lit(3)) == 0), "tests/fixture.txt").otherwise(F.concat(F.lit("src"), F.pmod(F.col("id"), F.lit(20))))
     return base.select(choose(1).alias("candidate"), choose(2).alias("left"), choose(3).alias("right"), path.alias("path"), choose(0).cast("double").alias("label"))
 
 
@@ -197,11 +206,13 @@ def redact(docs: DataFrame, model: RandomForestClassificationModel, text: str =
     assignment keeps its name); ``chars``, where it is there, counts anew.
 
     Longer values are replaced first, as they may hold shorter ones.
-    Decisions are joined back by a hash of the whole text, so copies of a text
-    are cleaned alike from one row per distinct text.
+    Only texts that hold a candidate are hashed and joined with the secrets
+    found in them, and only they may be shuffled for that; all others are passed
+    on as they are. Copies of a text are cleaned alike.
     """
     own = "__sl_hash"
-    hashed = docs.withColumn(own, F.sha2(F.col(text), 256))
+    some = F.coalesce(F.col(text).rlike(PATTERN), F.lit(False))
+    hashed = docs.where(some).withColumn(own, F.sha2(F.col(text), 256))
     found = scan(hashed, model, (own,), text, path).where("is_secret")
     value = F.regexp_replace("candidate", _ASSIGNED, "")
     lists = materialize(found.select(own, value.alias("value")).distinct().groupBy(own).agg(F.transform(F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), asc=False), lambda x: x["value"]).alias("__sl_values")), "secrets")
@@ -210,4 +221,4 @@ def redact(docs: DataFrame, model: RandomForestClassificationModel, text: str =
     out = {text: cleaned}
     if chars and chars in docs.columns:
         out[chars] = F.when(F.col("__sl_values").isNull(), F.col(chars)).otherwise(F.length(cleaned).cast(docs.schema[chars].dataType))
-    return joined.select(*[out.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    return joined.select(*[out.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns]).unionByName(docs.where(~some))
