@@ -195,17 +195,18 @@ def sample_level(total: int, wanted: int) -> int:
     return min(1 << LEVEL_BITS, -(-(wanted << LEVEL_BITS) // max(total, 1)))
 
 
-def fit(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) -> QualityModel:
+def fit(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS, id_col: str = "doc_id") -> QualityModel:
     """Count votes over all of ``docs``, fit the label model, then the scorer.
-    One pass over the texts makes both the counts and the scorer's sample."""
+    One pass over the texts makes both the counts and the scorer's sample,
+    which is drawn by a hash of text and id (where there is one)."""
     spark = docs.sparkSession
     small_batches(spark)
     level = sample_level(docs.count(), train_rows)
-    chance = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit("quality")), F.lit(1 << LEVEL_BITS))
+    chance = F.pmod(F.xxhash64(text, *([id_col] if id_col in docs.columns else []), F.lit("quality")), F.lit(1 << LEVEL_BITS))
     slim = docs.select(F.col(text).cast("binary").alias("t"), (chance < level).alias("chosen"))
 
     def look(batches):
-        places, counts = WordHash(), Counter()
+        places, counts, known = WordHash(), Counter(), set()
         names = ["votes", "n", "at", "share"]
         for batch in batches:
             at, share, codes = [], [], []
@@ -213,7 +214,8 @@ def fit(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) -> Qu
                 tokens = (t or b"").split()
                 code = votes_of(t, tokens)
                 counts[code] += 1
-                if chosen and tokens:
+                if chosen and tokens and hash(t) not in known:  # a text counts once, however many copies of it are drawn
+                    known.add(hash(t))
                     place, weight = features(tokens, places)
                     at.append(place.astype("<i2").tobytes())
                     share.append(weight.astype("<f4").tobytes())
@@ -223,7 +225,7 @@ def fit(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) -> Qu
 
     seen = materialize(slim.mapInArrow(look, "votes long, n long, at binary, share binary"), "votes")
     known = seen.where("n IS NOT NULL AND votes >= 0").groupBy("votes").agg(F.sum("n").alias("n")).toPandas().sort_values("votes")
-    rows = seen.where("n IS NULL").select("at", "share", "votes").collect()  # about train_rows of them
+    rows = seen.where("n IS NULL").select("at", "share", "votes").distinct().collect()  # about train_rows of them, or fewer
     discard(seen)
     if len(known) and not rows:
         raise ValueError(f"no document with words is among about {train_rows} sampled ones; raise train_rows")

@@ -67,3 +67,63 @@ def test_edges(spark, docs_of, edge_docs, no_docs):
     assert twice[0] == twice[1]
     assert qu.keep_good(edge_docs).columns == edge_docs.columns
     assert qu.keep_good(no_docs).count() == 0
+
+
+def by_hand(texts):
+    """Votes, label model and posteriors row by row, without patterns."""
+    rows = [[vote(qu.statistics(t.split(), t)) for _, vote in qu.LABELLERS] for t in texts]
+    good = [1 / (1 + np.exp(-2 * (r.count(qu.GOOD) - 1.5 * r.count(qu.BAD)))) for r in rows]
+    for _ in range(200):
+        n = len(rows)
+        prior = [(sum(1 - g for g in good) + 1) / (n + 2), (sum(good) + 1) / (n + 2)]
+        chance = {}
+        for c in (0, 1):
+            for k in range(len(qu.LABELLERS)):
+                seen = [sum((g if c else 1 - g) for g, r in zip(good, rows) if r[k] == v) + 0.05 for v in range(3)]
+                chance[c, k] = [x / sum(seen) for x in seen]
+        likely = [[prior[c] * np.prod([chance[c, k][v] for k, v in enumerate(r)]) for c in (0, 1)] for r in rows]
+        after = [b / (a + b) for a, b in likely]
+        if max(abs(a - g) for a, g in zip(after, good)) < 1e-7:
+            return after
+        good = after
+    return good
+
+
+def score_by_hand(text, weights):
+    """Shares of words, shapes and repeats, each in its hashed place."""
+    import re
+    from zlib import crc32
+
+    words = text.split()
+    z = weights[-1] + weights[qu.DIMS - 1] * sum(a == b for a, b in zip(words, words[1:])) / len(words)
+    for w in words:
+        shape = bytes(65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in w)
+        z += weights[crc32(w.lower()) % (qu.DIMS // 2)] / len(words)
+        z += weights[qu.DIMS // 2 + crc32(b"shape " + re.sub(rb"([Aa0])\1+", rb"\1", shape)) % (qu.DIMS // 2 - 1)] / len(words)
+    return 1 / (1 + np.exp(-z))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
+def test_posterior_score_and_filter_by_hand(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
+    spoken = [i for i, t in texts.items() if t.split()]
+    posterior = dict(zip(spoken, by_hand([texts[i] for i in spoken])))
+    model = qu.fit(docs)
+    rows = qu.score(docs, model).collect()
+    assert {r["doc_id"] for r in rows} == set(texts)
+    for r in rows:
+        i = r["doc_id"]
+        if i not in posterior:
+            assert (r["score"], r["posterior"], r["good"]) == (0, 0, False)
+            continue
+        assert r["posterior"] == pytest.approx(posterior[i], abs=1e-4)
+        assert r["score"] == pytest.approx(score_by_hand(texts[i], model.weights), abs=1e-9)
+        assert r["good"] == (r["score"] >= 0.3)
+    assert {r["doc_id"] for r in qu.keep_good(docs).collect()} == {r["doc_id"] for r in rows if r["good"]}
+
+
+def test_the_sample_does_not_depend_on_splits(spark, docs_of):
+    docs = docs_of([(i % 700, f"the text of no {i % 500} and that is it.") for i in range(1500)])
+    one, many = (qu.fit(docs.repartition(n), train_rows=200).weights for n in (1, 13))
+    assert (one == many).all() and one.any()
