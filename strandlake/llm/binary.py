@@ -41,6 +41,7 @@ MAGIC = b"SLTOKEN1"
 BLOCK_IDS = 1 << 20
 FILE_BYTES = 64 << 20
 END_ID = 2
+READ_TASKS = 10_000
 
 #: For each control byte, the lengths of its four ids.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
@@ -246,7 +247,7 @@ def read_tokens(manifest: DataFrame, path: str, with_ids: bool = True) -> DataFr
 
     files = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(base.items())], "file string, start long, task int")
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return files.repartitionById(max(1, len(base)), "task").mapInArrow(run, schema)  # one file a task
+    return files.repartitionById(max(1, min(len(base), READ_TASKS)), "task").mapInArrow(run, schema)  # one file a task, or several where there are very many
 
 
 __all__ = ["decode_ranks", "encode_ranks", "fresh_path", "rank_table", "read_tokens", "write_tokens"]

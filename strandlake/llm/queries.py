@@ -40,7 +40,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import ROW, with_row_id
     from .decontaminate import digest, search
 
-    docs = with_row_id(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = with_row_id(_table(spark, sf_dir, "documents")).select(ROW, "doc_id", "text")
     return digest(search(docs, _table(spark, sf_dir, "benchmark")).join(docs.select(ROW, "doc_id"), ROW))
 
 

@@ -10,8 +10,10 @@ then go to shards, largest first, each to the emptiest shard. A range of very
 many rows, as of one text with very many copies, is numbered in pieces by
 several tasks, which all go to the same shard.
 
-Only splitters and range sizes reach the driver: 64 for a shard, or one for
-half a million rows where that is more, plus one for each piece.
+The driver gets the sampled keys, 32 for each range, and the ranges' sizes: 64
+ranges for a shard, or one for half a million rows where that is more, plus one
+row for each piece. The table of pieces that goes back is broadcast; it has as
+many rows, and above ``MOST_PLACES`` of them it is joined without a hint.
 
 Null texts weigh the fixed row cost alone and share one key. Repeated rows are
 placed one by one, ties of key and id by their place in the input. Texts of any
@@ -29,13 +31,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stable
+from .common import ROW, stable, with_row_id
 
 RANGES_PER_SHARD = 64
 SAMPLES_PER_RANGE = 32
 ROUNDS = 6
 #: Rows that one task numbers: a range holds about so many, a piece of it as well.
 ROWS_PER_RANGE = 500_000
+MOST_PLACES = 1_000_000
 
 
 @dataclass
@@ -56,27 +59,30 @@ def _range_of(cuts: np.ndarray):
     return find
 
 
-def _sample(rows: DataFrame, total: int, wanted: int, seed: int) -> np.ndarray:
-    """Sorted keys, each drawn with a chance in proportion to its row's size;
-    a row too large for one draw counts as often as its share asks."""
+def _sample(rows: DataFrame, total: int, wanted: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and how often each is drawn, in proportion to the sizes of
+    its rows. Chances come from key and id alone, so a rerun draws the same."""
     expect = F.col("size") * F.lit(wanted / max(total, 1))
-    chance = F.pmod(F.xxhash64("key", "row", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = rows.select("key", F.floor(expect + chance).cast("int").alias("n")).where("n > 0")
+    chance = F.pmod(F.xxhash64("key", "mark", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = rows.select("key", F.floor(expect + chance).alias("n")).where("n > 0")
     table = drawn.groupBy("key").agg(F.sum("n").alias("n")).toPandas().sort_values("key")
-    return np.repeat(table["key"].to_numpy(np.int64), table["n"].to_numpy(np.int64))
+    return table["key"].to_numpy(np.int64), table["n"].to_numpy(np.int64)
 
 
-def _quantile_cuts(sample: np.ndarray, ranges: int) -> np.ndarray:
-    if not len(sample):
+def _quantile_cuts(sample: tuple[np.ndarray, np.ndarray], ranges: int) -> np.ndarray:
+    drawn, n = sample
+    if not len(drawn):
         return np.zeros(0, np.int64)
-    at = sample[(np.arange(1, ranges) * len(sample)) // ranges]
+    upto = np.cumsum(n)
+    at = drawn[np.searchsorted(upto, (np.arange(1, ranges) * int(upto[-1])) // ranges, side="right")]
     keys, times = np.unique(at, return_counts=True)
     hot = keys[times > 1]
     return np.concatenate([keys, hot[hot < np.iinfo(np.int64).max] + 1])
 
 
 def plan_shards(rows: DataFrame, shards: int, ranges_per_shard: int = RANGES_PER_SHARD, rows_per_range: int = ROWS_PER_RANGE) -> Plan:
-    """``rows``: key long, row long (to part equal keys), size long."""
+    """``rows``: key long, mark long (a hash of the id), row long (to part
+    equal keys), size long."""
     low = np.iinfo(np.int64).min
     total, count = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     ranges = max(shards * ranges_per_shard, -(-count // rows_per_range))
@@ -141,14 +147,14 @@ def shard(docs: DataFrame, shards: int = 24, group: str = "text", size: Column |
     own = ("__sl_key", "__sl_line", "__sl_size", "__sl_range", "__sl_piece")
     weight = size if size is not None else F.coalesce(F.octet_length(F.col(group)), F.lit(0)).cast("long") + 8
     docs = stable(docs)
-    rows = docs.select("*", F.xxhash64(F.col(group)).alias(own[0]), F.monotonically_increasing_id().alias(own[1]), weight.alias(own[2]))
-    plan = plan_shards(rows.select(F.col(own[0]).alias("key"), F.col(own[1]).alias("row"), F.col(own[2]).alias("size")), shards, rows_per_range=rows_per_range)
+    rows = with_row_id(docs).withColumnRenamed(ROW, own[1]).withColumns({own[0]: F.xxhash64(F.col(group)), own[2]: weight})
+    plan = plan_shards(rows.select(F.col(own[0]).alias("key"), F.xxhash64(F.col(f"`{id_col}`")).alias("mark"), F.col(own[1]).alias("row"), F.col(own[2]).alias("size")), shards, rows_per_range=rows_per_range)
     spark = docs.sparkSession
     places = spark.createDataFrame(plan.placed, "__sl_range int, __sl_piece int, __sl_shard int, __sl_base long")
     dealt = rows.withColumn(own[3], _range_of(plan.cuts)(own[0])).withColumn(own[4], _piece(plan.pieces, F.col(own[3]), F.col(own[1])))
     # a piece is bounded by the plan, so numbering it in one task is, too
     numbered = dealt.selectExpr("*", f"row_number() OVER (PARTITION BY {own[3]}, {own[4]} ORDER BY {own[0]}, `{id_col}`, {own[1]}) - 1 AS __sl_n")
-    joined = numbered.join(F.broadcast(places), ["__sl_range", "__sl_piece"])  # one row per piece: bounded by the plan
+    joined = numbered.join(F.broadcast(places) if len(plan.placed) <= MOST_PLACES else places, ["__sl_range", "__sl_piece"])
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")]
     return joined.select(*kept, F.col("__sl_shard").alias("shard"), (F.col("__sl_base") + F.col("__sl_n")).alias("slot"))
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, by_part, discard, drop_path, materialize, small_batches, stable, with_own_part, with_row_id, without_rows
+from .common import ROW, by_block, discard, drop_path, materialize, small_batches, stable, with_own_block, with_row_id, without_rows
 from .components import connected_components
 
 TILE = 256
@@ -333,11 +333,11 @@ def link_similar(distinct: DataFrame, radius: int, bits: int, texts: DataFrame,
     large = distinct.where(F.col("size") > border).select("node", "size", "fp")
     edges = fingerprint_edges(small, radius, bits, similarity, True).unionByName(fingerprint_edges(large, radius, bits, similarity))
     groups = materialize(connected_components(edges), "candidates")
-    wanted = by_part(distinct.join(groups, "node").select("root", "node", "fp", "odd", F.col("at").alias(ROW)), "wanted")
+    wanted = by_block(distinct.join(groups, "node").select("root", "node", "fp", "odd", F.col("at").alias(ROW)), texts, "wanted")
     carried = ["root", "node", "fp", "odd"]
 
     def sets_of(batches):
-        for batch, table in with_own_part(batches, wanted, [ROW, *carried]):
+        for batch, table in with_own_block(batches, wanted, [ROW, *carried]):
             rows = np.asarray(table.column(ROW), np.int64)
             order = np.argsort(rows)
             mine = batch.column(1).to_numpy()
@@ -382,7 +382,7 @@ def link_similar(distinct: DataFrame, radius: int, bits: int, texts: DataFrame,
     roots = materialize(connected_components(edges), "similar")
     for table in (groups, members, sizes):
         discard(table)
-    drop_path(texts.sparkSession, wanted)
+    drop_path(texts.sparkSession, wanted.path)
     return roots
 
 
@@ -398,6 +398,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """
     rowed = keep_row or similarity is not None
     keep = (id_col, ROW) if rowed else (id_col,)
+    docs = stable(docs) if rowed else docs
     made = fingerprint(with_row_id(docs) if rowed else docs, text, keep, words, bits) if similarity is None else set_fingerprints(with_row_id(docs), text, keep, words, bits, reach_of(radius, similarity)[2])
     rows = materialize(made.withColumnRenamed(id_col, "__sl_id"), "fingerprints")
     if similarity is None:

@@ -8,6 +8,9 @@ compressed and plain size of every frame (the public seekable format: magic
 of its frame, and the record's offset and length inside the plain frame, so one
 record is read by one ranged read and one decompression.
 
+Payloads stay where the scan finds them: only their digests are shuffled, and
+each task looks up which of its own rows are revisits, and of what.
+
 Of records with equal payloads (by SHA-1, size at least ``min_bytes``) the one
 with the smallest page id, nulls last, ties by place in the input, is written
 as a response; the others become revisits that name it. Null payloads are
@@ -31,10 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, shared_fs, small_batches, stable
+from .common import ROW, by_block, discard, drop_path, materialize, shared_fs, small_batches, stable, with_own_block, with_row_id
 
 FRAME_BYTES = 256 << 10
 FILE_BYTES = 64 << 20
+READ_TASKS = 10_000
 TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A5E, 0x8F92EAB1
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
@@ -153,14 +157,15 @@ def read_one(file: str, frame_start: int, frame_size: int, record_start: int, re
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url: str = "url", payload: str = "html", min_bytes: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write ``pages`` to bundles under ``path``; returns the record index."""
     small_batches(pages.sparkSession, 500)
-    pages = stable(pages)
+    numbered = with_row_id(stable(pages))
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
-    rows = pages.select(F.col(id_col).cast("long").alias("page"), F.monotonically_increasing_id().alias("row"), F.col(url).cast("string").alias("url"), body.alias("body"))
-    keyed = rows.withColumn("sha", F.sha1("body"))
-    first = keyed.where(F.octet_length("body") >= min_bytes).groupBy("sha").agg(F.min(F.struct(F.col("page").isNull().alias("absent"), "page", "row")).alias("first"))
-    first = materialize(first.select("sha", F.col("first.page").alias("first_page"), F.col("first.row").alias("first_row")), "first")
+    rows = numbered.select(F.col(id_col).cast("long").alias("page"), F.col(url).cast("string").alias("url"), body.alias("body"), ROW)
+    digests = materialize(rows.where(F.octet_length("body") >= min_bytes).select("page", ROW, F.sha1("body").alias("sha")), "digests")
+    first = digests.groupBy("sha").agg(F.min(F.struct(F.col("page").isNull().alias("absent"), "page", ROW)).alias("first"))
+    first = materialize(first.select("sha", F.col("first.page").alias("first_page"), F.col(f"first.{ROW}").alias("first_row")), "first")
     # both sides are plain scans, so adaptive execution may split a hot payload
-    joined = keyed.join(first, "sha", "left").select("page", "row", "url", "body", "first_page", "first_row")
+    again = digests.join(first, "sha").where(F.col(ROW) != F.col("first_row")).select(ROW, "first_page", "first_row")
+    revisits = by_block(again, numbered, "revisits")
     fs, root = shared_fs(path)
     fs.create_dir(root, recursive=True)
     uri = path.rstrip("/")
@@ -173,29 +178,34 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url: str =
             cols = list(zip(*writer.index))
             return pa.RecordBatch.from_arrays([pa.array([f"{uri}/{name}"] * len(cols[0])), pa.array(cols[0]), *(pa.array(c, pa.int64()) for c in cols[1:])], names=["file", "record_id", "frame_start", "frame_size", "record_start", "record_size"])
 
-        writer, name = None, ""
-        for batch in batches:
-            for page, row, link, data, first_page, first_row in zip(*(batch.column(i).to_pylist() for i in range(6))):
+        writer, name, known, seen = None, "", None, {}
+        for batch, table in with_own_block(batches, revisits, [ROW, "first_page", "first_row"]):
+            if table is not known:
+                known, seen = table, dict(zip(table.column(0).to_pylist(), zip(table.column(1).to_pylist(), table.column(2).to_pylist())))
+            for page, link, data, row in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if writer is None:
                     name = f"part-{uuid.uuid4().hex}.warc.zst"
                     writer = BundleWriter(fs.open_output_stream(f"{root}/{name}", compression=None))
-                again = None if first_row is None or first_row == row else (first_page, first_row)
-                writer.add(record_name(page, row), record_bytes(page, row, link, data, again))
+                writer.add(record_name(page, row), record_bytes(page, row, link, data, seen.get(row)))
                 if writer.at >= file_bytes:
                     yield report(name, writer)
                     writer = None
         if writer is not None:
             yield report(name, writer)
 
-    return materialize(joined.mapInArrow(run, INDEX_SCHEMA), "warc-index")
+    index = materialize(rows.mapInArrow(run, INDEX_SCHEMA), "warc-index")
+    for table in (digests, first):
+        discard(table)
+    drop_path(pages.sparkSession, revisits.path)
+    return index
 
 
 def read_warc(index: DataFrame) -> DataFrame:
     """Read every record of the bundles in ``index`` through their seek tables:
     ``page_id, payload_bytes, payload_digest, record_type, refers_to, url``."""
     files = index.select("file").distinct()
-    # by range of their names, which are fewer than are sampled: one file a task
-    files = files.repartitionByRange(max(1, files.count()), "file")
+    # by range of their names: one file a task, or several where there are very many
+    files = files.repartitionByRange(max(1, min(files.count(), READ_TASKS)), "file")
 
     def number(name: str) -> int | None:
         page = name.strip("<>").split(":")[2]

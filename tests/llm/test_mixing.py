@@ -100,7 +100,7 @@ def test_words_taken_come_near_targets(spark):
         target[by_id[i]] = t
         assert n in (0, size, 2 * size)
     for s, t in target.items():
-        assert t - 5 <= taken[s] <= t or s == "s5"  # a row nine times over is taken nine times or not
+        assert t - 97 <= taken[s] <= t or s == "s5"  # the longest document; a row nine times over is taken nine times or not
 
 
 def test_given_weights_and_the_mix_itself(spark):
