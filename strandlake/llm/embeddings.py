@@ -2,17 +2,30 @@
 
 Equal vectors of a label form one class, so copies cost nothing more. A first
 neighbour graph joins classes that lie close together when sorted by random
-hyperplane codes. Rounds of NN-descent refine it: whoever shares a neighbour
-is compared, and every class keeps its best ``k``. A class whose list is
-saturated (all of it links) may hold ``wide`` neighbours. The lists only say
-which classes belong together: in the end the classes of a label are dealt over
-a square grid of cells, tiles of neighbours are compared exactly in double
-precision, and a pair of tiles is left out only where the triangle inequality
-rules out any link between them. So neither links nor components depend on
-what the lists hold; the cost is quadratic where tiles aren't far apart.
+hyperplane codes. Rounds of NN-descent refine it: whoever shares a neighbour is
+compared, and every class keeps its best ``k``. Edges at the threshold are
+links; what they join is a group.
+
+A class whose list is saturated (``k`` entries, all of them links) may have
+more. Its list is enlarged until its last entry is below the threshold: entries
+of its own group give way to others, found by the same rounds among the
+saturated groups, of which only pairs of different groups are compared. An edge
+at the threshold joins two groups and the rounds go on; they end when the best
+entry from outside is below it in every list. The links inside a group of three
+and more are then counted in blocks, each against each, so no list grows with
+its group and nothing is capped. Two classes of different groups are compared
+in those rounds and in the audit alone.
+
+The audit takes classes by a hash, ``AUDIT`` and four times the root of all
+others, compares them with all classes in double precision, and states which
+share of their links lies inside groups (recall). Links that it finds missing
+join their groups, and another sample is taken, until one misses nothing. Labels
+in which ``AUDITS`` samples in a row have found something missing, and only
+these, are compared in blocks as a whole.
 
 Neighbour lists of hubs are split into blocks, so no task holds an unbounded
-list. Nothing is broadcast or sent to the driver but counts.
+list; blocks of vectors are bounded in bytes. Nothing is broadcast; counts,
+recall and the wanting labels' number go to the driver.
 
 Null labels, and vectors that are null, zero, or hold null or non-finite
 components, link with nothing and stand alone; vectors of different lengths
@@ -24,22 +37,39 @@ read, whatever their names.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize
+from .common import discard, drop_path, fresh_path, materialize, shared_fs
 from .components import connected_components
 
-K, WIDE, TABLES, WINDOW, ROUNDS = 8, 32, 10, 12, 3
+log = logging.getLogger(__name__)
+
+K, TABLES, WINDOW, ROUNDS, MERGES = 8, 10, 12, 3, 20
 HUB = 512
-TILE, SMALL, BLOCK = 256, 1024, 65_536
+TILE, SMALL, BLOCK_BYTES = 256, 1024, 32 << 20
+AUDIT, AUDITS, AUDIT_BLOCK = 256, 3, 2048
 SLACK = 1e-4
 
 
+@dataclass
+class Audit:
+    """``recall``: the share of the links of the first sample of ``classes``
+    classes that the lists had found; ``rounds``: samples taken; ``wanting``:
+    labels that were compared as a whole."""
+
+    recall: float
+    classes: int
+    rounds: int
+    wanting: int
+
+
 def groups(batches, keys: int) -> Iterator[tuple[tuple, pa.Table]]:
     """The groups of sorted rows, whole across batches, by the first columns."""
     held: list[pa.RecordBatch] = []
@@ -88,30 +118,31 @@ def classes_of(table: DataFrame, label: str, vector: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(units, pa.binary()), pa.array(brief, pa.binary()), pa.array(dims, pa.int32())], names=[*batch.schema.names, "unit", "brief", "dim"])
 
     out = grouped.mapInArrow(run, f"label {kind}, embedding array<double>, n long, least long, unit binary, brief binary, dim int").where("unit IS NOT NULL")
-    return materialize(out.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    numbered = materialize(out.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    alone = numbered.withColumn("root", F.col("cls"))
+    alone._strandlake_path = numbered._strandlake_path
+    return alone
 
 
 def seed_edges(classes: DataFrame, tables: int, seed: int, window: int, threshold: float) -> DataFrame:
-    """``src, dst, sim``: near neighbours in the order of hyperplane codes."""
+    """``src, dst, sim, inside``: near neighbours in the order of hyperplane
+    codes, always of another ``root``: the members of one root that lie in a row
+    there are passed over, from each of them to what comes before and behind."""
+    schema = classes.schema
+    kind = schema["label"].dataType.simpleString()
 
     def codes(batches):
         for batch in batches:
-            dims = batch.column(2).to_numpy()
-            out = []
+            dims = batch.column(3).to_numpy()
             for dim in np.unique(dims).tolist():
-                rows = np.flatnonzero(dims == dim)
-                part = batch.take(pa.array(rows))
-                raw = part.column(3).to_pylist()
-                x = np.frombuffer(b"".join(raw), np.float32).reshape(len(raw), -1)
+                part = batch.take(pa.array(np.flatnonzero(dims == dim)))
+                x = np.frombuffer(b"".join(part.column(4).to_pylist()), np.float32).reshape(part.num_rows, -1)
                 for t in range(tables):
                     planes = np.random.default_rng([seed, dim, t]).standard_normal((dim, 40))
                     code = ((x @ planes) > 0) @ (1 << np.arange(40, dtype=np.int64))
-                    n = len(rows)
-                    out.append(pa.RecordBatch.from_arrays([pa.array([t] * n, pa.int32()), part.column(1), part.column(2), pa.array(code), part.column(0), part.column(3)], names=["t", "label", "dim", "code", "cls", "unit"]))
-            yield from out
+                    yield pa.RecordBatch.from_arrays([pa.array([t] * part.num_rows, pa.int32()), part.column(2), part.column(3), pa.array(code), part.column(0), part.column(1), part.column(4)], names=["t", "label", "dim", "code", "cls", "root", "unit"])
 
-    kind = classes.schema["label"].dataType.simpleString()
-    coded = classes.select("cls", "label", "dim", "brief").mapInArrow(codes, f"t int, label {kind}, dim int, code long, cls long, unit binary")
+    coded = classes.select("cls", "root", "label", "dim", "brief").mapInArrow(codes, f"t int, label {kind}, dim int, code long, cls long, root long, unit binary")
     ordered = coded.repartitionByRange("t", "label", "dim", "code", "cls").sortWithinPartitions("t", "label", "dim", "code", "cls")
 
     def sweep(batches):
@@ -120,80 +151,81 @@ def seed_edges(classes: DataFrame, tables: int, seed: int, window: int, threshol
             if held is not None:
                 batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
             n = batch.num_rows
+            held = batch.slice(max(0, n - window))
             if n < 2:
-                held = batch
                 continue
-            same = np.ones(n, bool)
+            part = np.zeros(n, np.int64)
             for c in range(3):
                 v = batch.column(c).to_numpy(zero_copy_only=False)
-                same[1:] &= v[1:] == v[:-1]
-            run = np.cumsum(~same)
-            cls = batch.column(4).to_numpy()
+                part[1:] |= v[1:] != v[:-1]
+            part = np.cumsum(part)
+            cls, root = (batch.column(c).to_numpy() for c in (4, 5))
+            run = np.concatenate([[0], np.cumsum((root[1:] != root[:-1]) | (part[1:] != part[:-1]))])
+            begin, end = np.searchsorted(run, run), np.searchsorted(run, run, side="right")
+            raw = batch.column(6).to_pylist()
             src, dst, sim = [], [], []
-            raw = batch.column(5).to_pylist()
-            for g in np.unique(run).tolist():
-                rows = np.flatnonzero(run == g)
-                x = np.frombuffer(b"".join(raw[r] for r in rows), np.float32).reshape(len(rows), -1)
-                name = cls[rows]
-                near = np.full((len(rows), 2 * window), -2, np.float32)
-                for o in range(1, min(window, len(rows) - 1) + 1):
-                    s = np.einsum("ij,ij->i", x[:-o], x[o:])
-                    near[:-o, o - 1] = s
-                    near[o:, window + o - 1] = s
-                keep = np.zeros(near.shape, bool)
-                best = np.argsort(-near, axis=1)[:, :3]
-                np.put_along_axis(keep, best, True, axis=1)
-                keep = (keep | (near >= threshold - SLACK)) & (near > -2)
-                i, o = np.nonzero(keep)
-                j = np.where(o < window, i + o + 1, i - (o - window) - 1)
-                src.append(name[i])
-                dst.append(name[j])
+            for p in range(int(part[-1]) + 1):
+                lo, hi = np.searchsorted(part, [p, p + 1])
+                if hi - lo < 2:
+                    continue
+                x = np.frombuffer(b"".join(raw[lo:hi]), np.float32).reshape(hi - lo, -1)
+                rows = np.arange(lo, hi)
+                other = np.concatenate([end[lo:hi, None] + np.arange(window), begin[lo:hi, None] - 1 - np.arange(window)], axis=1)
+                there = (other >= lo) & (other < hi)
+                other = np.clip(other, lo, hi - 1)
+                near = np.stack([np.einsum("ij,ij->i", x, x[other[:, o] - lo]) for o in range(2 * window)], axis=1)
+                near[~there | (root[other] == root[rows][:, None])] = -2
+                keep = near >= threshold - SLACK
+                np.put_along_axis(keep, np.argsort(-near, axis=1)[:, :3], True, axis=1)
+                i, o = np.nonzero(keep & (near > -2))
+                src.append(cls[lo + i])
+                dst.append(cls[other[i, o]])
                 sim.append(near[i, o])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (src, dst, sim)], names=["src", "dst", "sim"])
-            held = batch.slice(max(0, n - window))
+            if src:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (src, dst, sim)], names=["src", "dst", "sim"])
 
-    return ordered.mapInArrow(sweep, "src long, dst long, sim float")
+    return ordered.mapInArrow(sweep, "src long, dst long, sim float").withColumns({"fresh": F.lit(True), "inside": F.lit(False)})
 
 
-def best_lists(edges: DataFrame, k: int, wide: int, threshold: float) -> DataFrame:
-    """The best ``k`` neighbours of each class, up to ``wide`` of those that
-    link; ``fresh`` edges were not in the lists before."""
-    single = edges.groupBy("src", "dst").agg(F.max("sim").alias("sim"), F.min(F.col("fresh").cast("int")).alias("fresh"))
-    ranked = single.selectExpr("*", "row_number() OVER (PARTITION BY src ORDER BY sim DESC, dst) AS place")
-    return ranked.where((F.col("place") <= k) | ((F.col("place") <= wide) & (F.col("sim") >= threshold - SLACK))).select("src", "dst", "sim", (F.col("fresh") == 1).alias("fresh"))
+def best_lists(edges: DataFrame, k: int) -> DataFrame:
+    """The best ``k`` neighbours of each class inside its group, and the best
+    ``k`` outside; ``fresh`` edges were not in the lists before."""
+    single = edges.groupBy("src", "dst").agg(F.max("sim").alias("sim"), F.min(F.col("fresh").cast("int")).alias("fresh"), F.max("inside").alias("inside"))
+    ranked = single.selectExpr("*", "row_number() OVER (PARTITION BY src, inside ORDER BY sim DESC, dst) AS place")
+    return ranked.where(F.col("place") <= k).select("src", "dst", "sim", (F.col("fresh") == 1).alias("fresh"), "inside")
 
 
-def descend(graph: DataFrame, classes: DataFrame, k: int, wide: int, threshold: float) -> DataFrame:
-    """One round: all pairs that share a neighbour, at least one of them new
-    to it, where the pair beats the worst of a list, and the lists that the
-    old ones and these pairs make. ``graph`` is discarded."""
+def descend(graph: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """One round: all pairs of different groups that share a neighbour, at
+    least one of them new to it, where the pair beats the worst of a full list,
+    and the lists that the old ones and these pairs make. ``graph`` is
+    discarded."""
     both = graph.select(F.col("src").alias("mid"), F.col("dst").alias("who"), "fresh").unionByName(graph.select(F.col("dst").alias("mid"), F.col("src").alias("who"), "fresh"))
     both = both.groupBy("mid", "who").agg(F.max(F.col("fresh").cast("int")).alias("fresh"))
     degree = materialize(both.groupBy("mid").agg(F.count("*").alias("deg"), F.max("fresh").alias("any")), "degree")
-    floor = materialize(graph.groupBy("src").agg(F.count("*").alias("have"), F.min("sim").alias("worst")).selectExpr("src AS who", f"CASE WHEN have >= {k} THEN worst ELSE cast(-2 AS float) END AS worst"), "floor")
+    floor = materialize(graph.where("NOT inside").groupBy("src").agg(F.count("*").alias("have"), F.min("sim").alias("worst")).selectExpr("src AS who", f"CASE WHEN have >= {k} THEN worst ELSE cast(-2 AS float) END AS worst"), "floor")
     blocks = F.ceil(F.col("deg") / F.lit(HUB)).cast("int")
     members = both.join(degree.where("any = 1"), "mid").withColumn("block", F.pmod(F.xxhash64("who"), blocks).cast("int"))
-    members = members.join(floor, "who", "left").join(classes.select(F.col("cls").alias("who"), "brief"), "who")
-    ordered = members.select("mid", "block", "who", "fresh", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst"), "brief").repartition("mid", "block").sortWithinPartitions("mid", "block")
+    members = members.join(floor, "who", "left").join(classes.select(F.col("cls").alias("who"), "root", "brief"), "who")
+    ordered = members.select("mid", "block", "who", "root", "fresh", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst"), "brief").repartition("mid", "block").sortWithinPartitions("mid", "block")
 
     def local(batches):
         src, dst, sim, held = [], [], [], 0
         for _, table in groups(batches, 2):
             if table.num_rows < 2:
                 continue
-            who = table.column("who").to_numpy()
+            who, root = (table.column(c).to_numpy() for c in ("who", "root"))
             fresh = table.column("fresh").to_numpy() > 0
             worst = table.column("worst").to_numpy()
             x = np.frombuffer(b"".join(table.column("brief").to_pylist()), np.float32).reshape(len(who), -1)
             s = x @ x.T
-            s[~(fresh[:, None] | fresh[None, :])] = -3
-            np.fill_diagonal(s, -3)
+            s[~(fresh[:, None] | fresh[None, :]) | (root[:, None] == root[None, :])] = -3
             good = s > worst[:, None]
             if len(who) > k:  # k of each row exactly, however many are alike
                 best = np.zeros(s.shape, bool)
                 np.put_along_axis(best, np.argpartition(-s, k - 1, axis=1)[:, :k], True, axis=1)
                 good &= best
-            i, j = np.nonzero(good)
+            i, j = np.nonzero(good & (s > -3))
             src.append(who[i])
             dst.append(who[j])
             sim.append(s[i, j].astype(np.float32))
@@ -204,13 +236,63 @@ def descend(graph: DataFrame, classes: DataFrame, k: int, wide: int, threshold:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (src, dst, sim)], names=["src", "dst", "sim"])
 
-    found = ordered.mapInArrow(local, "src long, dst long, sim float").withColumn("fresh", F.lit(True))
-    after = materialize(best_lists(graph.withColumn("fresh", F.lit(False)).unionByName(found), k, wide, threshold), "graph")
+    found = ordered.mapInArrow(local, "src long, dst long, sim float").withColumns({"fresh": F.lit(True), "inside": F.lit(False)})
+    after = materialize(best_lists(graph.withColumn("fresh", F.lit(False)).unionByName(found), k), "graph")
     for table in (degree, floor, graph):
         discard(table)
     return after
 
 
+def settled(graph: DataFrame, classes: DataFrame, k: int, rounds: int, threshold: float) -> DataFrame:
+    """The graph after at most ``rounds`` rounds; fewer where nearly nothing,
+    and no link, is new."""
+    for _ in range(rounds):
+        graph = descend(graph, classes, k)
+        n, fresh, strong = graph.agg(F.count("*"), F.count_if("fresh"), F.count_if(F.col("fresh") & (F.col("sim") >= threshold - SLACK))).first()
+        if not strong and fresh < 0.001 * n:
+            break
+    return graph
+
+
+def regrouped(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` with the roots of the groups that ``links`` (two roots of
+    classes) join."""
+    roots = connected_components(links).select(F.col("node").alias("root"), F.col("root").alias("__root"))
+    joined = classes.join(roots, "root", "left").withColumn("root", F.coalesce("__root", "root")).drop("__root")
+    after = materialize(joined.select(*classes.columns), "classes")
+    discard(classes)
+    return after
+
+
+def _by_roots(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """``src, dst`` as the roots of both."""
+    at = classes.select("cls", "root")
+    return links.join(at.select(F.col("cls").alias("src"), F.col("root").alias("a")), "src").join(at.select(F.col("cls").alias("dst"), F.col("root").alias("b")), "dst").select("a", "b").distinct()
+
+
+def enlarged(graph: DataFrame, classes: DataFrame, k: int, tables: int, window: int, rounds: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Lists of saturated groups enlarged until the best entry from outside is
+    below the threshold. Returns the classes, regrouped, and the graph."""
+    strong = F.col("sim") >= threshold - SLACK
+    for turn in range(MERGES):
+        full = graph.where(strong).groupBy("src").agg(F.count("*").alias("n")).where(F.col("n") >= k).select(F.col("src").alias("cls"))
+        some = materialize(classes.join(full, "cls", "left_semi").select("root").distinct(), "saturated")
+        if some.isEmpty():
+            break
+        inside = materialize(classes.join(some, "root", "left_semi"), "members")
+        at = inside.select("cls", "root")
+        kept = graph.join(at.select(F.col("cls").alias("src"), F.col("root").alias("a")), "src").join(at.select(F.col("cls").alias("dst"), F.col("root").alias("b")), "dst")
+        routes = kept.select("src", "dst", "sim", F.lit(True).alias("fresh"), (F.col("a") == F.col("b")).alias("inside"))
+        outside = settled(materialize(best_lists(routes.unionByName(seed_edges(inside, tables, turn + 1, window, threshold)), k), "graph"), inside, k, rounds, threshold)
+        links = materialize(_by_roots(outside.where(strong & ~F.col("inside")).select("src", "dst"), classes), "joined")
+        for table in (some, inside, outside):
+            discard(table)
+        if links.isEmpty():
+            break
+        classes = regrouped(classes, links)
+    return classes, graph
+
+
 def tiles_of(x: np.ndarray):
     """Cuts of ``x`` (unit vectors) into tiles, each tile's centre, and the
     largest angle between it and a member."""
@@ -263,15 +345,16 @@ def links_in_cell(x: np.ndarray, n: np.ndarray, order: np.ndarray, left: np.ndar
 
 
 def exact_links(classes: DataFrame, threshold: float) -> DataFrame:
-    """``classes``: label, dim, root, cls, n, unit. Every pair of a label and
-    length is compared in double precision, block against block. Per class and
-    block pair: ``cls, links`` (rows linked) and ``joined``, a class it is
-    joined to (a spanning forest of the links)."""
-    blocks = F.when(F.col("classes") <= SMALL, 1).otherwise(F.greatest(F.lit(4), F.ceil(F.col("classes") / F.lit(BLOCK)))).cast("int")
-    sizes = materialize(classes.groupBy("label", "dim").agg(F.count("*").alias("classes"), F.min("cls").alias("part")).where("classes > 1").select("label", "dim", "part", blocks.alias("blocks")), "sizes")
+    """``classes``: part, cls, n, dim, unit; vectors of a part are of one label
+    and length. Every pair of a part is compared in double precision, block
+    against block. Per class and block pair: ``cls, links`` (rows linked) and
+    ``joined``, a class it is joined to (a spanning forest of the links)."""
+    size = F.ceil(F.col("classes") * F.col("dim") * 8 / F.lit(BLOCK_BYTES))
+    blocks = F.when(F.col("classes") <= SMALL, 1).otherwise(F.greatest(F.lit(4), size)).cast("int")
+    sizes = materialize(classes.groupBy("part").agg(F.count("*").alias("classes"), F.first("dim").alias("dim")).where("classes > 1").select("part", blocks.alias("blocks")), "sizes")
     mine = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    spread = classes.join(sizes, ["label", "dim"]).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = spread.select("part", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "root", "cls", "n", "unit")
+    spread = classes.join(sizes, "part").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = spread.select("part", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cls", "n", "unit")
     ordered = cells.repartition("part", "i", "j").sortWithinPartitions("part", "i", "j")
 
     def run(batches):
@@ -282,8 +365,9 @@ def exact_links(classes: DataFrame, threshold: float) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(v).astype(np.int64)) for v in out], names=["cls", "links", "joined"])
 
         for (_, i, j), table in groups(batches, 3):
-            cls, n, order = (table.column(c).to_numpy() for c in ("cls", "n", "root"))
+            cls, n = (table.column(c).to_numpy() for c in ("cls", "n"))
             x = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float64).reshape(len(cls), -1)
+            order = x @ np.random.default_rng(0).standard_normal(x.shape[1])
             first = table.column("mine").to_numpy() == i
             left, right = np.flatnonzero(first), None if i == j else np.flatnonzero(~first)
             if not len(left) or (right is not None and not len(right)):
@@ -305,24 +389,113 @@ def exact_links(classes: DataFrame, threshold: float) -> DataFrame:
     return ordered.mapInArrow(run, "cls long, links long, joined long")
 
 
-def link_embeddings(table: DataFrame, id_col: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = 0.93, k: int = K, wide: int = WIDE, tables: int = TABLES, rounds: int = ROUNDS) -> DataFrame:
-    """One row per vector: ``id_col, n_links, component_id, kept``."""
-    rows = table.select(F.col(id_col).alias("vec"), F.col(vector).cast("array<double>").alias("embedding"), F.col(label).alias("label"))
-    classes = classes_of(rows, label, vector)
-    seeds = seed_edges(classes, tables, 0, WINDOW, threshold).withColumn("fresh", F.lit(True))
-    graph = materialize(best_lists(seeds, k, wide, threshold), "graph")
-    for _ in range(rounds):
-        graph = descend(graph, classes, k, wide, threshold)
-        fresh, strong = graph.agg(F.count_if("fresh"), F.count_if(F.col("fresh") & (F.col("sim") >= threshold - SLACK))).first()
-        if not strong or fresh < 0.001 * graph.count():
+def audited(classes: DataFrame, turn: int, threshold: float) -> tuple[DataFrame, int]:
+    """Sampled classes against all of their label, in blocks: ``src`` (the
+    sampled one), ``found`` and ``missed`` (linked rows inside and outside its
+    group) and ``dst``, a class of each group that it should be in. Returns that
+    and the size of the sample."""
+    n = classes.count()
+    wanted = min(n, AUDIT + int(4 * n**0.5))
+    sample = classes.where(F.pmod(F.xxhash64("cls", F.lit(turn)), F.lit(1 << 40)) < F.lit(-(-(wanted << 40) // max(n, 1))))
+    path = fresh_path(classes.sparkSession, "audit")
+    sample.select("cls", "root", F.col("label").cast("string").alias("label"), "dim", "unit").write.parquet(path)
+
+    def blocks():
+        import pyarrow.dataset as ds
+
+        fs, root = shared_fs(path)
+        for batch in ds.dataset(root, filesystem=fs, format="parquet", exclude_invalid_files=False).to_batches(batch_size=AUDIT_BLOCK):
+            if batch.num_rows:
+                yield batch
+
+    def compare(batches):
+        for batch in batches:
+            mine = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:5]]
+            raw = batch.column(5).to_pylist()
+            for block in blocks():
+                cls, root, label, dims = (block.column(c).to_numpy(zero_copy_only=False) for c in ("cls", "root", "label", "dim"))
+                unit = block.column("unit").to_pylist()
+                for dim in np.unique(dims).tolist():
+                    q, r = np.flatnonzero(dims == dim), np.flatnonzero(mine[3] == dim)
+                    if not len(r):
+                        continue
+                    x = np.frombuffer(b"".join(unit[i] for i in q), np.float64).reshape(len(q), -1)
+                    y = np.frombuffer(b"".join(raw[i] for i in r), np.float64).reshape(len(r), -1)
+                    i, j = np.nonzero(x @ y.T >= threshold)
+                    i, j = q[i], r[j]
+                    real = (label[i] == mine[2][j]) & (cls[i] != mine[0][j])
+                    i, j = i[real], j[real]
+                    within = root[i] == mine[1][j]
+                    inside, outside = (np.bincount(i[w], mine[4][j[w]], len(cls)).astype(np.int64) for w in (within, ~within))
+                    some = np.flatnonzero(inside + outside)
+                    if not len(some):
+                        continue
+                    # one class of each group that a sampled one should be in
+                    pairs = np.stack([cls[i[~within]], mine[1][j[~within]]])
+                    pairs, at = np.unique(pairs, axis=1, return_index=True)
+                    none = np.zeros(pairs.shape[1], np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.concatenate([cls[some], pairs[0]])),
+                            pa.array(np.concatenate([inside[some], none])),
+                            pa.array(np.concatenate([outside[some], none])),
+                            pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(mine[0][j[~within]][at])]),
+                        ],
+                        names=["src", "found", "missed", "dst"],
+                    )
+
+    rows = classes.select("cls", "root", F.col("label").cast("string").alias("label"), "dim", "n", "unit")
+    result = materialize(rows.mapInArrow(compare, "src long, found long, missed long, dst long"), "audited")
+    size = sample.count()
+    drop_path(classes.sparkSession, path)
+    return result, size
+
+
+def link_groups(table: DataFrame, threshold: float, k: int = K, tables: int = TABLES, window: int = WINDOW, rounds: int = ROUNDS, mend: bool = True) -> tuple[DataFrame, DataFrame, Audit]:
+    """``table``: vec, embedding, label. The classes with their groups' roots,
+    the graph, and what the audit says of them. Without ``mend`` the first
+    audit's recall is stated and nothing is done about it."""
+    classes = classes_of(table, "label", "embedding")
+    graph = materialize(best_lists(seed_edges(classes, tables, 0, window, threshold), k), "graph")
+    graph = settled(graph, classes, k, rounds, threshold)
+    links = graph.where(F.col("sim") >= threshold - SLACK).select("src", "dst")
+    classes = regrouped(classes, links)
+    classes, graph = enlarged(graph, classes, k, tables, window, rounds, threshold)
+    audit = Audit(1.0, 0, 0, 0)
+    for turn in range(AUDITS if mend else 1):
+        seen, size = audited(classes, turn, threshold)
+        found, missed = seen.agg(F.coalesce(F.sum("found"), F.lit(0)), F.coalesce(F.sum("missed"), F.lit(0))).first()
+        if not turn:
+            audit = Audit(found / (found + missed) if missed else 1.0, size, 1, 0)
+        audit.rounds = turn + 1
+        log.info("audit %d: %d classes, %d of %d links found", turn + 1, size, found, found + missed)
+        if not missed or not mend:
             break
-    roots = connected_components(graph.where(F.col("sim") >= threshold - SLACK).select("src", "dst")).withColumnRenamed("node", "cls")
-    grouped = classes.join(roots, "cls", "left").select("label", "dim", F.coalesce("root", "cls").alias("root"), "cls", "n", "unit")
-    exact = materialize(exact_links(grouped, threshold), "exact")
+        lost = seen.where("dst IS NOT NULL").select("src", "dst")
+        if turn == AUDITS - 1:
+            wanting = classes.join(lost.select(F.col("src").alias("cls")), "cls", "left_semi").select("label", "dim").distinct()
+            wanting = materialize(wanting.withColumn("part", F.monotonically_increasing_id()), "wanting")
+            audit.wanting = wanting.count()
+            whole = classes.join(wanting, ["label", "dim"])
+            links = exact_links(whole.select("part", "cls", "n", "dim", "unit"), threshold).select(F.col("cls").alias("src"), F.col("joined").alias("dst"))
+        else:
+            links = lost
+        classes = regrouped(classes, materialize(_by_roots(links, classes), "joined"))
+        discard(seen)
+    return classes, graph, audit
+
+
+def link_embeddings(table: DataFrame, id_col: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = 0.93, k: int = K, tables: int = TABLES, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
+    """One row per vector: ``id_col, n_links, component_id, kept``. The audit's
+    recall is logged."""
+    rows = table.select(F.col(id_col).alias("vec"), F.col(vector).cast("array<double>").alias("embedding"), F.col(label).alias("label"))
+    classes, graph, audit = link_groups(rows, threshold, k, tables, window, rounds)
+    log.info("recall %.6f over %d classes, %d audits, %d labels compared whole", audit.recall, audit.classes, audit.rounds, audit.wanting)
     discard(graph)
+    exact = materialize(exact_links(classes.select(F.col("root").alias("part"), "cls", "n", "dim", "unit"), threshold), "exact")
     counted = exact.groupBy("cls").agg(F.sum("links").alias("links"))
-    final = connected_components(exact.select("cls", "joined")).withColumnRenamed("node", "cls")
-    named = materialize(classes.join(final, "cls", "left").join(counted, "cls", "left").select("cls", "label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "cls").alias("root"), "least"), "linked")
+    final = connected_components(exact.select("cls", "joined")).withColumnRenamed("node", "cls").withColumnRenamed("root", "home")
+    named = materialize(classes.join(final, "cls", "left").join(counted, "cls", "left").select("cls", "label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("home", "cls").alias("root"), "least"), "linked")
     least = materialize(named.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     lookup = materialize(named.join(least, "root").select("label", "embedding", "n_links", "component_id"), "lookup")
     for table in (classes, exact, named, least):

@@ -104,3 +104,66 @@ def test_cells_of_vectors_lose_no_link(monkeypatch, dim, spread):
     links, label = em.links_in_cell(x, n, order, left, right, 0.93)
     assert (links[left] == hit[:140, 140:] @ n[140:]).all() and (links[right] == n[:140] @ hit[:140, 140:]).all()
     assert (label[left[np.nonzero(hit[:140, 140:])[0]]] == label[right[np.nonzero(hit[:140, 140:])[1]]]).all()
+
+
+def table_of(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+
+
+def grouped(spark, rows, **how):
+    table = table_of(spark, rows).selectExpr("vec_id AS vec", "cast(embedding AS array<double>) AS embedding", "label")
+    return em.link_groups(table, 0.93, **how)
+
+
+def test_lists_alone_hold_all_links_of_small_groups(spark):
+    """No exact comparison at all: edges of the graph against brute force."""
+    rows = cloud(2, groups=60, hot=0)
+    classes, graph, audit = grouped(spark, rows, mend=False)
+    names = {r["cls"]: r["least"] for r in classes.collect()}
+    edges = {(names[r["src"]], names[r["dst"]]) for r in graph.where("sim >= 0.93").collect()}
+    found = {tuple(sorted(e)) for e in edges}
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    ids = {r[0]: i for i, r in enumerate(rows)}
+    want = {(a, b) for a in names.values() for b in names.values() if a < b and rows[ids[a]][2] == rows[ids[b]][2] and x[ids[a]] @ x[ids[b]] >= 0.93}
+    assert found == want and len(want) > 20
+    assert audit.recall == 1 and audit.classes == len(names)
+
+
+def test_the_audit_notices_poor_lists_and_mends_them(spark):
+    rows = cloud(3, groups=150, hot=30)
+    poor = {"tables": 1, "window": 1, "rounds": 0, "k": 2}
+    _, _, audit = grouped(spark, rows, mend=False, **poor)
+    assert 0 < audit.recall < 1 and audit.rounds == 1
+    _, _, audit = grouped(spark, rows, **poor)
+    assert audit.recall < 1 and audit.rounds > 1
+    got = sorted(tuple(r) for r in em.link_embeddings(table_of(spark, rows), **poor).collect())
+    assert got == brute_force(rows)
+
+
+def test_good_lists_need_no_mending(spark):
+    _, _, audit = grouped(spark, cloud(5))
+    assert audit.recall >= 0.99 and audit.wanting == 0
+
+
+def test_labels_found_wanting_are_compared_whole(spark, monkeypatch):
+    monkeypatch.setattr(em, "AUDITS", 1)
+    rows = cloud(6, groups=100, hot=20)
+    _, _, audit = grouped(spark, rows, tables=1, window=1, rounds=0, k=2)
+    assert audit.wanting > 0
+    got = em.link_embeddings(table_of(spark, rows), tables=1, window=1, rounds=0, k=2)
+    assert sorted(tuple(r) for r in got.collect()) == brute_force(rows)
+
+
+def test_a_chain_of_saturated_clusters(spark):
+    """Each cluster links with the next one alone; all lists are full of own."""
+    rng = np.random.default_rng(8)
+    a, b = np.linalg.qr(rng.standard_normal((24, 2)))[0].T
+    rows = []
+    for step in range(5):
+        centre = np.cos(0.33 * step) * a + np.sin(0.33 * step) * b
+        rows += [centre + rng.standard_normal(24) * 0.012 for _ in range(30)]
+    rows = [(i, [float(np.float32(v)) for v in r], 0) for i, r in enumerate(rows)]
+    want = brute_force(rows)
+    assert {w[2] for w in want} == {0}
+    assert sorted(tuple(r) for r in em.link_embeddings(table_of(spark, rows)).collect()) == want
