@@ -32,6 +32,17 @@ def annotation_report(counts: DataFrame, col_data: DataFrame, regions: list[str]
     return joined.select(F.col("sample_id").alias("sample"), "covered_cpgs", *pairs)
 
 
+def coverage_cube(assay: DataFrame, row_data: DataFrame, annotation: DataFrame, col_data: DataFrame) -> DataFrame:
+    """``sample_id, contig_key, region, level, n_cells, reads`` for each
+    combination of the three, of two, of one and of all: one pass. ``level``
+    has a bit for each column that is summed over (sample 4, contig 2, region
+    1), which tells that from a region that is null (outside all genes)."""
+    place = row_data.select("cpg_idx", "contig_key").join(annotation.select("cpg_idx", F.nullif("annotation", F.lit("Intergenic")).alias("region")), "cpg_idx", "left")
+    cells = assay.join(place, "cpg_idx").groupBy("sample_idx", "contig_key", "region").agg(F.count("*").alias("n"), F.sum("cov").alias("reads"))
+    named = cells.join(F.broadcast(col_data.select("sample_idx", "sample_id")), "sample_idx")  # one row per sample
+    return named.cube("sample_id", "contig_key", "region").agg(F.grouping_id().cast("int").alias("level"), F.sum("n").alias("n_cells"), F.sum("reads").alias("reads"))
+
+
 def check_dimensions(n_annotation: int, n_rows: int) -> None:
     if n_annotation != n_rows:
         raise AnnotationError(f"annotation has {n_annotation} rows, coverage has {n_rows}")
