@@ -23,6 +23,12 @@ def canonical_contig(c: Column) -> Column:
     return F.when(bare == "M", "MT").otherwise(bare)
 
 
+def sequence_of(text: Column) -> Column:
+    """A text as a sequence: white space off, bases in capitals, U as T; any
+    other letter stays. Null is empty."""
+    return F.translate(F.coalesce(text, F.lit("")), "acgtunU \t\n\x0b\x0c\r", "ACGTTNT")
+
+
 def is_standard_contig(c: Column) -> Column:
     return F.upper(F.regexp_replace(c, "(?i)^chr", "")).isin(*STANDARD_CONTIGS)
 

@@ -35,7 +35,7 @@ def differential_regions(sites: DataFrame, differences: DataFrame, min_delta: fl
     Runs are found inside bins; then only the first and the last run of each bin
     are looked at once more, contig by contig, and stitched where they go on
     over the border. So no task sorts a whole contig of sites."""
-    strong = differences.where(F.abs("delta") >= min_delta).join(sites.select("cpg_idx", "contig_key", "start", "end"), "cpg_idx")
+    strong = differences.where(F.abs("delta") >= min_delta).select("cpg_idx", "delta").join(sites.select("cpg_idx", "contig_key", "start", "end"), "cpg_idx")
     at = strong.withColumns({"bin": bin_of(F.col("start")), "direction": F.signum("delta").cast("int")})
     order = Window.partitionBy("contig_key", "bin").orderBy("start", "cpg_idx")
     apart = F.lag("start").over(order).isNull() | (F.lag("direction").over(order) != F.col("direction")) | (F.col("start") - F.lag("start").over(order) > max_gap)

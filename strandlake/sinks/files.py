@@ -12,7 +12,7 @@ import uuid
 from contextlib import contextmanager
 from urllib.parse import urlsplit
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_path(path: str) -> str | None:
@@ -154,3 +154,20 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
         spark.sparkContext.setCheckpointDir(f"file://{own}")
         root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/strandlake/{tag}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to a fresh folder and read back: made once, whatever is
+    made of it, and no loss of an executor takes it away."""
+    spark = df.sparkSession
+    path = scratch_path(spark, tag)
+    df.write.option("compression", "zstd").parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._strandlake_path = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what ``written`` wrote, once nothing reads it any more."""
+    if path := getattr(df, "_strandlake_path", None):
+        Remote(df.sparkSession, path).remove(path)

@@ -36,6 +36,15 @@ def contig_lengths(contigs: DataFrame) -> DataFrame:
     return contigs.select(F.col("contig_idx"), "contig", F.length("seq").cast("long").alias("length"))
 
 
+def composition(contigs: DataFrame) -> DataFrame:
+    """``contigs`` with ``n_bases, n_c, n_g, n_cpg`` and ``n_other`` (neither
+    A, C, G, T nor N) of ``seq``, in capitals and without white space."""
+    n = F.length("seq").cast("long")
+    without = lambda drop: F.length(F.translate("seq", drop, "")).cast("long")
+    pairs = F.floor((n - F.length(F.replace(F.col("seq"), F.lit("CG"), F.lit("")))) / 2).cast("long")
+    return contigs.withColumns({"n_bases": n, "n_c": n - without("C"), "n_g": n - without("G"), "n_cpg": pairs, "n_other": without("ACGTN")})
+
+
 def cpg_positions(contigs: DataFrame) -> DataFrame:
     """``contig_idx, contig, start`` of every C before a G, in SQL: for many
     short sequences. Upper and lower case alike."""
