@@ -30,7 +30,7 @@ from .components import connected_components
 
 TILE = 256
 SMALL, BLOCK = 16_384, 131_072
-GROUP_BLOCK, GROUP_BYTES = 512, 16 << 20
+GROUP_BLOCK, GROUP_BYTES, SET_BYTES = 512, 16 << 20, 4 << 20
 
 
 def _bits(hashes: np.ndarray) -> np.ndarray:
@@ -344,9 +344,16 @@ def link_similar(distinct: DataFrame, radius: int, bits: int, texts: DataFrame,
             at = np.searchsorted(rows[order], mine)
             found = np.flatnonzero(at < len(rows))
             found = found[rows[order[at[found]]] == mine[found]]
-            sets = [shingle_set(t, words).tobytes() for t in batch.column(0).take(pa.array(found)).to_pylist()]
             there = table.take(pa.array(order[at[found]])).combine_chunks()
-            yield from pa.table([*(there.column(c) for c in carried), pa.array(sets, pa.binary())], names=[*carried, "shingles"]).to_batches()
+            texts_found = batch.column(0).take(pa.array(found))
+            begin, sets, held = 0, [], 0
+            for i in range(len(found)):  # long texts in a row leave in parts
+                sets.append(shingle_set(texts_found[i].as_py(), words).tobytes())
+                held += len(sets[-1])
+                if held >= SET_BYTES or i == len(found) - 1:
+                    part = there.slice(begin, i + 1 - begin)
+                    yield from pa.table([*(part.column(c) for c in carried), pa.array(sets, pa.binary())], names=[*carried, "shingles"]).to_batches()
+                    begin, sets, held = i + 1, [], 0
 
     members = materialize(texts.mapInArrow(sets_of, "root long, node long, fp binary, odd binary, shingles binary"), "shingles")
     sizes = materialize(members.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / F.lit(GROUP_BLOCK), F.sum(F.octet_length("shingles")) / F.lit(GROUP_BYTES))).cast("int").alias("blocks")), "blocks")
@@ -403,7 +410,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     rows = materialize(made.withColumnRenamed(id_col, "__sl_id"), "fingerprints")
     if similarity is None:
         rows = rows.withColumn("node", F.conv(F.hex("fp"), 16, -10).cast("long") if bits == 64 else F.xxhash64("fp"))
-    first_row = [F.min(ROW).alias("at")] if rowed else []
+    # any one row of a node will do; by a hash, so that they lie in all files
+    first_row = [F.min_by(ROW, F.xxhash64(ROW)).alias("at")] if rowed else []
     if similarity is not None:
         first_row += [F.first("size").alias("size"), F.first("odd").alias("odd")]
     distinct = materialize(rows.groupBy("node").agg(F.first("fp").alias("fp"), F.min("__sl_id").alias("least"), *first_row), "distinct")
