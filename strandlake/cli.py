@@ -20,6 +20,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--remove-uncovered", action=argparse.BooleanOptionalAction, default=True)
     p.add_argument("--annotation-dir")
     p.add_argument("--skip-annotation", action="store_true")
+    p.add_argument("--table-parts", action="store_true", help="write the annotation table as a folder of parts")
     p = sub.add_parser("extract-cpgs", help="FASTA to sites")
     p.add_argument("--fasta", required=True)
     p.add_argument("--output", required=True)
@@ -62,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = session(getattr(args, "threads", 8))
     if args.command == "process":
-        pipeline.process(spark, pipeline.Config(args.input_dir, args.output_dir, args.genome, args.threads, args.min_coverage, args.remove_uncovered, args.annotation_dir, args.skip_annotation))
+        pipeline.process(spark, pipeline.Config(args.input_dir, args.output_dir, args.genome, args.threads, args.min_coverage, args.remove_uncovered, args.annotation_dir, args.skip_annotation, args.table_parts))
     elif args.command == "extract-cpgs":
         pipeline.extract_cpgs(spark, args.fasta, args.output, args.contigs)
     else:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..contracts import BIN_BITS, I32_MAX, PRIORITY, STANDARD_CONTIGS, U32_MAX
+from ..contracts import BIN_BITS, COVERAGE_SUFFIXES, FASTA_SUFFIXES, GENOME_KEYS, I32_MAX, PRIORITY, STANDARD_CONTIGS, U32_MAX
 
 
 def trimmed(c: Column) -> Column:
@@ -80,6 +80,40 @@ def rank_label(kind: str, i: Column, n: Column) -> Column:
     return F.format_string(f"{kind} %d of %d", i, n)
 
 
+def _base_name(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def _without_suffix(name: Column, suffixes: tuple[str, ...]) -> Column:
+    """The first suffix that fits is cut."""
+    out = name
+    for suffix in reversed(suffixes):
+        out = F.when(name.endswith(suffix), F.left(name, F.length(name) - len(suffix))).otherwise(out)
+    return out
+
+
+def sample_of(path: Column) -> Column:
+    """The sample that a coverage file is of."""
+    return _without_suffix(_base_name(path), COVERAGE_SUFFIXES)
+
+
+def release_of(path: Column) -> Column:
+    """The release that a FASTA file is of."""
+    name = _base_name(path)
+    bare = F.when(name.endswith(".gz"), F.left(name, F.length(name) - 3)).otherwise(name)
+    found = _without_suffix(bare, FASTA_SUFFIXES)
+    return F.when(found == "", "unknown").otherwise(found)
+
+
+def genome_key_of(name: Column) -> Column:
+    """The first known genome whose name occurs, else the name itself."""
+    low = F.lower(_base_name(name))
+    out = low
+    for key in reversed(GENOME_KEYS):
+        out = F.when(F.contains(low, F.lit(key)), key).otherwise(out)
+    return out
+
+
 def tsv_field(c: Column) -> Column:
     return F.translate(c, "\t\n\r", "   ")
 

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import ANNOTATION_COLUMNS, THRESHOLDS, EngineError, Reference
-from ..functions.names import genome_key, release_name, sample_name, sample_names
+from ..functions.columns import genome_key_of, release_of, sample_of
+from ..functions.names import sample_name, sample_names
 from ..operators import validate as va
 from ..operators.summary import check_dimensions
 from ..sinks.arrays import read_arrays, write_arrays
@@ -135,17 +136,8 @@ class Made:
         """Where a whole run published, and what it logged."""
 
         def make():
-            said: list[str] = []
-            handler = logging.Handler()
-            handler.emit = lambda record: said.append(record.getMessage())
-            level = pipeline.log.level
-            pipeline.log.addHandler(handler)
-            pipeline.log.setLevel(logging.INFO)
-            try:
+            with _Said(logging.INFO) as said:
                 pipeline.process(self.spark, pipeline.Config(self.coverage(), f"{self.root}/out", self.sites(), min_coverage=MIN_COVERAGE, annotation_dir=self.model()))
-            finally:
-                pipeline.log.removeHandler(handler)
-                pipeline.log.setLevel(level)
             return f"{self.root}/out", said
 
         return self.once("run", make)
@@ -323,11 +315,48 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(m.once("ingested", make)).select("sample_id", "cpg_idx", "cov", F.col("beta").cast("double").alias("beta"))
 
 
+NAMES = """
+SELECT s_suppkey, concat('/d/', CASE WHEN s_suppkey % 5 = 0 THEN 'sub/' ELSE '' END, CAST(s_suppkey AS STRING), CASE WHEN s_suppkey % 3 = 0 THEN '.x' ELSE '_HG19' END) AS stem,
+       CASE s_suppkey % 6 WHEN 0 THEN '.bismark.cov.gz' WHEN 1 THEN '.bismark.cov' WHEN 2 THEN '.cov.gz' WHEN 3 THEN '.cov' WHEN 4 THEN '.txt' ELSE '.gz' END AS coverage,
+       CASE s_suppkey % 7 WHEN 0 THEN '.fa.gz' WHEN 1 THEN '.fasta' WHEN 2 THEN '.fna.gz' WHEN 3 THEN '.fa' WHEN 4 THEN '.gz' WHEN 5 THEN '.fa.fasta' ELSE '' END AS fasta
+FROM supplier
+"""
+
+
 def names_found(spark, sf_dir):
-    rows = [("sample", x, sample_name(x)) for x in ("/d/a.bismark.cov.gz", "b.cov", "c.bismark.cov", "d.x.cov.gz")]
-    rows += [("release", x, release_name(x)) for x in ("/g/hg19.fa.gz", "mm10.fasta", "x.fna", "plain", "y.fa.fasta")]
-    rows += [("genome", x, genome_key(x)) for x in ("my_HG19.fa", "/a/mm39.ron", "Custom.fa")]
-    return spark.createDataFrame(rows, "kind string, given string, found string")
+    """Names of samples, releases and genomes in paths made of the suppliers."""
+    rows = Projection(spark, sf_dir).sql(NAMES)
+    kinds = (("sample", "coverage", sample_of), ("release", "fasta", release_of), ("genome", "fasta", genome_key_of))
+    parts = [rows.select(F.lit(kind).alias("kind"), F.concat("stem", column).alias("given")).withColumn("found", f(F.col("given"))) for kind, column, f in kinds]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+class _Said:
+    """What the pipeline logs from a level on, while it lasts."""
+
+    def __init__(self, level: int):
+        self.level, self.lines, self.handler = level, [], logging.Handler()
+        self.handler.emit = lambda record: self.lines.append(record.getMessage()) if record.levelno >= level else None
+
+    def __enter__(self) -> list[str]:
+        self.before = pipeline.log.level
+        pipeline.log.addHandler(self.handler)
+        pipeline.log.setLevel(logging.INFO)
+        return self.lines
+
+    def __exit__(self, *_) -> None:
+        pipeline.log.removeHandler(self.handler)
+        pipeline.log.setLevel(self.before)
+
+
+def run_warnings(spark, sf_dir):
+    """What a run over sites that lack two contigs warns of."""
+    m = made(spark, sf_dir)
+    sites = m.p.sites().where("contig_key NOT IN ('5', '17')")
+    contigs = spark.createDataFrame([(0, "chr1", 1)], "contig_idx long, contig string, length long")
+    with _Said(logging.WARNING) as said:
+        pipeline.process_files(spark, Reference(sites, contigs, "made"), co.find_files(spark, m.coverage()), MIN_COVERAGE)
+    return spark.createDataFrame(list(enumerate(said)), "place int, message string")
 
 
 def refusal(act, root: str) -> str:
@@ -420,7 +449,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         files_discovered, files_read, fasta_sites, fasta_listed_contigs, ron_sites, genome_download, run_cells, run_rows, run_samples, run_coverage_sheet,
-        run_annotation_sheet, run_annotation_table, run_log, matrix_file, array_cells, stream_ingest, names_found, run_refusals, store_refusals,
+        run_annotation_sheet, run_annotation_table, run_log, matrix_file, array_cells, stream_ingest, names_found, run_warnings, run_refusals, store_refusals,
     )
 }
 
@@ -518,9 +547,14 @@ def oracles(with_views, assay: tuple[str, ...], annotation: tuple[str, ...], sta
             "SELECT sample_idx, place, cov, beta, (SELECT count(*) FROM places) AS n_sites FROM assay JOIN places USING (cpg_idx)", *assay,
             f"places AS (SELECT cpg_idx, row_number() OVER (ORDER BY cpg_idx) - 1 AS place FROM {kept} x)"),
         "stream_ingest": with_views("SELECT sample_id, cpg_idx, cov, beta FROM assay JOIN samples USING (sample_idx)", *assay),
-        "names_found": _values(
-            "kind, given, found", ("sample", "/d/a.bismark.cov.gz", "a"), ("sample", "b.cov", "b"), ("sample", "c.bismark.cov", "c"), ("sample", "d.x.cov.gz", "d.x"), ("release", "/g/hg19.fa.gz", "hg19"), ("release", "mm10.fasta", "mm10"),
-            ("release", "x.fna", "x"), ("release", "plain", "plain"), ("release", "y.fa.fasta", "y.fa"), ("genome", "my_HG19.fa", "hg19"), ("genome", "/a/mm39.ron", "mm39"), ("genome", "Custom.fa", "custom.fa")),
+        "names_found": f"""
+            WITH n AS ({NAMES}), g AS (SELECT 'sample' AS kind, concat(stem, coverage) AS given FROM n UNION ALL SELECT k, concat(stem, fasta) FROM n, (VALUES ('release'), ('genome')) v(k)),
+            b AS (SELECT *, regexp_replace(given, '^.*/', '') AS name FROM g)
+            SELECT kind, given, CASE kind WHEN 'sample' THEN regexp_replace(name, '(\\.bismark)?\\.cov(\\.gz)?$', '') WHEN 'release' THEN regexp_replace(regexp_replace(name, '\\.gz$', ''), '\\.(fasta|fna|fa)$', '')
+                   ELSE CASE WHEN contains(lower(name), 'hg19') THEN 'hg19' ELSE lower(name) END END AS found FROM b""",
+        "run_warnings": with_views(
+            """SELECT CAST(row_number() OVER (ORDER BY sample_id) - 1 AS INT) AS place, concat('sample ', sample_id, ': no record of these contigs is on a site: ', string_agg(chr, ', ' ORDER BY chr)) AS message
+               FROM (SELECT DISTINCT sample_id, concat('chr', contig_key) AS chr FROM records WHERE contig_key IN ('5', '17')) x GROUP BY sample_id"""),
         "run_refusals": _values("attempt, said", *RUN_REFUSALS),
         "store_refusals": _values("attempt, said", *STORE_REFUSALS),
     }

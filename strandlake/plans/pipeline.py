@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..contracts import AnnotationError, EngineError, MethylationSet, Reference
-from ..operators.align import align, check_matches, check_sites, match_totals
+from ..operators.align import align, check_matches, check_sites, match_totals, unmatched_contigs
 from ..operators.annotate import annotate
 from ..operators.assay import build_assay
 from ..operators.filters import remove_uncovered
@@ -17,7 +17,7 @@ from ..operators.genes import features, transcripts
 from ..operators.stats import coverage_stats
 from ..operators.summary import annotation_counts, annotation_report, check_dimensions, report_regions
 from ..operators.validate import validate_store
-from ..sinks.files import local_path
+from ..sinks.files import discard, local_path, written
 from ..sinks.publish import AtomicOutputs
 from ..sinks.report import write_annotation_parts, write_annotation_tsv, write_annotation_xlsx, write_coverage_xlsx
 from ..sinks.store import read_store, write_store
@@ -30,12 +30,13 @@ from ..sources.ron import write_sites
 log = logging.getLogger(__name__)
 
 STORE, COVERAGE, ANNOTATION, TABLE = "assays.store", "coverage_report.xlsx", "annotation_report.xlsx", "annotation.tsv.gz"
-SINGLE_FILE_ROWS = 5_000_000
 
 
 @dataclass
 class Config:
-    """A run: where inputs and outputs lie, and what to keep."""
+    """A run: where inputs and outputs lie, and what to keep. With
+    ``table_parts`` the annotation table is a folder of sorted parts, written by
+    many tasks, instead of one file; the size of the genome doesn't decide."""
 
     input_dir: str
     output_dir: str
@@ -45,6 +46,7 @@ class Config:
     remove_uncovered: bool = True
     annotation_dir: str | None = None
     skip_annotation: bool = False
+    table_parts: bool = False
 
 
 def process_files(spark: SparkSession, reference: Reference, paths: list[str], min_coverage: int = 1, drop_uncovered: bool = True) -> MethylationSet:
@@ -54,17 +56,21 @@ def process_files(spark: SparkSession, reference: Reference, paths: list[str], m
         raise EngineError("no coverage files")
     check_sites(reference.sites)
     found, samples = read_coverage(spark, paths)
-    aligned = align(found, reference.sites)
+    aligned = written(align(found, reference.sites), "aligned")  # the one shuffle of all records
+    discard(found)
     totals = match_totals(aligned).orderBy("sample_id").collect()  # one row per file
     check_matches(aligned, totals)
     for t in totals:
         log.info("sample %s: %d records, %d on a site", t["sample_id"], t["n_records"], t["n_matched"])
-    assay = build_assay(aligned, min_coverage).cache()
+    for lost in unmatched_contigs(aligned).orderBy("sample_id").toLocalIterator():  # one row per file
+        log.warning("sample %s: no record of these contigs is on a site: %s", lost["sample_id"], ", ".join(lost["contigs"]))
+    assay = written(build_assay(aligned, min_coverage), "assay")
+    discard(aligned)
     rows = reference.sites
     universe = rows.count()
     log.info("%d sites in the reference", universe)
     if drop_uncovered:
-        rows = remove_uncovered(rows, assay)
+        rows = written(remove_uncovered(rows, assay), "rows")
         kept = rows.count()
         if not kept:
             raise EngineError("no site is covered in any sample")
@@ -74,10 +80,11 @@ def process_files(spark: SparkSession, reference: Reference, paths: list[str], m
 
 def annotate_set(spark: SparkSession, data: MethylationSet, gtf: str, sites: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Annotation of the kept sites, and the report per sample."""
-    models = transcripts(read_gtf(spark, gtf)).cache()
+    models = written(transcripts(read_gtf(spark, gtf)), "models")
     if models.isEmpty():
         raise AnnotationError(f"{gtf}: no usable transcript")
-    result = annotate(sites, models, features(models)).cache()
+    result = written(annotate(sites, models, features(models)), "annotation")
+    discard(models)
     check_dimensions(result.count(), data.row_data.count())
     return result, annotation_report(annotation_counts(data.assay, result, data.col_data), data.col_data, report_regions(result))
 
@@ -103,7 +110,7 @@ def process(spark: SparkSession, config: Config) -> MethylationSet:
         if gtf:
             annotation, report = annotate_set(spark, data, gtf, data.row_data)
             write_annotation_xlsx(report, out.stage(ANNOTATION))
-            if annotation.count() > SINGLE_FILE_ROWS:
+            if config.table_parts:
                 write_annotation_parts(annotation, out.stage(TABLE))
             else:
                 write_annotation_tsv(annotation, out.stage(TABLE))

@@ -141,6 +141,27 @@ def input_text(path: str, spark: SparkSession | None = None):
         shutil.rmtree(folder, ignore_errors=True)
 
 
+def join_files(spark: SparkSession, parts: list[str], target: str, head: bytes = b"") -> None:
+    """``head``, then the bytes of ``parts`` in that order, as one file. They are
+    copied inside the JVM, a buffer at a time."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    remote = Remote(spark, target)
+    if local_path(target) is not None and hasattr(remote.fs, "getRawFileSystem"):
+        remote.fs = remote.fs.getRawFileSystem()  # no file of check sums beside it
+    out = remote.fs.create(remote.path(target), True)
+    try:
+        out.write(bytearray(head))
+        for part in parts:
+            source = Remote(spark, part)
+            stream = source.fs.open(source.path(part))
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, conf, False)
+            finally:
+                stream.close()
+    finally:
+        out.close()
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh folder for intermediate tables, which the driver and all
     executors share: below ``spark.checkpoint.dir``, or, where that is unset

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import os
 import zipfile
 from collections.abc import Iterable
 from xml.sax.saxutils import escape
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import ANNOTATION_COLUMNS, THRESHOLDS
 from ..functions.columns import tsv_field
-from .files import output_file
+from .files import Remote, join_files, list_files, output_file, scratch_path
 
 COVERAGE_HEADERS = ("Sample", "Total CpGs", "Covered CpGs", *(f"{t}X" for t in THRESHOLDS))
 
@@ -76,17 +77,27 @@ def annotation_table(annotation: DataFrame) -> DataFrame:
     return annotation.select("cpg_idx", *[(tsv_field(F.col(c)) if kinds[c] == "string" else F.col(c)).alias(c) for c in ANNOTATION_COLUMNS])
 
 
+def _table_lines(annotation: DataFrame) -> DataFrame:
+    """The lines of the table, range by range in site order."""
+    rows = annotation_table(annotation).repartitionByRange("cpg_idx").sortWithinPartitions("cpg_idx")
+    return rows.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in ANNOTATION_COLUMNS]).alias("value"))
+
+
 def write_annotation_tsv(annotation: DataFrame, path: str) -> None:
-    """One gzip file in site order, streamed partition by partition."""
-    with output_file(path, annotation.sparkSession) as out, gzip.open(out, "wt", encoding="utf-8", newline="") as f:
-        f.write("\t".join(ANNOTATION_COLUMNS) + "\n")
-        for r in annotation_table(annotation).orderBy("cpg_idx").drop("cpg_idx").toLocalIterator():
-            f.write("\t".join(map(str, r)) + "\n")
+    """One gzip file in site order. Tasks format and compress its lines, a gzip
+    member each; the driver copies their bytes behind one another."""
+    spark = annotation.sparkSession
+    held = scratch_path(spark, "table")
+    _table_lines(annotation).write.option("compression", "gzip").text(held)
+    parts = [p for p in list_files(spark, held) if os.path.basename(p).startswith("part-")]
+    join_files(spark, parts, path, gzip.compress(("\t".join(ANNOTATION_COLUMNS) + "\n").encode(), mtime=0))
+    Remote(spark, held).remove(held)
 
 
 def write_annotation_parts(annotation: DataFrame, path: str) -> None:
-    """The same table as sorted compressed part files, for large genomes."""
-    annotation_table(annotation).repartitionByRange("cpg_idx").sortWithinPartitions("cpg_idx").drop("cpg_idx").write.csv(path, sep="\t", header=True, compression="gzip", quote="")
+    """The same table as sorted compressed part files, each with the header."""
+    rows = annotation_table(annotation).repartitionByRange("cpg_idx").sortWithinPartitions("cpg_idx").drop("cpg_idx")
+    rows.write.csv(path, sep="\t", header=True, compression="gzip", quote="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_bedgraph(table: DataFrame, path: str) -> None:

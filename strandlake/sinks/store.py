@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import STORE_SCHEMA_NAME, STORE_SCHEMA_VERSION, MethylationSet
+from .files import written
 
 
 def row_data_table(row_data: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def matrix_cells(lines: DataFrame, n_samples: int, sample_ids: list[str]) -> Dat
     the first dimension that equals the number of samples holds them. Lines are
     numbered by their partition's base, which takes one number per partition on
     the driver, and their place in it."""
-    numbered = lines.where("value <> ''").select("value", F.monotonically_increasing_id().alias("at"))
+    numbered = written(lines.where("value <> ''").select("value", F.monotonically_increasing_id().alias("at")), "matrix")
     part = F.shiftright("at", 33)
     counts = numbered.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min(F.size(F.split("value", "\t"))).alias("low"), F.max(F.size(F.split("value", "\t"))).alias("high")).orderBy("part").collect()
     rows, widths = sum(c["n"] for c in counts), {w for c in counts for w in (c["low"], c["high"])}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..contracts import COVERAGE_SUFFIXES, PERCENT_TOLERANCE, U32_MAX, CoverageError
 from ..functions.columns import canonical_contig, trimmed
 from ..functions.names import sample_names
-from ..sinks.files import list_files, scratch_path
+from ..sinks.files import discard, list_files, written
 
 
 def find_files(spark: SparkSession, directory: str) -> list[str]:
@@ -76,9 +76,10 @@ def records(parsed: DataFrame, *keep: str) -> DataFrame:
 def _locate(spark: SparkSession, path: str) -> str:
     """Line and reason of the first problem of one file, read once more, line
     by line: rows are numbered in the order of the file."""
-    lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
+    lines = written(spark.read.text(path).withColumn("at", F.monotonically_increasing_id()), "numbered")
     first = parse_lines(lines).where("problem IS NOT NULL").agg(F.min(F.struct("at", "problem")).alias("x")).first()["x"]
     number = lines.where(F.col("at") < first["at"]).count() + 1
+    discard(lines)
     return f"{path}, line {number}: {first['problem']}"
 
 
@@ -93,17 +94,16 @@ def read_coverage(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, Dat
     lines = spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("file"))
     # as many rows as the driver listed files
     parsed = records(parse_lines(lines.join(F.broadcast(by_file), "file")), "sample_idx", "sample_id", "path", "problem")
-    path = scratch_path(spark, "records")
-    parsed.write.option("compression", "zstd").parquet(path)
-    written = spark.read.schema(parsed.schema).parquet(path)
-    bad = written.where("problem IS NOT NULL").agg(F.min("path")).first()[0]
-    if bad:
+    stored = written(parsed, "records")
+    if bad := stored.where("problem IS NOT NULL").agg(F.min("path")).first()[0]:
+        discard(stored)
         raise CoverageError(_locate(spark, bad))
-    found = written.drop("problem")
-    twice = duplicates(found).orderBy("sample_id", "contig_key", "start").first()
-    if twice:
+    if twice := duplicates(stored).orderBy("sample_id", "contig_key", "start").first():
+        discard(stored)
         raise CoverageError(f"sample {twice['sample_id']}: duplicate record at {twice['contig_key']}:{twice['start'] + 1}")
-    return found.drop("path"), samples
+    found = stored.drop("path", "problem")
+    found._strandlake_path = stored._strandlake_path  # whoever is done with the records may discard them
+    return found, samples
 
 
 def duplicates(found: DataFrame) -> DataFrame:

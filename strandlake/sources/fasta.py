@@ -10,21 +10,31 @@ from pyspark.sql import functions as F
 from ..contracts import U32_MAX, Reference, ReferenceError_
 from ..functions.columns import canonical_contig, is_standard_contig
 from ..functions.names import release_name
+from ..sinks.files import written
 
 
-def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """One row per contig: ``contig_idx, contig, seq`` (upper case, no white
-    space). Compressed files may have several members."""
+def _parsed(spark: SparkSession, path: str) -> DataFrame:
+    """``contig_idx, contig, seq`` of every record, and ``problem``. The index
+    says no more than the order of records within one evaluation."""
     raw = spark.read.option("lineSep", "\n>").text(path).select(F.monotonically_increasing_id().alias("at"), "value")
     parts = raw.select("at", F.regexp_replace("value", "^>", "").alias("body"), F.col("value").startswith(">").alias("marked"))
-    lead = parts.where("at = 0 AND NOT marked AND length(trim(body)) > 0").first()
-    if lead:
-        raise ReferenceError_(f"{path}: sequence before the first header")
     header = F.regexp_extract("body", r"^([^\r\n]*)", 1)
-    rows = parts.where(F.length(F.trim("body")) > 0).select("at", F.regexp_extract(header, r"^(\S*)", 1).alias("contig"), F.upper(F.regexp_replace(F.regexp_replace("body", r"^[^\r\n]*", ""), r"\s", "")).alias("seq"))
-    if rows.where("contig = ''").limit(1).count():
-        raise ReferenceError_(f"{path}: a header without a name")
-    return rows.withColumnRenamed("at", "contig_idx")
+    rows = parts.where(F.length(F.trim("body")) > 0).select(F.col("at").alias("contig_idx"), "marked", F.regexp_extract(header, r"^(\S*)", 1).alias("contig"), F.upper(F.regexp_replace(F.regexp_replace("body", r"^[^\r\n]*", ""), r"\s", "")).alias("seq"))
+    problem = F.when((F.col("contig_idx") == 0) & ~F.col("marked"), "sequence before the first header").when(F.col("contig") == "", "a header without a name")
+    return rows.select("contig_idx", "contig", "seq", problem.alias("problem"))
+
+
+def _refuse(rows: DataFrame, path: str) -> None:
+    if bad := rows.where("problem IS NOT NULL").orderBy("contig_idx").select("problem").first():
+        raise ReferenceError_(f"{path}: {bad['problem']}")
+
+
+def read_fasta(spark: SparkSession, path: str) -> DataFrame:
+    """One row per contig: ``contig_idx, contig, seq`` (upper case, no white
+    space). Compressed files may have several members."""
+    rows = _parsed(spark, path)
+    _refuse(rows, path)
+    return rows.drop("problem")
 
 
 def select_contigs(contigs: DataFrame, names: list[str] | None = None) -> DataFrame:
@@ -53,31 +63,54 @@ def cpg_positions(contigs: DataFrame) -> DataFrame:
     return contigs.select("contig_idx", "contig", F.explode(at).alias("i")).select("contig_idx", "contig", (F.col("i") - 1).cast("long").alias("start"))
 
 
+def _sites_of(batches):
+    """``contig_idx, contig, start, nth`` of batches of contigs."""
+    for batch in batches:
+        for idx, name, seq in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            bases = np.frombuffer(seq.upper().encode(), np.uint8)
+            at = np.flatnonzero((bases[:-1] == 67) & (bases[1:] == 71)).astype(np.int64)
+            for a in range(0, len(at), 500_000):
+                part = at[a : a + 500_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), idx)), pa.array([name] * len(part)), pa.array(part), pa.array(np.arange(a, a + len(part)))], names=["contig_idx", "contig", "start", "nth"])
+
+
 def scan_cpgs(contigs: DataFrame) -> DataFrame:
     """The same for whole chromosomes: one vectorised pass per contig, sites
     sent on in slices."""
 
+    return contigs.select("contig_idx", "contig", "seq").mapInArrow(_sites_of, "contig_idx long, contig string, start long, nth long")
+
+
+def scan_records(records: DataFrame) -> DataFrame:
+    """One pass over ``_parsed`` records: a row with ``problem`` and ``length``
+    for each, and one with ``start`` and ``nth`` for each of its sites."""
     def run(batches):
+        names = ["contig_idx", "contig", "problem", "length", "start", "nth"]
         for batch in batches:
-            for idx, name, seq in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                bases = np.frombuffer(seq.upper().encode(), np.uint8)
-                at = np.flatnonzero((bases[:-1] == 67) & (bases[1:] == 71)).astype(np.int64)
-                for a in range(0, len(at), 500_000):
-                    part = at[a : a + 500_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), idx)), pa.array([name] * len(part)), pa.array(part), pa.array(np.arange(a, a + len(part)))], names=["contig_idx", "contig", "start", "nth"])
+            n = batch.num_rows
+            lengths = pa.array([len(s) for s in batch.column(2).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), lengths, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names=names)
+            for part in _sites_of([batch]):
+                m = part.num_rows
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.nulls(m, pa.string()), pa.nulls(m, pa.int64()), part.column(2), part.column(3)], names=names)
 
-    return contigs.select("contig_idx", "contig", "seq").mapInArrow(run, "contig_idx long, contig string, start long, nth long")
+    return records.select("contig_idx", "contig", "seq", "problem").mapInArrow(run, "contig_idx long, contig string, problem string, length long, start long, nth long")
 
 
 def extract_sites(spark: SparkSession, path: str, contigs: list[str] | None = None) -> Reference:
-    """Sites and contigs of a FASTA file, numbered in file order. The number
-    of a site is its place in its contig plus all sites of earlier contigs,
-    which takes one row per contig on the driver, not a global sort."""
-    chosen = select_contigs(read_fasta(spark, path), contigs)
-    lengths = contig_lengths(chosen)
+    """Sites and contigs of a FASTA file, numbered in file order. The file is
+    read once, to a table below the shared folder, of which everything else is
+    made. The number of a site is its place in its contig plus all sites of
+    earlier contigs, which takes one row per contig on the driver, not a global
+    sort."""
+    records = _parsed(spark, path)
+    chosen = F.col("contig").isin(*contigs) if contigs else is_standard_contig(F.col("contig"))
+    scanned = written(scan_records(records.where(chosen | F.col("problem").isNotNull())), "fasta")
+    heads, sites = scanned.where("length IS NOT NULL"), scanned.where("start IS NOT NULL")
+    _refuse(heads, path)
+    lengths = heads.select("contig_idx", "contig", "length")
     if lengths.where(F.col("length") > U32_MAX).limit(1).count():
         raise ReferenceError_(f"{path}: a contig exceeds the unsigned 32-bit range")
-    sites = scan_cpgs(chosen)
     base, total = [], 0
     for row in sites.groupBy("contig_idx").count().orderBy("contig_idx").collect():
         base.append((row["contig_idx"], total))

@@ -62,3 +62,18 @@ def test_scalar_columns(spark):
         columns.site_name(F.lit("chr1"), F.lit(9)).alias("site"), columns.width(F.lit(10), F.lit(11)).alias("w"),
     ).first()
     assert tuple(row) == (-6, 6, "gene 1", 0.0, 25.0, 0, 4294967295, "1,234,567", "chr1:10", 2)
+
+
+def test_file_names_as_columns_agree(spark):
+    paths = [f"{folder}{stem}{suffix}" for folder in ("", "/a/b/") for stem in ("s", "a.b", "My_HG19", "mm39.x") for suffix in ("", ".cov", ".cov.gz", ".bismark.cov", ".bismark.cov.gz", ".fa", ".fa.gz", ".fasta", ".fna.gz", ".gz", ".fa.fasta")]
+    found = spark.createDataFrame([(p,) for p in paths], "p string").select("p", columns.sample_of(F.col("p")), columns.release_of(F.col("p")), columns.genome_key_of(F.col("p"))).collect()
+    for p, sample, release, genome in found:
+        assert (sample, release, genome) == (names.sample_name(p), names.release_name(p), names.genome_key(p))
+
+
+def test_sequences_and_composition(spark):
+    from strandlake.sources.fasta import composition
+
+    texts = ["acg\tTCG n", "", None, "uUxCGCG\r\n"]
+    rows = composition(spark.createDataFrame([(t,) for t in texts], "t string").select("t", columns.sequence_of(F.col("t")).alias("seq"))).collect()
+    assert {r["t"]: tuple(r)[1:] for r in rows} == {"acg\tTCG n": ("ACGTCGN", 7, 2, 2, 2, 0), "": ("", 0, 0, 0, 0, 0), None: ("", 0, 0, 0, 0, 0), "uUxCGCG\r\n": ("TTxCGCG", 7, 2, 2, 2, 1)}

@@ -226,3 +226,47 @@ def test_arrays_in_either_orientation(spark, inputs):
     assert sorted(map(tuple, read_arrays(spark, folder, 2, bits=1).collect())) == want
     with pytest.raises(ValueError, match="5 samples"):
         read_arrays(spark, folder, 5)
+
+
+def test_contigs_without_a_site_are_warned_of(spark, inputs, caplog):
+    import logging
+
+    from strandlake.plans import pipeline
+    from strandlake.sources.reference import resolve_reference
+
+    (inputs / "in" / "odd.cov").write_text("chr1\t10\t10\t50\t1\t1\nchrZ\t1\t1\t50\t1\t1\nchrA\t9\t9\t100\t1\t0\n")
+    paths = sorted(map(str, (inputs / "in").glob("*.cov*")))
+    with caplog.at_level(logging.WARNING, pipeline.log.name):
+        pipeline.process_files(spark, resolve_reference(spark, config(inputs).genome), paths)
+    said = [r.getMessage() for r in caplog.records if r.levelno == logging.WARNING]
+    assert "sample odd: no record of these contigs is on a site: chrA, chrZ" in said
+
+
+def test_a_run_shuffles_its_records_once_and_leaves_none_behind(spark, inputs, monkeypatch):
+    import os
+    from pathlib import Path
+
+    from strandlake.plans import pipeline
+
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    held = lambda: {p.name for p in (shared / "strandlake").glob("*") if p.name.split("-")[0] in ("records", "aligned", "models")} if (shared / "strandlake").exists() else set()
+    before = held()
+    calls = []
+    align = pipeline.align
+    monkeypatch.setattr(pipeline, "align", lambda *a: calls.append(1) or align(*a))
+    data = pipeline.process(spark, config(inputs))
+    assert len(calls) == 1 and held() == before
+    plan = data.assay._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan and os.path.isdir(inputs)
+
+
+def test_the_form_of_the_annotation_table_is_a_setting(spark, inputs):
+    from strandlake.plans import pipeline
+
+    pipeline.process(spark, config(inputs))
+    one = f"{config(inputs).output_dir}/{pipeline.TABLE}"
+    rows = sorted(r["value"] for r in spark.read.text(one).collect())
+    pipeline.process(spark, config(inputs, table_parts=True))
+    parts = spark.read.text(one)
+    assert len(parts.inputFiles()) >= 1 and parts.inputFiles()[0].rstrip("/") != f"file://{one}"
+    assert sorted({r["value"] for r in parts.collect()}) == sorted(set(rows))

@@ -101,3 +101,18 @@ def test_ron_in_pieces(spark, tmp_path, monkeypatch, chunk):
         (tmp_path / "bad.ron").write_text(bad)
         with pytest.raises(ReferenceError_):
             ron.read_sites(spark, str(tmp_path / "bad.ron"))
+
+
+def test_a_genome_is_scanned_once(spark, tmp_path, monkeypatch):
+    """Whatever is made of the sites comes from the written table."""
+    from strandlake.sources import fasta
+
+    (tmp_path / "g.fa").write_text(">chr1\nACGTCGCG\n>chrUn\nCG\n>chr2\nCCGG\n")
+    scans = []
+    scan = fasta.scan_records
+    monkeypatch.setattr(fasta, "scan_records", lambda records: scans.append(1) or scan(records))
+    reference = fasta.extract_sites(spark, str(tmp_path / "g.fa"))
+    for _ in range(3):
+        assert reference.sites.count() == 4 and reference.contigs.count() == 2
+    plan = reference.sites._jdf.queryExecution().executedPlan().toString()
+    assert len(scans) == 1 and "FileScan text" not in plan and "MapInArrow" not in plan
