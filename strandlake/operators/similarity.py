@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sinks.files import reach_workers
+
 #: Samples whose matrices a task and the driver hold with ease (5 x 8 bytes a pair).
 MOST_SAMPLES = 4000
 BLOCK_SITES = 4096
@@ -45,6 +47,7 @@ def gram(assay: DataFrame, n_samples: int) -> DataFrame:
             values = (i, j, n[i, j].astype(np.int64), total[i, j], total[j, i], square[i, j], square[j, i], dot[i, j])
             yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], names=["i", "j", "n", "sum_i", "sum_j", "sq_i", "sq_j", "dot"])
 
+    reach_workers(assay.sparkSession)
     parts = rows.select("cells").mapInArrow(products, "i long, j long, n long, sum_i double, sum_j double, sq_i double, sq_j double, dot double")
     return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sum_i", "sum_j", "sq_i", "sq_j", "dot")])
 

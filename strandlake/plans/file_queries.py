@@ -35,6 +35,8 @@ from ..sources import fasta, ron
 from ..sources.gtf import find_gtf
 from ..sources.reference import resolve_reference, save_reference
 from ..streaming.ingest import ingest
+from ..streaming.totals import current_totals
+from ..streaming.totals import stream_totals as running_totals
 from . import pipeline
 from .projection import Projection
 
@@ -300,15 +302,40 @@ def array_cells(spark, sf_dir):
     return cells.select("sample_idx", "place", "cov", F.col("beta").cast("double").alias("beta"), F.lit(sites).cast("long").alias("n_sites"))
 
 
+def _arrive(spark: SparkSession, path: str, folder: str, name: str = "") -> None:
+    """Copy a file to a folder that a stream watches."""
+    remote = Remote(spark, folder)
+    remote.make(folder)
+    copy = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy
+    copy(remote.fs, remote.path(path), remote.fs, remote.path(f"{folder}/{name or os.path.basename(path)}"), False, spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def stream_totals(spark, sf_dir):
+    """Half of the files, then the rest and one sample over again under
+    another name, which has to be refused after the restart."""
+    m = made(spark, sf_dir)
+
+    def make():
+        paths = co.find_files(spark, m.coverage())
+        for some in (paths[:3], paths[3:]):
+            for path in some:
+                _arrive(spark, path, f"{m.root}/coming")
+            if some == paths[3:]:
+                _arrive(spark, paths[0], f"{m.root}/coming", f"{sample_name(paths[0])}.bismark.cov.gz")
+            running_totals(spark, f"{m.root}/coming", f"{m.root}/totals", f"{m.root}/totals-state")
+        return f"{m.root}/totals"
+
+    out = m.once("totals", make)
+    refused = spark.read.parquet(out).where("problem IS NOT NULL").select("sample_id", F.lit(True).alias("again"))
+    return current_totals(spark, out).drop("problem").join(refused, "sample_id", "left").select("sample_id", "file", "records", "methylated", "unmethylated", F.coalesce("again", F.lit(False)).alias("again"))
+
+
 def stream_ingest(spark, sf_dir):
     m = made(spark, sf_dir)
 
     def make():
-        remote = Remote(spark, m.root)
         for path in co.find_files(spark, m.coverage()):
-            remote.make(f"{m.root}/arriving")
-            jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
-            jvm.FileUtil.copy(remote.fs, remote.path(path), remote.fs, remote.path(f"{m.root}/arriving/{os.path.basename(path)}"), False, spark.sparkContext._jsc.hadoopConfiguration())
+            _arrive(spark, path, f"{m.root}/arriving")
         ingest(spark, f"{m.root}/arriving", m.p.sites(), f"{m.root}/ingested", f"{m.root}/ingest-state", MIN_COVERAGE).awaitTermination()
         return f"{m.root}/ingested"
 
@@ -449,7 +476,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         files_discovered, files_read, fasta_sites, fasta_listed_contigs, ron_sites, genome_download, run_cells, run_rows, run_samples, run_coverage_sheet,
-        run_annotation_sheet, run_annotation_table, run_log, matrix_file, array_cells, stream_ingest, names_found, run_warnings, run_refusals, store_refusals,
+        run_annotation_sheet, run_annotation_table, run_log, matrix_file, array_cells, stream_ingest, stream_totals, names_found, run_warnings, run_refusals, store_refusals,
     )
 }
 
@@ -547,6 +574,9 @@ def oracles(with_views, assay: tuple[str, ...], annotation: tuple[str, ...], sta
             "SELECT sample_idx, place, cov, beta, (SELECT count(*) FROM places) AS n_sites FROM assay JOIN places USING (cpg_idx)", *assay,
             f"places AS (SELECT cpg_idx, row_number() OVER (ORDER BY cpg_idx) - 1 AS place FROM {kept} x)"),
         "stream_ingest": with_views("SELECT sample_id, cpg_idx, cov, beta FROM assay JOIN samples USING (sample_idx)", *assay),
+        "stream_totals": with_views(f"""
+            SELECT sample_id, {COVERAGE_FILE} AS file, count(*) AS records, CAST(sum(m) AS BIGINT) AS methylated, CAST(sum(u) AS BIGINT) AS unmethylated,
+                   sample_id = (SELECT min(sample_id) FROM records) AS again FROM records GROUP BY sample_id"""),
         "names_found": f"""
             WITH n AS ({NAMES}), g AS (SELECT 'sample' AS kind, concat(stem, coverage) AS given FROM n UNION ALL SELECT k, concat(stem, fasta) FROM n, (VALUES ('release'), ('genome')) v(k)),
             b AS (SELECT *, regexp_replace(given, '^.*/', '') AS name FROM g)

@@ -162,6 +162,15 @@ def join_files(spark: SparkSession, parts: list[str], target: str, head: bytes =
         out.close()
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver found it, too."""
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in known:
+        env["PYTHONPATH"] = os.pathsep.join([home, *known])
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh folder for intermediate tables, which the driver and all
     executors share: below ``spark.checkpoint.dir``, or, where that is unset

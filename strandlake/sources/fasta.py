@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..contracts import U32_MAX, Reference, ReferenceError_
 from ..functions.columns import canonical_contig, is_standard_contig
 from ..functions.names import release_name
-from ..sinks.files import written
+from ..sinks.files import reach_workers, written
 
 
 def _parsed(spark: SparkSession, path: str) -> DataFrame:
@@ -78,6 +78,7 @@ def scan_cpgs(contigs: DataFrame) -> DataFrame:
     """The same for whole chromosomes: one vectorised pass per contig, sites
     sent on in slices."""
 
+    reach_workers(contigs.sparkSession)
     return contigs.select("contig_idx", "contig", "seq").mapInArrow(_sites_of, "contig_idx long, contig string, start long, nth long")
 
 
@@ -94,6 +95,7 @@ def scan_records(records: DataFrame) -> DataFrame:
                 m = part.num_rows
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.nulls(m, pa.string()), pa.nulls(m, pa.int64()), part.column(2), part.column(3)], names=names)
 
+    reach_workers(records.sparkSession)
     return records.select("contig_idx", "contig", "seq", "problem").mapInArrow(run, "contig_idx long, contig string, problem string, length long, start long, nth long")
 
 
