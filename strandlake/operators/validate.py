@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,6 +88,34 @@ def _raise_first(table: DataFrame, rules: dict[str, Column], name: str) -> None:
         raise ValidationError(f"{name}: " + "; ".join(f"{b['rule']} in {b['n']} rows, first at {b['first']}" for b in bad))
 
 
+def layout_faults(assays: DataFrame) -> DataFrame:
+    """``file, fault`` of stored cells that don't lie as ``write_store`` lays
+    them: a folder a sample, cells of a file in ascending order of sites. Each
+    task looks along the files that it reads; nothing is shuffled."""
+    meta = assays.metadataColumn("_metadata")
+
+    def run(batches):
+        file, last = None, -1
+        for batch in batches:
+            sites = batch.column(0).to_numpy()
+            for name in batch.column(1).unique().to_pylist():
+                mine = sites[pc.equal(batch.column(1), name).to_numpy(zero_copy_only=False)]
+                before = last if name == file else -1
+                fault = "outside a folder of its sample" if "/sample_idx=" not in name else "not in the order of sites" if (np.diff(mine, prepend=before) < 0).any() else None
+                file, last = name, int(mine[-1])
+                if fault:
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([fault])], names=["file", "fault"])
+
+    return assays.select("cpg_idx", meta["file_path"]).mapInArrow(run, "file string, fault string").distinct()
+
+
+def check_layout(spark: SparkSession, path: str) -> None:
+    """Readers of a range of sites rely on the order of cells."""
+    bad = layout_faults(spark.read.parquet(f"{path}/assays")).orderBy("file", "fault").first()
+    if bad:
+        raise ValidationError(f"assays: {bad['file'].rsplit('/', 1)[-1]} is {bad['fault']}")
+
+
 def validate_store(spark: SparkSession, path: str) -> dict:
     """Check a store whole; its summary, or ValidationError."""
     from pyspark.errors import AnalysisException

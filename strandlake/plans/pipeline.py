@@ -16,7 +16,7 @@ from ..operators.filters import remove_uncovered
 from ..operators.genes import features, transcripts
 from ..operators.stats import coverage_stats
 from ..operators.summary import annotation_counts, annotation_report, check_dimensions, report_regions
-from ..operators.validate import validate_store
+from ..operators.validate import check_layout, validate_store
 from ..sinks.files import discard, local_path, written
 from ..sinks.publish import AtomicOutputs
 from ..sinks.report import write_annotation_parts, write_annotation_tsv, write_annotation_xlsx, write_coverage_xlsx
@@ -106,6 +106,7 @@ def process(spark: SparkSession, config: Config) -> MethylationSet:
     with AtomicOutputs(config.output_dir, spark) as out:
         write_store(data, out.stage(STORE))
         validate_store(spark, f"{out.staging}/{STORE}")
+        check_layout(spark, f"{out.staging}/{STORE}")
         write_coverage_xlsx(stats, out.stage(COVERAGE))
         if gtf:
             annotation, report = annotate_set(spark, data, gtf, data.row_data)

@@ -270,3 +270,17 @@ def test_the_form_of_the_annotation_table_is_a_setting(spark, inputs):
     parts = spark.read.text(one)
     assert len(parts.inputFiles()) >= 1 and parts.inputFiles()[0].rstrip("/") != f"file://{one}"
     assert sorted({r["value"] for r in parts.collect()}) == sorted(set(rows))
+
+
+def test_the_layout_of_a_store(spark, inputs):
+    from strandlake.operators.validate import check_layout
+
+    pl.process(spark, config(inputs, skip_annotation=True))
+    path = str(inputs / "out" / pl.STORE)
+    check_layout(spark, path)
+    cells = spark.read.parquet(f"{path}/assays").collect()
+    table = spark.createDataFrame(sorted(cells, key=lambda r: -r["cpg_idx"]), "cpg_idx long, cov long, beta float, sample_idx int").coalesce(1)
+    for name, writer, words in (("turned", table.write.partitionBy("sample_idx"), "not in the order of sites"), ("flat", table.orderBy("cpg_idx").write, "outside a folder of its sample")):
+        writer.parquet(str(inputs / name / "assays"))
+        with pytest.raises(ValidationError, match=words):
+            check_layout(spark, str(inputs / name))
