@@ -51,7 +51,7 @@ from .components import connected_components
 
 log = logging.getLogger(__name__)
 
-K, TABLES, WINDOW, ROUNDS, MERGES = 8, 10, 12, 3, 20
+K, TABLES, WINDOW, ROUNDS, MERGES = 8, 10, 12, 2, 20
 HUB = 512
 TILE, SMALL, BLOCK_BYTES = 256, 1024, 32 << 20
 AUDIT, AUDITS, AUDIT_BLOCK = 256, 3, 2048
@@ -283,7 +283,8 @@ def enlarged(graph: DataFrame, classes: DataFrame, k: int, tables: int, window:
         at = inside.select("cls", "root")
         kept = graph.join(at.select(F.col("cls").alias("src"), F.col("root").alias("a")), "src").join(at.select(F.col("cls").alias("dst"), F.col("root").alias("b")), "dst")
         routes = kept.select("src", "dst", "sim", F.lit(True).alias("fresh"), (F.col("a") == F.col("b")).alias("inside"))
-        outside = settled(materialize(best_lists(routes.unionByName(seed_edges(inside, tables, turn + 1, window, threshold)), k), "graph"), inside, k, rounds, threshold)
+        lists = materialize(best_lists(routes.unionByName(seed_edges(inside, tables, turn + 1, window, threshold)), k), "graph")
+        outside = settled(lists, inside, k, min(rounds, 1), threshold)  # what one round misses the next turn may find
         links = materialize(_by_roots(outside.where(strong & ~F.col("inside")).select("src", "dst"), classes), "joined")
         for table in (some, inside, outside):
             discard(table)
