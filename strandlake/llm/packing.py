@@ -6,8 +6,10 @@ each binary digit of the rest, longest first. Each piece is a sequence of its
 own in the bucket of its length, so no sequence crosses documents and, every
 length being a power of two, none is padded.
 
-Null texts pack as empty ones: one piece with the end id. Repeated rows pack
-once each. Nothing is shuffled. ``sequence_id`` joins the number of the input
+Null and empty texts pack as one piece with the end id. Texts of any length are
+packed whole, piece after piece. Repeated rows and equal ids pack once each, so
+ties mean nothing. An empty table gives an empty result. Columns other than id
+and text aren't read, whatever their names. Nothing is shuffled. ``sequence_id`` joins the number of the input
 partition with a count inside it, and is the same whenever a task runs again.
 """
 
