@@ -206,13 +206,13 @@ def redact(docs: DataFrame, model: RandomForestClassificationModel, text: str =
     assignment keeps its name); ``chars``, where it is there, counts anew.
 
     Longer values are replaced first, as they may hold shorter ones.
-    Only texts that hold a candidate are hashed and joined with the secrets
-    found in them, and only they may be shuffled for that; all others are passed
-    on as they are. Copies of a text are cleaned alike.
+    Only texts that hold a candidate are written once, hashed and joined with the
+    secrets found in them, and only they may be shuffled for that; all others are
+    passed on as they are. Copies of a text are cleaned alike.
     """
     own = "__sl_hash"
     some = F.coalesce(F.col(text).rlike(PATTERN), F.lit(False))
-    hashed = docs.where(some).withColumn(own, F.sha2(F.col(text), 256))
+    hashed = materialize(docs.where(some), "candidates").withColumn(own, F.sha2(F.col(text), 256))
     found = scan(hashed, model, (own,), text, path).where("is_secret")
     value = F.regexp_replace("candidate", _ASSIGNED, "")
     lists = materialize(found.select(own, value.alias("value")).distinct().groupBy(own).agg(F.transform(F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), asc=False), lambda x: x["value"]).alias("__sl_values")), "secrets")
