@@ -15,6 +15,7 @@ import os
 import re
 import shutil
 import tempfile
+import uuid
 import zipfile
 from xml.etree import ElementTree
 
@@ -38,6 +39,7 @@ from ..streaming.ingest import ingest
 from ..streaming.totals import current_totals
 from ..streaming.totals import stream_totals as running_totals
 from . import pipeline
+from .sql import open_store
 from .projection import Projection
 
 MIN_COVERAGE = 5
@@ -269,6 +271,18 @@ def run_log(spark, sf_dir):
     return spark.createDataFrame(list(enumerate(said)), "place int, message string")
 
 
+def store_in_sql(spark, sf_dir):
+    """Windows of four contigs, under several of their names, from the views and
+    the table function of a finished run."""
+    out, _ = made(spark, sf_dir).run()
+    prefix = f"run_{uuid.uuid4().hex}"
+    open_store(spark, f"{out}/{pipeline.STORE}", prefix)
+    return spark.sql(f"""
+        WITH regions AS (SELECT contig, 1 + 20000 * i AS first, 20000 * (i + 1) AS last FROM (VALUES ('chr3'), ('CHR6'), ('9'), (' chr12 ')) k(contig), (SELECT DISTINCT (position - 1) DIV 20000 AS i FROM {prefix}_sites) w)
+        SELECT c.contig_key, c.sample_id, (r.first - 1) DIV 20000 AS place, count(*) AS n_sites, sum(c.cov) AS reads, round(avg(c.beta), 9) AS mean_beta
+        FROM regions r, LATERAL {prefix}_cells_in(r.contig, r.first, r.last) c GROUP BY ALL""")
+
+
 def matrix_file(spark, sf_dir):
     """The same counts from a file with samples in rows and one with samples in
     columns."""
@@ -476,7 +490,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         files_discovered, files_read, fasta_sites, fasta_listed_contigs, ron_sites, genome_download, run_cells, run_rows, run_samples, run_coverage_sheet,
-        run_annotation_sheet, run_annotation_table, run_log, matrix_file, array_cells, stream_ingest, stream_totals, names_found, run_warnings, run_refusals, store_refusals,
+        run_annotation_sheet, run_annotation_table, run_log, store_in_sql, matrix_file, array_cells, stream_ingest, stream_totals, names_found, run_warnings, run_refusals, store_refusals,
     )
 }
 
@@ -567,6 +581,9 @@ def oracles(with_views, assay: tuple[str, ...], annotation: tuple[str, ...], sta
                  SELECT 1 AS o, concat('sample ', sample_id, ': ', CAST(count(*) AS VARCHAR), ' records, ', CAST(count(cpg_idx) AS VARCHAR), ' on a site') AS message FROM aligned GROUP BY sample_id
                  UNION ALL SELECT 2, concat(CAST(count(*) AS VARCHAR), ' sites in the reference') FROM sites
                  UNION ALL SELECT 3, concat(CAST(count(DISTINCT cpg_idx) AS VARCHAR), ' sites are covered in some sample') FROM assay) x""", *assay),
+        "store_in_sql": with_views("""
+            SELECT contig_key, sample_id, start0 // 20000 AS place, count(*) AS n_sites, CAST(sum(cov) AS BIGINT) AS reads, round(avg(beta), 9) AS mean_beta
+            FROM assay JOIN sites USING (cpg_idx) JOIN samples USING (sample_idx) WHERE contig_key IN ('3', '6', '9', '12') GROUP BY contig_key, sample_id, start0 // 20000""", *assay),
         "matrix_file": """
             SELECT layout, sample_id, cpg_idx, CAST(CASE sample_id WHEN 'flag' THEN p_size ELSE p_size % 7 END AS BIGINT) AS cov
             FROM (SELECT p_size, row_number() OVER (ORDER BY p_partkey) - 1 AS cpg_idx FROM part) p, (VALUES ('columns'), ('rows')) l(layout), (VALUES ('flag'), ('status')) s(sample_id)""",
