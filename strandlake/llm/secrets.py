@@ -33,7 +33,7 @@ from .common import materialize
 #: second try, so no bound on their number.
 _PARTED = r"(?:[\s>#\"',|]|\\[nr])++"
 _TO_END = r"[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END [A-Z ]*PRIVATE KEY-----"
-_TO_LAST_LINE = rf"(?:{_PARTED}(?:Proc-Type: ?[0-9]+,[A-Z]++|DEK-Info: ?[0-9A-Z-]+,[0-9A-Fa-f]++))*+(?:(?:{_PARTED}[0-9A-Za-z+/=_-]{{16,}}+)++(?:{_PARTED}(?=[A-Za-z_-]*+[0-9=+/])[0-9A-Za-z+/=_-]++|[\r\n]++[ \t]*+[0-9A-Za-z+/=_-]++(?=[ \t]*+(?:[\r\n]|\z)))?+)?+"
+_TO_LAST_LINE = rf"(?:{_PARTED}(?:Proc-Type: ?[0-9]+,[A-Z]++|DEK-Info: ?[0-9A-Z-]+,[0-9A-Fa-f]++))*+(?:(?:{_PARTED}[0-9A-Za-z+/=_-]{{16,}}+)++(?:{_PARTED}(?=[A-Za-z_-]*+[0-9=+/])[0-9A-Za-z+/=_-]++|[\r\n]++[ \t]*+[0-9A-Za-z+/=_-]++(?=[ \t]*+(?![^\r\n])))?+)?+"
 
 #: Kinds of candidates: (kind, pattern). Formats are the public ones.
 KINDS = (
