@@ -13,6 +13,10 @@ from ..functions.names import release_name
 from ..sinks.files import reach_workers, written
 
 
+#: Bases of short contigs that are searched together.
+TOGETHER = 1 << 24
+
+
 def _parsed(spark: SparkSession, path: str) -> DataFrame:
     """``contig_idx, contig, seq`` of every record, and ``problem``. The index
     says no more than the order of records within one evaluation."""
@@ -64,19 +68,37 @@ def cpg_positions(contigs: DataFrame) -> DataFrame:
 
 
 def _sites_of(batches):
-    """``contig_idx, contig, start, nth`` of batches of contigs."""
+    """``contig_idx, contig, start, nth`` of batches of contigs. Contigs are laid
+    behind one another, up to ``TOGETHER`` bases of them or a longer one alone,
+    and searched in one pass; so short ones cost no pass and no message each."""
     for batch in batches:
-        for idx, name, seq in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            bases = np.frombuffer(seq.upper().encode(), np.uint8)
-            at = np.flatnonzero((bases[:-1] == 67) & (bases[1:] == 71)).astype(np.int64)
-            for a in range(0, len(at), 500_000):
-                part = at[a : a + 500_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), idx)), pa.array([name] * len(part)), pa.array(part), pa.array(np.arange(a, a + len(part)))], names=["contig_idx", "contig", "start", "nth"])
+        texts = [(s or "").upper().encode() for s in batch.column(2).to_pylist()]
+        first = 0
+        while first < len(texts):
+            last, size = first + 1, len(texts[first])
+            while last < len(texts) and size + len(texts[last]) < TOGETHER:
+                size += len(texts[last])
+                last += 1
+            yield from _sites_in(batch.slice(first, last - first), texts[first:last])
+            first = last
+
+
+def _sites_in(contigs, texts: list[bytes]):
+    """Sites of contigs with the bases ``texts``, sent on in slices."""
+    bases = np.frombuffer(b"\n".join(texts), np.uint8)
+    at = np.flatnonzero((bases[:-1] == 67) & (bases[1:] == 71)).astype(np.int64)
+    lengths = np.array([len(t) + 1 for t in texts], np.int64)
+    begins = np.cumsum(lengths) - lengths
+    before = np.searchsorted(at, begins)  # sites of the contigs before each
+    for a in range(0, len(at), 500_000):
+        part = at[a : a + 500_000]
+        row = np.searchsorted(begins, part, "right") - 1
+        yield pa.RecordBatch.from_arrays([contigs.column(0).take(pa.array(row)), contigs.column(1).take(pa.array(row)), pa.array(part - begins[row]), pa.array(np.arange(a, a + len(part)) - before[row])], names=["contig_idx", "contig", "start", "nth"])
 
 
 def scan_cpgs(contigs: DataFrame) -> DataFrame:
-    """The same for whole chromosomes: one vectorised pass per contig, sites
-    sent on in slices."""
+    """The same for whole chromosomes: vectorised passes, sites sent on in
+    slices."""
 
     reach_workers(contigs.sparkSession)
     return contigs.select("contig_idx", "contig", "seq").mapInArrow(_sites_of, "contig_idx long, contig string, start long, nth long")
