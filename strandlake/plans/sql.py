@@ -16,16 +16,21 @@ import re
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..contracts import BIN_BITS, U32_MAX
 from ..functions.columns import canonical_contig
 from ..sinks.store import read_store
 
+#: Windows meet sites by bins of this many bits, so that many windows aren't each held against a whole contig; and the last position that a site may have.
+BITS, END = str(BIN_BITS), f"{U32_MAX + 1}L"
 _BARE = "upper(regexp_replace(trim(name), '^(chr|CHR)', ''))"
 _FUNCTIONS = (
     f"""{{p}}_contig_key(name STRING) RETURNS STRING COMMENT 'a contig by its one name'
        RETURN CASE WHEN {_BARE} = 'M' THEN 'MT' ELSE {_BARE} END""",
     """{p}_cells_in(contig STRING, first BIGINT, last BIGINT) RETURNS TABLE (sample_id STRING, cpg_idx BIGINT, contig_key STRING, position BIGINT, cov BIGINT, beta DOUBLE)
        COMMENT 'covered cells of the sites that start at 1-based positions from first to last' RETURN
-       SELECT c.sample_id, c.cpg_idx, s.contig_key, s.position, c.cov, c.beta FROM {p}_cells c JOIN {p}_sites s ON c.cpg_idx = s.cpg_idx
+       SELECT c.sample_id, c.cpg_idx, s.contig_key, s.position, c.cov, c.beta
+       FROM (SELECT explode(sequence(shiftright(least(greatest({p}_cells_in.first, 0L), """ + END + """), """ + BITS + """), shiftright(least(greatest({p}_cells_in.last, 0L), """ + END + """), """ + BITS + """))) AS bin) b
+       JOIN {p}_sites s ON shiftright(s.position, """ + BITS + """) = b.bin JOIN {p}_cells c ON c.cpg_idx = s.cpg_idx
        WHERE s.contig_key = {p}_contig_key({p}_cells_in.contig) AND s.position >= {p}_cells_in.first AND s.position <= {p}_cells_in.last""",
 )
 

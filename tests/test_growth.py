@@ -38,3 +38,31 @@ def test_contigs_are_cut_into_runs(monkeypatch):
     for size in (1, 40, 1000):
         monkeypatch.setattr(fasta, "TOGETHER", size)
         assert pa.Table.from_batches(fasta._sites_of([batch])).equals(whole.combine_chunks()) or pa.Table.from_batches(fasta._sites_of([batch])).to_pylist() == whole.to_pylist()
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    from strandlake.contracts import MethylationSet
+    from strandlake.sinks.store import write_store
+
+    starts = [0, 9, 65_534, 65_535, 65_536, 131_071, 200_000, 4_294_967_293]
+    rows = spark.createDataFrame([(i, "chr1", s, s + 2, "+") for i, s in enumerate(starts)], "cpg_idx long, chr string, start long, end long, strand string")
+    people = spark.createDataFrame([(0, "a", "a")], "sample_idx int, sample_id string, sample_name string")
+    assay = spark.createDataFrame([(i, 0, 5, 0.5) for i in range(len(starts))], "cpg_idx long, sample_idx int, cov long, beta float")
+    write_store(MethylationSet(rows, people, assay, "mini", 8), str(tmp_path / "s.store"))
+    return starts, str(tmp_path / "s.store")
+
+
+def test_windows_meet_sites_by_bins(spark, store):
+    starts, path = store
+    names = open_store(spark, path, "grown")
+    try:
+        windows = [(1, 10), (0, 65_535), (65_536, 65_536), (65_535, 131_072), (-5, 9_000_000_000_000), (20, 10), (131_073, 4_294_967_294), (None, 5)]
+        spark.createDataFrame([("chr1", *w) for w in windows], "contig string, first long, last long").createOrReplaceTempView("windows")
+        got = spark.sql("SELECT w.first, w.last, c.position FROM windows w, LATERAL grown_cells_in(w.contig, w.first, w.last) c")
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate explode(sequence(" in plan
+        assert sorted(tuple(r) for r in got.collect()) == sorted((a, b, s + 1) for a, b in windows[:-1] for s in starts if a <= s + 1 <= b)
+        assert [r["position"] for r in spark.sql("SELECT position FROM grown_cells_in('CHR1', 5, 65536) ORDER BY 1").collect()] == [10, 65_535, 65_536]
+    finally:
+        close_store(spark, names)
