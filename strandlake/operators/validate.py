@@ -88,6 +88,18 @@ def _raise_first(table: DataFrame, rules: dict[str, Column], name: str) -> None:
         raise ValidationError(f"{name}: " + "; ".join(f"{b['rule']} in {b['n']} rows, first at {b['first']}" for b in bad))
 
 
+def key_faults(assays: DataFrame, rows: DataFrame, samples: DataFrame) -> tuple[int, int]:
+    """How many cells are stored more than once, and how many belong to no site
+    or no sample. The keys are shuffled once, by site, for both; sites are as
+    many as the data wants, so they aren't broadcast."""
+    counted = assays.select("cpg_idx", "sample_idx").repartition("cpg_idx").groupBy("cpg_idx", "sample_idx").count()
+    known = rows.select("cpg_idx", F.lit(True).alias("site")).hint("merge")
+    people = samples.select("sample_idx", F.lit(True).alias("sample"))
+    found = counted.join(known, "cpg_idx", "left").join(F.broadcast(people), "sample_idx", "left")  # one row per sample
+    both = found.agg(F.count_if(F.col("count") > 1).alias("twice"), F.count_if(F.col("site").isNull() | F.col("sample").isNull()).alias("stray")).first()
+    return both["twice"], both["stray"]
+
+
 def layout_faults(assays: DataFrame) -> DataFrame:
     """``file, fault`` of stored cells that don't lie as ``write_store`` lays
     them: a folder a sample, cells of a file in ascending order of sites. Each
@@ -142,9 +154,9 @@ def validate_store(spark: SparkSession, path: str) -> dict:
         raise ValidationError("a store needs a site and a sample at least")
     _raise_first(tables["rowData"], row_rules(), "rowData")
     _raise_first(tables["assays"], assay_rules(), "assays")
-    keys = tables["assays"].select("cpg_idx", "sample_idx")
-    if keys.groupBy("cpg_idx", "sample_idx").count().where("count > 1").limit(1).count():
+    twice, stray = key_faults(tables["assays"], tables["rowData"], tables["colData"])
+    if twice:
         raise ValidationError("assays: a cell is stored twice")
-    if keys.join(tables["rowData"].select("cpg_idx"), "cpg_idx", "left_anti").limit(1).count() or keys.join(tables["colData"].select("sample_idx"), "sample_idx", "left_anti").limit(1).count():
+    if stray:
         raise ValidationError("assays: a cell of no site or no sample")
     return {"sample_count": samples, "cpg_count": sites, "genome": meta["genome"], "schema_name": meta["schema_name"], "schema_version": meta["schema_version"]}

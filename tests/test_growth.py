@@ -66,3 +66,10 @@ def test_windows_meet_sites_by_bins(spark, store):
         assert [r["position"] for r in spark.sql("SELECT position FROM grown_cells_in('CHR1', 5, 65536) ORDER BY 1").collect()] == [10, 65_535, 65_536]
     finally:
         close_store(spark, names)
+
+
+def test_the_keys_of_cells_are_checked_in_one_pass(spark, as_planned):
+    cells = spark.createDataFrame([(0, 0), (0, 1), (1, 0), (1, 0), (7, 0), (1, 5), (None, 0), (1, None)], "cpg_idx long, sample_idx int")
+    rows, people = spark.createDataFrame([(0,), (1,)], "cpg_idx long"), spark.createDataFrame([(0,), (1,)], "sample_idx int")
+    assert va.key_faults(cells, rows, people) == (1, 4)
+    assert va.key_faults(cells.where("cpg_idx = 0"), rows, people) == (0, 0)
