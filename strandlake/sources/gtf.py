@@ -41,22 +41,26 @@ def parse_gtf(lines: DataFrame) -> DataFrame:
     cut = lines.where("length(trim(value)) > 0 AND NOT startswith(value, '#')").withColumn("f", F.split(F.regexp_replace("value", "\r$", ""), "\t", -1)).where("size(f) = 9")
     number = lambda i: F.when(F.get("f", F.lit(i)).rlike(r"^\+?[0-9]{1,18}$"), F.regexp_replace(F.get("f", F.lit(i)), r"^\+", "").cast("long"))
     attrs = F.get("f", F.lit(8))
-    rows = cut.select(
-        F.get("f", F.lit(0)).alias("seqname"),
-        F.lower(F.get("f", F.lit(2))).alias("feature"),
-        number(3).alias("start1"),
-        number(4).alias("end"),
-        F.when(F.length(F.get("f", F.lit(6))) > 0, F.substring(F.get("f", F.lit(6)), 1, 1)).otherwise("+").alias("strand"),
-        attribute(attrs, "transcript_id").alias("tid"),
-        attribute(attrs, "gene_id").alias("gid"),
-        attribute(attrs, "gene_name").alias("name"),
-        "line_no",
-    )
+    parts = {
+        "seqname": F.get("f", F.lit(0)),
+        "feature": F.lower(F.get("f", F.lit(2))),
+        "start1": number(3),
+        "end": number(4),
+        "strand": F.when(F.length(F.get("f", F.lit(6))) > 0, F.substring(F.get("f", F.lit(6)), 1, 1)).otherwise("+"),
+        "tid": attribute(attrs, "transcript_id"),
+        "gid": attribute(attrs, "gene_id"),
+        "name": attribute(attrs, "gene_name"),
+    }
+    # a one-row generator, so that the filters below use the fields and don't repeat how they are parsed
+    rows = cut.select("line_no", F.inline(F.array(F.struct(*[c.alias(k) for k, c in parts.items()]))))
     sound = rows.where(f"start1 IS NOT NULL AND end IS NOT NULL AND start1 <= {U32_MAX} AND end <= {U32_MAX} AND end >= start1")
     named = sound.select(trimmed(F.col("seqname")).alias("seqname"), "feature", F.greatest(F.col("start1") - 1, F.lit(0)).alias("start"), "end", "strand", F.coalesce("tid", "gid", F.lit("")).alias("transcript_id"), F.coalesce("gid", F.lit("")).alias("gene_id"), F.coalesce("name", "gid", F.lit("")).alias("gene_symbol"), "line_no")
     return named.where("transcript_id <> '' AND gene_id <> ''")
 
 
 def read_gtf(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of one file; ``line_no`` ascends with the file's lines."""
-    return parse_gtf(spark.read.text(path).select("value", F.monotonically_increasing_id().alias("line_no")))
+    """Rows of one file; ``line_no`` ascends with the file's lines. One task has
+    to unpack a packed file; its lines are dealt to all tasks before they are
+    parsed."""
+    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("line_no"))
+    return parse_gtf(lines.repartition("line_no") if path.endswith(".gz") else lines)

@@ -73,3 +73,11 @@ def test_the_keys_of_cells_are_checked_in_one_pass(spark, as_planned):
     rows, people = spark.createDataFrame([(0,), (1,)], "cpg_idx long"), spark.createDataFrame([(0,), (1,)], "sample_idx int")
     assert va.key_faults(cells, rows, people) == (1, 4)
     assert va.key_faults(cells.where("cpg_idx = 0"), rows, people) == (0, 0)
+
+
+def test_a_packed_gene_model_is_parsed_by_many_tasks(spark, tmp_path, as_planned):
+    with gzip.open(tmp_path / "x.gtf.gz", "wt") as f:
+        f.writelines(f'chr1\ts\texon\t{i}\t{i + 5}\t.\t+\t.\tgene_id "g{i}"; transcript_id "t{i}";\n' for i in range(1, 1001))
+    rows = gtf.read_gtf(spark, str(tmp_path / "x.gtf.gz"))
+    assert rows.rdd.getNumPartitions() > 1
+    assert [r["gene_id"] for r in rows.orderBy("line_no").collect()] == [f"g{i}" for i in range(1, 1001)]
