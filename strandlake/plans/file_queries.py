@@ -28,7 +28,7 @@ from ..functions.names import sample_name, sample_names
 from ..operators import validate as va
 from ..operators.summary import check_dimensions
 from ..sinks.arrays import read_arrays, write_arrays
-from ..sinks.files import Remote, list_files, scratch_path
+from ..sinks.files import Remote, discard, list_files, scratch_path, written
 from ..sinks.store import read_matrix_file, read_metadata, read_store
 from ..sources import coverage as co
 from ..sources import download as dl
@@ -100,15 +100,16 @@ class Made:
         position = (F.col("start") + 1).cast("string")
         percent = (F.lit(100.0) * F.col("methylated") / total).cast("double").cast("string")
         value = F.concat_ws("\t", "chr", position, position, percent, F.col("methylated").cast("string"), F.col("unmethylated").cast("string"))
-        lines = self.p.records().select("sample_id", F.expr(COVERAGE_FILE).alias("file"), value.alias("value"))
+        lines = written(self.p.records().select(F.expr(COVERAGE_FILE).alias("file"), value.alias("value")), "lines")  # once for both codecs
         for codec, mine in (("gzip", "file LIKE '%.gz'"), ("none", "file NOT LIKE '%.gz'")):
             held = f"{self.root}/.held-{codec}"
-            lines.where(mine).select("file", "value").repartition("file").write.partitionBy("file").option("compression", codec).text(held)
+            lines.where(mine).repartition("file").write.partitionBy("file").option("compression", codec).text(held)
             remote = Remote(self.spark, held)
             for status in remote.fs.listStatus(remote.path(held)):
                 name = status.getPath().getName()
                 if status.isDirectory() and name.startswith("file="):
                     _take(self.spark, f"{held}/{name}", f"{self.root}/in/{name[5:]}")
+        discard(lines)
         write_named(self.spark.createDataFrame([("not a coverage file",)], "value string"), f"{self.root}/in/notes.txt")
         return f"{self.root}/in"
 

@@ -83,6 +83,17 @@ def _locate(spark: SparkSession, path: str) -> str:
     return f"{path}, line {number}: {first['problem']}"
 
 
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``value, file`` of all lines. One task has to unpack a packed file; its
+    lines are dealt to all tasks before they are parsed."""
+    packed, plain = [p for p in paths if p.endswith(".gz")], [p for p in paths if not p.endswith(".gz")]
+    read = lambda some: spark.read.text(some).select("value", F.col("_metadata.file_name").alias("file"))
+    if not packed:
+        return read(plain)
+    dealt = read(packed).repartition("value")
+    return dealt.unionByName(read(plain)) if plain else dealt
+
+
 def read_coverage(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame]:
     """Records of all files, validated, and the samples (``sample_idx,
     sample_id, sample_name``) in order of path. Texts are read and parsed once,
@@ -91,9 +102,8 @@ def read_coverage(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, Dat
     names = sample_names(paths)
     samples = spark.createDataFrame([(i, n, n) for i, n in enumerate(names)], "sample_idx int, sample_id string, sample_name string")
     by_file = spark.createDataFrame([(os.path.basename(p), i, n, p) for i, (n, p) in enumerate(zip(names, paths))], "file string, sample_idx int, sample_id string, path string")
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("file"))
     # as many rows as the driver listed files
-    parsed = records(parse_lines(lines.join(F.broadcast(by_file), "file")), "sample_idx", "sample_id", "path", "problem")
+    parsed = records(parse_lines(_lines(spark, paths).join(F.broadcast(by_file), "file")), "sample_idx", "sample_id", "path", "problem")
     stored = written(parsed, "records")
     if bad := stored.where("problem IS NOT NULL").agg(F.min("path")).first()[0]:
         discard(stored)

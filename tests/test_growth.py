@@ -81,3 +81,21 @@ def test_a_packed_gene_model_is_parsed_by_many_tasks(spark, tmp_path, as_planned
     rows = gtf.read_gtf(spark, str(tmp_path / "x.gtf.gz"))
     assert rows.rdd.getNumPartitions() > 1
     assert [r["gene_id"] for r in rows.orderBy("line_no").collect()] == [f"g{i}" for i in range(1, 1001)]
+
+
+def test_lines_of_a_packed_file_are_parsed_by_many_tasks(spark, tmp_path, as_planned):
+    for name in ("a.cov.gz", "b.cov.gz"):
+        with gzip.open(tmp_path / name, "wt") as f:
+            f.writelines(f"chr1\t{i}\t{i}\t50\t1\t1\n" for i in range(1, 1001))
+    (tmp_path / "c.cov").write_text("chr1\t7\t7\t50\t1\t1\n")
+    found, _ = co.read_coverage(spark, co.find_files(spark, str(tmp_path)))
+    assert found.count() == 2001 and found.where("sample_idx = 2").count() == 1
+    assert len([p for p in found.inputFiles()]) > 3  # not one for each file
+
+
+def test_faults_of_layout_name_their_files(spark, store):
+    cells = spark.read.parquet(f"{store[1]}/assays")
+    assert va.layout_faults(cells).count() == 0
+    plan = va.layout_faults(cells)._jdf.queryExecution().optimizedPlan().toString()
+    inside = next(line for line in plan.splitlines() if "MapInArrow" in line)
+    assert "number" in inside and "file_path" not in inside  # no path for each cell to Python
