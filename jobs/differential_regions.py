@@ -38,6 +38,9 @@ from strandlake.sinks.files import discard, written
 JOB = "differential_regions"
 log = logging.getLogger(JOB)
 
+#: No task sorts more of a contig than 16 Mi positions.
+BLOCK_BITS = 24
+
 SITES = "cpg_idx long, start long, end long, n_first long, n_second long, mean_first double, mean_second double, delta double, t double, contig_key string"
 REGIONS = "start_1based long, end_1based long, direction string, n_sites long, mean_delta double, annotation string, gene_id string, gene_symbol string, distance_to_tss int, contig_key string"
 
@@ -57,12 +60,15 @@ def groups_of(samples: DataFrame, config: dict) -> DataFrame:
 def run(spark: SparkSession, tables: str, output: str, config: dict) -> DataFrame:
     """Both tables; returns the regions, read back."""
     p = Projection(spark, tables)
-    sites, records, samples = p.sites(), p.records(), p.samples()
+    sites, records = p.sites(), written(p.records(), "records")  # the one join and sum over all observations
+    samples = p.samples_of(records)
     log.info("read %s: %d sites, %d observations", tables, sites.count(), p.raw["lineitem"].count())
     groups = groups_of(samples, config)
-    assay = build_assay(align(records, sites).join(samples.select("sample_id", "sample_idx"), "sample_id"), config["min_coverage"])
+    assay = build_assay(align(records, sites).join(F.broadcast(samples.select("sample_id", "sample_idx")), "sample_id"), config["min_coverage"])  # one row per sample
+    by_block = "contig_key", F.shiftright("start", BLOCK_BITS)
     compared = site_differences(assay, groups, config["min_samples"]).join(sites.select("cpg_idx", "contig_key", "start", "end"), "cpg_idx")
-    compared.repartition("contig_key").sortWithinPartitions("contig_key", "start").write.mode("overwrite").partitionBy("contig_key").parquet(f"{output}/sites")
+    compared.repartition(*by_block).sortWithinPartitions("contig_key", "start").write.mode("overwrite").partitionBy("contig_key").parquet(f"{output}/sites")
+    discard(records)
     stored = spark.read.schema(SITES).parquet(f"{output}/sites")
     log.info("wrote %s/sites: %d sites that both groups cover", output, stored.count())
     found = written(differential_regions(sites, stored, config["min_delta"], config["max_gap"], config["min_sites"]), "regions")

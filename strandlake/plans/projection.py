@@ -142,7 +142,11 @@ class Projection:
         return self.sql(OBSERVATIONS)
 
     def samples(self) -> DataFrame:
-        return self.sql(SAMPLES, observations=self.observations()).withColumn("sample_name", F.col("sample_id"))
+        return self.samples_of(self.observations())
+
+    def samples_of(self, observations: DataFrame) -> DataFrame:
+        """The same of a table that has them all, as ``records`` does."""
+        return self.sql(SAMPLES, observations=observations).withColumn("sample_name", F.col("sample_id"))
 
     def records(self) -> DataFrame:
         """Pre-aggregated: the engine rejects repeated positions."""

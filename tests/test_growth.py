@@ -1,6 +1,7 @@
 """What has to stay bounded or spread as tables grow."""
 
 import gzip
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -99,3 +100,14 @@ def test_faults_of_layout_name_their_files(spark, store):
     plan = va.layout_faults(cells)._jdf.queryExecution().optimizedPlan().toString()
     inside = next(line for line in plan.splitlines() if "MapInArrow" in line)
     assert "number" in inside and "file_path" not in inside  # no path for each cell to Python
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables here")
+def test_no_task_sorts_a_whole_contig(spark, tmp_path, monkeypatch, as_planned):
+    from jobs import differential_regions as job
+    from jobs.common import default_config
+
+    monkeypatch.setattr(job, "BLOCK_BITS", 10)
+    job.run(spark, "/root/testdata/sf0.001", str(tmp_path / "o"), default_config(job.JOB)).collect()
+    parts = [len(list(c.glob("part-*"))) for c in (tmp_path / "o/sites").glob("contig_key=*")]
+    assert max(parts) > 1
