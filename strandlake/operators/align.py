@@ -12,16 +12,19 @@ def probe_table(sites: DataFrame) -> DataFrame:
     """Every position a record may have, with the site it belongs to. A site
     answers for its own position and, where no other site starts there, for
     the next one (the G of the other strand)."""
-    own = sites.select("contig_key", F.col("start").alias("pos"), "cpg_idx", F.lit(0).alias("rank"))
-    after = sites.select("contig_key", (F.col("start") + 1).alias("pos"), "cpg_idx", F.lit(1).alias("rank"))
-    return own.unionByName(after).groupBy("contig_key", "pos").agg(F.min_by("cpg_idx", F.struct("rank", "cpg_idx")).alias("cpg_idx"))
+    none = F.lit(None).cast("long")
+    own = sites.select("contig_key", F.col("start").alias("pos"), F.col("cpg_idx").alias("own"), none.alias("before"))
+    after = sites.select("contig_key", (F.col("start") + 1).alias("pos"), none.alias("own"), F.col("cpg_idx").alias("before"))
+    # two minima of numbers are hashed; one of a struct would be sorted
+    return own.unionByName(after).groupBy("contig_key", "pos").agg(F.coalesce(F.min("own"), F.min("before")).alias("cpg_idx"))
 
 
 def align(records: DataFrame, sites: DataFrame) -> DataFrame:
     """``records`` with ``cpg_idx``, null where no site fits. The probe table
     comes out of its aggregation partitioned by the join keys, so records are
-    shuffled once."""
-    return records.join(probe_table(sites).withColumnRenamed("pos", "start"), ["contig_key", "start"], "left")
+    shuffled once. A task hashes its share of the sites, so records, of which
+    there are many more, aren't sorted."""
+    return records.join(probe_table(sites).withColumnRenamed("pos", "start").hint("shuffle_hash"), ["contig_key", "start"], "left")
 
 
 def duplicate_sites(sites: DataFrame) -> DataFrame:
@@ -41,17 +44,37 @@ def match_totals(aligned: DataFrame) -> DataFrame:
     return aligned.groupBy("sample_id").agg(F.count("*").alias("n_records"), F.count("cpg_idx").alias("n_matched"))
 
 
+def contig_totals(aligned: DataFrame, sample: str = "sample_id") -> DataFrame:
+    """The same per sample and contig, as it is spelt: all that totals and
+    warnings are made of."""
+    return aligned.groupBy(sample, "chr").agg(F.count("*").alias("n_records"), F.count("cpg_idx").alias("n_matched"))
+
+
+def sample_totals(contigs: DataFrame) -> DataFrame:
+    """``match_totals`` from ``contig_totals``."""
+    return contigs.groupBy("sample_id").agg(F.sum("n_records").alias("n_records"), F.sum("n_matched").alias("n_matched"))
+
+
+def lost_contigs(contigs: DataFrame) -> DataFrame:
+    """``unmatched_contigs`` from ``contig_totals``."""
+    return contigs.where("n_matched = 0").groupBy("sample_id").agg(F.array_sort(F.collect_set("chr")).alias("contigs"))
+
+
 def unmatched_contigs(aligned: DataFrame) -> DataFrame:
     """Per sample: its contigs of which no record found a site, sorted."""
-    per = aligned.groupBy("sample_id", "chr").agg(F.count("cpg_idx").alias("hits"))
-    return per.where("hits = 0").groupBy("sample_id").agg(F.array_sort(F.collect_set("chr")).alias("contigs"))
+    return lost_contigs(contig_totals(aligned))
+
+
+def check_matches(aligned: DataFrame) -> None:
+    check_totals(contig_totals(aligned))
 
 
-def check_matches(aligned: DataFrame, totals: list | None = None) -> None:
+def check_totals(contigs: DataFrame, totals: list | None = None) -> None:
     """A sample without any match is an error that names its contigs.
-    ``totals``: the rows of ``match_totals``, if they are at hand."""
-    totals = totals if totals is not None else match_totals(aligned).collect()  # one row per sample
+    ``contigs``: ``contig_totals``; ``totals``: the rows of ``sample_totals``,
+    if they are at hand."""
+    totals = totals if totals is not None else sample_totals(contigs).collect()  # one row per sample
     lost = min((t for t in totals if t["n_records"] and not t["n_matched"]), key=lambda t: t["sample_id"], default=None)
     if lost:
-        names = unmatched_contigs(aligned.where(F.col("sample_id") == lost["sample_id"])).first()["contigs"]
+        names = lost_contigs(contigs.where(F.col("sample_id") == lost["sample_id"])).first()["contigs"]
         raise CoverageError(f"sample {lost['sample_id']}: no record matches the reference; its contigs: {', '.join(names)}")

@@ -7,11 +7,12 @@ import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..contracts import AnnotationError, EngineError, MethylationSet, Reference
-from ..operators.align import align, check_matches, check_sites, match_totals, unmatched_contigs
+from ..operators.align import align, check_sites, check_totals, contig_totals, lost_contigs, sample_totals
 from ..operators.annotate import annotate
-from ..operators.assay import build_assay
+from ..operators.assay import build_assay, out_of_reach
 from ..operators.filters import remove_uncovered
 from ..operators.genes import features, transcripts
 from ..operators.stats import coverage_stats
@@ -51,24 +52,33 @@ class Config:
 
 def process_files(spark: SparkSession, reference: Reference, paths: list[str], min_coverage: int = 1, drop_uncovered: bool = True) -> MethylationSet:
     """Files to assays. Strands merge first, then the coverage mask, then the
-    row filter."""
+    row filter. Where no site can reach the minimum, records are aligned for the
+    checks and the log alone, and neither they nor cells are written."""
     if not paths:
         raise EngineError("no coverage files")
     check_sites(reference.sites)
     found, samples = read_coverage(spark, paths)
-    aligned = written(align(found, reference.sites), "aligned")  # the one shuffle of all records
+    hopeless = drop_uncovered and out_of_reach(found, min_coverage)
+    aligned = align(found, reference.sites).select("sample_idx", "chr", "cpg_idx", "methylated", "unmethylated")
+    if not hopeless:
+        aligned = written(aligned, "aligned")  # the one shuffle of all records
+    contigs = written(contig_totals(aligned, "sample_idx").join(F.broadcast(samples), "sample_idx"), "contigs")  # samples: one row per file
     discard(found)
-    totals = match_totals(aligned).orderBy("sample_id").collect()  # one row per file
-    check_matches(aligned, totals)
+    totals = sample_totals(contigs).orderBy("sample_id").collect()  # one row per file
+    check_totals(contigs, totals)
     for t in totals:
         log.info("sample %s: %d records, %d on a site", t["sample_id"], t["n_records"], t["n_matched"])
-    for lost in unmatched_contigs(aligned).orderBy("sample_id").toLocalIterator():  # one row per file
+    for lost in lost_contigs(contigs).orderBy("sample_id").toLocalIterator():  # one row per file
         log.warning("sample %s: no record of these contigs is on a site: %s", lost["sample_id"], ", ".join(lost["contigs"]))
-    assay = written(build_assay(aligned, min_coverage), "assay")
-    discard(aligned)
+    discard(contigs)
     rows = reference.sites
     universe = rows.count()
+    if not hopeless:
+        assay = written(build_assay(aligned, min_coverage), "assay")
+        discard(aligned)
     log.info("%d sites in the reference", universe)
+    if hopeless:
+        raise EngineError("no site is covered in any sample")
     if drop_uncovered:
         rows = written(remove_uncovered(rows, assay), "rows")
         kept = rows.count()

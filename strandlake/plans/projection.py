@@ -149,8 +149,9 @@ class Projection:
         return self.sql(SAMPLES, observations=observations).withColumn("sample_name", F.col("sample_id"))
 
     def records(self) -> DataFrame:
-        """Pre-aggregated: the engine rejects repeated positions."""
-        found = self.sql(RECORDS, observations=self.observations())
+        """Pre-aggregated: the engine rejects repeated positions. Few repeat, so
+        observations are shuffled as they are, not summed before it as well."""
+        found = self.sql(RECORDS, observations=self.observations().repartition("contig_key", "pos0"))
         return found.select("sample_id", F.concat(F.lit("chr"), "contig_key").alias("chr"), "contig_key", F.col("pos0").alias("start"), F.col("m").alias("methylated"), F.col("u").alias("unmethylated"))
 
     def genes(self) -> DataFrame:

@@ -101,21 +101,27 @@ def read_coverage(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, Dat
     file known to be bad is read again for its line."""
     names = sample_names(paths)
     samples = spark.createDataFrame([(i, n, n) for i, n in enumerate(names)], "sample_idx int, sample_id string, sample_name string")
-    by_file = spark.createDataFrame([(os.path.basename(p), i, n, p) for i, (n, p) in enumerate(zip(names, paths))], "file string, sample_idx int, sample_id string, path string")
+    by_file = spark.createDataFrame([(os.path.basename(p), i) for i, p in enumerate(paths)], "file string, sample_idx int")
     # as many rows as the driver listed files
-    parsed = records(parse_lines(_lines(spark, paths).join(F.broadcast(by_file), "file")), "sample_idx", "sample_id", "path", "problem")
-    stored = written(parsed, "records")
-    if bad := stored.where("problem IS NOT NULL").agg(F.min("path")).first()[0]:
+    stored = written(records(parse_lines(_lines(spark, paths).join(F.broadcast(by_file), "file")), "sample_idx", "problem"), "records")
+    if bad := stored.where("problem IS NOT NULL").select("sample_idx").distinct().collect():  # one row per file at most
         discard(stored)
-        raise CoverageError(_locate(spark, bad))
-    if twice := duplicates(stored).orderBy("sample_id", "contig_key", "start").first():
+        raise CoverageError(_locate(spark, min(paths[b["sample_idx"]] for b in bad)))
+    found = stored.drop("problem").join(F.broadcast(samples.select("sample_idx", "sample_id")), "sample_idx")  # one row per file
+    if may_repeat(stored) and (twice := duplicates(found).orderBy("sample_id", "contig_key", "start").first()):
         discard(stored)
         raise CoverageError(f"sample {twice['sample_id']}: duplicate record at {twice['contig_key']}:{twice['start'] + 1}")
-    found = stored.drop("path", "problem")
     found._strandlake_path = stored._strandlake_path  # whoever is done with the records may discard them
     return found, samples
 
 
+def may_repeat(stored: DataFrame) -> bool:
+    """Whether two records have the same hash of sample and position: only then
+    can a sample list a position twice. Hashes are all that is shuffled."""
+    hashes = stored.select(F.xxhash64("sample_idx", "contig_key", "start").alias("hash")).repartition("hash")
+    return (hashes.groupBy("hash").count().agg(F.max("count")).first()[0] or 0) > 1
+
+
 def duplicates(found: DataFrame) -> DataFrame:
     """Positions that one sample lists more than once, contig aliases alike."""
     return found.groupBy("sample_id", "contig_key", "start").agg(F.count("*").alias("n")).where("n > 1")

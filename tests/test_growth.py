@@ -7,7 +7,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from strandlake.contracts import CoverageError, EngineError, Reference
+from strandlake.operators import align as al
 from strandlake.operators import validate as va
+from strandlake.plans import pipeline as pl
 from strandlake.plans.sql import close_store, open_store
 from strandlake.sources import coverage as co
 from strandlake.sources import fasta, gtf
@@ -111,3 +114,47 @@ def test_no_task_sorts_a_whole_contig(spark, tmp_path, monkeypatch, as_planned):
     job.run(spark, "/root/testdata/sf0.001", str(tmp_path / "o"), default_config(job.JOB)).collect()
     parts = [len(list(c.glob("part-*"))) for c in (tmp_path / "o/sites").glob("contig_key=*")]
     assert max(parts) > 1
+
+
+def reference_of(spark, *starts):
+    sites = spark.createDataFrame([(i, "chr1", "1", s, s + 2, "+") for i, s in enumerate(starts)], "cpg_idx long, chr string, contig_key string, start long, end long, strand string")
+    return Reference(sites, spark.createDataFrame([(0, "chr1", 100)], "contig_idx int, contig string, length long"), "mini")
+
+
+def test_a_minimum_out_of_reach_writes_neither_records_nor_cells(spark, tmp_path, monkeypatch, caplog):
+    (tmp_path / "a.cov").write_text("chr1\t10\t10\t50\t3\t3\nchr1\t11\t11\t50\t3\t3\nchrZ\t9\t9\t100\t1\t0\n")
+    path, reference, tags = str(tmp_path / "a.cov"), reference_of(spark, 9), []
+    real = pl.written
+    monkeypatch.setattr(pl, "written", lambda df, tag: tags.append(tag) or real(df, tag))
+    assert [r["cov"] for r in pl.process_files(spark, reference, [path], 12).assay.collect()] == [12]  # both strands just reach it
+    assert {"aligned", "assay"} <= set(tags)
+    tags.clear(), caplog.clear()
+    with caplog.at_level("INFO", pl.log.name), pytest.raises(EngineError, match="no site is covered in any sample"):
+        pl.process_files(spark, reference, [path], 13)
+    assert tags == ["contigs"]
+    assert [r.getMessage() for r in caplog.records] == ["sample a: 3 records, 2 on a site", "sample a: no record of these contigs is on a site: chrZ", "1 sites in the reference"]
+    (tmp_path / "b.cov").write_text("chrZ\t9\t9\t100\t1\t0\n")
+    with pytest.raises(CoverageError, match="sample b: no record matches"):  # which still comes first
+        pl.process_files(spark, reference, [path, str(tmp_path / "b.cov")], 13)
+    assert pl.process_files(spark, reference, [path], 13, drop_uncovered=False).row_data.count() == 1
+
+
+def test_sound_records_are_shuffled_as_hashes(spark, tmp_path, monkeypatch):
+    calls, real = [], co.duplicates
+    monkeypatch.setattr(co, "duplicates", lambda df: calls.append(1) or real(df))
+    for name in ("a.cov", "b.cov"):
+        (tmp_path / name).write_text("chr1\t10\t10\t50\t1\t1\nchr2\t10\t10\t50\t1\t1\n")
+    found, _ = co.read_coverage(spark, co.find_files(spark, str(tmp_path)))
+    assert found.count() == 4 and sorted({r["sample_id"] for r in found.collect()}) == ["a", "b"] and not calls
+    (tmp_path / "b.cov").write_text("chr2\t10\t10\t50\t1\t1\n2\t10\t10\t50\t1\t1\n")
+    with pytest.raises(CoverageError, match="sample b: duplicate record at 2:10"):
+        co.read_coverage(spark, co.find_files(spark, str(tmp_path)))
+    assert calls
+
+
+def test_records_are_aligned_without_a_sort(spark):
+    records = spark.createDataFrame([("a", "1", i) for i in range(8, 14)], "sample_id string, contig_key string, start long")
+    out = al.align(records, reference_of(spark, 9, 10).sites)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "ShuffledHashJoin" in plan
+    assert sorted((r["start"], r["cpg_idx"]) for r in out.collect() if r["cpg_idx"] is not None) == [(9, 0), (10, 1), (11, 1)]
