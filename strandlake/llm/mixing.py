@@ -88,14 +88,15 @@ def with_targets(sources: DataFrame, share: Fraction, most: int) -> DataFrame:
     only rises, so a source that stopped stays so. Sums alone reach the driver."""
     total, weights = (int(x or 0) for x in sources.agg(F.sum("words"), F.sum("weight")).first())
     exact = lambda c: F.lit(c).cast("decimal(38,0)") if isinstance(c, int) else c.cast("decimal(38,0)")
+    weighed = lambda n: exact(F.col("weight")).cast("decimal(9,0)") * F.lit(n).cast("decimal(26,0)")  # noqa: E731  (as integers they leave 32 bits)
     rest, stopped = share.numerator * total, 0
     while True:
-        full = exact(F.col("words") * (most * share.denominator)) * F.lit(weights).cast("decimal(12,0)") <= exact(F.col("weight")).cast("decimal(9,0)") * F.lit(rest).cast("decimal(26,0)")
+        full = exact(F.col("words") * (most * share.denominator)) * F.lit(weights).cast("decimal(12,0)") <= weighed(rest)
         n, words, kept = sources.agg(F.count_if(full), F.sum(F.when(full, F.col("words"))), F.sum(F.when(~full, F.col("weight")))).first()
         if n == stopped or not kept:
             break
         stopped, weights, rest = n, int(kept), share.numerator * total - share.denominator * most * int(words)
-    level = (F.col("weight") * F.lit(rest)).cast("double") / F.lit(float(share.denominator * weights or 1))
+    level = weighed(rest).cast("double") / F.lit(float(share.denominator * weights or 1))
     return sources.withColumn("target", F.when(full, (F.col("words") * most).cast("double")).otherwise(level))
 
 

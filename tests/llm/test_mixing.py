@@ -134,3 +134,19 @@ def test_plan_does_not_depend_on_partitions(spark, tmp_path):
     docs = table_of(spark, rows)
     first = got(mixing.mix_digest(docs.repartition(1)))
     assert got(mixing.mix_digest(docs.repartition(13))) == first
+
+
+@pytest.mark.parametrize("times", [1, 5, 100, 10**6])
+def test_targets_of_any_number_of_words(spark, times):
+    """A source's weight times the budget leaves 32 bits long before its words do."""
+    words = {s: n * times for s, n in {"a": 90_000_000, "b": 7_000_000, "c": 8_000_000, "d": 30_000_000, "\U0001f600": 0, None: 9_000_000}.items()}
+    weights = {s: (3, 1, 2)[i % 3] for i, s in enumerate(sorted(words, key=lambda s: (s is None, s or "")))}
+    sources = mixing.cycled_weights(spark.createDataFrame(list(words.items()), "source string, words long"), (3, 1, 2))
+    found = {r["source"]: r["target"] for r in mixing.with_targets(sources, Fraction(3, 2), 2).collect()}
+    assert found == {s: float(t) for s, t in plain_targets(words, weights, Fraction(3, 2), 2).items()}
+
+
+def test_weights_in_any_unit(spark):
+    rows = corpus()
+    docs = table_of(spark, rows)
+    assert got(mixing.decisions(mixing.mix_plan(docs, (300_000_000, 100_000_000, 200_000_000)))) == plain(rows)
